@@ -200,3 +200,72 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price, currency AS curren
          AS price_pln_notebook
 FROM listings
 """
+
+_K = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+SQL["clean_numeric_fields"] = w(LISTINGS) + f"""
+SELECT {_K},
+       CAST(floor(price) AS DECIMAL(12,2)) AS price_whole,
+       CAST(CAST(round(price * 100) AS BIGINT) AS DECIMAL(12,2)) AS price_digits,
+       CAST(CAST(round(price * 100) AS BIGINT) / 100 AS DECIMAL(12,2)) AS price_decimal,
+       CAST(CAST(floor(price) AS BIGINT) AS DOUBLE)
+         + CAST(CAST(round(price * 100) AS BIGINT) % 100 AS DOUBLE) / 100 AS price_legacy,
+       mileage_km,
+       CASE WHEN l_partkey % 2 = 0 THEN CAST(round_even(p_size * 1.35962, 0) AS INTEGER) ELSE p_size END
+         AS power_hp,
+       engine_capacity_cm3,
+       CAST(mileage_km AS DOUBLE) AS mileage_first_number
+FROM listings
+"""
+
+SQL["unit_measures"] = w(LISTINGS) + f"""
+SELECT {_K},
+       CASE l_linenumber WHEN 7 THEN NULL WHEN 6 THEN CAST(l_quantity AS INTEGER) + 0.5
+            ELSE CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) END AS battery_kwh,
+       l_linenumber <> 7 AS battery_ok,
+       CASE WHEN l_linenumber = 7 THEN NULL
+            WHEN l_linenumber = 6 AND CAST(l_quantity AS INTEGER) < 10 THEN 5.0
+            WHEN l_linenumber = 6 THEN NULL
+            ELSE CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) END AS battery_kwh_parity,
+       CASE WHEN l_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) * CAST(1.35962 AS DOUBLE)
+            ELSE CAST(p_size AS DOUBLE) END AS power_hp,
+       CAST(engine_capacity_cm3 AS DOUBLE) AS engine_cm3,
+       mileage_km
+FROM listings
+"""
+
+SQL["unit_violations"] = """
+WITH r AS (
+  SELECT CASE l_linenumber WHEN 7 THEN q || ' kW' WHEN 6 THEN q || ',5 kWh' ELSE q || ' kWh' END AS b
+  FROM (SELECT CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q, l_linenumber
+        FROM lineitem JOIN part ON l_partkey = p_partkey)),
+u AS (SELECT regexp_extract(b, '(\\d+\\.?\\d*)\\s*(\\w+)', 2) AS unit FROM r
+      WHERE regexp_matches(b, '(\\d+\\.?\\d*)\\s*(\\w+)'))
+SELECT 'battery_capacity_kwh' AS measure,
+       COALESCE((SELECT string_agg(unit, ',' ORDER BY unit)
+                 FROM (SELECT DISTINCT unit FROM u WHERE unit <> 'kWh')), '') AS units
+UNION ALL SELECT 'engine_capacity_cm3', ''
+UNION ALL SELECT 'power_hp', '' UNION ALL SELECT 'mileage_km', ''
+"""
+
+SQL["polish_date_parse"] = w(LISTINGS) + f"""
+SELECT {_K},
+       CASE WHEN l_linenumber IN (6, 7) THEN NULL ELSE CAST(advert_date AS TIMESTAMP) END AS advert_ts,
+       l_linenumber = 7 AS rejected,
+       CASE WHEN l_linenumber IN (6, 7) THEN NULL ELSE CAST(advert_date AS TIMESTAMP) END AS advert_ts_batch
+FROM listings
+"""
+
+SQL["tak_nie_bool"] = w(LISTINGS) + f"""
+SELECT {_K}, l_linestatus = 'F' AS flag, CAST(NULL AS BOOLEAN) AS flag_noise FROM listings
+"""
+
+SQL["location_split"] = """
+SELECT c_custkey, n_name AS city, r_name AS province
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+"""
+
+SQL["description_extract"] = w(LISTINGS) + f"""
+SELECT {_K}, engine_capacity_cm3 AS engine_capacity, p_size AS power, CAST(mileage_km AS DOUBLE) AS mileage_km
+FROM listings
+"""

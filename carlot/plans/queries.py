@@ -112,3 +112,91 @@ def q_currency_normalize(spark, sf):
                       F.col("currency").alias("currency_in"),
                       C.to_pln("price", "currency").alias("price_pln"),
                       C.to_pln("price", "currency", op="divide").alias("price_pln_notebook"))
+
+
+# --- cleaners over rendered text (D1–D27) -------------------------------------------
+
+from carlot.functions import measures as MS  # noqa: E402
+from carlot.sources.render import listing_text, thousands  # noqa: E402
+from carlot.sources.tables import table  # noqa: E402
+
+_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("clean_numeric_fields")
+def q_clean_numeric_fields(spark, sf):
+    t = listing_text(listings(spark, sf))
+    return t.select(
+        *_KEYS,
+        C.clean_price("price_raw").alias("price_whole"),
+        C.clean_price("price_cents_raw").alias("price_digits"),
+        C.clean_price("price_cents_raw", mode="decimal").alias("price_decimal"),
+        C.legacy_price(F.regexp_replace("price_cents_raw", " PLN$", "")).alias("price_legacy"),
+        C.clean_mileage("mileage_raw").alias("mileage_km"),
+        C.clean_power_hp("power_raw").alias("power_hp"),
+        C.clean_engine_capacity("engine_raw").alias("engine_capacity_cm3"),
+        C.first_number("mileage_raw", drop=" km").alias("mileage_first_number"),
+    )
+
+
+@query("unit_measures")
+def q_unit_measures(spark, sf):
+    t = listing_text(listings(spark, sf))
+    bat, moc = MS.SPEC_BY_TARGET["battery_capacity_kwh"], MS.SPEC_BY_TARGET["power_hp"]
+    eng, mil = MS.SPEC_BY_TARGET["engine_capacity_cm3"], MS.SPEC_BY_TARGET["mileage_km"]
+    return t.select(
+        *_KEYS,
+        MS.measure("battery_raw", bat)["value"].alias("battery_kwh"),
+        MS.measure("battery_raw", bat)["ok"].alias("battery_ok"),
+        MS.measure("battery_raw", bat, parity=True)["value"].alias("battery_kwh_parity"),
+        MS.measure("power_raw", moc, parity=True)["value"].alias("power_hp"),
+        MS.measure("engine_raw", eng, parity=True)["value"].alias("engine_cm3"),
+        MS.measure("mileage_raw", mil, parity=True)["value"].alias("mileage_km"),
+    )
+
+
+@query("unit_violations")
+def q_unit_violations(spark, sf):
+    t = listing_text(listings(spark, sf)).select(
+        F.col("battery_raw").alias("Pojemność baterii"), F.col("power_raw").alias("Moc"),
+        F.col("engine_raw").alias("Pojemność skokowa"), F.col("mileage_raw").alias("Przebieg"))
+    return MS.unexpected_units(t, parity=True)
+
+
+@query("polish_date_parse")
+def q_polish_date_parse(spark, sf):
+    t = listing_text(listings(spark, sf))
+    return t.select(*_KEYS, C.polish_date("date_raw").alias("advert_ts"),
+                    C.polish_date_rejected("date_raw").alias("rejected"),
+                    C.month_replace_date("date_raw").alias("advert_ts_batch"))
+
+
+@query("tak_nie_bool")
+def q_tak_nie_bool(spark, sf):
+    t = listing_text(listings(spark, sf))
+    return t.select(*_KEYS, C.tak_nie("bool_raw").alias("flag"),
+                    C.tak_nie(F.concat(F.col("bool_raw"), F.lit("?"))).alias("flag_noise"))
+
+
+@query("location_split")
+def q_location_split(spark, sf):
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    # nation (25 rows) and region (5 rows) are fixed-size dimensions.
+    nat = F.broadcast(table(spark, sf, "nation"))
+    reg = F.broadcast(table(spark, sf, "region"))
+    loc = (cust.join(nat, cust.c_nationkey == nat.n_nationkey)
+           .join(reg, F.col("n_regionkey") == reg.r_regionkey)
+           .select("c_custkey", F.concat_ws("", "n_name", F.lit(" ("), "r_name", F.lit(")")).alias("location")))
+    return loc.select("c_custkey", C.city("location").alias("city"), C.province("location").alias("province"))
+
+
+@query("description_extract")
+def q_description_extract(spark, sf):
+    lst = listings(spark, sf)
+    desc = F.concat(F.lit("Auto w dobrym stanie.\nSilnik "), thousands("engine_capacity_cm3"),
+                    F.lit("cm3, moc "), F.col("p_size").cast("string"), F.lit(" KM, przebieg "),
+                    thousands("mileage_km"), F.lit(" km."))
+    return lst.select(*_KEYS, C.engine_from_description(desc).alias("engine_capacity"),
+                      C.power_from_description(desc).alias("power"),
+                      C.first_number(F.concat(thousands("mileage_km"), F.lit(" km")), drop=" km")
+                      .alias("mileage_km"))

@@ -110,24 +110,6 @@ CAST_SPEC = {
     "battery_health_percent": "float", "max_electric_power_hp": "float", "engine_capacity_cm3": "float",
 }
 
-# Generic unit-measure presets: raw column -> (output column, allowed units, pattern kind).
-# kind "word": value `(\d+\.?\d*)` then optional blanks then a `\w+` unit (searched);
-# kind "tail": value with inner blanks/decimal comma, unit anchored at the end;
-# kind "compact": blanks removed first, then as "word".
-MEASURES = {
-    "Pojemność baterii": ("battery_capacity_kwh", ("kWh",), "word"),
-    "Autonomia": ("range_km", ("km",), "word"),
-    "Pojemność skokowa": ("engine_capacity_cm3", ("cm3",), "tail"),
-    "Moc": ("power_hp", ("km", "kw"), "compact_lower"),
-    "Emisja CO2": ("co2_emissions_gpkm", ("g/km",), "compact_any"),
-    "Spalanie W Mieście": ("urban_fuel_consumption_l_per_100km", ("l/100km",), "compact_any"),
-    "Spalanie Poza Miastem": ("extraurban_fuel_consumption_l_per_100km", ("l/100km",), "compact_any"),
-    "Przebieg": ("mileage_km", ("km",), "compact_any"),
-    "Średnie zużycie": ("average_energy_consumption_kwh_per_100km", ("kWh/100km",), "compact_any"),
-    "Kondycja baterii": ("battery_health_percent", ("%",), "compact_pct"),
-    "Elektryczna moc maksymalna HP": ("max_electric_power_hp", ("HP",), "compact_any"),
-}
-
 # ---------------------------------------------------------------------------
 # Table schemas
 # ---------------------------------------------------------------------------
