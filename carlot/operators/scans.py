@@ -79,6 +79,51 @@ def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1,
     return r.withColumn(out, (F.col(out) - 1 + start).cast("bigint")).drop(one)
 
 
+def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), strategy: str = "rank") -> DataFrame:
+    """Exact linearly interpolated percentiles of each column per group.
+
+    Output: ``keys`` + ``p<100*p>_<column>`` (double). Same strategies as
+    ``grouped_median``.
+    """
+    keys = _cols(keys)
+    columns = _cols(columns)
+    name = lambda p, c: f"p{int(round(p * 100))}_{c}"
+    if strategy in ("builtin", "approx"):
+        aggs = []
+        for c in columns:
+            for p in probs:
+                v = F.col(c).cast("double")
+                e = F.percentile(v, p) if strategy == "builtin" else \
+                    F.percentile_approx(v, p, 10000).cast("double")
+                aggs.append(e.alias(name(p, c)))
+        return df.groupBy(*keys).agg(*aggs)
+
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__v")) for c in columns
+    ])).alias("__m")).select(*keys, "__m.__metric", "__m.__v").where(F.col("__v").isNotNull())
+    gk = keys + ["__metric"]
+    ranked = dense_index(stacked, order_cols=["__v"], out="__rank", start=0, group_cols=gk)
+    counts = stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"))
+    targets = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("__n") - 1)).alias("pos"))
+                        for i, p in enumerate(probs)])
+    wanted = counts.select(*gk, F.explode(targets).alias("t")).select(
+        *gk, F.col("t.i").alias("__i"), F.col("t.pos").alias("__pos"))
+    # Ranks needed per (group, probability): floor and ceil of the position.
+    need = wanted.select(*gk, "__i", "__pos", F.explode(F.array_distinct(F.array(
+        F.floor("__pos").cast("bigint"), F.ceil("__pos").cast("bigint")))).alias("__rank"))
+    picked = (ranked.join(need, gk + ["__rank"], "inner")
+              .groupBy(*gk, "__i", "__pos")
+              .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
+    frac = F.col("__pos") - F.floor("__pos")
+    val = picked.select(*gk, "__i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias("__val"))
+    labels = [name(p, c) for c in columns for p in probs]
+    val = val.select(*keys, F.concat(F.lit("p"), F.element_at(
+        F.array(*[F.lit(str(int(round(p * 100)))) for p in probs]), F.col("__i") + 1),
+        F.lit("_"), F.col("__metric")).alias("__label"), "__val")
+    wide = val.groupBy(*keys).pivot("__label", labels).agg(F.first("__val"))
+    return wide.select(*keys, *labels)
+
+
 def grouped_median(df: DataFrame, keys, columns, strategy: str = "rank",
                    suffix: str = "median_") -> DataFrame:
     """Exact interpolated median of each column per group.
@@ -89,26 +134,9 @@ def grouped_median(df: DataFrame, keys, columns, strategy: str = "rank",
     ``strategy='builtin'``: Spark ``median`` (exact; buffers each group's
     distinct values). ``strategy='approx'``: ``percentile_approx``.
     Output: ``keys`` + ``median_<column>`` (double); groups whose values are
-    all NULL get NULL.
+    all NULL are absent (left-join the result to the group table).
     """
     keys = _cols(keys)
     columns = _cols(columns)
-    if strategy in ("builtin", "approx"):
-        fn = (lambda c: F.median(F.col(c).cast("double"))) if strategy == "builtin" else \
-            (lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).cast("double"))
-        return df.groupBy(*keys).agg(*[fn(c).alias(suffix + c) for c in columns])
-
-    stacked = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__v")) for c in columns
-    ])).alias("__m")).select(*keys, "__m.__metric", "__m.__v").where(F.col("__v").isNotNull())
-    gk = keys + ["__metric"]
-    ranked = dense_index(stacked, order_cols=["__v"], out="__rank", start=0, group_cols=gk)
-    counts = stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"))
-    lo = F.floor((F.col("__n") - 1) / 2)
-    hi = F.ceil((F.col("__n") - 1) / 2)
-    picked = (ranked.join(counts, gk, "inner")
-              .where((F.col("__rank") == lo) | (F.col("__rank") == hi))
-              .groupBy(*gk).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
-    med = picked.select(*gk, (F.col("__lo") * 0.5 + F.col("__hi") * 0.5).alias("__med"))
-    wide = med.groupBy(*keys).pivot("__metric", columns).agg(F.first("__med"))
-    return wide.select(*keys, *[F.col(c).alias(suffix + c) for c in columns])
+    p = grouped_percentiles(df, keys, columns, (0.5,), strategy)
+    return p.select(*keys, *[F.col(f"p50_{c}").alias(suffix + c) for c in columns])

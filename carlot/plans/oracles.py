@@ -269,3 +269,139 @@ SQL["description_extract"] = w(LISTINGS) + f"""
 SELECT {_K}, engine_capacity_cm3 AS engine_capacity, p_size AS power, CAST(mileage_km AS DOUBLE) AS mileage_km
 FROM listings
 """
+
+# --- data quality ---------------------------------------------------------------------
+
+_LCOLS = ["advert_id", "source", "make", "model", "production_year", "price", "currency",
+          "mileage_km", "fuel_type", "transmission", "engine_capacity_cm3", "advert_date"]
+
+SQL["null_profile"] = w(LISTINGS) + "SELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS nulls FROM listings" for c in _LCOLS
+) + ") ORDER BY nulls DESC, column_name ASC LIMIT 10"
+
+SQL["column_profile"] = w(LISTINGS) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT({c}) AS non_null, "
+    f"COUNT(*) - COUNT({c}) AS nulls, COUNT(DISTINCT {c}) AS n_distinct FROM listings" for c in _LCOLS)
+
+SQL["describe_profile"] = w(LISTINGS) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS count, round(AVG(CAST({c} AS DOUBLE)), 6) AS mean, "
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, CAST(MAX({c}) AS DOUBLE) AS max "
+    f"FROM listings" for c in ["price", "mileage_km", "production_year", "engine_capacity_cm3"])
+
+_DUP = "make, model, production_year, fuel_type, transmission, currency"
+
+SQL["dedup_full_row"] = w(LISTINGS) + f"SELECT DISTINCT {_DUP} FROM listings"
+
+SQL["dup_groups"] = w(LISTINGS) + """
+SELECT source, advert_id, l_partkey, l_suppkey, price FROM listings
+QUALIFY COUNT(*) OVER (PARTITION BY source, advert_id) > 1
+"""
+
+SQL["distinct_by_subset"] = w(LISTINGS) + """
+SELECT COUNT(*) AS n_distinct FROM (SELECT DISTINCT make, model, production_year, fuel_type, transmission,
+  engine_capacity_cm3, currency, mileage_km, l_returnflag FROM listings)
+"""
+
+SQL["dup_count"] = w(LISTINGS) + f"""
+SELECT COUNT(*) AS rows, (SELECT COUNT(*) FROM (SELECT DISTINCT {_DUP} FROM listings)) AS distinct_rows,
+       COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {_DUP} FROM listings)) AS duplicates
+FROM listings
+"""
+
+SQL["drop_missing"] = w(LISTINGS) + f"""
+SELECT {', '.join(_LCOLS)}, l_partkey, l_suppkey FROM listings
+WHERE price IS NOT NULL AND production_year IS NOT NULL AND fuel_type IS NOT NULL
+"""
+
+# --- keys -----------------------------------------------------------------------------
+
+SQL["known_key_anti_join"] = w(LISTINGS) + """
+SELECT source, advert_id, l_partkey, l_suppkey, advert_date FROM listings l
+WHERE NOT EXISTS (SELECT 1 FROM listings k WHERE k.advert_date < TIMESTAMP '2000-01-01'
+                  AND k.source = l.source AND k.advert_id = l.advert_id)
+"""
+
+_LAST = "ORDER BY advert_date DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC"
+
+SQL["upsert_latest"] = w(LISTINGS) + f""",
+old AS (SELECT * FROM listings WHERE advert_date < TIMESTAMP '2000-01-01'),
+hist AS (SELECT source, advert_id, MIN(advert_date) AS first_seen_at, MAX(advert_date) AS last_seen_at
+         FROM old GROUP BY source, advert_id),
+tgt AS (SELECT o.*, h.first_seen_at, h.last_seen_at FROM old o JOIN hist h USING (source, advert_id)
+        QUALIFY row_number() OVER (PARTITION BY source, advert_id {_LAST}) = 1),
+bat AS (SELECT * FROM listings WHERE advert_date >= TIMESTAMP '2000-01-01'
+        QUALIFY row_number() OVER (PARTITION BY source, advert_id {_LAST}) = 1)
+SELECT COALESCE(b.source, t.source) AS source, COALESCE(b.advert_id, t.advert_id) AS advert_id,
+       CASE WHEN b.advert_id IS NOT NULL THEN b.price ELSE t.price END AS price,
+       CASE WHEN b.advert_id IS NOT NULL THEN b.make ELSE t.make END AS make,
+       CASE WHEN b.advert_id IS NOT NULL THEN b.model ELSE t.model END AS model,
+       CASE WHEN b.advert_id IS NOT NULL THEN b.production_year ELSE t.production_year END AS production_year,
+       CASE WHEN b.advert_id IS NOT NULL THEN b.mileage_km ELSE t.mileage_km END AS mileage_km,
+       CASE WHEN b.advert_id IS NOT NULL THEN b.advert_date ELSE t.advert_date END AS advert_date,
+       COALESCE(t.first_seen_at, TIMESTAMP '2030-01-01 00:00:00') AS first_seen_at,
+       CASE WHEN b.advert_id IS NOT NULL THEN TIMESTAMP '2030-01-01 00:00:00' ELSE t.last_seen_at END
+         AS last_seen_at
+FROM tgt t FULL OUTER JOIN bat b ON t.source = b.source AND t.advert_id = b.advert_id
+"""
+
+SQL["first_wins_in_page"] = """
+SELECT user_id, event_type, event_id, ts, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
+"""
+
+SQL["surrogate_ids"] = w(LISTINGS) + """
+SELECT advert_id, source, l_partkey, l_suppkey,
+       row_number() OVER (ORDER BY advert_id, source, advert_date, l_partkey, l_suppkey, l_quantity) AS local_id
+FROM listings
+"""
+
+_CRAWL = """
+WITH refs0 AS (
+  SELECT user_id AS run, CAST(dayofmonth(ts) AS INTEGER) AS page, event_id AS pos,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS advert_id,
+         CASE event_type WHEN 'error' THEN 'AccessBlocked' WHEN 'signup' THEN 'FetchFailed' ELSE 'ok' END
+           AS outcome
+  FROM events),
+refs AS (SELECT * FROM refs0 QUALIFY row_number() OVER (PARTITION BY run, page, advert_id ORDER BY pos) = 1),
+known AS (SELECT DISTINCT CAST(json_extract_string(props, '$.k') AS BIGINT) AS advert_id FROM events
+          WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-08'),
+k AS (SELECT r.*, CAST(r.page AS BIGINT) * 1000000000 + r.pos AS seq, (kn.advert_id IS NOT NULL) AS is_known
+      FROM refs r LEFT JOIN known kn USING (advert_id) WHERE r.page <= 20),
+fo AS (SELECT run, advert_id, MIN(seq) AS first_ok FROM k WHERE outcome = 'ok' AND NOT is_known
+       GROUP BY run, advert_id),
+t AS (SELECT k.*, COALESCE(fo.first_ok < k.seq, false) AS taken FROM k LEFT JOIN fo USING (run, advert_id)),
+n AS (SELECT *, COALESCE(SUM(CASE WHEN NOT is_known AND NOT taken AND outcome = 'ok' THEN 1 ELSE 0 END)
+                OVER (PARTITION BY run ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                AS n_before FROM t),
+s AS (SELECT *, CASE WHEN n_before >= 30 THEN 'max_listings'
+                     WHEN NOT is_known AND NOT taken
+                          AND outcome IN ('AccessBlocked', 'RateLimited', 'CaptchaDetected') THEN outcome
+                END AS stop FROM n),
+st AS (SELECT run, arg_min(stop, seq) AS stopped_reason, MIN(seq) AS stop_seq FROM s
+       WHERE stop IS NOT NULL GROUP BY run),
+c AS (
+  SELECT s.run, s.page, s.pos, s.advert_id, s.outcome,
+         CASE WHEN st.stop_seq IS NOT NULL AND s.seq = st.stop_seq THEN 'stop'
+              WHEN st.stop_seq IS NOT NULL AND s.seq > st.stop_seq THEN 'not_reached'
+              WHEN is_known OR taken THEN 'skipped'
+              WHEN outcome = 'ok' THEN 'saved' ELSE 'parse_error' END AS action,
+         st.stopped_reason, CAST(st.stop_seq // 1000000000 AS INTEGER) AS stop_page
+  FROM s LEFT JOIN st USING (run))
+"""
+
+SQL["crawl_replay"] = _CRAWL + "SELECT * FROM c"
+
+SQL["crawl_stats"] = _CRAWL + """
+SELECT run,
+       COUNT(DISTINCT CASE WHEN stop_page IS NULL OR page <= stop_page THEN page END) AS pages_visited,
+       COUNT(*) FILTER (WHERE stop_page IS NULL OR page <= stop_page) AS listings_found,
+       COUNT(*) FILTER (WHERE action = 'saved') AS new_listings,
+       COUNT(*) FILTER (WHERE action = 'skipped') AS skipped_duplicates,
+       COUNT(*) FILTER (WHERE action = 'parse_error') AS parse_errors,
+       COUNT(*) FILTER (WHERE action = 'saved') AS saved_records,
+       MAX(stopped_reason) AS stopped_reason
+FROM c GROUP BY run
+"""

@@ -200,3 +200,136 @@ def q_description_extract(spark, sf):
                       C.power_from_description(desc).alias("power"),
                       C.first_number(F.concat(thousands("mileage_km"), F.lit(" km")), drop=" km")
                       .alias("mileage_km"))
+
+
+# --- data quality (G17–G23, F3–F5, E13) ---------------------------------------------
+
+from carlot.operators import keys as K  # noqa: E402
+from carlot.operators import quality as Q  # noqa: E402
+from carlot.operators import replay as R  # noqa: E402
+
+LISTING_COLUMNS = ["advert_id", "source", "make", "model", "production_year", "price", "currency",
+                   "mileage_km", "fuel_type", "transmission", "engine_capacity_cm3", "advert_date"]
+DUP_SUBSET = ["make", "model", "production_year", "fuel_type", "transmission", "currency"]
+DISTINCT_SUBSET = ["make", "model", "production_year", "fuel_type", "transmission",
+                   "engine_capacity_cm3", "currency", "mileage_km", "l_returnflag"]
+
+
+@query("null_profile")
+def q_null_profile(spark, sf):
+    return Q.null_profile(listings(spark, sf).select(*LISTING_COLUMNS), top=10)
+
+
+@query("column_profile")
+def q_column_profile(spark, sf):
+    return Q.column_profile(listings(spark, sf).select(*LISTING_COLUMNS))
+
+
+@query("describe_profile")
+def q_describe_profile(spark, sf):
+    return Q.describe_profile(listings(spark, sf),
+                              ["price", "mileage_km", "production_year", "engine_capacity_cm3"])
+
+
+@query("dedup_full_row")
+def q_dedup_full_row(spark, sf):
+    return Q.dedup_full_row(listings(spark, sf).select(*DUP_SUBSET))
+
+
+@query("dup_groups")
+def q_dup_groups(spark, sf):
+    lst = listings(spark, sf).select("source", "advert_id", "l_partkey", "l_suppkey", "price")
+    return Q.duplicate_groups(lst, ["source", "advert_id"])
+
+
+@query("distinct_by_subset")
+def q_distinct_by_subset(spark, sf):
+    return Q.distinct_count(listings(spark, sf), DISTINCT_SUBSET)
+
+
+@query("dup_count")
+def q_dup_count(spark, sf):
+    return Q.duplicate_count(listings(spark, sf).select(*DUP_SUBSET))
+
+
+@query("drop_missing")
+def q_drop_missing(spark, sf):
+    lst = listings(spark, sf).select(*LISTING_COLUMNS, "l_partkey", "l_suppkey")
+    return lst.na.drop(subset=["price", "production_year", "fuel_type"])
+
+
+# --- keys and keyed state (F1, F2, F10, F12, K3) -----------------------------------------
+
+CUTOFF = "2000-01-01"
+RUN_TS = "2030-01-01 00:00:00"
+_ORDER = ["advert_date", "l_partkey", "l_suppkey", "l_quantity"]
+
+
+@query("known_key_anti_join")
+def q_known_key_anti_join(spark, sf):
+    lst = listings(spark, sf)
+    known = K.known_keys(lst.where(F.col("advert_date") < F.lit(CUTOFF).cast("timestamp_ntz")))
+    return K.new_keys_only(lst, known, ["source", "advert_id"]).select(
+        "source", "advert_id", "l_partkey", "l_suppkey", "advert_date")
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf):
+    lst = listings(spark, sf).select("source", "advert_id", "price", "make", "model", "production_year",
+                                     "mileage_km", *_ORDER)
+    cut = F.lit(CUTOFF).cast("timestamp_ntz")
+    cols = ["price", "make", "model", "production_year", "mileage_km", "advert_date"]
+    old = lst.where(F.col("advert_date") < cut)
+    hist = K.key_history(old, ["source", "advert_id"], "advert_date")
+    target = K.last_per_key(old, ["source", "advert_id"], _ORDER).join(hist, ["source", "advert_id"])
+    batch = lst.where(F.col("advert_date") >= cut)
+    return K.upsert(target, batch, ["source", "advert_id"], cols,
+                    F.lit(RUN_TS).cast("timestamp_ntz"), order_cols=_ORDER)
+
+
+@query("first_wins_in_page")
+def q_first_wins_in_page(spark, sf):
+    ev = table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    return K.first_per_key(ev, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@query("surrogate_ids")
+def q_surrogate_ids(spark, sf):
+    lst = listings(spark, sf).select("advert_id", "source", *_ORDER)
+    return K.surrogate_ids(lst, ["advert_id", "source", *_ORDER], out="local_id").select(
+        "advert_id", "source", "l_partkey", "l_suppkey", "local_id")
+
+
+# --- crawl-log replay (K1, K2, C17, G24) ------------------------------------------------------
+
+MAX_LISTINGS = 30
+MAX_PAGES = 20
+
+
+def crawl_refs(spark, sf):
+    """References from the events table: run = user, page = day of month,
+    position = event id, id = props.k, detail outcome from the event type."""
+    ev = table(spark, sf, "events")
+    status = (F.when(F.col("event_type") == "error", 403)
+              .when(F.col("event_type") == "signup", 503).otherwise(200))
+    refs = ev.select(F.col("user_id").alias("run"), F.dayofmonth("ts").alias("page"),
+                     F.col("event_id").alias("pos"),
+                     F.get_json_object("props", "$.k").cast("bigint").alias("advert_id"),
+                     R.fetch_outcome(status).alias("outcome"))
+    refs = K.first_per_key(refs, ["run", "page", "advert_id"], ["pos"])       # F1 in-page first wins
+    known = ev.where((F.col("event_type") == "purchase") &
+                     (F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))) \
+        .select(F.get_json_object("props", "$.k").cast("bigint").alias("advert_id"))
+    return refs, known
+
+
+@query("crawl_replay")
+def q_crawl_replay(spark, sf):
+    refs, known = crawl_refs(spark, sf)
+    return R.replay(refs, known, MAX_LISTINGS, MAX_PAGES)
+
+
+@query("crawl_stats")
+def q_crawl_stats(spark, sf):
+    refs, known = crawl_refs(spark, sf)
+    return R.run_stats(R.replay(refs, known, MAX_LISTINGS, MAX_PAGES))
