@@ -405,3 +405,98 @@ SELECT run,
        MAX(stopped_reason) AS stopped_reason
 FROM c GROUP BY run
 """
+
+# --- equipment ------------------------------------------------------------------------
+
+_EQ = """
+WITH eq AS (
+  SELECT p_partkey AS listing_id,
+         CASE WHEN p_size % 10 = 0 THEN NULL ELSE
+           ' ' || upper(split_part(p_name, ' ', 1)) || ' |Bezpieczeństwo|' || string_split(p_name, ' ')[-1]
+           || '||' || lower(split_part(p_name, ' ', 1)) END AS equipment
+  FROM part),
+items AS (
+  SELECT DISTINCT listing_id, lower(trim(item)) AS name
+  FROM (SELECT listing_id, unnest(string_split(COALESCE(equipment, ''), '|')) AS item FROM eq)
+  WHERE lower(trim(item)) NOT IN ('audio i multimedia', 'komfort i dodatki',
+                                  'systemy wspomagania kierowcy', 'bezpieczeństwo')
+    AND lower(trim(item)) <> ''),
+dim AS (SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS id, name
+        FROM (SELECT DISTINCT name FROM items))
+"""
+
+SQL["equipment_dim"] = _EQ + "SELECT id, name FROM dim"
+
+SQL["listing_equipment"] = _EQ + """
+SELECT DISTINCT i.listing_id, d.id AS equipment_id FROM items i JOIN dim d USING (name)
+"""
+
+SQL["listing_equipment_view"] = _EQ + """
+SELECT e.listing_id, string_agg(d.name, ', ' ORDER BY d.name) AS equipment
+FROM eq e LEFT JOIN items i USING (listing_id) LEFT JOIN dim d USING (name)
+GROUP BY e.listing_id
+"""
+
+# --- catalogue ------------------------------------------------------------------------
+
+_CAT = """,
+cat AS (SELECT brand, model, row_number() OVER (ORDER BY brand, model) AS ord
+        FROM (SELECT DISTINCT p_brand AS brand, p_type AS model FROM part)),
+brands AS (SELECT brand, MAX(ord) AS ord FROM cat GROUP BY brand),
+titles AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                  concat_ws(' ', make, upper(substr(model, 1, 1)) || lower(substr(model, 2)), p_name)
+                    AS title FROM listings),
+tagged AS (
+  SELECT t.l_orderkey, t.l_linenumber, t.l_partkey, t.l_suppkey, t.title,
+         (SELECT arg_max(b.brand, b.ord) FROM brands b
+          WHERE regexp_matches(t.title, '(?i)\\b' || b.brand || '\\b')) AS make
+  FROM titles t)
+"""
+
+SQL["make_tagging"] = w(LISTINGS) + _CAT + "SELECT * FROM tagged"
+
+SQL["model_tagging"] = w(LISTINGS) + _CAT + """,
+models AS (SELECT brand, model, row_number() OVER (PARTITION BY brand ORDER BY length(model) DESC, ord) AS k
+           FROM cat),
+nmod AS (SELECT brand, MAX(k) AS kmax FROM models GROUP BY brand)
+SELECT t.l_orderkey, t.l_linenumber, t.l_partkey, t.l_suppkey, t.make,
+  (WITH RECURSIVE r(k, tt, m) AS (
+     SELECT 0, t.title, CAST(NULL AS VARCHAR)
+     UNION ALL
+     SELECT r.k + 1,
+            CASE WHEN regexp_matches(r.tt, '(?i)\\b' || mo.model || '\\b')
+                 THEN trim(regexp_replace(r.tt, '\\b' || mo.model || '\\b', '', 'g')) ELSE r.tt END,
+            CASE WHEN regexp_matches(r.tt, '(?i)\\b' || mo.model || '\\b') THEN mo.model ELSE r.m END
+     FROM r JOIN models mo ON mo.brand = t.make AND mo.k = r.k + 1)
+   SELECT m FROM r ORDER BY k DESC LIMIT 1) AS model
+FROM tagged t
+"""
+
+SQL["catalogue_labels"] = """
+SELECT p_brand || ' (' || CAST(COUNT(*) AS VARCHAR) || ')' AS label, p_brand AS brand FROM part GROUP BY p_brand
+"""
+
+SQL["search_urls"] = """
+SELECT brand, model, replace(replace(lower(trim(brand)), ' ', '-'), '#', '%23') AS make_slug,
+       replace(lower(trim(model)), ' ', '-') AS model_slug,
+       'https://listings.example/osobowe/' || replace(lower(trim(brand)), ' ', '-') || '/'
+         || replace(lower(trim(model)), ' ', '-')
+         || '?search%5Bfilter_float_year%3Afrom%5D=2019&search%5Bfilter_float_year%3Ato%5D=2021'
+         || '&search%5Badvanced_search_expanded%5D=true' AS url
+FROM (SELECT DISTINCT p_brand AS brand, p_type AS model FROM part)
+"""
+
+# --- segments -------------------------------------------------------------------------
+
+SQL["segment_plan"] = w(LISTINGS) + """,
+r AS (SELECT production_year, transmission, COUNT(*) AS listings,
+             grouping(production_year) * 2 + grouping(transmission) AS gid
+      FROM listings GROUP BY ROLLUP (production_year, transmission)),
+tot AS (SELECT listings AS total FROM r WHERE gid = 3),
+yr AS (SELECT production_year, listings AS year_n FROM r WHERE gid = 1)
+SELECT CASE r.gid WHEN 3 THEN 'all' WHEN 1 THEN 'year' ELSE 'year_gearbox' END AS level,
+       r.production_year, r.transmission, r.listings
+FROM r CROSS JOIN tot LEFT JOIN yr ON r.gid = 0 AND yr.production_year IS NOT DISTINCT FROM r.production_year
+WHERE CASE WHEN tot.total <= 2300 THEN r.gid = 3
+           ELSE (r.gid = 1 AND r.listings <= 2300) OR (r.gid = 0 AND yr.year_n > 2300) END
+"""

@@ -333,3 +333,94 @@ def q_crawl_replay(spark, sf):
 def q_crawl_stats(spark, sf):
     refs, known = crawl_refs(spark, sf)
     return R.run_stats(R.replay(refs, known, MAX_LISTINGS, MAX_PAGES))
+
+
+# --- equipment star schema (F7–F9, F11, I2) ------------------------------------------------
+
+from carlot.operators import catalogue as CT  # noqa: E402
+from carlot.operators import equipment as EQ  # noqa: E402
+from carlot.operators import segments as SG  # noqa: E402
+
+
+def equipment_listings(spark, sf):
+    """Parts as listings: the raw equipment string comes from the part name
+    words, with case/blank noise, a section header, a repeat and blanks;
+    every tenth size has no equipment (NULL)."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    w = F.split("p_name", " ")
+    raw = F.concat_ws("|", F.concat(F.lit(" "), F.upper(F.element_at(w, 1)), F.lit(" ")),
+                      F.lit("Bezpieczeństwo"), F.element_at(w, -1), F.lit(""), F.lower(F.element_at(w, 1)))
+    raw = F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(raw)
+    return part.select(F.col("p_partkey").alias("listing_id"), raw.alias("equipment")) \
+        .withColumn("equipment_list", EQ.equipment_items("equipment"))
+
+
+@query("equipment_dim")
+def q_equipment_dim(spark, sf):
+    return EQ.option_dimension(equipment_listings(spark, sf))
+
+
+@query("listing_equipment")
+def q_listing_equipment(spark, sf):
+    lst = equipment_listings(spark, sf)
+    return EQ.listing_equipment(lst, EQ.option_dimension(lst))
+
+
+@query("listing_equipment_view")
+def q_listing_equipment_view(spark, sf):
+    lst = equipment_listings(spark, sf)
+    opts = EQ.option_dimension(lst)
+    return EQ.equipment_view(lst, EQ.listing_equipment(lst, opts), opts)
+
+
+# --- catalogue tagging (C14, F13, F14, D36–D38) -------------------------------------------
+
+def catalogue_from_parts(spark, sf):
+    """Distinct (brand, model) pairs of ``part`` with their catalogue position."""
+    cat = table(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("model")) \
+        .dropDuplicates()
+    return CT.with_order(cat)
+
+
+def titles(spark, sf):
+    lst = listings(spark, sf)
+    return lst.select(*_KEYS, F.concat_ws(" ", "make", F.initcap("model"), "p_name").alias("title"))
+
+
+@query("make_tagging")
+def q_make_tagging(spark, sf):
+    return CT.tag_make(titles(spark, sf), catalogue_from_parts(spark, sf), id_cols=_KEYS)
+
+
+@query("model_tagging")
+def q_model_tagging(spark, sf):
+    cat = catalogue_from_parts(spark, sf)
+    tagged = CT.tag_make(titles(spark, sf), cat, id_cols=_KEYS)
+    return CT.tag_model(tagged, cat).select(*_KEYS, "make", "model")
+
+
+@query("catalogue_labels")
+def q_catalogue_labels(spark, sf):
+    part = table(spark, sf, "part")
+    labels = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat(F.col("p_brand"), F.lit(" ("), F.col("n").cast("string"), F.lit(")")).alias("label"))
+    return CT.clean_catalogue_labels(labels).select("label", F.col("name").alias("brand"))
+
+
+@query("search_urls")
+def q_search_urls(spark, sf):
+    cat = table(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("model")) \
+        .dropDuplicates()
+    return cat.select("brand", "model", CT.make_slug("brand").alias("make_slug"),
+                      CT.slugify("model").alias("model_slug"),
+                      CT.search_url("brand", "model", 2019, 2021).alias("url"))
+
+
+# --- segment plan (L1) ---------------------------------------------------------------------
+
+SEGMENT_LIMIT = 2300
+
+
+@query("segment_plan")
+def q_segment_plan(spark, sf):
+    return SG.segment_plan(listings(spark, sf), SEGMENT_LIMIT)
