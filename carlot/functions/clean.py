@@ -133,7 +133,10 @@ def tak_nie(c) -> Column:
 
 # --- dates -------------------------------------------------------------------
 
-_MONTH_MAP = F.create_map(*[x for i, m in enumerate(POLISH_MONTHS) for x in (F.lit(m), F.lit(i + 1))])
+def _month_map() -> Column:
+    return F.create_map(*[x for i, m in enumerate(POLISH_MONTHS) for x in (F.lit(m), F.lit(i + 1))])
+
+
 _DATE_PAT = r"(?U)(\d{1,2})\s+(\w+)\s+(\d{4})(?:\s+(\d{1,2}):(\d{2}))?"
 
 
@@ -141,7 +144,7 @@ def _date_parts(c):
     low = F.lower(_c(c))
     g = [F.regexp_extract(low, _DATE_PAT, i) for i in range(1, 6)]
     matched = g[0] != ""
-    month = F.try_element_at(_MONTH_MAP, g[1])
+    month = F.try_element_at(_month_map(), g[1])
     return low, g, matched, month
 
 

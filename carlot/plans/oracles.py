@@ -500,3 +500,18 @@ FROM r CROSS JOIN tot LEFT JOIN yr ON r.gid = 0 AND yr.production_year IS NOT DI
 WHERE CASE WHEN tot.total <= 2300 THEN r.gid = 3
            ELSE (r.gid = 1 AND r.listings <= 2300) OR (r.gid = 0 AND yr.year_n > 2300) END
 """
+
+# --- extraction round trip ----------------------------------------------------------------
+
+SQL["offer_roundtrip"] = w(LISTINGS) + f"""
+SELECT {_K}, CAST(advert_id AS VARCHAR) AS advert_id, make, model, p_name AS version, production_year,
+       CAST(floor(price) AS DECIMAL(12,2)) AS price, CASE WHEN price IS NULL THEN NULL ELSE currency END AS currency,
+       mileage_km, fuel_type, transmission,
+       CASE WHEN l_partkey % 2 = 0 THEN CAST(round_even(p_size * 1.35962, 0) AS INTEGER) ELSE p_size END AS power_hp,
+       engine_capacity_cm3, CAST(advert_date AS TIMESTAMP) AS advert_date,
+       CASE WHEN split_part(p_name, ' ', 1) = split_part(p_name, ' ', 2) THEN split_part(p_name, ' ', 1)
+            ELSE replace(p_name, ' ', ', ') END AS equipment,
+       7 + CASE WHEN production_year IS NULL THEN 0 ELSE 1 END + CASE WHEN fuel_type IS NULL THEN 0 ELSE 1 END
+         AS n_params
+FROM listings
+"""

@@ -424,3 +424,30 @@ SEGMENT_LIMIT = 2300
 @query("segment_plan")
 def q_segment_plan(spark, sf):
     return SG.segment_plan(listings(spark, sf), SEGMENT_LIMIT)
+
+
+# --- landed-page extraction (C1–C17, E1) ---------------------------------------------------
+
+from carlot.operators import extract as X  # noqa: E402
+from carlot.sources.render import offer_html  # noqa: E402
+
+
+@query("offer_roundtrip")
+def q_offer_roundtrip(spark, sf):
+    pages = offer_html(listings(spark, sf))
+    par = spark.sparkContext.defaultParallelism * 2
+    rec = X.normalize_listing(X.parse_pages(pages, parallelism=par), url="url")
+    return rec.select(*_KEYS, "advert_id", "make", "model", "version", "production_year", "price",
+                      "currency", "mileage_km", "fuel_type", "transmission", "power_hp", "engine_capacity_cm3",
+                      "advert_date", F.array_join("equipment", ", ").alias("equipment"),
+                      F.size("raw_parameters").alias("n_params"))
+
+
+@query("page_parse")
+def q_page_parse(spark, sf):
+    pages = table(spark, sf, "pages")
+    p = X.parse_pages(pages)
+    return p.select("page_id", "url", "captcha", "total_pages", F.size("refs").alias("n_refs"),
+                    R.fetch_outcome(F.lit(200), captcha=F.col("captcha")).alias("outcome"),
+                    F.coalesce("page_advert_id", F.element_at(F.split(
+                        F.regexp_replace("url", "/+$", ""), "/"), -1)).alias("advert_id"))
