@@ -515,3 +515,17 @@ SELECT {_K}, CAST(advert_id AS VARCHAR) AS advert_id, make, model, p_name AS ver
          AS n_params
 FROM listings
 """
+
+# --- files and streaming ------------------------------------------------------------------------
+
+SQL["multi_file_merge"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
+"""
+
+SQL["stream_upsert"] = """
+SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value, arg_max(event_id, (ts, event_id)) AS event_id,
+       MIN(ts) AS first_seen_at, MAX(ts) AS last_seen_at, COUNT(*) AS sightings
+FROM events GROUP BY user_id, event_type
+"""

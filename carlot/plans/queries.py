@@ -451,3 +451,46 @@ def q_page_parse(spark, sf):
                     R.fetch_outcome(F.lit(200), captcha=F.col("captcha")).alias("outcome"),
                     F.coalesce("page_advert_id", F.element_at(F.split(
                         F.regexp_replace("url", "/+$", ""), "/"), -1)).alias("advert_id"))
+
+
+# --- files, sinks and streaming (A2–A4, B1, B7, I1, K4) --------------------------------------
+
+from carlot.session import scratch_path  # noqa: E402
+from carlot.sources import files as FL  # noqa: E402
+from carlot.sources import sinks as SK  # noqa: E402
+from carlot.streaming import ingest as ST  # noqa: E402
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("multi_file_merge")
+def q_multi_file_merge(spark, sf):
+    """Orders exported as per-status CSV files with differing headers (the
+    'F' slice lacks the priority column), scanned back by file-name pattern
+    and merged by column name."""
+    base = scratch_path(spark, "csv-export")
+    orders = table(spark, sf, "orders")
+    slices = {"F": ORDER_COLS[:-1], "O": ORDER_COLS, "P": ORDER_COLS}
+    for status, cols in slices.items():
+        SK.write_fixed_csv(orders.where(F.col("o_orderstatus") == status), f"{base}/all_offers_{status}", cols)
+    frames = [FL.read_raw_csv(spark, f"{base}/all_offers_{s}", cols, glob="*.csv") for s, cols in slices.items()]
+    merged = FL.union_frames(frames)
+    return merged.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+        "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+        F.when(F.col("o_orderpriority") == "", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf):
+    """Events as a file stream of key sightings -> foreachBatch keyed merge
+    into a versioned table; returns the final table."""
+    schema = table(spark, sf, "events").schema
+    base = scratch_path(spark, "stream-table")
+    stream = ST.file_stream(spark, sf, schema, glob="events.parquet")
+    q = ST.run_keyed_ingest(stream, base, ["user_id", "event_type"],
+                            ["value", "event_id"], "ts", ["ts", "event_id"],
+                            checkpoint=scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return SK.read_table(spark, base)
