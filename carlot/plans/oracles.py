@@ -220,9 +220,9 @@ FROM listings
 
 SQL["unit_measures"] = w(LISTINGS) + f"""
 SELECT {_K},
-       CASE l_linenumber WHEN 7 THEN NULL WHEN 6 THEN CAST(l_quantity AS INTEGER) + 0.5
+       CASE WHEN l_linenumber IN (6, 7) THEN NULL
             ELSE CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) END AS battery_kwh,
-       l_linenumber <> 7 AS battery_ok,
+       l_linenumber NOT IN (6, 7) AS battery_ok,
        CASE WHEN l_linenumber = 7 THEN NULL
             WHEN l_linenumber = 6 AND CAST(l_quantity AS INTEGER) < 10 THEN 5.0
             WHEN l_linenumber = 6 THEN NULL
