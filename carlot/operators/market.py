@@ -34,7 +34,7 @@ def priced(listings: DataFrame) -> DataFrame:
     return listings.where(F.col("price").isNotNull())
 
 
-def median_price_by_year(listings: DataFrame, strategy: str = "rank") -> DataFrame:
+def median_price_by_year(listings: DataFrame, strategy: str = "auto") -> DataFrame:
     """G1: median price per production year; NULL and 0 years dropped."""
     base = priced(listings).where(F.col("production_year").isNotNull() & (F.col("production_year") != 0)) \
         .select("production_year", "price")
@@ -78,7 +78,7 @@ def in_pln(listings: DataFrame, op: str = "multiply", rates: dict | None = None)
 
 
 def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int = REFERENCE_YEAR,
-                     strategy: str = "rank") -> DataFrame:
+                     strategy: str = "auto") -> DataFrame:
     """Median price, median mileage and count per age band; every band
     appears even when empty (count 0, medians NULL)."""
     spark = listings.sparkSession
@@ -96,7 +96,7 @@ def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int =
 
 
 def mileage_usage_by_year(listings: DataFrame, reference_year: int = REFERENCE_YEAR,
-                          strategy: str = "rank") -> DataFrame:
+                          strategy: str = "auto") -> DataFrame:
     """Median and mean mileage per year, km per year and month."""
     base = listings.where(F.col("production_year").isNotNull()).select("production_year", "mileage_km")
     agg = base.groupBy("production_year").agg(
@@ -135,7 +135,7 @@ def fuel_share_by_year(listings: DataFrame, fuels=FUELS) -> DataFrame:
 
 
 def top_models_vs_market(listings: DataFrame, year_from: int = 2010, year_to: int = 2020, k: int = 10,
-                         strategy: str = "rank") -> DataFrame:
+                         strategy: str = "auto") -> DataFrame:
     """Top-k make-models by listings with their medians, next to
     the market medians of the same year window."""
     window = listings.where(F.col("production_year").between(year_from, year_to))
@@ -164,7 +164,7 @@ def top_make_models(listings: DataFrame, k: int = 3, year_from: int = 2010, year
 
 
 def top3_config_prices(listings: DataFrame, k: int = 3, year_from: int = 2010, year_to: int = 2020,
-                       strategy: str = "rank") -> DataFrame:
+                       strategy: str = "auto") -> DataFrame:
     """Configurations of the top-k make-models with count of
     priced listings and median price and mileage."""
     base = listings.where(F.col("production_year").between(year_from, year_to) &
@@ -183,7 +183,7 @@ SELECTED_MODELS = ("ECONOMY", "SMALL", "LARGE", "PROMO")
 
 
 def depreciation_curve(listings: DataFrame, models=SELECTED_MODELS, year_from: int = 2010,
-                       year_to: int = 2022, strategy: str = "rank") -> DataFrame:
+                       year_to: int = 2022, strategy: str = "auto") -> DataFrame:
     """Median price and count per (model, year), with the change against
     the previous year of the same model (window over the small aggregate)."""
     base = listings.where(F.col("production_year").between(year_from, year_to) &
@@ -197,7 +197,7 @@ def depreciation_curve(listings: DataFrame, models=SELECTED_MODELS, year_from: i
 
 
 def gearbox_prices(listings: DataFrame, models=SELECTED_MODELS, year_from: int = 2015, year_to: int = 2023,
-                   min_price: float = 5000, strategy: str = "rank") -> DataFrame:
+                   min_price: float = 5000, strategy: str = "auto") -> DataFrame:
     """Median price and count per (model, gearbox)."""
     base = listings.where(F.col("production_year").between(year_from, year_to) &
                           F.col("transmission").isin("Automatyczna", "Manualna") &

@@ -79,29 +79,31 @@ def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1,
     return r.withColumn(out, (F.col(out) - 1 + start).cast("bigint")).drop(one)
 
 
-def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), strategy: str = "rank") -> DataFrame:
-    """Exact linearly interpolated percentiles of each column per group.
+MAX_GROUP_ROWS = 1_000_000
 
-    Output: ``keys`` + ``p<100*p>_<column>`` (double). Same strategies as
-    ``grouped_median``.
-    """
-    keys = _cols(keys)
-    columns = _cols(columns)
-    name = lambda p, c: f"p{int(round(p * 100))}_{c}"
-    if strategy in ("builtin", "approx"):
-        aggs = []
-        for c in columns:
-            for p in probs:
-                v = F.col(c).cast("double")
-                e = F.percentile(v, p) if strategy == "builtin" else \
-                    F.percentile_approx(v, p, 10000).cast("double")
-                aggs.append(e.alias(name(p, c)))
-        return df.groupBy(*keys).agg(*aggs)
 
-    stacked = df.select(*keys, F.explode(F.array(*[
+def _label(p: float, c: str) -> str:
+    return f"p{int(round(p * 100))}_{c}"
+
+
+def _stack(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    return df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__v")) for c in columns
     ])).alias("__m")).select(*keys, "__m.__metric", "__m.__v").where(F.col("__v").isNotNull())
-    gk = keys + ["__metric"]
+
+
+def _widen(long: DataFrame, keys: list[str], columns: list[str], probs) -> DataFrame:
+    """(keys, __metric, __i, __val) -> keys + p<..>_<column>."""
+    labels = [_label(p, c) for c in columns for p in probs]
+    lab = F.concat(F.lit("p"), F.element_at(F.array(*[F.lit(str(int(round(p * 100)))) for p in probs]),
+                                            F.col("__i") + 1), F.lit("_"), F.col("__metric"))
+    wide = long.select(*keys, lab.alias("__label"), "__val").groupBy(*keys).pivot("__label", labels) \
+        .agg(F.first("__val"))
+    return wide.select(*keys, *labels)
+
+
+def _rank_percentiles(stacked: DataFrame, gk: list[str], probs) -> DataFrame:
+    """Exact percentiles by distributed ranks: (gk, __i, __val)."""
     ranked = dense_index(stacked, order_cols=["__v"], out="__rank", start=0, group_cols=gk)
     counts = stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"))
     targets = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("__n") - 1)).alias("pos"))
@@ -115,28 +117,65 @@ def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), strategy: st
               .groupBy(*gk, "__i", "__pos")
               .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
     frac = F.col("__pos") - F.floor("__pos")
-    val = picked.select(*gk, "__i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias("__val"))
-    labels = [name(p, c) for c in columns for p in probs]
-    val = val.select(*keys, F.concat(F.lit("p"), F.element_at(
-        F.array(*[F.lit(str(int(round(p * 100)))) for p in probs]), F.col("__i") + 1),
-        F.lit("_"), F.col("__metric")).alias("__label"), "__val")
-    wide = val.groupBy(*keys).pivot("__label", labels).agg(F.first("__val"))
-    return wide.select(*keys, *labels)
+    return picked.select(*gk, "__i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias("__val"))
+
+
+def _buffered_percentiles(stacked: DataFrame, gk: list[str], probs) -> DataFrame:
+    """Exact percentiles with Spark's ``percentile`` (buffers a group's values)."""
+    agg = stacked.groupBy(*gk).agg(F.percentile("__v", list(probs)).alias("__ps"))
+    return agg.select(*gk, F.posexplode("__ps").alias("__i", "__val"))
+
+
+def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), strategy: str = "auto",
+                        max_group_rows: int | None = None) -> DataFrame:
+    """Exact linearly interpolated percentiles of each column per group.
 
+    Output: ``keys`` + ``p<100*p>_<column>`` (double).
 
-def grouped_median(df: DataFrame, keys, columns, strategy: str = "rank",
-                   suffix: str = "median_") -> DataFrame:
+    * ``strategy='auto'`` (default): group sizes first (partial aggregate).
+      Groups with at most ``max_group_rows`` values use Spark's exact
+      ``percentile`` - its per-group buffer is then bounded by that number.
+      Larger (hot) groups - at most rows/max_group_rows of them - go through
+      the distributed rank path, so no task ever holds a hot group.
+    * ``'rank'``: every group through the rank path.
+    * ``'builtin'``: Spark ``percentile`` for every group (unbounded buffer).
+    * ``'approx'``: ``percentile_approx`` (bounded, not exact).
+    """
+    keys = _cols(keys)
+    columns = _cols(columns)
+    if strategy == "approx":
+        aggs = [F.percentile_approx(F.col(c).cast("double"), p, 10000).cast("double").alias(_label(p, c))
+                for c in columns for p in probs]
+        return df.groupBy(*keys).agg(*aggs)
+    stacked = _stack(df, keys, columns)
+    gk = keys + ["__metric"]
+    if strategy == "builtin":
+        return _widen(_buffered_percentiles(stacked, gk, probs), keys, columns, probs)
+    if strategy == "rank":
+        return _widen(_rank_percentiles(stacked, gk, probs), keys, columns, probs)
+    limit = max_group_rows or int(df.sparkSession.conf.get("spark.carlot.median.maxGroupRows",
+                                                           str(MAX_GROUP_ROWS)))
+    sizes = stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.where(F.col("__n") > limit).drop("__n")
+    if hot.isEmpty():                       # one small aggregation job
+        return _widen(_buffered_percentiles(stacked, gk, probs), keys, columns, probs)
+    cold_rows = stacked.join(hot, [stacked[k].eqNullSafe(hot[k]) for k in gk], "left_anti")
+    hot_rows = stacked.join(hot, [stacked[k].eqNullSafe(hot[k]) for k in gk], "left_semi")
+    long = _buffered_percentiles(cold_rows, gk, probs).unionByName(_rank_percentiles(hot_rows, gk, probs))
+    return _widen(long, keys, columns, probs)
+
+
+def grouped_median(df: DataFrame, keys, columns, strategy: str = "auto",
+                   suffix: str = "median_", max_group_rows: int | None = None) -> DataFrame:
     """Exact interpolated median of each column per group.
 
-    ``strategy='rank'`` (default): values of all columns are stacked into
-    ``(keys, metric, v)``, ranked by a distributed prefix count and the one or
-    two middle ranks are picked; no group is ever held by one task.
-    ``strategy='builtin'``: Spark ``median`` (exact; buffers each group's
-    distinct values). ``strategy='approx'``: ``percentile_approx``.
+    Values of all columns are stacked into ``(keys, metric, v)``; see
+    ``grouped_percentiles`` for the strategies (default ``auto``: bounded
+    exact buffers for ordinary groups, distributed ranks for hot groups).
     Output: ``keys`` + ``median_<column>`` (double); groups whose values are
     all NULL are absent (left-join the result to the group table).
     """
     keys = _cols(keys)
     columns = _cols(columns)
-    p = grouped_percentiles(df, keys, columns, (0.5,), strategy)
+    p = grouped_percentiles(df, keys, columns, (0.5,), strategy, max_group_rows)
     return p.select(*keys, *[F.col(f"p50_{c}").alias(suffix + c) for c in columns])

@@ -119,3 +119,19 @@ def test_fetch_outcomes(spark):
     assert [r["o"] for r in got] == ["AccessBlocked", "RateLimited", "RateLimited", "FetchFailed",
                                      "HTTPError", "CaptchaDetected", "ok"]
     assert [r["r"] for r in got][:3] == [None, 30, None]
+
+
+def test_fast_tokenizer_matches_stdlib_parser_on_real_pages():
+    import pyarrow.parquet as pq
+    from tests.conftest import SF001
+    pages = pq.read_table(f"{SF001}/pages.parquet").to_pandas()["html"].tolist()
+    pages += [OFFER_LAYOUT1, OFFER_LAYOUT2, RESULT_PAGE, CAPTCHA,
+              '<div title="a>b" data-x=\'1\'>x &amp; y<br/><script>if (a<b) {"</p>"}</script>z</div></p>',
+              "<p>unclosed <b>bold<p>next &#233;t&eacute;<!-- c --> <img src=x> end"]
+
+    def view(d):
+        return (X.is_captcha(d), X.total_pages(d), X.listing_refs(d, "https://x"), X.page_advert_id(d),
+                X.label_fields(d), X.equipment(d), X.price(d), X.advert_date_text(d), d.text(" "),
+                [(e.tag, sorted(e.attrs.items()), e.end - e.idx) for e in d.iter()])
+    for h in pages:
+        assert view(X.parse_html(h)) == view(X.parse_html(h, parser="stdlib"))

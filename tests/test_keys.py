@@ -98,10 +98,12 @@ def test_grouped_median_brute_force(spark):
     data = [(rnd.choice(["hot", "hot", "hot", "a", "b"]), float(rnd.randint(0, 1000))) for _ in range(2001)]
     data.append(("nulls", None))
     df = spark.createDataFrame(data, "k string, x double")
-    got = {r["k"]: r["median_x"] for r in S.grouped_median(df, ["k"], ["x"]).collect()}
-    for k in ("hot", "a", "b"):
-        assert got[k] == statistics.median([x for kk, x in data if kk == k])
-    assert "nulls" not in got
+    for strategy, limit in (("rank", None), ("builtin", None), ("auto", None), ("auto", 500)):
+        got = {r["k"]: r["median_x"] for r in
+               S.grouped_median(df, ["k"], ["x"], strategy=strategy, max_group_rows=limit).collect()}
+        for k in ("hot", "a", "b"):
+            assert got[k] == statistics.median([x for kk, x in data if kk == k]), (strategy, limit, k)
+        assert "nulls" not in got
     q = S.grouped_percentiles(df.where("k = 'a'"), ["k"], ["x"], (0.25, 0.75)).collect()[0]
     import numpy as np
     xs = [x for kk, x in data if kk == "a"]
