@@ -529,3 +529,18 @@ SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value, arg_max(eve
        MIN(ts) AS first_seen_at, MAX(ts) AS last_seen_at, COUNT(*) AS sightings
 FROM events GROUP BY user_id, event_type
 """
+
+# --- text helpers ---------------------------------------------------------------------------
+
+SQL["page_param_urls"] = """
+WITH u AS (
+  SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS base,
+         regexp_extract(url, '\\?([^#]*)', 1) AS q, regexp_extract(url, '#(.*)$', 1) AS frag
+  FROM pages)
+SELECT page_id,
+       base || '?' || CASE WHEN q = '' THEN 'page=3'
+                           WHEN regexp_matches(q, '(^|&)page=') THEN regexp_replace(q, '(^|&)page=[^&]*', '\\1page=3')
+                           ELSE q || '&page=3' END
+            || CASE WHEN frag <> '' THEN '#' || frag ELSE '' END AS page_url
+FROM u
+"""

@@ -494,3 +494,25 @@ def q_stream_upsert(spark, sf):
                             checkpoint=scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     return SK.read_table(spark, base)
+
+
+# --- text helpers (C2, D39) ------------------------------------------------------------------
+
+from carlot.functions import text as TX  # noqa: E402
+
+
+@query("page_param_urls")
+def q_page_param_urls(spark, sf):
+    """D39 over every page URL: the URL of result page 3."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return pages.select("page_id", TX.add_page_param("url", 3).alias("page_url"))
+
+
+@query("document_text_normalize")
+def q_document_text_normalize(spark, sf):
+    """C1 + C2 over every document: normalized length and whether NFKC changed it."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    norm = TX.nfkc_normalize_text("text")
+    return docs.select("doc_id", F.length(C.normalize_text("text")).alias("n_chars_normalized"),
+                       F.length(norm).alias("n_chars_nfkc"),
+                       (C.normalize_text("text") != norm).alias("nfkc_changed"))
