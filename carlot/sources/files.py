@@ -18,7 +18,8 @@ def string_schema(columns: list[str]) -> T.StructType:
 
 def read_landed_html(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """A1: one row per landed HTML file: (url = file URI, html)."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    # ``text(wholetext=...)`` overrides an ``option("wholetext")``: pass it here.
+    df = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
