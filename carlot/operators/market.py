@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carlot.functions import clean as C
-from carlot.operators.scans import grouped_median
+from carlot.operators.scans import aggregate_with_medians, grouped_median
 from carlot.operators.stats import money_mean
 from carlot.schemas import AGE_BANDS, REFERENCE_YEAR
 
 
-def _with_medians(agg: DataFrame, base: DataFrame, keys, cols, strategy: str) -> DataFrame:
-    med = grouped_median(base, keys, cols, strategy=strategy)
-    return agg.join(med, keys, "left")
+def _agg_medians(base: DataFrame, keys, aggs, cols, strategy: str) -> DataFrame:
+    """Group aggregates and exact medians, one pass for ordinary groups."""
+    return aggregate_with_medians(base, keys, aggs, cols, strategy=strategy)
 
 
 def _round(c, n=4):
@@ -38,8 +38,7 @@ def median_price_by_year(listings: DataFrame, strategy: str = "auto") -> DataFra
     """G1: median price per production year; NULL and 0 years dropped."""
     base = priced(listings).where(F.col("production_year").isNotNull() & (F.col("production_year") != 0)) \
         .select("production_year", "price")
-    agg = base.groupBy("production_year").agg(F.count(F.lit(1)).alias("listings"))
-    out = _with_medians(agg, base, ["production_year"], ["price"], strategy)
+    out = _agg_medians(base, ["production_year"], [F.count(F.lit(1)).alias("listings")], ["price"], strategy)
     return out.select("production_year", "listings", _round("median_price"))
 
 
@@ -86,8 +85,8 @@ def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int =
                                      "age_group string, band_order int")
     base = listings.select(C.age_band(C.age("production_year", reference_year), bands).alias("age_group"),
                            "price", "mileage_km").where(F.col("age_group").isNotNull())
-    agg = base.groupBy("age_group").agg(F.count(F.lit(1)).alias("listings"))
-    agg = _with_medians(agg, base, ["age_group"], ["price", "mileage_km"], strategy)
+    agg = _agg_medians(base, ["age_group"], [F.count(F.lit(1)).alias("listings")], ["price", "mileage_km"],
+                       strategy)
     # Band table: five literal rows, a proven size bound for the broadcast.
     return (F.broadcast(band_tbl).join(agg, "age_group", "left")
             .select("age_group", "band_order",
@@ -99,9 +98,8 @@ def mileage_usage_by_year(listings: DataFrame, reference_year: int = REFERENCE_Y
                           strategy: str = "auto") -> DataFrame:
     """Median and mean mileage per year, km per year and month."""
     base = listings.where(F.col("production_year").isNotNull()).select("production_year", "mileage_km")
-    agg = base.groupBy("production_year").agg(
-        F.avg(F.col("mileage_km").cast("double")).alias("mean_mileage"))
-    out = _with_medians(agg, base, ["production_year"], ["mileage_km"], strategy)
+    out = _agg_medians(base, ["production_year"], [F.avg(F.col("mileage_km").cast("double")).alias("mean_mileage")],
+                       ["mileage_km"], strategy)
     annual = C.usage_per_year("median_mileage_km", "production_year", reference_year)
     return out.select(
         "production_year", _round("median_mileage_km"), "mean_mileage",
@@ -144,7 +142,8 @@ def top_models_vs_market(listings: DataFrame, year_from: int = 2010, year_to: in
     top = agg.orderBy(F.desc("listings"), "make", "model").limit(k)  # TakeOrderedAndProject
     # Medians only for the k winners: semi-join first, then rank the few groups.
     top_rows = base.join(F.broadcast(top.select("make", "model")), ["make", "model"], "left_semi")
-    top = _with_medians(top, top_rows, ["make", "model"], ["price", "mileage_km"], strategy)
+    top = _agg_medians(top_rows, ["make", "model"], [F.count(F.lit(1)).alias("listings")],
+                       ["price", "mileage_km"], strategy)
     market = grouped_median(window.withColumn("__all", F.lit(1)), ["__all"], ["price", "mileage_km"],
                             strategy=strategy)
     # One-row market aggregate (a global group): a proven size bound.
@@ -174,8 +173,7 @@ def top3_config_prices(listings: DataFrame, k: int = 3, year_from: int = 2010, y
     sel = base.join(F.broadcast(top), ["make", "model"], "left_semi").withColumn(
         "config_short", C.short_config("engine_capacity_cm3", "fuel_type", "transmission"))
     keys = ["make", "model", "config_short"]
-    agg = sel.groupBy(*keys).agg(F.count("price").alias("listings"))
-    out = _with_medians(agg, sel, keys, ["price", "mileage_km"], strategy)
+    out = _agg_medians(sel, keys, [F.count("price").alias("listings")], ["price", "mileage_km"], strategy)
     return out.select(*keys, "listings", _round("median_price"), _round("median_mileage_km"))
 
 
@@ -189,8 +187,7 @@ def depreciation_curve(listings: DataFrame, models=SELECTED_MODELS, year_from: i
     base = listings.where(F.col("production_year").between(year_from, year_to) &
                           F.col("model").isin(list(models)))
     keys = ["model", "production_year"]
-    agg = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("listings"))
-    out = _with_medians(agg, base, keys, ["price"], strategy)
+    out = _agg_medians(base, keys, [F.count(F.lit(1)).alias("listings")], ["price"], strategy)
     w = Window.partitionBy("model").orderBy("production_year")
     return out.select(*keys, "listings", _round("median_price"),
                       F.round(F.col("median_price") - F.lag("median_price").over(w), 4).alias("yoy_change"))
@@ -203,8 +200,7 @@ def gearbox_prices(listings: DataFrame, models=SELECTED_MODELS, year_from: int =
                           F.col("transmission").isin("Automatyczna", "Manualna") &
                           F.col("model").isin(list(models)) & (F.col("price") > min_price))
     keys = ["model", "transmission"]
-    agg = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("listings"))
-    out = _with_medians(agg, base, keys, ["price"], strategy)
+    out = _agg_medians(base, keys, [F.count(F.lit(1)).alias("listings")], ["price"], strategy)
     return out.select(*keys, "listings", _round("median_price"))
 
 

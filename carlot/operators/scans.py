@@ -34,6 +34,15 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where NULL keys match NULL keys (``<=>``);
+    the right side's key columns are dropped."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols]
+    return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
+
+
 def sorted_checkpoint(df: DataFrame, group_cols, order_cols, num_partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted copy with stable ``__mid``/``__pid`` columns."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -62,7 +71,7 @@ def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=
           .rowsBetween(Window.unboundedPreceding, -1)) if g else \
         Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(wo), F.lit(0))).drop("__tot")
-    res = local.join(offsets, [_PID, *g], "left")
+    res = join_null_safe(local, offsets, [_PID, *g], "left")
     run = F.col("__local") + F.col("__off")
     if not inclusive:
         run = run - F.col(value)
@@ -113,7 +122,7 @@ def _rank_percentiles(stacked: DataFrame, gk: list[str], probs) -> DataFrame:
     # Ranks needed per (group, probability): floor and ceil of the position.
     need = wanted.select(*gk, "__i", "__pos", F.explode(F.array_distinct(F.array(
         F.floor("__pos").cast("bigint"), F.ceil("__pos").cast("bigint")))).alias("__rank"))
-    picked = (ranked.join(need, gk + ["__rank"], "inner")
+    picked = (join_null_safe(ranked, need, gk + ["__rank"], "inner")
               .groupBy(*gk, "__i", "__pos")
               .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
     frac = F.col("__pos") - F.floor("__pos")
@@ -165,6 +174,59 @@ def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), strategy: st
     return _widen(long, keys, columns, probs)
 
 
+def aggregate_with_percentiles(df: DataFrame, keys, aggs, columns, probs=(0.5,), strategy: str = "auto",
+                               max_group_rows: int | None = None, name=None) -> DataFrame:
+    """``groupBy(keys).agg(*aggs)`` plus exact percentiles of ``columns``.
+
+    Ordinary groups get everything from ONE aggregation pass (Spark's exact
+    ``percentile`` next to the other aggregates). With ``strategy='auto'``
+    a group-size pass comes first: groups above ``max_group_rows`` rows are
+    routed to the distributed rank path and unioned back, so no task buffers
+    a hot group. ``name(p, column)`` gives the output column names
+    (default ``p50_<column>``).
+    """
+    keys = _cols(keys)
+    columns = _cols(columns)
+    name = name or _label
+
+    def wide(d: DataFrame) -> DataFrame:
+        ps = [F.percentile(F.col(c).cast("double"), [float(p) for p in probs]).alias(f"__ps_{c}")
+              for c in columns]
+        g = d.groupBy(*keys).agg(*aggs, *ps)
+        plain = [c for c in g.columns if c not in keys and not c.startswith("__ps_")]
+        return g.select(*keys, *plain, *[F.col(f"__ps_{c}")[i].alias(name(p, c))
+                                         for c in columns for i, p in enumerate(probs)])
+
+    if strategy == "builtin":
+        return wide(df)
+    if strategy == "rank":
+        hot_rows, cold = df, None
+    else:
+        limit = max_group_rows or int(df.sparkSession.conf.get("spark.carlot.median.maxGroupRows",
+                                                               str(MAX_GROUP_ROWS)))
+        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).drop("__n")
+        if hot.isEmpty():                   # one small aggregation job
+            return wide(df)
+        cond = [df[k].eqNullSafe(hot[k]) for k in keys]
+        hot_rows = df.join(hot, cond, "left_semi")
+        cold = wide(df.join(hot, cond, "left_anti"))
+    plain = hot_rows.groupBy(*keys).agg(*aggs)
+    pct = grouped_percentiles(hot_rows, keys, columns, probs, strategy="rank")
+    pct = pct.select(*keys, *[F.col(_label(p, c)).alias(name(p, c)) for c in columns for p in probs])
+    cond = [plain[k].eqNullSafe(pct[k]) for k in keys]
+    hot_out = plain.join(pct, cond, "left").select(*[plain[k] for k in keys],
+                                                   *[c for c in plain.columns if c not in keys],
+                                                   *[pct[name(p, c)] for c in columns for p in probs])
+    return hot_out if cold is None else cold.unionByName(hot_out)
+
+
+def aggregate_with_medians(df: DataFrame, keys, aggs, columns, strategy: str = "auto",
+                           max_group_rows: int | None = None) -> DataFrame:
+    """``aggregate_with_percentiles`` at 0.5, columns named ``median_<column>``."""
+    return aggregate_with_percentiles(df, keys, aggs, columns, (0.5,), strategy, max_group_rows,
+                                      name=lambda p, c: f"median_{c}")
+
+
 def grouped_median(df: DataFrame, keys, columns, strategy: str = "auto",
                    suffix: str = "median_", max_group_rows: int | None = None) -> DataFrame:
     """Exact interpolated median of each column per group.

@@ -117,3 +117,18 @@ def test_dedup_idempotent_and_null_safe(spark):
     assert Q.dedup_full_row(d1).count() == 3
     dup = Q.duplicate_groups(df, ["x", "y"]).count()
     assert dup == 2
+
+
+def test_aggregate_with_medians_hot_route(spark):
+    rnd = random.Random(11)
+    data = [(rnd.choice(["hot"] * 6 + ["a", "b", None]), float(rnd.randint(0, 500))) for _ in range(1500)]
+    df = spark.createDataFrame(data, "k string, x double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.max("x").alias("mx")]
+    want = {}
+    for k in {kk for kk, _ in data}:
+        xs = [x for kk, x in data if kk == k]
+        want[k] = (len(xs), max(xs), statistics.median(xs))
+    for strategy, limit in (("auto", None), ("auto", 300), ("rank", None), ("builtin", None)):
+        got = {r["k"]: (r["n"], r["mx"], r["median_x"]) for r in
+               S.aggregate_with_medians(df, ["k"], aggs, ["x"], strategy=strategy, max_group_rows=limit).collect()}
+        assert got == want, (strategy, limit)
