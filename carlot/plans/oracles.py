@@ -544,3 +544,22 @@ SELECT page_id,
             || CASE WHEN frag <> '' THEN '#' || frag ELSE '' END AS page_url
 FROM u
 """
+
+# --- batch export chain -----------------------------------------------------------------------
+
+SQL["batch_export_chain"] = w(LISTINGS) + """
+SELECT DISTINCT make, model, p_name AS version, split_part(p_name, ' ', 1) AS color,
+       CAST(CASE WHEN p_size % 2 = 0 THEN 5 ELSE 3 END AS TINYINT) AS number_of_doors,
+       CAST(production_year AS SMALLINT) AS production_year, fuel_type,
+       CAST(engine_capacity_cm3 AS FLOAT) AS engine_capacity_cm3,
+       CAST(CASE WHEN l_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) * CAST(1.35962 AS DOUBLE)
+                 ELSE CAST(p_size AS DOUBLE) END AS FLOAT) AS power_hp,
+       transmission, mileage_km, l_linestatus = 'F' AS accident_free,
+       CASE WHEN fuel_type = 'Elektryczny' THEN CAST(CAST(l_quantity AS INTEGER) AS FLOAT) END
+         AS battery_capacity_kwh,
+       CAST(floor(price) AS FLOAT) AS price, CASE WHEN price IS NOT NULL THEN currency END AS currency,
+       CASE WHEN l_returnflag = 'A' THEN 'W granicach średniej' END AS price_level,
+       CAST(advert_date AS TIMESTAMP) AS advert_date, advert_id,
+       'Stan bardzo dobry.Wersja ' || p_name AS description
+FROM listings
+"""

@@ -516,3 +516,24 @@ def q_document_text_normalize(spark, sf):
     return docs.select("doc_id", F.length(C.normalize_text("text")).alias("n_chars_normalized"),
                        F.length(norm).alias("n_chars_nfkc"),
                        (C.normalize_text("text") != norm).alias("nfkc_changed"))
+
+
+# --- batch export chain (C-legacy rules -> N3) ------------------------------------------------
+
+from carlot.plans import jobs as J  # noqa: E402
+from carlot.sources.render import batch_offer_html  # noqa: E402
+
+BATCH_OUT = ["make", "model", "version", "color", "number_of_doors", "production_year", "fuel_type",
+             "engine_capacity_cm3", "power_hp", "transmission", "mileage_km", "accident_free",
+             "battery_capacity_kwh", "price", "currency", "price_level", "advert_date", "advert_id", "description"]
+
+
+@query("batch_export_chain")
+def q_batch_export_chain(spark, sf):
+    """Offer pages rendered from every listing -> batch-export rows (legacy
+    rules) -> clean_batch (units, dates, sentinel dedup, renames, casts)."""
+    pages = batch_offer_html(listings(spark, sf))
+    par = spark.sparkContext.defaultParallelism * 2
+    raw = X.parse_batch_pages(pages, parallelism=par).select(*X.BATCH_COLUMNS)
+    typed, _, _, _ = J.clean_batch(raw)
+    return typed.select(*BATCH_OUT)

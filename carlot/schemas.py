@@ -27,6 +27,29 @@ FIELD_LABELS = (
     "Przebieg",
 )
 
+# Parameter labels of the batch CSV export (37), in export order.
+BATCH_LABELS = (
+    "Marka pojazdu", "Model pojazdu", "Wersja", "Kolor", "Liczba drzwi", "Liczba miejsc",
+    "Rok produkcji", "Generacja", "Rodzaj paliwa", "Pojemność skokowa", "Moc",
+    "Typ nadwozia", "Rodzaj koloru", "Skrzynia biegów", "Napęd", "Emisja CO2",
+    "Spalanie W Mieście", "Spalanie Poza Miastem", "Kraj pochodzenia", "Przebieg",
+    "Numer rejestracyjny pojazdu", "Stan", "Bezwypadkowy",
+    "Data pierwszej rejestracji w historii pojazdu", "Zarejestrowany w Polsce",
+    "Pierwszy właściciel (od nowości)", "Serwisowany w ASO", "Ma numer rejestracyjny",
+    "Pojemność baterii", "Autonomia", "Średnie zużycie", "Kondycja baterii",
+    "Typ złącza ładowania", "Elektryczna moc maksymalna HP", "Liczba silników",
+    "Odzyskiwanie energii hamowania", "Liczba baterii",
+)
+
+# Trailing columns of the batch CSV export, after the labels.
+BATCH_TAIL = ("equipment", "price", "currency", "price_level", "advert_date", "advert_id", "description")
+
+# data-testid wrappers the threaded variant maps straight to a label.
+TESTID_TO_LABEL = {
+    "registration": "Numer rejestracyjny pojazdu",
+    "date_registration": "Data pierwszej rejestracji w historii pojazdu",
+}
+
 # Raw label -> record column, for the labels copied as text.
 LABEL_TO_COLUMN = {
     "Marka pojazdu": "make",

@@ -58,9 +58,13 @@ def run_keyed_ingest(stream: DataFrame, table_base: str, keys: list[str], value_
     spark = stream.sparkSession
     s = stream
     if watermark:
-        s = s.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys + order_cols)
+        # Watermarks need TIMESTAMP; NTZ event times are read in the (UTC) session zone.
+        s = (s.withColumn("__event_time", F.col(ts).cast("timestamp"))
+             .withWatermark("__event_time", watermark)
+             .dropDuplicatesWithinWatermark(keys + order_cols))
 
     def merge(batch: DataFrame, epoch: int) -> None:
+        batch = batch.drop("__event_time")
         cur = sinks.read_table(spark, table_base)
         merged = sightings_merge(cur, batch, keys, value_cols, ts, order_cols)
         sinks.write_version(merged, table_base)

@@ -50,6 +50,7 @@ def test_entry(spark):
 def test_every_query_has_an_oracle_or_is_known():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"page_parse", "document_text_normalize"}
+    assert "batch_export_chain" in SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
