@@ -45,6 +45,24 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str], glob: str |
         raise
 
 
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Paths that exist (driver-side file listing, metadata only)."""
+    return [p for p in paths if _exists(spark, p)]
+
+
+def read_numbered_csv(spark: SparkSession, template: str, numbers, columns: list[str]) -> DataFrame:
+    """A4: ``template.format(n)`` for each n; missing files are skipped with a
+    warning, no file at all gives an empty typed frame."""
+    import warnings
+    paths = [template.format(n) for n in numbers]
+    found = existing_paths(spark, paths)
+    for p in sorted(set(paths) - set(found)):
+        warnings.warn(f"skipping missing file {p}", stacklevel=2)
+    if not found:
+        return spark.createDataFrame([], string_schema(columns))
+    return read_raw_csv(spark, found, columns)
+
+
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """A5: ``Brand,Model`` catalogue CSV -> (brand, model)."""
     df = (spark.read.schema(string_schema(["Brand", "Model"])).option("header", True).csv(path))

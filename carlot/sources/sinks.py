@@ -38,6 +38,11 @@ def write_segments(df: DataFrame, path: str, segment: str = "segment") -> None:
     df.write.mode("overwrite").partitionBy(segment).parquet(path)
 
 
+def write_name_list(names: DataFrame, path: str, col: str = "name") -> None:
+    """One name per line (make list)."""
+    names.select(F.col(col).cast("string")).write.mode("overwrite").text(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines; non-JSON values (timestamps, decimals) as strings."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)

@@ -62,3 +62,23 @@ def test_fixed_header_csv(spark):
     assert text.splitlines()[0] == "a,b,c"
     back = spark.read.option("header", True).csv(d).collect()[0]
     assert back["a"] == "1" and back["b"] is None and back["c"] is None   # '' reads back as NULL
+
+
+def test_numbered_scan_and_name_list(spark):
+    d = tempfile.mkdtemp(prefix="carlot-num-")
+    for n in (1, 3):
+        with open(os.path.join(d, f"part_{n}.csv"), "w") as f:
+            f.write(f"a,b\n{n},x\n")
+    with pytest.warns(UserWarning):
+        df = FL.read_numbered_csv(spark, os.path.join(d, "part_{}.csv"), range(1, 4), ["a", "b"])
+    assert sorted(r["a"] for r in df.collect()) == ["1", "3"]
+    out = os.path.join(d, "makes")
+    SK.write_name_list(spark.createDataFrame([("Toyota",), ("Ford",)], "name string"), out)
+    assert sorted(r[0] for r in FL.read_name_list(spark, out).collect()) == ["Ford", "Toyota"]
+
+
+def test_table_info(spark):
+    from carlot.operators.quality import table_info
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
+    got = {r["column_name"]: (r["dtype"], r["rows"], r["non_null"]) for r in table_info(df).collect()}
+    assert got == {"a": ("int", 2, 2), "b": ("string", 2, 1)}
