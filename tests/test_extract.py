@@ -135,3 +135,14 @@ def test_fast_tokenizer_matches_stdlib_parser_on_real_pages():
                 [(e.tag, sorted(e.attrs.items()), e.end - e.idx) for e in d.iter()])
     for h in pages:
         assert view(X.parse_html(h)) == view(X.parse_html(h, parser="stdlib"))
+
+
+def test_findall_tokenizer_edge_cases():
+    cases = ["<p>a < b &amp; c</p><p>x<!-- c -->y</p>", "<div a='1' b=\"x>y\" c=d e>t &lt; u</div>",
+             "<ul><li>1</li><li> 2 <</li></ul><p>tail", "<br/><img src=a>text<p/>z</q>", "< p>not a tag</p>"]
+    for h in cases:
+        fast, std = X.parse_html(h), X.parse_html(h, parser="stdlib")
+        assert [(e.tag, sorted(e.attrs.items()), e.end - e.idx) for e in fast.iter()] == \
+            [(e.tag, sorted(e.attrs.items()), e.end - e.idx) for e in std.iter()], h
+        assert fast.text(" ") == std.text(" "), h
+        assert fast.text("", strip=True) == std.text("", strip=True), h
