@@ -56,12 +56,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    fs, _, jvm = _fs(spark, base)
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
+def _read_pointer(fs, path, jvm) -> str:
+    stream = fs.open(path)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         return reader.readLine()
@@ -69,6 +65,22 @@ def current_version(spark: SparkSession, base: str) -> str | None:
         stream.close()
 
 
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """The version ``_current`` points at. If a writer died between retiring
+    the old pointer and renaming the new one, the newest complete
+    ``_current.*`` pointer file is used (each is written only after its
+    version's data is complete)."""
+    fs, _, jvm = _fs(spark, base)
+    ptr = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")
+    if fs.exists(ptr):
+        return _read_pointer(fs, ptr, jvm)
+    pending = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/_current.v-*"))
+    if not pending:
+        return None
+    newest = max(pending, key=lambda st: st.getModificationTime())
+    return _read_pointer(fs, newest.getPath(), jvm)
+
+
 def read_table(spark: SparkSession, base: str, schema=None) -> DataFrame | None:
     v = current_version(spark, base)
     if v is None:
@@ -92,7 +104,7 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     out.close()
     ptr = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")
     if fs.exists(ptr):
-        fs.delete(ptr, False)
+        fs.delete(ptr, False)           # readers fall back to the pending pointer meanwhile
     fs.rename(tmp, ptr)
     return version
 

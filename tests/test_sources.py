@@ -82,3 +82,14 @@ def test_table_info(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     got = {r["column_name"]: (r["dtype"], r["rows"], r["non_null"]) for r in table_info(df).collect()}
     assert got == {"a": ("int", 2, 2), "b": ("string", 2, 1)}
+
+
+def test_pointer_fallback_after_interrupted_swap(spark):
+    base = tempfile.mkdtemp(prefix="carlot-ptr-")
+    schema = "k string"
+    SK.write_version(spark.createDataFrame([("a",)], schema), base)
+    v2 = SK.write_version(spark.createDataFrame([("b",)], schema), base)
+    # simulate a writer that died after deleting _current but before the rename
+    os.rename(os.path.join(base, "_current"), os.path.join(base, f"_current.{v2}"))
+    assert SK.current_version(spark, base) == v2
+    assert [r["k"] for r in SK.read_table(spark, base).collect()] == ["b"]
