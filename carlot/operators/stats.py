@@ -6,24 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def exact_median(c) -> Column:
-    """Exact interpolated median (pandas/statistics semantics) as double.
-
-    Spark's ``median`` is exact; the per-group buffer holds the group's
-    values, so very hot groups should use ``approx_median``.
-    """
-    return F.median(_c(c).cast("double"))
-
-
-def approx_median(c, accuracy: int = 10000) -> Column:
-    """Bounded-memory median (not interpolated); opt-in for huge groups."""
-    return F.percentile_approx(_c(c).cast("double"), 0.5, accuracy).cast("double")
-
-
 def money_mean(c) -> Column:
     """Order-independent mean of a 2-decimal money column.
 
@@ -31,9 +13,6 @@ def money_mean(c) -> Column:
     correctly rounded, so every partitioning and every engine gives the same
     bits (no rounding step that could hit a decimal tie).
     """
-    s = F.sum(_c(c).cast("decimal(18,2)")).cast("double")
-    return s / F.count(_c(c))
-
-
-def rounded_mean(c, scale: int = 4) -> Column:
-    return F.round(F.avg(_c(c).cast("double")), scale)
+    col = F.col(c) if isinstance(c, str) else c
+    s = F.sum(col.cast("decimal(18,2)")).cast("double")
+    return s / F.count(col)
