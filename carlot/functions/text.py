@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carlot.functions.clean import normalize_text
+from carlot.session import ship_package
 
 
 def _nfkc(s: pd.Series) -> pd.Series:
@@ -20,6 +21,7 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 def nfkc(c) -> Column:
     """Unicode NFKC normalization (full-width forms, ligatures, NBSP...)."""
+    ship_package()
     udf = F.pandas_udf(_nfkc, T.StringType())
     return udf(F.col(c) if isinstance(c, str) else c)
 
@@ -47,6 +49,7 @@ def add_page_param(url, page, key: str = "page") -> Column:
     wins, blank values are kept, parameter order is kept, fragment kept."""
     def fn(u: pd.Series, p: pd.Series) -> pd.Series:
         return _set_query_param(u, p, key)
+    ship_package()
     udf = F.pandas_udf(fn, T.StringType())
     u = F.col(url) if isinstance(url, str) else url
     p = page if isinstance(page, Column) else F.lit(page)

@@ -70,3 +70,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``carlot`` importable in executor Python workers (the
+    ``mapInArrow`` extraction job and the pandas UDFs): zip the package once
+    per application and ``addPyFile`` it; Spark distributes it to every
+    executor, wherever the driver was started from."""
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import carlot
+    pkg = os.path.dirname(os.path.abspath(carlot.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="carlot-py-"), "carlot.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, dirnames, filenames in os.walk(pkg):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for f in filenames:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

@@ -65,6 +65,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of the driver's data set (see ``spread``)."""
+    from carlot.session import ship_package
+    ship_package(spark)
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
