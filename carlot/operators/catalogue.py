@@ -79,7 +79,9 @@ def tag_make(titles: DataFrame, catalogue: DataFrame, title: str = "title", id_c
     grams = t.select(*ids, title, F.explode(F.array_distinct(F.flatten(F.array(*[
         ngrams(n) for n in range(1, max_n + 1)])))).alias("__key"))
     cand = grams.join(brands.select("__key", "brand", "ord"), "__key", "inner")
-    hit = cand.where(F.regexp_like(F.col(title), word_pattern("brand")))
+    # The confirming regex is built per row; Spark keeps the last compiled
+    # pattern, so rows of the same make are put next to each other first.
+    hit = cand.sortWithinPartitions("brand").where(F.regexp_like(F.col(title), word_pattern("brand")))
     best = hit.groupBy(*ids).agg(F.max_by("brand", "ord").alias(out))
     return titles.join(best, ids, "left")
 
