@@ -34,15 +34,20 @@ def segment_plan(listings: DataFrame, limit: int, year: str = "production_year",
 
 def assign_segments(listings: DataFrame, plan: DataFrame, year: str = "production_year",
                     gearbox: str = "transmission") -> DataFrame:
-    """Tag each listing with its segment label (for ``write_segments``)."""
-    lab = F.concat_ws("_", F.coalesce(F.col(year).cast("string"), F.lit("null")),
-                      F.coalesce(F.col(gearbox), F.lit("null")))
-    p = plan.select(F.col("level"), F.col("production_year").alias("__y"), F.col("transmission").alias("__g"))
-    j = listings.join(F.broadcast(p), (F.col("level") == "all") |
-                      ((F.col("level") == "year") & F.col(year).eqNullSafe(F.col("__y"))) |
-                      ((F.col("level") == "year_gearbox") & F.col(year).eqNullSafe(F.col("__y")) &
-                       F.col(gearbox).eqNullSafe(F.col("__g"))), "inner")
-    seg = F.when(F.col("level") == "all", F.lit("all")).when(
-        F.col("level") == "year", F.concat(F.lit("y_"), F.coalesce(F.col(year).cast("string"), F.lit("null")))
-    ).otherwise(F.concat(F.lit("yg_"), lab))
-    return j.withColumn("segment", seg).drop("level", "__y", "__g")
+    """Tag each listing with its segment label (for ``write_segments``).
+
+    An equi-join on year (NULL-safe) with one row per year of the plan:
+    whether that year is split by gearbox. No row-by-plan comparisons.
+    """
+    y = F.coalesce(F.col(year).cast("string"), F.lit("null"))
+    whole = plan.where(F.col("level") == "all").limit(1).count() > 0     # at most one row
+    if whole:
+        return listings.withColumn("segment", F.lit("all"))
+    years = (plan.where(F.col("level") != "all")
+             .groupBy(F.col("production_year").alias("__y"))
+             .agg(F.max(F.col("level") == "year_gearbox").alias("__split")))
+    j = listings.join(years, listings[year].eqNullSafe(years["__y"]), "left")
+    seg = F.when(F.col("__split"), F.concat(F.lit("yg_"), y, F.lit("_"),
+                                             F.coalesce(F.col(gearbox), F.lit("null")))) \
+        .otherwise(F.concat(F.lit("y_"), y))
+    return j.withColumn("segment", seg).drop("__y", "__split")

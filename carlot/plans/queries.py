@@ -534,6 +534,6 @@ def q_batch_export_chain(spark, sf):
     rules) -> clean_batch (units, dates, sentinel dedup, renames, casts)."""
     pages = batch_offer_html(listings(spark, sf))
     par = spark.sparkContext.defaultParallelism * 2
-    raw = X.parse_batch_pages(pages, parallelism=par).select(*X.BATCH_COLUMNS)
+    raw = X.parse_batch_pages(pages, parallelism=par, with_captcha=False).select(*X.BATCH_COLUMNS)
     typed, _, _, _ = J.clean_batch(raw)
     return typed.select(*BATCH_OUT)
