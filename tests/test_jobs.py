@@ -85,3 +85,34 @@ def test_reports_run(spark):
     e = J.eda(lst)
     assert e["age_bands"].count() == 5
     assert abs(sum(e["fuel_shares"].first()[1:]) - 1.0) < 1e-9        # shares sum to 1
+
+
+def test_clean_titles(spark):
+    cols = "ID string, Title string, Link string, Description string, Mileage string, `Fuel Type` string, " \
+           "Gearbox string, Year string, Location string, `Seller Type` string, Price string"
+    a = spark.createDataFrame([
+        ("1", "Skoda Octavia Combi RS 2.0", "l1", "Silnik 1 984cm3, 245 KM", "120 000 km", "Benzyna", "Manualna",
+         "2019", "Kraków (Małopolskie)", "Dealer", "89 900 PLN"),
+        ("2", "Ford Focus", "l2", None, "45 000 km", "Diesel", None, "2018", "Gdańsk (Pomorskie)", "Private",
+         "40 000 PLN")], cols)
+    b = spark.createDataFrame([("3", "ford ka+ 1.2", "l3", "moc 69km", "200 000 km", "Benzyna", "Manualna",
+                                "abc", "Łódź", "Private", "9 500 PLN")],
+                              "ID string, Title string, Link string, Description string, Mileage string, "
+                              "`Fuel Type` string, Gearbox string, Year string, Location string, "
+                              "`Seller Type` string, Price string")
+    cat = spark.createDataFrame([("Skoda", "Octavia"), ("Skoda", "Octavia Combi"), ("Skoda", "RS"),
+                                 ("Ford", "Focus"), ("Ford", "Ka"), ("Ford", "Ka+")], "brand string, model string")
+    df, report = J.clean_titles([a, b], cat, run_date="2026-02-01")
+    rows = {r["ID"]: r for r in df.collect()}
+    assert set(rows) == {1.0, 3.0}                              # row 2 dropped: no Gearbox
+    r1 = rows[1.0]
+    assert (r1["Make"], r1["Model"]) == ("Skoda", "RS")
+    assert r1["Mileage in km"] == 120000.0 and r1["Price"] == 89900.0
+    assert r1["Engine capacity"] == 1984.0 and r1["Power"] == 245.0
+    assert (r1["City"], r1["Province"]) == ("Kraków", "Małopolskie")
+    assert r1["Scraping Date"] == "2025-12-31"                  # run date - 32 days
+    r3 = rows[3.0]
+    assert r3["Model"] == "Ka"                                   # 'Ka+' cannot end a whole-word match
+    assert r3["Make"] == "Ford" and r3["Power"] is None and r3["Year"] is None and r3["City"] is None
+    bad = {r["column_name"]: r["invalid"] for r in report.collect()}
+    assert bad["Year"] == 1
