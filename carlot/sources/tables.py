@@ -48,9 +48,10 @@ def spread(df: DataFrame) -> DataFrame:
     row group scans in ONE task and everything before the first shuffle
     (rendering, regex cleaning, HTML parsing) runs on one core. When a scan
     has fewer files and row groups than the cluster's parallelism, spread
-    it by a hash of the row's columns (deterministic on retry without the
-    local sort a round-robin repartition needs); large tables (many
-    files/row groups) are left alone, so at scale this adds no shuffle.
+    it round-robin; large tables (many files/row groups) are left alone, so
+    at scale this adds no shuffle. Round-robin references no column, so
+    column pruning and filter push-down still reach the scan (a hash over
+    the row's columns would force every column to be read).
     """
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
@@ -60,7 +61,7 @@ def spread(df: DataFrame) -> DataFrame:
     groups = _row_groups(spark, files)
     if groups < 0 or groups >= target:
         return df
-    return df.repartition(target * 2, *[F.col(f"`{c}`") for c in df.columns])
+    return df.repartition(target * 2)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

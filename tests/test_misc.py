@@ -47,3 +47,14 @@ def test_priced_projection_pushes_to_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(price)]" in plan
     assert "extra" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_scan_guard_keeps_pruning_and_pushdown(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF0001
+    df = E.queries()["known_key_anti_join"](spark, SF0001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [l for l in plan.splitlines() if "FileScan parquet [l_" in l]
+    assert scans and all("l_tax" not in s and "l_comment" not in s for s in scans)   # columns pruned
+    assert any("l_shipdate" in s and "2000-01-01" in s for s in scans)               # filter pushed
