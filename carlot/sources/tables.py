@@ -41,6 +41,19 @@ def _row_groups(spark: SparkSession, files: list[str]) -> int:
     return _ROW_GROUPS[key]
 
 
+def _total_bytes(spark: SparkSession, files: list[str]) -> int:
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            total += path.getFileSystem(conf).getFileStatus(path).getLen()
+        return total
+    except Exception:  # noqa: BLE001
+        return 1 << 62
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Scan-parallelism guard.
 
@@ -58,6 +71,9 @@ def spread(df: DataFrame) -> DataFrame:
     files = df.inputFiles()
     if not files or len(files) >= target:
         return df
+    min_bytes = int(spark.conf.get("spark.carlot.spread.minBytes", str(256 * 1024)))
+    if _total_bytes(spark, files) < min_bytes:      # tiny dimension: a shuffle would cost more
+        return df
     groups = _row_groups(spark, files)
     if groups < 0 or groups >= target:
         return df
