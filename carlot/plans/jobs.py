@@ -113,7 +113,7 @@ def parse_offers(pages: DataFrame, url: str = "url", source: str = "site", scrap
                                scraped_at=scraped_at)
 
 
-def clean_batch(raw: DataFrame, parity: bool = True):
+def clean_batch(raw: DataFrame, parity: bool = True, with_equipment: bool = True):
     """Raw 44-column CSV export -> (listings, equipment_options,
     listing_equipment, missing_columns).
 
@@ -140,10 +140,12 @@ def clean_batch(raw: DataFrame, parity: bool = True):
         df = df.withColumn("first_registration_date", F.try_to_date(F.col("first_registration_date")))
     order = [c for c in df.columns if c != "equipment"]
     df = dense_index(df, order, out="local_id", start=1)
+    listings = df.drop("equipment")
+    if not with_equipment:          # the option ids are a checkpointed scan: skip when unused
+        return listings, None, None, missing
     df = df.withColumn("equipment_list", EQ.equipment_items("equipment"))
     options = EQ.option_dimension(df)
     bridge = EQ.listing_equipment(df, options, listing_id="local_id")
-    listings = df.drop("equipment", "equipment_list")
     return listings, options, bridge, missing
 
 

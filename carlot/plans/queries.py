@@ -535,5 +535,5 @@ def q_batch_export_chain(spark, sf):
     pages = batch_offer_html(listings(spark, sf))
     par = spark.sparkContext.defaultParallelism * 2
     raw = X.parse_batch_pages(pages, parallelism=par, with_captcha=False).select(*X.BATCH_COLUMNS)
-    typed, _, _, _ = J.clean_batch(raw)
+    typed, _, _, _ = J.clean_batch(raw, with_equipment=False)
     return typed.select(*BATCH_OUT)
