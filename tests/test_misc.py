@@ -58,3 +58,12 @@ def test_scan_guard_keeps_pruning_and_pushdown(spark):
     scans = [l for l in plan.splitlines() if "FileScan parquet [l_" in l]
     assert scans and all("l_tax" not in s and "l_comment" not in s for s in scans)   # columns pruned
     assert any("l_shipdate" in s and "2000-01-01" in s for s in scans)               # filter pushed
+
+
+def test_column_profile_approx_distinct(spark):
+    from carlot.operators.quality import column_profile
+    df = spark.range(0, 20000).selectExpr("id", "id % 1000 AS k", "CAST(NULL AS STRING) AS s")
+    exact = {r["column_name"]: r["n_distinct"] for r in column_profile(df).collect()}
+    approx = {r["column_name"]: r["n_distinct"] for r in column_profile(df, distinct="approx").collect()}
+    assert exact == {"id": 20000, "k": 1000, "s": 0}
+    assert abs(approx["id"] - 20000) / 20000 < 0.05 and abs(approx["k"] - 1000) / 1000 < 0.05 and approx["s"] == 0
