@@ -66,3 +66,21 @@ def test_equipment_star(spark):
     bridge = EQ.listing_equipment(lst, opts)
     view = {r["listing_id"]: r["equipment"] for r in EQ.equipment_view(lst, bridge, opts).collect()}
     assert view == {1: "abs, klimatyzacja", 2: None, 3: "abs, esp"}
+
+
+def test_make_tagging_token_edges(spark):
+    cat_rows = [("Mercedes-Benz", "C"), ("Alfa Romeo", "Giulia"), ("e.GO", "Life"), ("Land Rover", "Defender"),
+                ("Rover", "75")]
+    titles = ["Mercedes-Benz C 200", "Mercedes Benz C", "e.GO Life", "eXGO Life", "ALFA ROMEO Giulia",
+              "Land Rover Defender", "Rover 75 Tourer", "Land-Rover Discovery"]
+    cat = spark.createDataFrame([(b, m, i + 1) for i, (b, m) in enumerate(cat_rows)],
+                                "brand string, model string, ord long")
+    df = spark.createDataFrame(list(enumerate(titles)), "row_id long, title string")
+    got = {r["row_id"]: r["make"] for r in CT.tag_make(df, cat).collect()}
+    for i, t in enumerate(titles):
+        want = None
+        for b, _ in cat_rows:          # catalogue order, last match wins; make taken literally
+            if re.search(r"\b" + re.escape(b) + r"\b", t, re.I):
+                want = b
+        assert got[i] == want, t
+    assert got[1] is None and got[3] is None and got[6] == "Rover" and got[5] == "Rover"
