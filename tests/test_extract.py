@@ -146,3 +146,10 @@ def test_findall_tokenizer_edge_cases():
             [(e.tag, sorted(e.attrs.items()), e.end - e.idx) for e in std.iter()], h
         assert fast.text(" ") == std.text(" "), h
         assert fast.text("", strip=True) == std.text("", strip=True), h
+
+
+def test_legacy_captcha_markers(spark):
+    from carlot.schemas import CAPTCHA_MARKERS_LEGACY
+    pages = spark.createDataFrame([(1, "<p>Too Many Requests</p>")], "k long, html string")
+    assert X.parse_pages(pages).first()["captcha"] is False
+    assert X.parse_pages(pages, captcha_markers=CAPTCHA_MARKERS_LEGACY).first()["captcha"] is True
