@@ -12,6 +12,13 @@ def _low(x: str) -> str:
     return f"translate({x}, '{UPPER}', '{LOWER}')"
 
 
+OP1 = f"""
+WITH d AS (SELECT doc_id, {_low("coalesce(text, '')")} AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g ON d.t = g.t
+"""
+
 OP10 = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -90,4 +97,4 @@ FROM p
 """
 
 
-SQL = {"op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}
+SQL = {"op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}

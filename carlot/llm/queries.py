@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from carlot.llm import line_dedup, link_trust, rendezvous
+from carlot.llm import fingerprint_dedup, line_dedup, link_trust, rendezvous
 from carlot.llm.common import read_table
 
 
+def op1_fingerprint_dedup(spark, sf_dir):
+    return fingerprint_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_link_trust(spark, sf_dir):
     return link_trust.url_report(read_table(spark, sf_dir, "pages"))
 
@@ -18,4 +22,4 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_link_trust, op9_rendezvous, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op9_rendezvous, op10_line_dedup)}
