@@ -123,8 +123,8 @@ def mismatches(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_co
                chunk: int = CHUNK) -> DataFrame:
     """(id, tid) of the rows that differ from the largest id of their group,
     found by comparing chunk with chunk."""
-    groups = prints.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "rid", "tid")).alias("top")).where("n > 1")
+    groups = written(prints.groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "rid", "tid")).alias("top")).where("n > 1"), "fp-groups")
     members = prints.join(groups, GROUP).select(
         "id", "tid", F.xxhash64(*GROUP).alias("gid"), F.ceil(F.col("n") / PER_SALT).cast("int").alias("salts"),
         ((F.col("top.tid") == F.col("tid")) & F.col("top.id").eqNullSafe(F.col("id"))).alias("is_top")).distinct()
@@ -152,7 +152,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = prints.join(odd, (F.col("tid") == F.col("_tid")) & F.col("id").eqNullSafe(F.col("_id")), "left")
     marked = marked.withColumn("rest", F.when(F.col("odd"), F.col("sha")).otherwise(F.lit(b""))).drop("_id", "_tid", "odd")
     key = [*GROUP, "rest"]
-    tops = marked.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "rid")).alias("top"))
+    # written, so that the join below reads plain exchanges, whose hot keys Spark splits
+    tops = written(marked.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "rid")).alias("top")),
+                   "fp-classes")
     return marked.join(tops, key).select(
         "id", "tid", F.col("top.id").alias("keep_id"), "group_size", (F.col("rid") == F.col("top.rid")).alias("kept"), "sha")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carlot.llm import fingerprint_dedup, line_dedup, link_trust, rendezvous
+from carlot.llm import fingerprint_dedup, line_dedup, link_trust, pfor, rendezvous
 from carlot.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op3_link_trust(spark, sf_dir):
     return link_trust.url_report(read_table(spark, sf_dir, "pages"))
 
 
+def op6_pfor_ids(spark, sf_dir):
+    return pfor.ids_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_rendezvous(spark, sf_dir):
     return rendezvous.shard_report(read_table(spark, sf_dir, "documents"))
 
@@ -22,4 +26,4 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op9_rendezvous, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op6_pfor_ids, op9_rendezvous, op10_line_dedup)}
