@@ -49,9 +49,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keys = written(long_lines(docs, id_col, text_col, min_chars), "line-keys")
     # The distinct count runs as (key, id) partial sums first, so a line that a
     # third of all documents share is spread over the tasks by id.
-    repeated = (keys.groupBy("__key").agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__stay"))
-                .where(F.col("__n") >= min_docs).select("__key", "__stay"))
-    # A hot key sits on the left of an equi-join, whose partitions Spark splits.
+    # The few repeated keys are written: the join then reads plain exchanges,
+    # whose hot keys Spark splits, or broadcasts them if their files are small.
+    repeated = written(keys.groupBy("__key").agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__stay"))
+                       .where(F.col("__n") >= min_docs).select("__key", "__stay"), "line-repeats")
     hits = keys.join(repeated, "__key").where(F.col("__id") != F.col("__stay"))
     return hits.groupBy("__id", "__fp").agg(F.collect_set("__pos").alias("__drop"))
 
