@@ -106,14 +106,16 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None
     table = literal_rows(spark, [(a, h, p, h + p) for a, h, p in rules],
                          "action string, rule_host string, rule_path string, rule string")
     urls = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    by_host = host_rules(urls.select("host").distinct(), table)
+    # Written, so that the planner knows the size of the host tables: small ones
+    # are broadcast, and beyond that a join of plain exchanges splits hot hosts.
+    by_host = written(host_rules(urls.select("host").distinct(), table), "host-rules")
     fit = F.get(F.filter(F.col("__rules"), lambda r: F.col("path").startswith(r["rule_path"])), F.lit(0))
     ruled = urls.join(by_host, "host", "left").select("page_id", "host", "path", fit.alias("__r"))
     ruled = written(ruled.select("page_id", "host", "path", F.col("__r.rule").alias("rule"),
                                  F.col("__r.action").alias("__action")), "ruled-urls")
     share = lambda a: F.avg((F.coalesce(F.col("__action"), F.lit("")) == a).cast("double"))
     seeds = ruled.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
-    scores = propagate(seeds, host_links(pages), damping, iterations)
+    scores = written(propagate(seeds, host_links(pages), damping, iterations), "host-scores")
     bad = F.col("distrust") - F.col("trust") >= threshold
     own = F.when(F.coalesce(bad, F.lit(False)), "block").otherwise("allow")
     return ruled.join(scores, "host", "left").select(
