@@ -131,7 +131,8 @@ def mismatches(df: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_co
     members = written(members, "fp-members")
     texts = df.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.xxhash64(_raw(text_col)).alias("_tid"),
                       _raw(text_col).alias("raw"))
-    found = members.join(texts, (F.col("tid") == F.col("_tid")) & F.col("id").eqNullSafe(F.col("_id")))
+    # Always by exchange: the cost stays linear as the members outgrow a broadcast.
+    found = members.hint("merge").join(texts, (F.col("tid") == F.col("_tid")) & F.col("id").eqNullSafe(F.col("_id")))
     pieces = found.select("id", "tid", "gid", "salts", "is_top",
                           F.inline(chunked(F.encode(ascii_lower(F.col("raw")), "UTF-8"), chunk)))
     pieces = written(pieces, "fp-chunks")
