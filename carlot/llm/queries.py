@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carlot.llm import fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, rendezvous
+from carlot.llm import fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, rendezvous, toxicity_cnn
 from carlot.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op3_link_trust(spark, sf_dir):
     return link_trust.url_report(read_table(spark, sf_dir, "pages"))
 
 
+def op4_toxicity_cnn(spark, sf_dir):
+    return toxicity_cnn.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_kk_packing(spark, sf_dir):
     return kk_packing.packing_report(read_table(spark, sf_dir, "documents"))
 
@@ -30,4 +34,4 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op5_kk_packing, op6_pfor_ids, op9_rendezvous, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids, op9_rendezvous, op10_line_dedup)}

@@ -69,11 +69,16 @@ def word_powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Runs of ASCII letters, digits and non-ASCII bytes.
+IN_NAME = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(buf: np.ndarray, offsets: np.ndarray,
+               in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first byte, end byte) of every word, and the first word of each text
     (one entry more than texts)."""
     n = len(buf)
-    inside = IN_WORD[buf]
+    inside = in_word[buf]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[(offsets > 0) & (offsets < n)]
