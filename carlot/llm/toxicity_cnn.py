@@ -15,8 +15,9 @@ and the thresholds come from a histogram of all calibration rows.
 
 Folds by crc32(id as text) mod 5: 0 is held out, 1 calibrates the thresholds,
 2 to 4 train. Each language's threshold is the one of the best F1 over its
-calibration rows (ties: the nearest to 0.5); a language without labelled rows
-of both classes uses 0.5.
+calibration rows (ties: the nearest to 0.5), kept within ``CUT_RANGE``; a
+language with under ``MIN_POSITIVE`` toxic calibration rows, or no clean one,
+uses 0.5.
 
 Defined cases: null or empty text has no word and scores the bias alone;
 null labels are left out; without labels of both classes the score is 0 for
@@ -47,6 +48,10 @@ EPOCHS, MIN_STEPS, BATCH, RATE = 6, 600, 32, 0.1
 #: Positions convolved at a time while scoring.
 WORK = 1 << 15
 BINS = 1000
+#: Toxic calibration rows that a language needs for a threshold of its own, and
+#: the range of the thresholds.
+MIN_POSITIVE = 30
+CUT_RANGE = (0.25, 0.75)
 
 
 def word_features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,9 +262,10 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
                     F.least(F.col("bin"), F.greatest(lower, F.lit(BINS // 2))).alias("cut"))
     cut = F.col("cut") / F.lit(float(BINS))
     f1 = 2 * F.col("tp") / (F.col("flagged") + F.col("all"))
-    best = c.where("all > 0 and all < rows").groupBy("lang").agg(
+    best = c.where((F.col("all") >= MIN_POSITIVE) & (F.col("all") < F.col("rows"))).groupBy("lang").agg(
         F.max(F.struct(f1.alias("f1"), (-F.abs(cut - 0.5)).alias("near"), cut.alias("cut"))).alias("b"))
-    return best.select("lang", F.col("b.cut").alias("threshold"))
+    low, high = CUT_RANGE
+    return best.select("lang", F.least(F.greatest(F.col("b.cut"), F.lit(low)), F.lit(high)).alias("threshold"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
