@@ -41,13 +41,15 @@ from pyspark.sql import functions as F
 
 from carlot.llm.common import written
 from carlot.llm.textarrays import slices, text_buffer
-from carlot.llm.tokens import encoder, public_path
+from carlot.llm.tokens import encoder, public_path, with_end
 from carlot.session import ensure_checkpoint_dir
 
 MAGIC = b"PFORSEG1"
 BLOCK = 128
 PERCENTILE = 90
 IDS_PER_FILE = 4_000_000
+#: Ids encoded at a time: a whole number of blocks.
+SLAB = 1 << 19
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 _HEAD = 8 + 7 * 8
@@ -59,7 +61,16 @@ def _bit_length(x: np.ndarray) -> np.ndarray:
 
 
 def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> dict[str, np.ndarray]:
-    """Minima, widths, exception counts, block starts and payload of ``ids``."""
+    """Minima, widths, exception counts, block starts and payload of ``ids``,
+    made a slab at a time so that work arrays stay small."""
+    slabs = [_encode(ids[i:i + SLAB], percentile) for i in range(0, len(ids), SLAB)] or [_encode(ids, percentile)]
+    out = {k: np.concatenate([x[k] for x in slabs]) for k in ("low", "widths", "n_odd", "payload")}
+    before = np.concatenate([[0], np.cumsum([len(x["payload"]) for x in slabs])])
+    starts = [x["starts"][:-1] + np.uint64(b) for x, b in zip(slabs, before[:-1], strict=True)]
+    return out | {"starts": np.concatenate([*starts, before[-1:].astype(np.uint64)]).astype("<u8")}
+
+
+def _encode(ids: np.ndarray, percentile: float) -> dict[str, np.ndarray]:
     nb = -(-len(ids) // BLOCK)
     rows = np.empty(nb * BLOCK, dtype=np.uint32)
     rows[:len(ids)] = ids
@@ -161,27 +172,33 @@ class Segment:
 def make_segments(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int,
                   ids_per_file: int) -> Iterator[pa.RecordBatch]:
     """Encode the sorted documents of one partition to segment files."""
-    enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+    enc = encoder(tokenizer)
     part, segment = TaskContext.get().partitionId(), 0
     keys: list = []
-    counts: list[int] = []
-    parts: list[bytes] = []
+    counts: list[np.ndarray] = []
+    parts: list[np.ndarray] = []
     held = 0
 
     def flush() -> pa.RecordBatch:
-        ids = np.frombuffer(b"".join(parts), dtype="<u4")
-        return pa.RecordBatch.from_arrays(
-            [pa.array([write_segment(part, segment, keys, np.array(counts), ids)], pa.binary())], ["data"])
+        data = write_segment(part, segment, keys, np.concatenate(counts), np.concatenate(parts))
+        return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
 
     for b in batches:
-        _, offsets = text_buffer(b.column("text"))
-        for i, j in slices(offsets, 1 << 20):
-            texts = [t or "" for t in b.column("text").slice(i, j - i).to_pylist()]
-            for key, ids in zip(b.column("id").slice(i, j - i).to_pylist(), enc.encode(texts), strict=True):
-                keys.append(key)
-                counts.append(len(ids) // 4 + 1)
-                parts += (ids, end)
-                held += len(ids) // 4 + 1
+        buf, offsets = text_buffer(b.column("text"))
+        ids_of = b.column("id").to_pylist()
+        for i, j in slices(offsets):
+            ids, n = with_end(*enc.encode(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), end_id)
+            ends = np.cumsum(n)
+            at = 0
+            # close a segment at the first document end past the limit
+            while at < len(n):
+                done = int(ends[at - 1]) if at else 0
+                stop = min(len(n), int(np.searchsorted(ends, done + ids_per_file - held)) + 1)
+                keys += ids_of[i + at:i + stop]
+                counts.append(n[at:stop])
+                parts.append(ids[done:ends[stop - 1]])
+                held += int(n[at:stop].sum())
+                at = stop
                 if held >= ids_per_file:
                     yield flush()
                     segment, held = segment + 1, 0
