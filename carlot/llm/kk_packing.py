@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from carlot.llm.common import written
 from carlot.llm.textarrays import slices, text_buffer
-from carlot.llm.tokens import encoder, public_path
+from carlot.llm.tokens import encoder, public_path, with_end
 
 CAPACITY = 2048
 #: Longest piece that shares a window.
@@ -105,22 +105,23 @@ def cut(tokens: int, capacity: int, piece: int) -> list[tuple[int, int]]:
 
 def make_pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int, piece: int,
                 with_ids: bool) -> Iterator[pa.RecordBatch]:
-    enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+    enc = encoder(tokenizer)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     for b in batches:
-        _, offsets = text_buffer(b.column("text"))
-        for i, j in slices(offsets, 1 << 20):
+        buf, offsets = text_buffer(b.column("text"))
+        keys = b.column("doc_id").to_pylist()
+        for i, j in slices(offsets):
+            ids, counts = with_end(*enc.encode(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), end_id)
             rows: list[tuple] = []
             blobs: list[bytes] = []
-            texts = [t or "" for t in b.column("text").slice(i, j - i).to_pylist()]
-            for key, ids in zip(b.column("doc_id").slice(i, j - i).to_pylist(), enc.encode(texts), strict=True):
-                ids += end
-                n = len(ids) // 4
+            first = 0
+            for key, n in zip(keys[i:j], counts.tolist(), strict=True):
                 for start, length in cut(n, capacity, piece):
-                    part = ids[4 * start:4 * (start + length)]
+                    part = ids[first + start:first + start + length].tobytes()
                     rows.append((key, start, length, zlib.crc32(part), n))
                     if with_ids:
                         blobs.append(part)
+                first += n
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
             if with_ids:
                 columns.append(pa.array(blobs, pa.binary()))
@@ -159,6 +160,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     full = p.where(F.col("length") == capacity).select(
         *keep, (F.col("no") * 2).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     rest = p.where(F.col("length") < capacity).withColumn("bucket", F.pmod(F.xxhash64("no"), F.lit(groups)))
+    # The rows are tiny but the work on them isn't, so their bytes must not decide
+    # how many tasks share it: a task gets about four groups.
+    rest = rest.repartition(-(-groups // 4), "bucket")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema.fields)
     placed = rest.groupBy("bucket").applyInArrow(
         lambda t: place_group(t, capacity), kinds + ", sequence_id bigint, offset bigint")
