@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carlot.llm import line_dedup, link_trust, rendezvous
+from carlot.llm import line_dedup, link_trust, rendezvous, spaced_seeds
 from carlot.llm.common import LOWER, UPPER
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -97,4 +97,25 @@ FROM p
 """
 
 
-SQL = {"op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}
+def _words(table: str, key: str) -> str:
+    return f"""SELECT {key}, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS pos, len(w) AS n
+      FROM (SELECT {key}, regexp_extract_all({_low("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM {table} WHERE text IS NOT NULL)"""
+
+
+def _op8() -> str:
+    s = spaced_seeds
+    need = f"CASE WHEN n < {s.LEAST_TOLERANT} THEN n ELSE ceil(least(n, {s.WINDOW}) * {s.SHARE} / 100.0) END"
+    return f"""
+WITH d AS ({_words("documents", "doc_id")}), b AS ({_words("benchmark", "item_id")}),
+m AS (SELECT doc_id, item_id, d.pos - b.pos AS start, b.pos AS q, b.n FROM d JOIN b ON d.w = b.w WHERE b.n >= {s.LEAST_WORDS}),
+c AS (SELECT doc_id, item_id, start, n, list(q) AS qs FROM m GROUP BY ALL HAVING count(*) >= {need}),
+v AS (SELECT doc_id, item_id, start, n, qs, unnest(qs) AS q FROM c),
+f AS (SELECT doc_id, item_id, start, n,
+             len(list_filter(qs, lambda x: x >= least(q, n - least(n, {s.WINDOW})) AND x < least(q, n - least(n, {s.WINDOW})) + {s.WINDOW})) AS same
+      FROM v),
+g AS (SELECT doc_id, item_id, start, max(same) AS best FROM f GROUP BY doc_id, item_id, start, n HAVING max(same) >= {need})
+SELECT doc_id, item_id, count(*) AS n_places, min(start) AS first_word, max(best) AS best FROM g GROUP BY doc_id, item_id
+"""
+
+
+SQL = {"op8_spaced_seeds": _op8(), "op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}
