@@ -47,7 +47,7 @@ from carlot.session import ensure_checkpoint_dir
 MAGIC = b"PFORSEG1"
 BLOCK = 128
 PERCENTILE = 90
-IDS_PER_FILE = 4_000_000
+IDS_PER_FILE = 2_000_000
 #: Ids encoded at a time: a whole number of blocks.
 SLAB = 1 << 19
 END_ID = 2

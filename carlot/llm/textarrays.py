@@ -119,7 +119,7 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     n = len(hashes) - k + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    acc = np.full(n, U64(k) * SHINGLE_KEYS[62], dtype=np.uint64)
+    acc = np.full(n, SHINGLE_KEYS[62] ^ U64(k), dtype=np.uint64)
     for i in range(k):
         acc += hashes[i:i + n] * SHINGLE_KEYS[i]
     return mix(acc)

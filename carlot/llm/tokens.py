@@ -17,10 +17,10 @@ from functools import lru_cache
 
 import numpy as np
 
-from carlot.llm.textarrays import slices, word_hashes
+from carlot.llm.textarrays import BLOCK, slices, word_hashes
 
 #: Pre-tokens remembered by a worker (about 40 bytes each).
-MEMO = 3_000_000
+MEMO = 2_000_000
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
 _CLASS = np.full(256, _OTHER, dtype=np.uint8)
 _CLASS[33:127] = _SIGN
@@ -173,7 +173,7 @@ class Encoder:
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, count of each text's ids)."""
         ids, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, 2 * BLOCK):
             got = self._batch(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             ids.append(got[0])
             counts.append(got[1])
