@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carlot.llm import line_dedup, link_trust, rendezvous, spaced_seeds
+from carlot.llm import line_dedup, link_trust, prefix_join, rendezvous, spaced_seeds
 from carlot.llm.common import LOWER, UPPER
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -118,4 +118,19 @@ SELECT doc_id, item_id, count(*) AS n_places, min(start) AS first_word, max(best
 """
 
 
-SQL = {"op8_spaced_seeds": _op8(), "op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}
+OP7 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_low("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {prefix_join.SHINGLE} THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - {prefix_join.SHINGLE - 2}), lambda i: array_to_string(w[i:i + {prefix_join.SHINGLE - 1}], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM i JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * m >= {prefix_join.PERCENT} * (p.n + q.n - m)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN c ON d.doc_id = c.x
+"""
+
+
+SQL = {"op7_prefix_join": OP7, "op8_spaced_seeds": _op8(), "op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}

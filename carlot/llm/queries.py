@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carlot.llm import fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, rendezvous, spaced_seeds, toxicity_cnn
+from carlot.llm import fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, prefix_join, rendezvous, spaced_seeds, toxicity_cnn
 from carlot.llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op6_pfor_ids(spark, sf_dir):
     return pfor.ids_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_prefix_join(spark, sf_dir):
+    return prefix_join.link_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_spaced_seeds(spark, sf_dir):
     return spaced_seeds.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -38,4 +42,4 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids, op8_spaced_seeds, op9_rendezvous, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids, op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup)}
