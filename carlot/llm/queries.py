@@ -42,4 +42,10 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids, op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup)}
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids, op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup, pipeline)}
