@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from carlot.llm import fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, prefix_join, rendezvous, spaced_seeds, toxicity_cnn
+from carlot.llm import (fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, prefix_join, rendezvous,
+                        spaced_seeds, surrogates, toxicity_cnn)
 from carlot.llm.common import read_table
 
 
@@ -10,6 +11,10 @@ def op1_fingerprint_dedup(spark, sf_dir):
     return fingerprint_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_surrogates(spark, sf_dir):
+    return surrogates.surrogate_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_link_trust(spark, sf_dir):
     return link_trust.url_report(read_table(spark, sf_dir, "pages"))
 
@@ -48,4 +53,6 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint_dedup, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids, op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprint_dedup, op2_surrogates, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids,
+    op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup, pipeline)}
