@@ -1,10 +1,9 @@
 """Make/model catalogue: label cleaning, make tagging, model tagging, slugs.
 
-Make tagging is a whole-word, case-insensitive search of every catalogue
-make in every title. Instead of a nested-loop (title x make) join, titles
-and makes are both cut into word tokens; the title's n-grams are equi-joined
-to the makes' token keys (candidates), and each candidate is confirmed with
-the exact ``\\b<make>\\b`` regex. Work per title is bounded by its length.
+Tagging is a whole-word, case-insensitive search of every catalogue name in
+every title. Instead of a nested-loop (title x name) join, titles and names
+are both cut into word tokens; each name is found through one rare token, and
+the candidates are confirmed with the exact ``\\b<name>\\b`` regex.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carlot.operators.scans import dense_index
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES: URL slugs that do not follow the generic rule
 # ---------------------------------------------------------------------------
@@ -51,56 +52,65 @@ def clean_catalogue_labels(labels: DataFrame, col: str = "label",
     return labels.withColumn("name", name).where(~F.lower("name").isin(*drop) & (F.col("name") != ""))
 
 
-def with_order(catalogue: DataFrame, order_cols=("brand", "model")) -> DataFrame:
-    """Catalogue position ``ord`` (deterministic order)."""
-    from carlot.operators.scans import dense_index
+def with_order(catalogue: DataFrame, order_cols) -> DataFrame:
+    """Catalogue position ``ord`` by explicit order columns (a total order)."""
     return dense_index(catalogue, list(order_cols), out="ord", start=1)
 
 
+def _ordered(catalogue: DataFrame) -> DataFrame:
+    if "ord" not in catalogue.columns:
+        raise ValueError("the catalogue needs its order: a column 'ord' (read_catalogue, with_order)")
+    return catalogue
+
+
+def _anchored(names: DataFrame, name: str, scope: list[str]) -> DataFrame:
+    """``names`` with ``__key``: of the word tokens of each name, the one that
+    the fewest names of its scope share (ties: the longest). A title can hold
+    the name only if it holds this token."""
+    ex = names.select(*scope, name, F.explode(F.array_distinct(_tokens(name))).alias("__key"))
+    shared = ex.groupBy(*scope, "__key").agg(F.count_distinct(name).alias("__n"))
+    best = (ex.join(shared, [*scope, "__key"]).groupBy(*scope, name)
+            .agg(F.min_by("__key", F.struct("__n", -F.length("__key"), "__key")).alias("__key")))
+    return names.join(best, [*scope, name])
+
+
 def tag_make(titles: DataFrame, catalogue: DataFrame, title: str = "title", id_cols=("row_id",),
              out: str = "make") -> DataFrame:
     """the catalogue make found as a whole word in the title; when several
     match, the one latest in catalogue order wins (as the source loop did).
 
-    ``catalogue``: (brand, ord). Titles without a match get NULL.
+    ``catalogue``: (brand, ord). Titles without a match get NULL. Distinct
+    title tokens meet the makes' anchor tokens in an equi-join that carries ids
+    only; the few candidates of a title join it once and are confirmed there.
     """
     ids = list(id_cols)
-    brands = (catalogue.groupBy("brand").agg(F.max("ord").alias("ord"))
-              .withColumn("__toks", _tokens("brand"))
-              .withColumn("__n", F.size("__toks"))
-              .withColumn("__key", F.array_join("__toks", " ")))
-    max_n = brands.agg(F.max("__n")).first()[0] or 1   # one number: longest make in tokens
-    t = titles.select(*ids, title, _tokens(title).alias("__tt"))
-    def ngrams(n):
-        return F.when(F.size("__tt") >= n, F.transform(
-            F.sequence(F.lit(1), F.size("__tt") - n + 1),
-            lambda i: F.array_join(F.slice("__tt", i, n), " "))).otherwise(F.array().cast("array<string>"))
-
-    grams = t.select(*ids, title, F.explode(F.array_distinct(F.flatten(F.array(*[
-        ngrams(n) for n in range(1, max_n + 1)])))).alias("__key"))
-    cand = grams.join(brands.select("__key", "brand", "ord"), "__key", "inner")
-    # The confirming regex is built per row; Spark keeps the last compiled
-    # pattern, so rows of the same make are put next to each other first.
-    hit = cand.sortWithinPartitions("brand").where(F.regexp_like(F.col(title), word_pattern("brand")))
-    best = hit.groupBy(*ids).agg(F.max_by("brand", "ord").alias(out))
-    return titles.join(best, ids, "left")
+    brands = _ordered(catalogue).groupBy("brand").agg(F.max("ord").alias("ord"))
+    brands = _anchored(brands, "brand", [])
+    tokens = titles.select(*ids, F.explode(F.array_distinct(_tokens(title))).alias("__key"))
+    cand = tokens.join(brands, "__key").groupBy(*ids).agg(
+        F.sort_array(F.collect_set(F.struct("ord", "brand")), asc=False).alias("__c"))
+    hit = F.filter("__c", lambda c: F.regexp_like(F.col(title), word_pattern(c["brand"])))
+    return titles.join(cand, ids, "left").withColumn(out, F.get(hit, F.lit(0))["brand"]).drop("__c")
 
 
 def tag_model(titles: DataFrame, catalogue: DataFrame, title: str = "title", make: str = "make",
-              out: str = "model", policy: str = "parity") -> DataFrame:
+              out: str = "model", policy: str = "parity", id_cols=("row_id",)) -> DataFrame:
     """model within the tagged make.
 
     Models of the make are tried longest first (ties in catalogue order);
     a match sets the model and cuts the match from a working copy of the
     title, so later (shorter) models see the rest. ``policy='parity'`` keeps
     the last match (the source behaviour); ``policy='longest'`` keeps the
-    first. Runs as one ``aggregate`` over the make's model array per title:
-    an equi-join on make, no title x model pairs are materialised.
+    first. Only models whose anchor token is in the title are tried: an
+    equi-join on (make, token) carrying ids.
     """
-    per_make = (catalogue.groupBy(F.col("brand").alias(make)).agg(
-        F.array_sort(F.collect_list(F.struct((-F.length("model")).alias("neg_len"), "ord", "model")))
-        .alias("__models")))
-    j = titles.join(per_make, make, "left")
+    ids = list(id_cols)
+    models = _ordered(catalogue).groupBy(F.col("brand").alias(make), "model").agg(F.max("ord").alias("ord"))
+    models = _anchored(models, "model", [make])
+    tokens = titles.select(*ids, make, F.explode(F.array_distinct(_tokens(title))).alias("__key"))
+    cand = tokens.join(models, [make, "__key"]).groupBy(*ids).agg(
+        F.array_sort(F.collect_set(F.struct((-F.length("model")).alias("neg_len"), "ord", "model"))).alias("__models"))
+    j = titles.join(cand, ids, "left")
     init = F.struct(F.col(title).alias("t"), F.lit(None).cast("string").alias("m"))
 
     def step(acc, m):

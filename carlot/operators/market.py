@@ -18,11 +18,6 @@ from carlot.operators.stats import money_mean
 from carlot.schemas import AGE_BANDS, REFERENCE_YEAR
 
 
-def _agg_medians(base: DataFrame, keys, aggs, cols, strategy: str) -> DataFrame:
-    """Group aggregates and exact medians, one pass for ordinary groups."""
-    return aggregate_with_medians(base, keys, aggs, cols, strategy=strategy)
-
-
 def _round(c, n=4):
     return F.round(F.col(c), n).alias(c)
 
@@ -34,11 +29,11 @@ def priced(listings: DataFrame) -> DataFrame:
     return listings.where(F.col("price").isNotNull())
 
 
-def median_price_by_year(listings: DataFrame, strategy: str = "auto") -> DataFrame:
+def median_price_by_year(listings: DataFrame) -> DataFrame:
     """G1: median price per production year; NULL and 0 years dropped."""
     base = priced(listings).where(F.col("production_year").isNotNull() & (F.col("production_year") != 0)) \
         .select("production_year", "price")
-    out = _agg_medians(base, ["production_year"], [F.count(F.lit(1)).alias("listings")], ["price"], strategy)
+    out = aggregate_with_medians(base, ["production_year"], [F.count(F.lit(1)).alias("listings")], ["price"])
     return out.select("production_year", "listings", _round("median_price"))
 
 
@@ -76,8 +71,7 @@ def in_pln(listings: DataFrame, op: str = "multiply", rates: dict | None = None)
         .withColumn("currency", F.lit("PLN"))
 
 
-def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int = REFERENCE_YEAR,
-                     strategy: str = "auto") -> DataFrame:
+def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int = REFERENCE_YEAR) -> DataFrame:
     """Median price, median mileage and count per age band; every band
     appears even when empty (count 0, medians NULL)."""
     spark = listings.sparkSession
@@ -85,8 +79,7 @@ def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int =
                                      "age_group string, band_order int")
     base = listings.select(C.age_band(C.age("production_year", reference_year), bands).alias("age_group"),
                            "price", "mileage_km").where(F.col("age_group").isNotNull())
-    agg = _agg_medians(base, ["age_group"], [F.count(F.lit(1)).alias("listings")], ["price", "mileage_km"],
-                       strategy)
+    agg = aggregate_with_medians(base, ["age_group"], [F.count(F.lit(1)).alias("listings")], ["price", "mileage_km"])
     # Band table: five literal rows, a proven size bound for the broadcast.
     return (F.broadcast(band_tbl).join(agg, "age_group", "left")
             .select("age_group", "band_order",
@@ -94,12 +87,11 @@ def age_band_profile(listings: DataFrame, bands=AGE_BANDS, reference_year: int =
                     _round("median_price"), _round("median_mileage_km")))
 
 
-def mileage_usage_by_year(listings: DataFrame, reference_year: int = REFERENCE_YEAR,
-                          strategy: str = "auto") -> DataFrame:
+def mileage_usage_by_year(listings: DataFrame, reference_year: int = REFERENCE_YEAR) -> DataFrame:
     """Median and mean mileage per year, km per year and month."""
     base = listings.where(F.col("production_year").isNotNull()).select("production_year", "mileage_km")
-    out = _agg_medians(base, ["production_year"], [F.avg(F.col("mileage_km").cast("double")).alias("mean_mileage")],
-                       ["mileage_km"], strategy)
+    out = aggregate_with_medians(base, ["production_year"], [F.avg(F.col("mileage_km").cast("double")).alias("mean_mileage")],
+                       ["mileage_km"])
     annual = C.usage_per_year("median_mileage_km", "production_year", reference_year)
     return out.select(
         "production_year", _round("median_mileage_km"), "mean_mileage",
@@ -114,9 +106,27 @@ def fuel_column(f: str) -> str:
     return "n_" + "".join(ch if ch.isalnum() else "_" for ch in f.lower())
 
 
-def fuel_counts_pivot(listings: DataFrame, fuels=FUELS) -> DataFrame:
-    """Listings per (year, fuel) pivoted to one column per fuel, 0 when absent."""
+def fuel_counts(listings: DataFrame) -> DataFrame:
+    """G10, long form: a row (year, fuel, listings) for every year and fuel that
+    occur, 0 where a fuel is absent in a year."""
+    base = listings.where(F.col("production_year").isNotNull() & F.col("fuel_type").isNotNull())
+    n = base.groupBy("production_year", "fuel_type").agg(F.count(F.lit(1)).alias("listings"))
+    # every fuel of the data for each year: the years carry the list of fuels
+    # (a vocabulary), which a grouped set of one row holds
+    fuels = n.groupBy(F.lit(1).alias("__all")).agg(F.collect_set("fuel_type").alias("__fuels"))
+    grid = (n.select("production_year", F.lit(1).alias("__all")).distinct().join(fuels, "__all")
+            .select("production_year", F.explode("__fuels").alias("fuel_type")))
+    return grid.join(n, ["production_year", "fuel_type"], "left").select(
+        "production_year", "fuel_type", F.coalesce("listings", F.lit(0)).cast("bigint").alias("listings"))
+
+
+def fuel_counts_pivot(listings: DataFrame, fuels=None) -> DataFrame:
+    """Listings per (year, fuel) pivoted to one column per fuel, 0 when
+    absent. The columns are the fuels of the data (a distinct scan) unless
+    ``fuels`` names them."""
     base = listings.where(F.col("production_year").isNotNull() & F.col("fuel_type").isNotNull())
+    if fuels is None:
+        fuels = sorted(r[0] for r in base.select("fuel_type").distinct().collect())   # a vocabulary
     p = base.groupBy("production_year").pivot("fuel_type", list(fuels)).count().na.fill(0)
     return p.select("production_year", *[F.col(f"`{f}`").cast("bigint").alias(fuel_column(f)) for f in fuels])
 
@@ -132,8 +142,7 @@ def fuel_share_by_year(listings: DataFrame, fuels=FUELS) -> DataFrame:
         for f in fuels])
 
 
-def top_models_vs_market(listings: DataFrame, year_from: int = 2010, year_to: int = 2020, k: int = 10,
-                         strategy: str = "auto") -> DataFrame:
+def top_models_vs_market(listings: DataFrame, year_from: int = 2010, year_to: int = 2020, k: int = 10) -> DataFrame:
     """Top-k make-models by listings with their medians, next to
     the market medians of the same year window."""
     window = listings.where(F.col("production_year").between(year_from, year_to))
@@ -142,10 +151,9 @@ def top_models_vs_market(listings: DataFrame, year_from: int = 2010, year_to: in
     top = agg.orderBy(F.desc("listings"), "make", "model").limit(k)  # TakeOrderedAndProject
     # Medians only for the k winners: semi-join first, then rank the few groups.
     top_rows = base.join(F.broadcast(top.select("make", "model")), ["make", "model"], "left_semi")
-    top = _agg_medians(top_rows, ["make", "model"], [F.count(F.lit(1)).alias("listings")],
-                       ["price", "mileage_km"], strategy)
-    market = grouped_median(window.withColumn("__all", F.lit(1)), ["__all"], ["price", "mileage_km"],
-                            strategy=strategy)
+    top = aggregate_with_medians(top_rows, ["make", "model"], [F.count(F.lit(1)).alias("listings")],
+                       ["price", "mileage_km"])
+    market = grouped_median(window.withColumn("__all", F.lit(1)), ["__all"], ["price", "mileage_km"])
     # One-row market aggregate (a global group): a proven size bound.
     market = market.select("__all", F.col("median_price").alias("market_median_price"),
                            F.col("median_mileage_km").alias("market_median_mileage_km"))
@@ -162,8 +170,7 @@ def top_make_models(listings: DataFrame, k: int = 3, year_from: int = 2010, year
             .orderBy(F.desc("listings"), "make", "model").limit(k).select("make", "model"))
 
 
-def top3_config_prices(listings: DataFrame, k: int = 3, year_from: int = 2010, year_to: int = 2020,
-                       strategy: str = "auto") -> DataFrame:
+def top3_config_prices(listings: DataFrame, k: int = 3, year_from: int = 2010, year_to: int = 2020) -> DataFrame:
     """Configurations of the top-k make-models with count of
     priced listings and median price and mileage."""
     base = listings.where(F.col("production_year").between(year_from, year_to) &
@@ -173,7 +180,7 @@ def top3_config_prices(listings: DataFrame, k: int = 3, year_from: int = 2010, y
     sel = base.join(F.broadcast(top), ["make", "model"], "left_semi").withColumn(
         "config_short", C.short_config("engine_capacity_cm3", "fuel_type", "transmission"))
     keys = ["make", "model", "config_short"]
-    out = _agg_medians(sel, keys, [F.count("price").alias("listings")], ["price", "mileage_km"], strategy)
+    out = aggregate_with_medians(sel, keys, [F.count("price").alias("listings")], ["price", "mileage_km"])
     return out.select(*keys, "listings", _round("median_price"), _round("median_mileage_km"))
 
 
@@ -181,26 +188,26 @@ SELECTED_MODELS = ("ECONOMY", "SMALL", "LARGE", "PROMO")
 
 
 def depreciation_curve(listings: DataFrame, models=SELECTED_MODELS, year_from: int = 2010,
-                       year_to: int = 2022, strategy: str = "auto") -> DataFrame:
+                       year_to: int = 2022) -> DataFrame:
     """Median price and count per (model, year), with the change against
     the previous year of the same model (window over the small aggregate)."""
     base = listings.where(F.col("production_year").between(year_from, year_to) &
                           F.col("model").isin(list(models)))
     keys = ["model", "production_year"]
-    out = _agg_medians(base, keys, [F.count(F.lit(1)).alias("listings")], ["price"], strategy)
+    out = aggregate_with_medians(base, keys, [F.count(F.lit(1)).alias("listings")], ["price"])
     w = Window.partitionBy("model").orderBy("production_year")
     return out.select(*keys, "listings", _round("median_price"),
                       F.round(F.col("median_price") - F.lag("median_price").over(w), 4).alias("yoy_change"))
 
 
 def gearbox_prices(listings: DataFrame, models=SELECTED_MODELS, year_from: int = 2015, year_to: int = 2023,
-                   min_price: float = 5000, strategy: str = "auto") -> DataFrame:
+                   min_price: float = 5000) -> DataFrame:
     """Median price and count per (model, gearbox)."""
     base = listings.where(F.col("production_year").between(year_from, year_to) &
                           F.col("transmission").isin("Automatyczna", "Manualna") &
                           F.col("model").isin(list(models)) & (F.col("price") > min_price))
     keys = ["model", "transmission"]
-    out = _agg_medians(base, keys, [F.count(F.lit(1)).alias("listings")], ["price"], strategy)
+    out = aggregate_with_medians(base, keys, [F.count(F.lit(1)).alias("listings")], ["price"])
     return out.select(*keys, "listings", _round("median_price"))
 
 

@@ -1,31 +1,35 @@
-"""Distributed ordered scans: prefix sums, dense indexes, exact medians.
+"""Distributed ordered scans: prefix sums, dense indexes, exact percentiles.
 
-These replace single-partition windows (``row_number() over (order by …)``)
+These replace single-partition windows (``row_number() over (order by ...)``)
 and per-group buffers that would put one hot group into one task.
 
 The shape of every scan is the same:
 
-1. range-partition and sort by ``(group…, order…)``; a hot group is split
-   across many partitions by the range bounds;
-2. tag rows with ``monotonically_increasing_id`` and cut lineage with a
-   reliable ``checkpoint()`` (the partition id is ``mid >> 33``, stable from
-   here on, and executor loss re-reads the checkpoint instead of re-sampling);
-3. local running sums per ``(partition, group)`` (each chunk is at most one
-   partition of rows);
-4. per-group offsets from a table with one row per ``(partition, group)``:
-   a group has at most ``#partitions`` rows there, so the offset window is
-   bounded no matter how hot the group is.
+1. range-partition and sort by ``(group..., order...)``; a hot group is split
+   across many partitions by the range bounds. The number of partitions is
+   left to AQE, which sizes them by the data;
+2. in the same stage each partition adds up its running sums, streaming, and
+   notes its own number; the result is cut with a reliable ``checkpoint()``;
+3. per-group offsets come from a table with one row per ``(partition, group)``,
+   and join back. The rows themselves are shuffled once.
+
+Percentiles run the scan over one row per distinct value, so neither a hot
+group nor a hot value lands in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carlot.session import ensure_checkpoint_dir
+from carlot.session import ensure_checkpoint_dir, ship_package
 
-_PID = "__pid"
-_MID = "__mid"
+_PID, _GROUP, _LOCAL = "__pid", "__group", "__local"
 
 
 def _cols(x) -> list[str]:
@@ -43,39 +47,52 @@ def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
 
 
-def sorted_checkpoint(df: DataFrame, group_cols, order_cols, num_partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted copy with stable ``__mid``/``__pid`` columns."""
-    ensure_checkpoint_dir(df.sparkSession)
-    keys = _cols(group_cols) + _cols(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-         .withColumn(_MID, F.monotonically_increasing_id()))
-    s = s.checkpoint(eager=True)
-    return s.withColumn(_PID, F.shiftright(F.col(_MID), 33))
+def running_sums(batches: Iterator[pa.RecordBatch], value: str) -> Iterator[pa.RecordBatch]:
+    """Running sum of ``value`` within each group of one sorted partition."""
+    pid = TaskContext.get().partitionId()
+    group, carry = None, 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        g = b.column(_GROUP).to_numpy()
+        v = b.column(value).fill_null(0).to_numpy()
+        first = np.concatenate([[True], g[1:] != g[:-1]])
+        total = np.cumsum(v)
+        start = np.flatnonzero(first)
+        before = np.concatenate([[0], total[start[1:] - 1]])
+        if g[0] == group:
+            before[0] -= carry
+        local = total - np.repeat(before, np.diff(np.append(start, len(g))))
+        group, carry = g[-1], local[-1]
+        yield pa.RecordBatch.from_arrays(
+            [*b.columns, pa.array(local), pa.array(np.full(len(g), pid))], [*b.schema.names, _LOCAL, _PID])
 
 
 def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=None,
-               inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """Running sum of ``value`` within each group in ``order_cols`` order.
+               inclusive: bool = True) -> DataFrame:
+    """Running sum of the integer column ``value`` within each group in
+    ``order_cols`` order.
 
     ``inclusive=False`` gives the sum of strictly earlier rows. Ties in
     ``order_cols`` are broken by the sort position, so pass a total order.
     """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
     g = _cols(group_cols)
-    s = sorted_checkpoint(df, g, order_cols, num_partitions)
-    w = (Window.partitionBy(_PID, *g).orderBy(_MID)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = s.withColumn("__local", F.sum(F.col(value)).over(w))
-    totals = s.groupBy(_PID, *g).agg(F.sum(F.col(value)).alias("__tot"))
-    wo = (Window.partitionBy(*g).orderBy(_PID)
-          .rowsBetween(Window.unboundedPreceding, -1)) if g else \
-        Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(wo), F.lit(0))).drop("__tot")
-    res = join_null_safe(local, offsets, [_PID, *g], "left")
-    run = F.col("__local") + F.col("__off")
+    keys = g + _cols(order_cols)
+    d = df.withColumn(value, F.col(value).cast("bigint")).withColumn(
+        _GROUP, F.xxhash64(*g) if g else F.lit(0).cast("bigint"))
+    d = d.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
+    s = d.mapInArrow(lambda it: running_sums(it, value), f"{kinds}, {_LOCAL} bigint, {_PID} bigint").checkpoint()
+    before = Window.partitionBy(_GROUP).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    totals = s.groupBy(_PID, _GROUP).agg(F.sum(value).alias("__total"))
+    offsets = totals.select(_PID, _GROUP, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"))
+    run = F.col(_LOCAL) + F.col("__before")
     if not inclusive:
-        run = run - F.col(value)
-    return res.withColumn(out, run).drop("__local", "__off", _PID, _MID)
+        run = run - F.coalesce(F.col(value), F.lit(0))
+    return s.join(offsets, [_PID, _GROUP]).withColumn(out, run).select(*df.columns, out)
 
 
 def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1,
@@ -88,9 +105,6 @@ def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1,
     return r.withColumn(out, (F.col(out) - 1 + start).cast("bigint")).drop(one)
 
 
-MAX_GROUP_ROWS = 1_000_000
-
-
 def _label(p: float, c: str) -> str:
     return f"p{int(round(p * 100))}_{c}"
 
@@ -101,143 +115,48 @@ def _stack(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     ])).alias("__m")).select(*keys, "__m.__metric", "__m.__v").where(F.col("__v").isNotNull())
 
 
-def _widen(long: DataFrame, keys: list[str], columns: list[str], probs) -> DataFrame:
-    """(keys, __metric, __i, __val) -> keys + p<..>_<column>."""
-    labels = [_label(p, c) for c in columns for p in probs]
-    lab = F.concat(F.lit("p"), F.element_at(F.array(*[F.lit(str(int(round(p * 100)))) for p in probs]),
-                                            F.col("__i") + 1), F.lit("_"), F.col("__metric"))
-    wide = long.select(*keys, lab.alias("__label"), "__val").groupBy(*keys).pivot("__label", labels) \
-        .agg(F.first("__val"))
-    return wide.select(*keys, *labels)
-
-
-def _rank_percentiles(stacked: DataFrame, gk: list[str], probs) -> DataFrame:
-    """Exact percentiles by distributed ranks: (gk, __i, __val)."""
-    ranked = dense_index(stacked, order_cols=["__v"], out="__rank", start=0, group_cols=gk)
-    counts = stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"))
-    targets = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("__n") - 1)).alias("pos"))
-                        for i, p in enumerate(probs)])
-    wanted = counts.select(*gk, F.explode(targets).alias("t")).select(
-        *gk, F.col("t.i").alias("__i"), F.col("t.pos").alias("__pos"))
-    # Ranks needed per (group, probability): floor and ceil of the position.
-    need = wanted.select(*gk, "__i", "__pos", F.explode(F.array_distinct(F.array(
-        F.floor("__pos").cast("bigint"), F.ceil("__pos").cast("bigint")))).alias("__rank"))
-    picked = (join_null_safe(ranked, need, gk + ["__rank"], "inner")
-              .groupBy(*gk, "__i", "__pos")
-              .agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi")))
-    frac = F.col("__pos") - F.floor("__pos")
-    return picked.select(*gk, "__i", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias("__val"))
-
-
-def _buffered_percentiles(stacked: DataFrame, gk: list[str], probs) -> DataFrame:
-    """Exact percentiles with Spark's ``percentile`` (buffers a group's values)."""
-    agg = stacked.groupBy(*gk).agg(F.percentile("__v", list(probs)).alias("__ps"))
-    return agg.select(*gk, F.posexplode("__ps").alias("__i", "__val"))
-
-
-def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), strategy: str = "auto",
-                        max_group_rows: int | None = None) -> DataFrame:
+def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), name=_label) -> DataFrame:
     """Exact linearly interpolated percentiles of each column per group.
 
-    Output: ``keys`` + ``p<100*p>_<column>`` (double).
+    Output: ``keys`` + ``name(p, column)`` (default ``p<100*p>_<column>``,
+    double). Groups without a value are absent.
 
-    * ``strategy='auto'`` (default): group sizes first (partial aggregate).
-      Groups with at most ``max_group_rows`` values use Spark's exact
-      ``percentile`` - its per-group buffer is then bounded by that number.
-      Larger (hot) groups - at most rows/max_group_rows of them - go through
-      the distributed rank path, so no task ever holds a hot group.
-    * ``'rank'``: every group through the rank path.
-    * ``'builtin'``: Spark ``percentile`` for every group (unbounded buffer).
-    * ``'approx'``: ``percentile_approx`` (bounded, not exact).
+    One plan for every size: a histogram (group, value, count) by a partial
+    aggregate, the prefix sum of its counts, and the two neighbours of each
+    wanted position, ``lo * (1 - f) + hi * f``.
     """
-    keys = _cols(keys)
-    columns = _cols(columns)
-    if strategy == "approx":
-        aggs = [F.percentile_approx(F.col(c).cast("double"), p, 10000).cast("double").alias(_label(p, c))
-                for c in columns for p in probs]
-        return df.groupBy(*keys).agg(*aggs)
-    stacked = _stack(df, keys, columns)
-    gk = keys + ["__metric"]
-    if strategy == "builtin":
-        return _widen(_buffered_percentiles(stacked, gk, probs), keys, columns, probs)
-    if strategy == "rank":
-        return _widen(_rank_percentiles(stacked, gk, probs), keys, columns, probs)
-    limit = max_group_rows or int(df.sparkSession.conf.get("spark.carlot.median.maxGroupRows",
-                                                           str(MAX_GROUP_ROWS)))
-    sizes = stacked.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > limit).drop("__n")
-    if hot.isEmpty():                       # one small aggregation job
-        return _widen(_buffered_percentiles(stacked, gk, probs), keys, columns, probs)
-    cold_rows = stacked.join(hot, [stacked[k].eqNullSafe(hot[k]) for k in gk], "left_anti")
-    hot_rows = stacked.join(hot, [stacked[k].eqNullSafe(hot[k]) for k in gk], "left_semi")
-    long = _buffered_percentiles(cold_rows, gk, probs).unionByName(_rank_percentiles(hot_rows, gk, probs))
-    return _widen(long, keys, columns, probs)
-
-
-def aggregate_with_percentiles(df: DataFrame, keys, aggs, columns, probs=(0.5,), strategy: str = "auto",
-                               max_group_rows: int | None = None, name=None) -> DataFrame:
-    """``groupBy(keys).agg(*aggs)`` plus exact percentiles of ``columns``.
-
-    Ordinary groups get everything from ONE aggregation pass (Spark's exact
-    ``percentile`` next to the other aggregates). With ``strategy='auto'``
-    a group-size pass comes first: groups above ``max_group_rows`` rows are
-    routed to the distributed rank path and unioned back, so no task buffers
-    a hot group. ``name(p, column)`` gives the output column names
-    (default ``p50_<column>``).
-    """
-    keys = _cols(keys)
-    columns = _cols(columns)
-    name = name or _label
-
-    def wide(d: DataFrame) -> DataFrame:
-        ps = [F.percentile(F.col(c).cast("double"), [float(p) for p in probs]).alias(f"__ps_{c}")
-              for c in columns]
-        g = d.groupBy(*keys).agg(*aggs, *ps)
-        plain = [c for c in g.columns if c not in keys and not c.startswith("__ps_")]
-        return g.select(*keys, *plain, *[F.col(f"__ps_{c}")[i].alias(name(p, c))
-                                         for c in columns for i, p in enumerate(probs)])
-
-    if strategy == "builtin":
-        return wide(df)
-    if strategy == "rank":
-        hot_rows, cold = df, None
-    else:
-        limit = max_group_rows or int(df.sparkSession.conf.get("spark.carlot.median.maxGroupRows",
-                                                               str(MAX_GROUP_ROWS)))
-        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).drop("__n")
-        if hot.isEmpty():                   # one small aggregation job
-            return wide(df)
-        cond = [df[k].eqNullSafe(hot[k]) for k in keys]
-        hot_rows = df.join(hot, cond, "left_semi")
-        cold = wide(df.join(hot, cond, "left_anti"))
-    plain = hot_rows.groupBy(*keys).agg(*aggs)
-    pct = grouped_percentiles(hot_rows, keys, columns, probs, strategy="rank")
-    pct = pct.select(*keys, *[F.col(_label(p, c)).alias(name(p, c)) for c in columns for p in probs])
-    cond = [plain[k].eqNullSafe(pct[k]) for k in keys]
-    hot_out = plain.join(pct, cond, "left").select(*[plain[k] for k in keys],
-                                                   *[c for c in plain.columns if c not in keys],
-                                                   *[pct[name(p, c)] for c in columns for p in probs])
-    return hot_out if cold is None else cold.unionByName(hot_out)
-
-
-def aggregate_with_medians(df: DataFrame, keys, aggs, columns, strategy: str = "auto",
-                           max_group_rows: int | None = None) -> DataFrame:
+    keys, columns = _cols(keys), _cols(columns)
+    gk = [*keys, "__metric"]
+    hist = _stack(df, keys, columns).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = prefix_sum(hist, "__n", "__upto", group_cols=gk, order_cols=["__v"])
+    sizes = ranked.groupBy(*gk).agg(F.max("__upto").alias("__size"))
+    j = join_null_safe(ranked, sizes, gk)
+    out = []
+    for c in columns:
+        for p in probs:
+            pos = F.lit(float(p)) * (F.col("__size") - 1)
+            at = lambda r: (F.col("__metric") == c) & (F.col("__upto") > r) & (F.col("__upto") - F.col("__n") <= r)  # noqa: E731, B023
+            lo = F.max(F.when(at(F.floor(pos)), F.col("__v")))
+            hi = F.max(F.when(at(F.ceil(pos)), F.col("__v")))
+            f = F.max(F.when(F.col("__metric") == c, pos - F.floor(pos)))
+            out.append(F.when(f == 0, lo).otherwise(lo * (1 - f) + hi * f).alias(name(p, c)))
+    return j.groupBy(*keys).agg(*out)
+
+
+def aggregate_with_percentiles(df: DataFrame, keys, aggs, columns, probs=(0.5,), name=_label) -> DataFrame:
+    """``groupBy(keys).agg(*aggs)`` plus exact percentiles of ``columns``."""
+    keys, columns = _cols(keys), _cols(columns)
+    plain = df.groupBy(*keys).agg(*aggs)
+    return join_null_safe(plain, grouped_percentiles(df, keys, columns, probs, name), keys, "left")
+
+
+def aggregate_with_medians(df: DataFrame, keys, aggs, columns) -> DataFrame:
     """``aggregate_with_percentiles`` at 0.5, columns named ``median_<column>``."""
-    return aggregate_with_percentiles(df, keys, aggs, columns, (0.5,), strategy, max_group_rows,
-                                      name=lambda p, c: f"median_{c}")
-
+    return aggregate_with_percentiles(df, keys, aggs, columns, (0.5,), name=lambda p, c: f"median_{c}")
 
-def grouped_median(df: DataFrame, keys, columns, strategy: str = "auto",
-                   suffix: str = "median_", max_group_rows: int | None = None) -> DataFrame:
-    """Exact interpolated median of each column per group.
 
-    Values of all columns are stacked into ``(keys, metric, v)``; see
-    ``grouped_percentiles`` for the strategies (default ``auto``: bounded
-    exact buffers for ordinary groups, distributed ranks for hot groups).
-    Output: ``keys`` + ``median_<column>`` (double); groups whose values are
-    all NULL are absent (left-join the result to the group table).
-    """
-    keys = _cols(keys)
-    columns = _cols(columns)
-    p = grouped_percentiles(df, keys, columns, (0.5,), strategy, max_group_rows)
-    return p.select(*keys, *[F.col(f"p50_{c}").alias(suffix + c) for c in columns])
+def grouped_median(df: DataFrame, keys, columns, suffix: str = "median_") -> DataFrame:
+    """Exact interpolated median of each column per group: ``keys`` +
+    ``median_<column>`` (double); groups whose values are all NULL are absent
+    (left-join the result to the group table)."""
+    return grouped_percentiles(df, keys, columns, (0.5,), name=lambda p, c: suffix + c)

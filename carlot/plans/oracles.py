@@ -109,16 +109,12 @@ SELECT production_year, median_mileage_km, mean_mileage,
 FROM agg
 """
 
-SQL["fuel_counts_pivot"] = w(LISTINGS, PLN) + """
-SELECT production_year,
-       COUNT(*) FILTER (WHERE fuel_type = 'Benzyna')         AS n_benzyna,
-       COUNT(*) FILTER (WHERE fuel_type = 'Diesel')          AS n_diesel,
-       COUNT(*) FILTER (WHERE fuel_type = 'Benzyna+LPG')     AS n_benzyna_lpg,
-       COUNT(*) FILTER (WHERE fuel_type = 'Hybryda')         AS n_hybryda,
-       COUNT(*) FILTER (WHERE fuel_type = 'Elektryczny')     AS n_elektryczny,
-       COUNT(*) FILTER (WHERE fuel_type = 'Hybryda Plug-in') AS n_hybryda_plug_in
-FROM pln WHERE production_year IS NOT NULL AND fuel_type IS NOT NULL
-GROUP BY production_year
+SQL["fuel_counts_pivot"] = w(LISTINGS, PLN) + """,
+n AS (SELECT production_year, fuel_type, COUNT(*) AS n FROM pln
+      WHERE production_year IS NOT NULL AND fuel_type IS NOT NULL GROUP BY ALL)
+SELECT y.production_year, f.fuel_type, COALESCE(n.n, 0) AS listings
+FROM (SELECT DISTINCT production_year FROM n) y CROSS JOIN (SELECT DISTINCT fuel_type FROM n) f
+LEFT JOIN n ON n.production_year = y.production_year AND n.fuel_type = f.fuel_type
 """
 
 SQL["fuel_share_by_year"] = w(LISTINGS, PLN) + """
@@ -440,12 +436,13 @@ GROUP BY e.listing_id
 # --- catalogue ------------------------------------------------------------------------
 
 _CAT = """,
-cat AS (SELECT brand, model, row_number() OVER (ORDER BY brand, model) AS ord
-        FROM (SELECT DISTINCT p_brand AS brand, p_type AS model FROM part)),
+cat AS (SELECT brand, model, row_number() OVER (ORDER BY k) AS ord
+        FROM (SELECT p_brand AS brand, p_type AS model, MIN(p_partkey) AS k FROM part GROUP BY ALL)),
 brands AS (SELECT brand, MAX(ord) AS ord FROM cat GROUP BY brand),
 titles AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                  concat_ws(' ', make, upper(substr(model, 1, 1)) || lower(substr(model, 2)), p_name)
-                    AS title FROM listings),
+                  concat_ws(' ', make, upper(substr(model, 1, 1)) || lower(substr(model, 2)), p_name,
+                    CASE WHEN l_linenumber % 3 = 0 THEN 'swap Brand#' || CAST(l_suppkey % 5 + 1 AS VARCHAR)
+                         || CAST(l_partkey % 5 + 1 AS VARCHAR) END) AS title FROM listings),
 tagged AS (
   SELECT t.l_orderkey, t.l_linenumber, t.l_partkey, t.l_suppkey, t.title,
          (SELECT arg_max(b.brand, b.ord) FROM brands b
@@ -519,9 +516,11 @@ FROM listings
 # --- files and streaming ------------------------------------------------------------------------
 
 SQL["multi_file_merge"] = """
+WITH r AS (SELECT o_orderstatus AS s, row_number() OVER (ORDER BY o_orderstatus NULLS FIRST) - 1 AS i
+           FROM (SELECT DISTINCT o_orderstatus FROM orders))
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority
-FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')
+       CASE WHEN r.i % 3 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders JOIN r ON o_orderstatus IS NOT DISTINCT FROM r.s
 """
 
 SQL["stream_upsert"] = """

@@ -72,7 +72,7 @@ def q_mileage_usage_by_year(spark, sf):
 
 @query("fuel_counts_pivot")
 def q_fuel_counts_pivot(spark, sf):
-    return M.fuel_counts_pivot(_pln(spark, sf))
+    return M.fuel_counts(_pln(spark, sf))
 
 
 @query("fuel_share_by_year")
@@ -376,15 +376,19 @@ def q_listing_equipment_view(spark, sf):
 # --- catalogue tagging (C14, F13, F14, D36–D38) -------------------------------------------
 
 def catalogue_from_parts(spark, sf):
-    """Distinct (brand, model) pairs of ``part`` with their catalogue position."""
-    cat = table(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("model")) \
-        .dropDuplicates()
-    return CT.with_order(cat)
+    """Distinct (brand, model) pairs of ``part`` in the order in which they
+    first appear there, which is not their alphabetical order."""
+    cat = table(spark, sf, "part").groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("model")) \
+        .agg(F.min("p_partkey").alias("first_key"))
+    return CT.with_order(cat, ["first_key"]).select("brand", "model", "ord")
 
 
 def titles(spark, sf):
+    """Titles of listings; every third names a second make."""
     lst = listings(spark, sf)
-    return lst.select(*_KEYS, F.concat_ws(" ", "make", F.initcap("model"), "p_name").alias("title"))
+    other = F.concat(F.lit("swap Brand#"), (F.col("l_suppkey") % 5 + 1).cast("string"), (F.col("l_partkey") % 5 + 1).cast("string"))
+    return lst.select(*_KEYS, F.concat_ws(" ", "make", F.initcap("model"), "p_name",
+                                          F.when(F.col("l_linenumber") % 3 == 0, other)).alias("title"))
 
 
 @query("make_tagging")
@@ -396,7 +400,7 @@ def q_make_tagging(spark, sf):
 def q_model_tagging(spark, sf):
     cat = catalogue_from_parts(spark, sf)
     tagged = CT.tag_make(titles(spark, sf), cat, id_cols=_KEYS)
-    return CT.tag_model(tagged, cat).select(*_KEYS, "make", "model")
+    return CT.tag_model(tagged, cat, id_cols=_KEYS).select(*_KEYS, "make", "model")
 
 
 @query("catalogue_labels")
@@ -465,16 +469,17 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 
 @query("multi_file_merge")
 def q_multi_file_merge(spark, sf):
-    """Orders exported as per-status CSV files with differing headers (the
-    'F' slice lacks the priority column), scanned back by file-name pattern
-    and merged by column name."""
+    """Orders exported as CSV files per status, with differing headers (by the
+    status's rank: without the priority column, complete, reordered), scanned
+    back through one glob and merged by column name."""
     base = scratch_path(spark, "csv-export")
     orders = table(spark, sf, "orders")
-    slices = {"F": ORDER_COLS[:-1], "O": ORDER_COLS, "P": ORDER_COLS}
-    for status, cols in slices.items():
-        SK.write_fixed_csv(orders.where(F.col("o_orderstatus") == status), f"{base}/all_offers_{status}", cols)
-    frames = [FL.read_raw_csv(spark, f"{base}/all_offers_{s}", cols, glob="*.csv") for s, cols in slices.items()]
-    merged = FL.union_frames(frames)
+    layouts = [ORDER_COLS[:-1], ORDER_COLS, ORDER_COLS[::-1]]
+    statuses = sorted((r[0] for r in orders.select("o_orderstatus").distinct().collect()), key=lambda x: (x is not None, x))
+    for i, status in enumerate(statuses):      # a vocabulary of the data
+        part = orders.where(F.col("o_orderstatus").eqNullSafe(status))
+        SK.write_fixed_csv(part, f"{base}/all_offers_{i}", layouts[i % 3])
+    merged = FL.read_raw_csv(spark, f"{base}/all_offers_*", glob="*.csv")
     return merged.select(
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
         "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"),
@@ -484,16 +489,16 @@ def q_multi_file_merge(spark, sf):
 
 @query("stream_upsert")
 def q_stream_upsert(spark, sf):
-    """Events as a file stream of key sightings -> foreachBatch keyed merge
-    into a versioned table; returns the final table."""
-    schema = table(spark, sf, "events").schema
-    base = scratch_path(spark, "stream-table")
-    stream = ST.file_stream(spark, sf, schema, glob="events.parquet")
-    q = ST.run_keyed_ingest(stream, base, ["user_id", "event_type"],
-                            ["value", "event_id"], "ts", ["ts", "event_id"],
-                            checkpoint=scratch_path(spark, "stream-ckpt"))
+    """Events as a file stream of key sightings, a file per micro-batch, landed
+    by epoch and merged by key; returns the merged table."""
+    events = table(spark, sf, "events")
+    source, base = scratch_path(spark, "stream-files"), scratch_path(spark, "stream-table")
+    events.repartition(4).write.parquet(source)
+    stream = ST.file_stream(spark, source, events.schema, max_files_per_trigger=1)
+    keys, values, order = ["user_id", "event_type"], ["value", "event_id"], ["ts", "event_id"]
+    q = ST.run_keyed_ingest(stream, base, keys, values, "ts", order, checkpoint=scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
-    return SK.read_table(spark, base)
+    return ST.keyed_table(spark, base, keys, values, order)
 
 
 # --- text helpers (C2, D39) ------------------------------------------------------------------

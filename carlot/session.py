@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,8 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Arrow batches to Python workers: bounded memory per HTML batch.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Checkpoint files go when no plan refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,10 +53,11 @@ def build_session(master: str | None = None, app: str = "carlot",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a fresh scratch folder created and registered.
+    Only a local master (tests, one machine) may leave it unset and gets a
+    scratch folder of its own; on a cluster an unset folder is an error, since
+    executors don't see each other's disks.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -60,16 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="carlot-ckpt-", dir=os.environ.get("CARLOT_SCRATCH", "/tmp"))
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf = tempfile.mkdtemp(prefix="carlot-ckpt-", dir=os.environ.get("CARLOT_SCRATCH"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    import uuid
+    """A fresh folder under the shared checkpoint folder for written tables;
+    it goes when the driver ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
 
 
 _SHIPPED: set[str] = set()

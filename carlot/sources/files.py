@@ -7,10 +7,14 @@ over the data, no type guessing); typing happens afterwards with the
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carlot.operators.scans import dense_index
+
 
 def string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -23,26 +27,54 @@ def read_landed_html(spark: SparkSession, path: str, glob: str = "*.html") -> Da
     return df.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str], glob: str | None = None,
-                 multiline: bool = True) -> DataFrame:
-    """A2/A3/A4: raw export CSV(s) with a header, every column a string.
+def csv_headers(spark: SparkSession, path, glob: str | None = None) -> dict[str, list[str]]:
+    """Header line -> files that have it. One text pass keeps the first line of
+    every file (a partial aggregate); only file names and the distinct headers
+    come to the driver."""
+    r = spark.read
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    lines = r.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
+                                F.col("_metadata.file_block_start").alias("at"),
+                                F.monotonically_increasing_id().alias("n"))
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    out: dict[str, list[str]] = {}
+    for h in first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).collect():
+        out[h["header"].lstrip("\ufeff").rstrip("\r")] = h["files"]
+    return out
+
+
+def read_raw_csv(spark: SparkSession, path, columns: list[str] | None = None, glob: str | None = None,
+                 multiline: bool = True, allow_empty: bool = False) -> DataFrame:
+    """A2/A3/A4: raw export CSV(s), every column a string, bound by header.
 
     ``path`` may be a folder, a glob or a list; ``glob`` filters file names
-    (``all_offers_*.csv``). Descriptions hold newlines, hence ``multiLine``.
-    Missing files are skipped (``ignoreMissingFiles``); no match -> an empty
-    typed frame rather than an error.
+    (``all_offers_*.csv``). Files are grouped by their header line and united
+    by column name, so columns may be reordered or absent (NULL). ``columns``
+    picks the result's columns; without it all headers' columns come back, in
+    order of the first files. Descriptions hold newlines, hence ``multiLine``.
+    No matching file is an error unless ``allow_empty``.
     """
-    r = (spark.read.schema(string_schema(columns)).option("header", True)
-         .option("multiLine", multiline).option("escape", '"')
-         .option("ignoreMissingFiles", True).option("mode", "PERMISSIVE"))
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     try:
-        return r.csv(path)
-    except Exception as e:  # noqa: BLE001  (path matched no file)
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], string_schema(columns))
-        raise
+        headers = csv_headers(spark, path, glob)
+    except Exception as e:  # noqa: BLE001  (Spark's own "no such path")
+        if not (allow_empty and ("PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e))):
+            raise
+        headers = {}
+    if not headers:
+        if not allow_empty:
+            raise FileNotFoundError(f"no CSV file at {path}")
+        return spark.createDataFrame([], string_schema(columns or []))
+    frames = []
+    for header, files in sorted(headers.items(), key=lambda x: x[1][0]):
+        names = next(csv.reader([header]))
+        frames.append(spark.read.schema(string_schema(names)).option("header", True).option("multiLine", multiline)
+                      .option("escape", '"').option("mode", "PERMISSIVE").csv(files))
+    merged = union_frames(frames)
+    if columns is None:
+        return merged
+    return merged.select(*[F.col(f"`{c}`") if c in merged.columns else F.lit(None).cast("string").alias(c)
+                           for c in columns])
 
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -52,21 +84,25 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
 
 def read_numbered_csv(spark: SparkSession, template: str, numbers, columns: list[str]) -> DataFrame:
     """A4: ``template.format(n)`` for each n; missing files are skipped with a
-    warning, no file at all gives an empty typed frame."""
+    warning, no file at all is an error."""
     import warnings
     paths = [template.format(n) for n in numbers]
     found = existing_paths(spark, paths)
     for p in sorted(set(paths) - set(found)):
         warnings.warn(f"skipping missing file {p}", stacklevel=2)
     if not found:
-        return spark.createDataFrame([], string_schema(columns))
+        raise FileNotFoundError(f"no file of {template}")
     return read_raw_csv(spark, found, columns)
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """A5: ``Brand,Model`` catalogue CSV -> (brand, model)."""
-    df = (spark.read.schema(string_schema(["Brand", "Model"])).option("header", True).csv(path))
-    return df.select(F.col("Brand").alias("brand"), F.col("Model").alias("model"))
+    """A5: ``Brand,Model`` catalogue CSV -> (brand, model, ord), ``ord`` being
+    the line's place in the file: later entries win when titles are tagged."""
+    df = (spark.read.schema(string_schema(["Brand", "Model"])).option("header", True).csv(path)
+          .select(F.col("Brand").alias("brand"), F.col("Model").alias("model"),
+                  F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__at"),
+                  F.monotonically_increasing_id().alias("__n")))
+    return dense_index(df, ["__file", "__at", "__n"], out="ord").select("brand", "model", "ord")
 
 
 def read_name_list(spark: SparkSession, path: str) -> DataFrame:

@@ -1,18 +1,12 @@
-"""Sinks and table lifecycle.
-
-Tables are folders of parquet. A keyed upsert never overwrites the folder
-it reads: it writes a new version folder and then moves the ``_current``
-pointer file, so readers see either the old or the new table and a failed
-job leaves the old version intact.
-"""
+"""Sinks (B1–B6, B10, B11): plain CSV, JSON and (partitioned) parquet tables."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carlot.sources.files import union_frames
+
 
 def write_fixed_csv(df: DataFrame, path: str, header: list[str], mode: str = "overwrite") -> None:
     """CSV with a fixed header; absent fields are written as ''."""
@@ -48,77 +42,34 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-# --- versioned tables -----------------------------------------------------------
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _read_pointer(fs, path, jvm) -> str:
-    stream = fs.open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """The version ``_current`` points at. If a writer died between retiring
-    the old pointer and renaming the new one, the newest complete
-    ``_current.*`` pointer file is used (each is written only after its
-    version's data is complete)."""
-    fs, _, jvm = _fs(spark, base)
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")
-    if fs.exists(ptr):
-        return _read_pointer(fs, ptr, jvm)
-    pending = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/_current.v-*"))
-    if not pending:
-        return None
-    newest = max(pending, key=lambda st: st.getModificationTime())
-    return _read_pointer(fs, newest.getPath(), jvm)
-
-
-def read_table(spark: SparkSession, base: str, schema=None) -> DataFrame | None:
-    v = current_version(spark, base)
-    if v is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{base}/{v}")
-
-
-def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """B7 write side: write ``df`` as a new version, then point ``_current``
-    at it (a small file rewrite). Returns the version name."""
-    spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex[:16]}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{base}/{version}")
-    fs, _, jvm = _fs(spark, base)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{base}/_current.{version}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode("utf-8")))
-    out.close()
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{base}/_current")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)           # readers fall back to the pending pointer meanwhile
-    fs.rename(tmp, ptr)
-    return version
-
-
-def create_if_missing(spark: SparkSession, base: str, schema) -> DataFrame:
-    """An empty first version when the table does not exist yet."""
-    if current_version(spark, base) is None:
-        write_version(spark.createDataFrame([], schema), base)
-    return read_table(spark, base)
-
-
-def reset_table(spark: SparkSession, base: str, schema, confirm: bool = False) -> DataFrame:
-    """Destructive reset, only with ``confirm=True``."""
-    if not confirm:
-        raise PermissionError("reset_table needs confirm=True")
-    write_version(spark.createDataFrame([], schema), base)
-    return read_table(spark, base)
+def write_catalogue(catalogue: DataFrame, path: str) -> None:
+    """The ``Brand,Model`` catalogue in its order, as one CSV file (a
+    vocabulary of makes and models)."""
+    (catalogue.orderBy("ord").select(F.col("brand").alias("Brand"), F.col("model").alias("Model"))
+     .coalesce(1).write.mode("overwrite").option("header", True).csv(path))
+
+
+def write_merged(frames: list[DataFrame], path: str, header: list[str]) -> DataFrame:
+    """Frames united by column name, written with a fixed header."""
+    merged = union_frames(frames)
+    write_fixed_csv(merged, path, header)
+    return merged
+
+
+def write_pages(pages: DataFrame, path: str, run_date: str = "run_date") -> None:
+    """Landed pages as a table, one folder per run date (others stay)."""
+    (pages.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_date).parquet(path))
+
+
+def write_checked(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write, read back, and compare column types and per-column counts of
+    non-NULL values; a difference is an error. Returns the table read back."""
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    if dict(back.dtypes) != dict(df.dtypes):
+        raise ValueError(f"types changed: {sorted(set(back.dtypes) ^ set(df.dtypes))}")
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]]
+    if df.agg(*counts).first() != back.agg(*counts).first():
+        raise ValueError("counts changed")
+    return back

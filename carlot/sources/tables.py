@@ -15,76 +15,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_ROW_GROUPS: dict[str, int] = {}
-
-
-def _row_groups(spark: SparkSession, files: list[str]) -> int:
-    """Row groups of a few parquet files, from their footers (Hadoop FS, so
-    any cluster filesystem); -1 when the footers cannot be read."""
-    key = "|".join(files)
-    if key not in _ROW_GROUPS:
-        try:
-            jvm = spark.sparkContext._jvm
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
-            n = 0
-            for f in files:
-                path = jvm.org.apache.hadoop.fs.Path(f)
-                reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
-                    jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
-                try:
-                    n += reader.getRowGroups().size()
-                finally:
-                    reader.close()
-            _ROW_GROUPS[key] = n
-        except Exception:  # noqa: BLE001
-            _ROW_GROUPS[key] = -1
-    return _ROW_GROUPS[key]
-
-
-def _total_bytes(spark: SparkSession, files: list[str]) -> int:
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        total = 0
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        return total
-    except Exception:  # noqa: BLE001
-        return 1 << 62
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Scan-parallelism guard.
-
-    A parquet split is at least one row group, so a table stored as a single
-    row group scans in ONE task and everything before the first shuffle
-    (rendering, regex cleaning, HTML parsing) runs on one core. When a scan
-    has fewer files and row groups than the cluster's parallelism, spread
-    it round-robin; large tables (many files/row groups) are left alone, so
-    at scale this adds no shuffle. Round-robin references no column, so
-    column pruning and filter push-down still reach the scan (a hash over
-    the row's columns would force every column to be read).
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= target:
-        return df
-    min_bytes = int(spark.conf.get("spark.carlot.spread.minBytes", str(256 * 1024)))
-    if _total_bytes(spark, files) < min_bytes:      # tiny dimension: a shuffle would cost more
-        return df
-    groups = _row_groups(spark, files)
-    if groups < 0 or groups >= target:
-        return df
-    return df.repartition(target * 2)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of the driver's data set (see ``spread``)."""
+    """One parquet table of the data folder."""
     from carlot.session import ship_package
     ship_package(spark)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _fuel(p_size: Column) -> Column:

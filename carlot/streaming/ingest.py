@@ -1,12 +1,12 @@
 """Incremental ingest as Structured Streaming (K4).
 
-A file stream of landed pages (or any sightings table) flows through the
-stateless extraction job and lands in the keyed table with ``foreachBatch``:
-each micro-batch is collapsed per key and merged into a new table version.
-The table, not the stream state, is the truth for old keys; in-stream
-duplicates within the watermark are dropped by
-``dropDuplicatesWithinWatermark``. The checkpoint lives in the shared
-checkpoint folder, so a restarted or re-scheduled query resumes exactly.
+Every micro-batch is collapsed to one row per key and lands in its own
+partition ``epoch=<n>`` of a plain table, overwriting it. A batch that is
+replayed after a failure writes the same partition again, so nothing counts
+twice. The keyed table is the merge of all partitions. The stream's checkpoint lives in the shared
+checkpoint folder.
+
+With a watermark, sightings repeated within it are dropped before they count.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.operators import keys as K
 from carlot.session import scratch_path
-from carlot.sources import sinks
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -30,31 +28,35 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
-def sightings_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], value_cols: list[str],
-                    ts: str, order_cols: list[str]) -> DataFrame:
-    """Merge one micro-batch of sightings into the keyed table: the latest
-    values per key win, first/last seen widen to the batch's min/max."""
-    latest = K.last_per_key(batch.select(*keys, *value_cols, *[c for c in order_cols if c not in value_cols]),
-                            keys, order_cols).select(*keys, *value_cols)
-    span = batch.groupBy(*keys).agg(F.min(ts).alias("first_seen_at"), F.max(ts).alias("last_seen_at"),
-                                    F.count(F.lit(1)).alias("sightings"))
-    new = latest.join(span, keys)
-    if target is None:
-        return new
-    j = target.alias("t").join(new.alias("b"), keys, "full_outer")
-    hit = F.col("b.sightings").isNotNull()
-    out = [F.col(k) for k in keys]
-    out += [F.when(hit, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in value_cols]
-    out += [F.least("t.first_seen_at", "b.first_seen_at").alias("first_seen_at"),
-            F.greatest("t.last_seen_at", "b.last_seen_at").alias("last_seen_at"),
-            (F.coalesce("t.sightings", F.lit(0)) + F.coalesce("b.sightings", F.lit(0))).alias("sightings")]
-    return j.select(*out)
+def _collapsed(rows: DataFrame, keys: list[str], value_cols: list[str], order_cols: list[str],
+               first, last, n) -> DataFrame:
+    """One row per key: values of the latest row, first and last sighting, count."""
+    rest = [*value_cols, *[c for c in order_cols if c not in value_cols]]
+    latest = F.max_by(F.struct(*rest), F.struct(*order_cols)).alias("__r")
+    agg = rows.groupBy(*keys).agg(latest, first.alias("first_seen_at"), last.alias("last_seen_at"), n.alias("sightings"))
+    return agg.select(*keys, "__r.*", "first_seen_at", "last_seen_at", "sightings")
+
+
+def write_epoch(batch: DataFrame, epoch: int, base: str, keys: list[str], value_cols: list[str], ts: str,
+                order_cols: list[str]) -> None:
+    """Land one micro-batch; the same epoch again replaces itself."""
+    _collapsed(batch, keys, value_cols, order_cols, F.min(ts), F.max(ts), F.count(F.lit(1))) \
+        .write.mode("overwrite").parquet(f"{base}/epoch={int(epoch)}")
+
+
+def keyed_table(spark: SparkSession, base: str, keys: list[str], value_cols: list[str],
+                order_cols: list[str]) -> DataFrame:
+    """The merge of all epochs: the latest values of each key, the span of its
+    sightings and their number."""
+    merged = _collapsed(spark.read.parquet(base), keys, value_cols, order_cols,
+                        F.min("first_seen_at"), F.max("last_seen_at"), F.sum("sightings"))
+    return merged.select(*keys, *value_cols, "first_seen_at", "last_seen_at", "sightings")
 
 
 def run_keyed_ingest(stream: DataFrame, table_base: str, keys: list[str], value_cols: list[str], ts: str,
                      order_cols: list[str], watermark: str | None = None,
                      checkpoint: str | None = None, available_now: bool = True):
-    """Start the stream; every micro-batch becomes a new table version."""
+    """Start the stream; every micro-batch becomes a partition of the table."""
     spark = stream.sparkSession
     s = stream
     if watermark:
@@ -63,13 +65,10 @@ def run_keyed_ingest(stream: DataFrame, table_base: str, keys: list[str], value_
              .withWatermark("__event_time", watermark)
              .dropDuplicatesWithinWatermark(keys + order_cols))
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        batch = batch.drop("__event_time")
-        cur = sinks.read_table(spark, table_base)
-        merged = sightings_merge(cur, batch, keys, value_cols, ts, order_cols)
-        sinks.write_version(merged, table_base)
+    def land(batch: DataFrame, epoch: int) -> None:
+        write_epoch(batch.drop("__event_time"), epoch, table_base, keys, value_cols, ts, order_cols)
 
-    w = (s.writeStream.foreachBatch(merge)
+    w = (s.writeStream.foreachBatch(land)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
