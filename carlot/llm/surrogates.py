@@ -72,7 +72,8 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Rows without any of these hold no entity; a cheap first look.
-_HINT = rf"[0-9@]|(?i:password|passwd|secret|token|api_?key)|(?:{_ANY_TITLE}) \p{{Lu}}"
+_HINT = (r"@|[0-9]{2}|[0-9]\.[0-9]{1,3}\.[0-9]|(?i:password|passwd|secret|token|api_?key)"
+         rf"|{_KEY_HEAD}|(?:{_ANY_TITLE}) \p{{Lu}}")
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -212,12 +213,12 @@ def surrogate_table(entities: DataFrame, key: str = KEY, attempts: int = 64) ->
 def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text_col``, plus ``n_entities``."""
     text = F.col(f"`{text_col}`")
-    found = F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(
-        F.array().cast("array<string>"))
-    d = replaced(docs, n_entities=F.coalesce(F.size(F.coalesce(found, F.array().cast("array<string>"))), F.lit(0)).cast("bigint"))
-    hit = d.where("n_entities > 0").withColumns({"_id": F.col(f"`{id_col}`").cast("string"), "_h": F.xxhash64(text)})
+    has = F.coalesce(text.rlike(_HINT) & text.rlike(ENTITY), F.lit(False))
+    found = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+    hit = replaced(docs.where(has), n_entities=F.size(found).cast("bigint")).withColumns(
+        {"_id": F.col(f"`{id_col}`").cast("string"), "_h": F.xxhash64(text)})
     hit = written(hit, "entity-rows")
-    marks = hit.select("_id", "_h", F.posexplode(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).alias("pos", "raw"))
+    marks = hit.select("_id", "_h", F.posexplode(found).alias("pos", "raw"))
     marks = marks.select("_id", "_h", "pos", parsed(F.col("raw")).alias("e")).select("_id", "_h", "pos", "e.*")
     table = written(surrogate_table(marks.select("type", "canon"), key), "surrogate-table")
     new = marks.join(table, ["type", "canon"]).select("_id", "_h", F.struct(
@@ -226,8 +227,8 @@ def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     between = F.split(text, ENTITY, -1)
     rebuilt = F.array_join(F.zip_with(between, F.col("_m.s"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     done = hit.join(new, hit["_id"].eqNullSafe(new["_i"]) & (hit["_h"] == new["_g"])).select(
-        *[rebuilt.alias(c) if c == text_col else F.col(f"`{c}`") for c in d.columns])
-    return d.where("n_entities = 0").unionByName(done)
+        *[rebuilt.alias(c) if c == text_col else F.col(f"`{c}`") for c in hit.columns if c not in ("_id", "_h")])
+    return replaced(docs.where(~has), n_entities=F.lit(0).cast("bigint")).unionByName(done)
 
 
 def surrogate_report(docs: DataFrame) -> DataFrame:
