@@ -108,8 +108,12 @@ def make_facts(batches: Iterator[pa.RecordBatch], k: int, hot_least: int) -> Ite
                 if (len(s), *d) not in seen:
                     seen.add((len(s), *d))
                     tokens.append(s)
-        u, c = np.unique(np.concatenate(tokens), return_counts=True)
-        u, c = u[c >= hot_least], c[c >= hot_least]
+        flat = np.concatenate(tokens)
+        del tokens
+        flat.sort()                       # in place: the counts need no copy of the batch's shingles
+        at = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]])) if len(flat) else np.zeros(1, np.int64)
+        c = np.diff(at)
+        u, c = flat[at[:-1][c >= hot_least]], c[c >= hot_least]
         cols = list(zip(*rows, strict=True))
         pad = [None] * len(u)
         yield pa.RecordBatch.from_arrays(
