@@ -15,11 +15,12 @@ common (all of them, for smaller sets). The steps:
    documents give their pairs of fitting size, and a pair goes on if it met in
    SHARED shingles. More documents than that are not paired: they go on as a
    cluster around the least one, for each band of fitting sizes.
-4. The sets of the documents that are left are built from their texts. A
-   cluster, in blocks of bounded size, is verified against its centre; only
-   members that don't link to it are held against the other members, by an
-   inverted index in memory. Of the links found, those that join two parts not
-   yet joined are kept, so a group of m copies gives about m edges.
+4. Documents of equal sets are replaced by one of them. The texts of those that
+   are left go to the blocks of their clusters, of bounded size, as sets. A
+   block is verified against its cluster's centre; only members that don't link
+   to it are held against the other members, by an inverted index in memory. Of
+   the links found, those that join two parts not yet joined are kept, so a
+   group of m copies gives about m edges.
 5. Components of the edges give every document its class.
 
 Nothing is capped: a pair that links shares SHARED shingles in small buckets,
@@ -47,9 +48,9 @@ SHINGLE = 5
 #: Least similarity, in percent.
 PERCENT = 75
 #: Shingles that the prefixes of a linked pair must share.
-SHARED = 3
+SHARED = 6
 #: Largest number of documents of a shingle that are paired directly.
-SMALL = 8
+SMALL = 32
 #: Frequent shingles that are put last, and occurrences in a batch that make
 #: one a candidate.
 HOT, HOT_LEAST = 1 << 17, 4
@@ -168,16 +169,15 @@ def meet(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.RecordBat
     def pairs(token: np.ndarray, n: np.ndarray, key: np.ndarray) -> Iterator[list[np.ndarray]]:
         at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
         size = np.diff(np.append(at, len(token)))
-        for s in range(2, small + 1):
-            rows = at[size == s][:, None] + np.arange(s)
-            for i in range(s if len(rows) else 0):
-                for j in range(i + 1, s):
-                    x, y = rows[:, i], rows[:, j]
-                    lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-                    fit = (lo * 100 >= hi * PERCENT) & (key[x] != key[y])
-                    x, y, hi = x[fit], y[fit], hi[fit]
-                    yield [np.zeros(len(x), np.int32), np.minimum(key[x], key[y]), np.maximum(key[x], key[y]),
-                           np.minimum(SHARED, least_overlap(hi)).astype(np.int32)]
+        for s in np.unique(size[(size > 1) & (size <= small)]).tolist():
+            i, j = np.triu_indices(s, 1)
+            start = at[size == s][:, None]
+            x, y = (start + i).ravel(), (start + j).ravel()
+            lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+            fit = (lo * 100 >= hi * PERCENT) & (key[x] != key[y])
+            x, y, hi = x[fit], y[fit], hi[fit]
+            yield [np.zeros(len(x), np.int32), np.minimum(key[x], key[y]), np.maximum(key[x], key[y]),
+                   np.minimum(SHARED, least_overlap(hi)).astype(np.int32)]
         big = np.flatnonzero(np.repeat(size > small, size)) if len(token) else at
         yield [np.ones(len(big), np.int32), token[big], key[big], n[big]]
 
@@ -221,12 +221,21 @@ def clusters(meetings: DataFrame) -> DataFrame:
     return pairs.unionAll(star).distinct()
 
 
+_PLACE = ["p", "band", "block", "part", "role", "id"]
+
+
 def make_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Replace each row's text by its set; equal texts of a batch are cut once."""
     for b in batches:
-        for ids, sets in _sets(b, k):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "n", "shingles"])
+        text = b.column("text").fill_null("").dictionary_encode()
+        which = text.indices.to_numpy()
+        buf, offsets = text_buffer(text.dictionary)
+        sets: list[bytes] = []
+        for i, j in slices(offsets, 2 << 20):
+            sets += [s.tobytes() for s in shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], k)]
+        for i in range(0, b.num_rows, 1000):
+            part = pa.array([sets[w] for w in which[i:i + 1000]], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, 1000) for c in _PLACE), part], [*_PLACE, "shingles"])
 
 
 def _linked(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -317,39 +326,48 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(held)
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
+def verified(places: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """Rows of ``verify`` for the documents put in blocks by ``places``. The
+    texts cross one exchange to their places, their sets one to the blocks."""
+    # by exchange at every size: the cost stays linear as the places outgrow a broadcast
+    rows = places.hint("merge").join(texts, "id").select(*_PLACE, "text").mapInArrow(
+        lambda it: make_sets(it, k), "p bigint, band int, block int, part int, role int, id bigint, shingles binary")
     keys = ["p", "band", "block", "part"]
     return rows.repartition(*keys).sortWithinPartitions(*keys, "role", "id").mapInArrow(
         verify, "a bigint, b bigint, band int")
 
 
-def edges_of(members: DataFrame, sets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
-    """Edges (a, b) whose components are those of all links in the clusters."""
-    m = members.join(sets, members["y"] == sets["id"]).select("p", "band", "id", "n", "shingles")
-    sizes = members.join(sets.select(F.col("id").alias("y"), "n"), "y").groupBy("p", "band").agg(
-        F.ceil(F.sum("n") / block_size).cast("int").alias("blocks"))
-    sizes = written(sizes, "cluster-sizes")
-    own = m.join(sizes, ["p", "band"]).select(
-        "p", "band", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "blocks", "id", "shingles")
-    own = own.select("p", "band", "block", F.lit(0).alias("part"), F.lit(1).alias("role"), "id", "shingles", "blocks")
-    centre = sizes.join(sets, sizes["p"] == sets["id"]).select(
-        "p", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.lit(0).alias("part"), F.lit(0).alias("role"), "id", "shingles")
-    first = written(_in_blocks(own.drop("blocks").unionByName(centre)), "cluster-edges")
-    # Members outside of clusters of several blocks, against the other blocks.
-    outside = first.where("band >= 0").select(F.col("a").alias("p"), "band", F.col("b").alias("id")).join(
-        sizes.where("blocks > 1"), ["p", "band"])
-    ask = outside.join(sets, "id").select("p", "band", "blocks", "id", "n", "shingles")
-    parts = written(ask.groupBy("p", "band").agg(F.ceil(F.sum("n") / block_size).cast("int").alias("parts")), "cluster-parts")
-    ask = ask.join(parts, ["p", "band"]).select(
-        "p", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(2).alias("role"), "id", "shingles")
-    held = own.where("blocks > 1").join(parts, ["p", "band"]).select(
-        "p", "band", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "role", "id", "shingles")
-    again = centre.join(parts, ["p", "band"]).where("band >= 0").select(
-        "p", "band", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "role", "id", "shingles")
-    second = _in_blocks(ask.unionByName(held).unionByName(again))
-    return first.unionByName(second).where("band is null").select("a", "b")
+def _spread(c: str):
+    return F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+
+
+def edges_of(members: DataFrame, texts: DataFrame, k: int = SHINGLE, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """Edges (a, b) whose components are those of all links in the clusters
+    (p, band, y, n)."""
+    zero = F.lit(0)
+    blocks = F.ceil(F.sum("n") / block_size).cast("int")
+    sizes = written(members.groupBy("p", "band").agg(blocks.alias("blocks")), "cluster-sizes")
+    own = members.join(sizes, ["p", "band"]).select(
+        "p", "band", F.pmod(F.xxhash64("y"), F.col("blocks")).cast("int").alias("block"), zero.alias("part"),
+        F.lit(1).alias("role"), F.col("y").alias("id"), "n", "blocks")
+    own = written(own, "cluster-members")
+    centre = sizes.select("p", "band", _spread("blocks").alias("block"), zero.alias("part"), zero.alias("role"),
+                          F.col("p").alias("id"), "blocks")
+    first = written(verified(own.select(*_PLACE).unionByName(centre.select(*_PLACE)), texts, k), "cluster-edges")
+    # Members outside of clusters of several blocks go to the other blocks.
+    outside = first.where("band >= 0").select(F.col("a").alias("p"), "band", F.col("b").alias("id"))
+    ask = written(own.where("blocks > 1").join(outside.distinct(), ["p", "band", "id"], "left_semi"), "cluster-queries")
+    edges = first.where("band is null")
+    if not ask.isEmpty():
+        parts = written(ask.groupBy("p", "band").agg(blocks.alias("parts")), "cluster-parts")
+        asked = ask.drop("block", "part", "role").join(parts, ["p", "band"]).select(
+            "p", "band", _spread("blocks").alias("block"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
+            F.lit(2).alias("role"), "id")
+        held = own.where("blocks > 1").select("p", "band", "block", "role", "id").unionByName(
+            centre.where("blocks > 1").select("p", "band", "block", "role", "id"))
+        held = held.join(parts, ["p", "band"]).select("p", "band", "block", _spread("parts").alias("part"), "role", "id")
+        edges = edges.unionByName(verified(asked.unionByName(held), texts, k).where("band is null"))
+    return edges.select("a", "b")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -372,17 +390,13 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meetings = written(sorted_posts.mapInArrow(lambda it: meet(it, small), _MEETINGS), "meetings")
     # documents with equal sets are one from here on
     same = written(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "set-classes")
-    reps = rows.where("n > 0 and id is not null").join(same, ["n", "d1", "d2"]).select("id", "rep").distinct()
+    reps = rows.where("n > 0 and id is not null").join(same, ["n", "d1", "d2"]).select("id", "rep", "n").distinct()
     reps = written(reps, "set-reps")
     c = clusters(meetings)
     c = c.join(reps.select(F.col("id").alias("p"), F.col("rep").alias("rp")), "p").join(
-        reps.select(F.col("id").alias("y"), F.col("rep").alias("ry")), "y")
-    c = written(c.where("rp <> ry").select(F.col("rp").alias("p"), "band", F.col("ry").alias("y")).distinct(), "clusters")
-    wanted = written(c.select(F.col("p").alias("id")).union(c.select("y")).distinct(), "wanted-sets")
-    # by exchange at every size: the cost stays linear as the ids outgrow a broadcast
-    texts = real.join(wanted.hint("merge"), "id")
-    sets = written(texts.mapInArrow(lambda it: make_sets(it, k), "id bigint, n bigint, shingles binary"), "shingle-sets")
-    links = edges_of(c, sets, block_size)
+        reps.select(F.col("id").alias("y"), F.col("rep").alias("ry"), "n"), "y")
+    c = written(c.where("rp <> ry").select(F.col("rp").alias("p"), "band", F.col("ry").alias("y"), "n").distinct(), "clusters")
+    links = edges_of(c, real, k, block_size)
     copies = reps.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     return rows, components(links.unionByName(copies))
 
@@ -399,8 +413,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The documents with the least id of their component, and those with a
     null id, with all their columns."""
     _, comps = link_components(docs, id_col, text_col, **options)
-    gone = written(comps.where("node <> component").select(F.col("node").alias("_gone")), "near-copies")
-    return docs.join(gone.hint("merge"), F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    gone = written(comps.where("node <> component").select(F.col("node").alias("__gone")), "near-copies")
+    return docs.join(gone.hint("merge"), F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
 
 
 def link_report(docs: DataFrame) -> DataFrame:
