@@ -162,11 +162,11 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    stay = classes(df, id_col, text_col).where("kept").select(F.col("id").alias("_id"), F.col("tid").alias("_tid"))
-    d = df.withColumn("_t", F.xxhash64(_raw(text_col)))
-    one = d.join(stay, d[id_col].cast("bigint").eqNullSafe(stay["_id"]) & (d["_t"] == stay["_tid"]))
+    stay = classes(df, id_col, text_col).where("kept").select(F.col("id").alias("__stay"), F.col("tid").alias("__stay_tid"))
+    d = df.withColumns({"__fp_id": F.col(f"`{id_col}`").cast("bigint"), "__fp_tid": F.xxhash64(_raw(text_col))})
+    one = d.join(stay, F.col("__fp_id").eqNullSafe(F.col("__stay")) & (F.col("__fp_tid") == F.col("__stay_tid")))
     # rows repeated with the same id and text: one of them stays
-    return one.dropDuplicates([id_col, "_t"]).drop("_id", "_tid", "_t")
+    return one.dropDuplicates(["__fp_id", "__fp_tid"]).drop("__fp_id", "__fp_tid", "__stay", "__stay_tid")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:

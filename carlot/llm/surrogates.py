@@ -216,18 +216,18 @@ def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     has = F.coalesce(text.rlike(_HINT) & text.rlike(ENTITY), F.lit(False))
     found = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
     hit = replaced(docs.where(has), n_entities=F.size(found).cast("bigint")).withColumns(
-        {"_id": F.col(f"`{id_col}`").cast("string"), "_h": F.xxhash64(text)})
+        {"__sid": F.col(f"`{id_col}`").cast("string"), "__sh": F.xxhash64(text)})
     hit = written(hit, "entity-rows")
-    marks = hit.select("_id", "_h", F.posexplode(found).alias("pos", "raw"))
-    marks = marks.select("_id", "_h", "pos", parsed(F.col("raw")).alias("e")).select("_id", "_h", "pos", "e.*")
+    marks = hit.select("__sid", "__sh", F.posexplode(found).alias("pos", "raw"))
+    marks = marks.select("__sid", "__sh", "pos", parsed(F.col("raw")).alias("e")).select("__sid", "__sh", "pos", "e.*")
     table = written(surrogate_table(marks.select("type", "canon"), key), "surrogate-table")
-    new = marks.join(table, ["type", "canon"]).select("_id", "_h", F.struct(
+    new = marks.join(table, ["type", "canon"]).select("__sid", "__sh", F.struct(
         "pos", written_like(F.col("type"), F.col("head"), F.col("core"), F.col("value")).alias("s")).alias("m"))
-    new = new.groupBy(F.col("_id").alias("_i"), F.col("_h").alias("_g")).agg(F.array_sort(F.collect_set("m")).alias("_m"))
+    new = new.groupBy(F.col("__sid").alias("__si"), F.col("__sh").alias("__sg")).agg(F.array_sort(F.collect_set("m")).alias("__sm"))
     between = F.split(text, ENTITY, -1)
-    rebuilt = F.array_join(F.zip_with(between, F.col("_m.s"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    done = hit.join(new, hit["_id"].eqNullSafe(new["_i"]) & (hit["_h"] == new["_g"])).select(
-        *[rebuilt.alias(c) if c == text_col else F.col(f"`{c}`") for c in hit.columns if c not in ("_id", "_h")])
+    rebuilt = F.array_join(F.zip_with(between, F.col("__sm.s"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    done = hit.join(new, hit["__sid"].eqNullSafe(new["__si"]) & (hit["__sh"] == new["__sg"])).select(
+        *[rebuilt.alias(c) if c == text_col else F.col(f"`{c}`") for c in hit.columns if c not in ("__sid", "__sh")])
     return replaced(docs.where(~has), n_entities=F.lit(0).cast("bigint")).unionByName(done)
 
 

@@ -163,7 +163,8 @@ class TextCnn:
                 touched, dx, owned = [], [], []
                 for i_k, k in enumerate(WIDTHS):
                     g = back[:, i_k * FILTERS:(i_k + 1) * FILTERS]
-                    win = where[i_k][:, :, None] + np.arange(k)
+                    # an empty text has no window; its gradient is zero wherever it points
+                    win = np.minimum(where[i_k][:, :, None] + np.arange(k), len(pos) - 1)
                     d_in = g[:, :, None, None] * self.filters[k].transpose(2, 0, 1)[None]
                     touched.append(pos[win].ravel())
                     owned.append(own[win].ravel())
@@ -269,24 +270,24 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """(doc_id, _t, lang, score, threshold, flagged), a row per document; ``_t``
+    """(doc_id, __t, lang, score, threshold, flagged), a row per document; ``__t``
     is the hash of its text. The texts are read twice (fit, score), never moved."""
     model = train(docs, labels, per_class)
     scores = written(score_texts(docs.select("doc_id", "lang", "text"), model).select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), "lang", "score"), "toxicity-scores")
+        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__t"), "lang", "score"), "toxicity-scores")
     cuts = written(thresholds(scores, labels), "toxicity-cuts")
-    joined = scores.withColumn("_l", F.coalesce("lang", F.lit(""))).join(
-        cuts.withColumnRenamed("lang", "_l"), "_l", "left")
+    joined = scores.withColumn("__l", F.coalesce("lang", F.lit(""))).join(
+        cuts.withColumnRenamed("lang", "__l"), "__l", "left")
     cut = F.coalesce("threshold", F.lit(0.5))
-    return joined.select("doc_id", "_t", "lang", "score", cut.alias("threshold"), (F.col("score") >= cut).alias("flagged"))
+    return joined.select("doc_id", "__t", "lang", "score", cut.alias("threshold"), (F.col("score") >= cut).alias("flagged"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """The documents whose score is under their language's threshold."""
-    gone = written(judged(docs, labels, per_class).where("flagged").select("doc_id", "_t").distinct(), "toxic-ids")
-    d = docs.withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
+    gone = written(judged(docs, labels, per_class).where("flagged").select("doc_id", "__t").distinct(), "toxic-ids")
+    d = docs.withColumn("__t", F.xxhash64(F.coalesce("text", F.lit(""))))
     # by exchange at every size: the cost stays linear as the ids outgrow a broadcast
-    return d.join(gone.hint("merge"), d["doc_id"].eqNullSafe(gone["doc_id"]) & (d["_t"] == gone["_t"]), "left_anti").drop("_t")
+    return d.join(gone.hint("merge"), d["doc_id"].eqNullSafe(gone["doc_id"]) & (d["__t"] == gone["__t"]), "left_anti").drop("__t")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
