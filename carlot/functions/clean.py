@@ -137,32 +137,43 @@ def _month_map() -> Column:
     return F.create_map(*[x for i, m in enumerate(POLISH_MONTHS) for x in (F.lit(m), F.lit(i + 1))])
 
 
-_DATE_PAT = r"(?U)(\d{1,2})\s+(\w+)\s+(\d{4})(?:\s+(\d{1,2}):(\d{2}))?"
+_DATE_PAT = r"(?U)^[\s\S]*?(\d{1,2})\s+(\w+)\s+(\d{4})(?:\s+(\d{1,2}):(\d{2}))?[\s\S]*$"
 
 
 def _date_parts(c):
-    low = F.lower(_c(c))
-    g = [F.regexp_extract(low, _DATE_PAT, i) for i in range(1, 6)]
-    matched = g[0] != ""
-    month = F.try_element_at(_month_map(), g[1])
-    return low, g, matched, month
+    """Day, month number, year, hour and minute text: one regex, its groups
+    joined by a mark and split."""
+    parts = F.split(F.regexp_replace(F.lower(_c(c)), _DATE_PAT, "$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
+    matched = F.size(parts) == 5
+    return parts, matched, F.try_element_at(_month_map(), F.get(parts, F.lit(1)))
+
+
+def _date_of(parts, matched, month) -> Column:
+    num = lambda i: _blank_to_null(F.get(parts, F.lit(i))).cast("int")
+    ts = F.try_make_timestamp_ntz(num(2), month, num(0), F.coalesce(num(3), F.lit(0)), F.coalesce(num(4), F.lit(0)), F.lit(0))
+    return F.when(matched & month.isNotNull(), ts)
 
 
 def polish_date(c) -> Column:
     """``d <genitive month> yyyy [HH:MM]`` -> timestamp_ntz; unknown month or
     impossible date -> NULL (see ``polish_date_rejected``)."""
-    _, g, matched, month = _date_parts(c)
-    hour = F.coalesce(_blank_to_null(g[3]).cast("int"), F.lit(0))
-    minute = F.coalesce(_blank_to_null(g[4]).cast("int"), F.lit(0))
-    ts = F.try_make_timestamp_ntz(g[2].cast("int"), month, g[0].cast("int"), hour, minute, F.lit(0))
-    return F.when(matched & month.isNotNull(), ts)
+    return _date_of(*_date_parts(c))
 
 
 def polish_date_rejected(c) -> Column:
     """True when the text names a known month but the date does not exist
     (``32 maja 2026``); the source application raised and counted a parse error."""
-    _, g, matched, month = _date_parts(c)
-    return F.coalesce(matched & month.isNotNull() & polish_date(c).isNull(), F.lit(False))
+    parts, matched, month = _date_parts(c)
+    return F.coalesce(matched & month.isNotNull() & _date_of(parts, matched, month).isNull(), F.lit(False))
+
+
+def any_date(c) -> Column:
+    """Date text in the usual formats (ISO, with or without a time; day first
+    with points, slashes or dashes; a Polish month name) -> date, else NULL."""
+    s = F.trim(_c(c))
+    iso = F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd")
+    day_first = F.try_to_date(F.regexp_replace(F.regexp_extract(s, r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}", 0), "[/-]", "."), "d.M.yyyy")
+    return F.coalesce(iso, day_first, polish_date(s).cast("date"))
 
 
 def month_replace_date(c) -> Column:

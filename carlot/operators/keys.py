@@ -75,8 +75,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys, columns, run_ts,
       is kept from the target, ``last_seen_at`` becomes ``run_ts``;
     * keys only in the target are unchanged.
 
-    Returns the whole new table; write it to a new version folder
-    (``carlot.sources.sinks.write_version``) and switch readers to it.
+    Returns the whole new table; write it to a folder of its own, never over
+    the one ``target`` reads.
     """
     keys = _cols(keys)
     run_ts = F.lit(run_ts) if not isinstance(run_ts, Column) else run_ts

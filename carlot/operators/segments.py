@@ -1,5 +1,5 @@
-"""Segment plan (L1/L2): split a listing population into segments that each
-stay under a size limit, coarsest level first (all -> year -> year x gearbox).
+"""Segment plan (L1/L2): split a listing population into segments under a size
+limit where the levels allow it, coarsest level first (all -> year -> year x gearbox).
 
 One ``rollup`` aggregation gives the counts of all three levels; the plan is
 chosen from that small result, so every row lands in exactly one segment
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 def segment_plan(listings: DataFrame, limit: int, year: str = "production_year",
                  gearbox: str = "transmission") -> DataFrame:
-    """Rows: (level, year, gearbox, listings). The rollup output has at most
+    """Rows: (level, year, gearbox, listings, over_limit). The finest level may
+    still exceed the limit; ``over_limit`` says so. The rollup output has at most
     #years x #gearboxes + #years + 1 rows (domain-bounded), so the plan
     windows over it are small."""
     r = (listings.rollup(year, gearbox)
@@ -29,7 +30,8 @@ def segment_plan(listings: DataFrame, limit: int, year: str = "production_year",
                        ((F.col("__gid") == 0) & (F.col("__year_n") > limit))))
     level = F.when(F.col("__gid") == 3, "all").when(F.col("__gid") == 1, "year").otherwise("year_gearbox")
     return r.where(keep).select(level.alias("level"), F.col(year).alias("production_year"),
-                                F.col(gearbox).alias("transmission"), "listings")
+                                F.col(gearbox).alias("transmission"), "listings",
+                                (F.col("listings") > limit).alias("over_limit"))
 
 
 def assign_segments(listings: DataFrame, plan: DataFrame, year: str = "production_year",

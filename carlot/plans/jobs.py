@@ -26,7 +26,7 @@ from carlot.operators import market as M
 from carlot.operators import quality as Q
 from carlot.operators import replay as R
 from carlot.operators.scans import dense_index
-from carlot.schemas import BOOL_COLUMNS, CAST_SPEC, RENAME_MAP, UPSERT_COLUMNS
+from carlot.schemas import CAST_SPEC, DATE_SPEC, RENAME_MAP, UPSERT_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,8 @@ def ingest(result_pages: DataFrame, detail_pages: DataFrame, target: DataFrame |
     ``detail_pages``: (url, html, status_code, retry_after);
     ``target``: the current table (columns of ``schemas.LISTING_SCHEMA`` plus
     first/last seen), or None.
-    Returns ``(new_table, stats, rejects)``; write ``new_table`` with
-    ``sinks.write_version``.
+    Returns ``(new_table, stats, rejects)``; write ``new_table`` to a folder of
+    its own, never over the one ``target`` reads.
     """
     spark = result_pages.sparkSession
     run_ts = F.lit(cfg.run_ts).cast("timestamp")
@@ -77,6 +77,10 @@ def ingest(result_pages: DataFrame, detail_pages: DataFrame, target: DataFrame |
     recs = X.normalize_listing(details, url="url", source=cfg.source)
     recs = recs.withColumn("outcome", F.when((F.col("outcome") == "ok") & F.col("advert_date_rejected"),
                                              F.lit("ParseError")).otherwise(F.col("outcome")))
+    # A detail page captured more than once counts once: a good capture first.
+    rest = [c for c in recs.columns if c != "url"]
+    best = F.min_by(F.struct(*rest), F.struct(F.col("outcome") != "ok", F.col("price"), F.col("advert_id")))
+    recs = recs.groupBy("url").agg(best.alias("__r")).select("url", "__r.*")
     by_url = recs.select("url", "outcome")
     r = refs.join(by_url, "url", "left").withColumn("outcome", F.coalesce("outcome", F.lit("FetchFailed")))
     classified = R.replay(r.select("run", "page", "pos", "advert_id", "outcome"), known, cfg.max_listings)
@@ -113,13 +117,13 @@ def parse_offers(pages: DataFrame, url: str = "url", source: str = "site", scrap
                                scraped_at=scraped_at)
 
 
-def clean_batch(raw: DataFrame, parity: bool = True, with_equipment: bool = True):
-    """Raw 44-column CSV export -> (listings, equipment_options,
-    listing_equipment, missing_columns).
+def clean_batch(raw: DataFrame, parity: bool = True) -> tuple[DataFrame, DataFrame]:
+    """N3, first half: raw 44-column CSV export -> (typed rows, missing columns).
 
     Unit measures (lenient: bad units -> NULL, see ``unit_violations``),
     price and date parsing, sentinel-folding full-row dedup, renaming, Tak/Nie
-    booleans, typed casts, surrogate ids, equipment star schema.
+    booleans, the full cast spec. One pass and one dedup shuffle; ids and the
+    equipment tables are steps of their own (``number_listings``, ``star_tables``).
     """
     df = MS.clean_measures(raw, parity=parity, mode="lenient")
     if "price" in df.columns:
@@ -128,25 +132,34 @@ def clean_batch(raw: DataFrame, parity: bool = True, with_equipment: bool = True
         df = df.withColumn("advert_date", C.month_replace_date("advert_date"))
     df = Q.dedup_full_row(df)
     df = df.withColumnsRenamed({k: v for k, v in RENAME_MAP.items() if k in df.columns})
-    for b in BOOL_COLUMNS:
-        if b in df.columns:
-            df = df.withColumn(b, C.tak_nie(b))
-    missing = Q.schema_gaps(df, {**CAST_SPEC, "first_registration_date": "date", "advert_date": "timestamp"})
+    missing = Q.schema_gaps(df, {**CAST_SPEC, **DATE_SPEC})
+    casts = {}
     for c, t in CAST_SPEC.items():
-        if c in df.columns:
-            df = df.withColumn(c, F.col(c).cast("string").try_cast(t) if t not in ("float",) else
-                               F.col(c).cast("string").try_cast("double").cast("float"))
+        if c not in df.columns:
+            continue
+        text = F.col(c).cast("string")
+        if t == "boolean":
+            casts[c] = C.tak_nie(c)
+        elif t == "float":
+            casts[c] = text.try_cast("double").cast("float")
+        elif t != "string":
+            casts[c] = text.try_cast(t)
     if "first_registration_date" in df.columns:
-        df = df.withColumn("first_registration_date", F.try_to_date(F.col("first_registration_date")))
-    order = [c for c in df.columns if c != "equipment"]
-    df = dense_index(df, order, out="local_id", start=1)
-    listings = df.drop("equipment")
-    if not with_equipment:          # the option ids are a checkpointed scan: skip when unused
-        return listings, None, None, missing
-    df = df.withColumn("equipment_list", EQ.equipment_items("equipment"))
+        casts["first_registration_date"] = C.any_date("first_registration_date")
+    return df.withColumns(casts), missing
+
+
+def number_listings(typed: DataFrame) -> DataFrame:
+    """Consecutive ``local_id`` in the order of all columns."""
+    return dense_index(typed, [c for c in typed.columns if c != "equipment"], out="local_id", start=1)
+
+
+def star_tables(numbered: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """N3, second half: numbered rows -> (listings, equipment_options,
+    listing_equipment)."""
+    df = numbered.withColumn("equipment_list", EQ.equipment_items("equipment"))
     options = EQ.option_dimension(df)
-    bridge = EQ.listing_equipment(df, options, listing_id="local_id")
-    return listings, options, bridge, missing
+    return df.drop("equipment", "equipment_list"), options, EQ.listing_equipment(df, options, listing_id="local_id")
 
 
 def clean_titles(frames: list[DataFrame], catalogue: DataFrame, row_id: str = "ID",
@@ -160,9 +173,8 @@ def clean_titles(frames: list[DataFrame], catalogue: DataFrame, row_id: str = "I
     df = df.withColumn("Mileage in km", C.first_number("Mileage in km", drop=" km")) \
         .withColumn("Price", C.first_number("Price")) \
         .withColumn("Scraping Date", C.scrape_date_stamp(F.lit(run_date)))
-    cat = catalogue if "ord" in catalogue.columns else CT.with_order(catalogue)
-    df = CT.tag_make(df, cat, title="Title", id_cols=[row_id], out="Make")
-    df = CT.tag_model(df, cat, title="Title", make="Make", out="Model")
+    df = CT.tag_make(df, catalogue, title="Title", id_cols=[row_id], out="Make")
+    df = CT.tag_model(df, catalogue, title="Title", make="Make", out="Model", id_cols=[row_id])
     df = df.withColumn("Engine capacity", C.engine_from_description("Description")) \
         .withColumn("Power", C.power_from_description("Description"))
     numeric = {c: "double" for c in (row_id, "Mileage in km", "Year", "Price", "Engine capacity", "Power")

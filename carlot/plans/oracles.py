@@ -237,11 +237,7 @@ WITH r AS (
         FROM lineitem JOIN part ON l_partkey = p_partkey)),
 u AS (SELECT regexp_extract(b, '(\\d+\\.?\\d*)\\s*(\\w+)', 2) AS unit FROM r
       WHERE regexp_matches(b, '(\\d+\\.?\\d*)\\s*(\\w+)'))
-SELECT 'battery_capacity_kwh' AS measure,
-       COALESCE((SELECT string_agg(unit, ',' ORDER BY unit)
-                 FROM (SELECT DISTINCT unit FROM u WHERE unit <> 'kWh')), '') AS units
-UNION ALL SELECT 'engine_capacity_cm3', ''
-UNION ALL SELECT 'power_hp', '' UNION ALL SELECT 'mileage_km', ''
+SELECT 'battery_capacity_kwh' AS measure, unit, COUNT(*) AS n FROM u WHERE unit <> 'kWh' GROUP BY unit
 """
 
 SQL["polish_date_parse"] = w(LISTINGS) + f"""
@@ -492,7 +488,7 @@ r AS (SELECT production_year, transmission, COUNT(*) AS listings,
 tot AS (SELECT listings AS total FROM r WHERE gid = 3),
 yr AS (SELECT production_year, listings AS year_n FROM r WHERE gid = 1)
 SELECT CASE r.gid WHEN 3 THEN 'all' WHEN 1 THEN 'year' ELSE 'year_gearbox' END AS level,
-       r.production_year, r.transmission, r.listings
+       r.production_year, r.transmission, r.listings, r.listings > 2300 AS over_limit
 FROM r CROSS JOIN tot LEFT JOIN yr ON r.gid = 0 AND yr.production_year IS NOT DISTINCT FROM r.production_year
 WHERE CASE WHEN tot.total <= 2300 THEN r.gid = 3
            ELSE (r.gid = 1 AND r.listings <= 2300) OR (r.gid = 0 AND yr.year_n > 2300) END
@@ -559,6 +555,8 @@ SELECT DISTINCT make, model, p_name AS version, split_part(p_name, ' ', 1) AS co
        CAST(floor(price) AS FLOAT) AS price, CASE WHEN price IS NOT NULL THEN currency END AS currency,
        CASE WHEN l_returnflag = 'A' THEN 'W granicach średniej' END AS price_level,
        CAST(advert_date AS TIMESTAMP) AS advert_date, advert_id,
-       'Stan bardzo dobry.Wersja ' || p_name AS description
+       'Stan bardzo dobry.Wersja ' || p_name AS description, 
+       array_to_string(list_sort(list_distinct(list_transform(string_split(p_name, ' '), lambda x: lower(x)))), '|')
+         AS equipment_items
 FROM listings
 """

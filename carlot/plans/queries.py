@@ -438,9 +438,9 @@ from carlot.sources.render import offer_html  # noqa: E402
 
 @query("offer_roundtrip")
 def q_offer_roundtrip(spark, sf):
-    pages = offer_html(listings(spark, sf))
-    par = spark.sparkContext.defaultParallelism * 2
-    rec = X.normalize_listing(X.parse_pages(pages, parallelism=par), url="url")
+    # The slim rows are spread before pages are made of them; page text never moves.
+    pages = offer_html(listings(spark, sf).repartition("advert_id"))
+    rec = X.normalize_listing(X.parse_pages(pages), url="url")
     return rec.select(*_KEYS, "advert_id", "make", "model", "version", "production_year", "price",
                       "currency", "mileage_km", "fuel_type", "transmission", "power_hp", "engine_capacity_cm3",
                       "advert_date", F.array_join("equipment", ", ").alias("equipment"),
@@ -537,8 +537,8 @@ BATCH_OUT = ["make", "model", "version", "color", "number_of_doors", "production
 def q_batch_export_chain(spark, sf):
     """Offer pages rendered from every listing -> batch-export rows (legacy
     rules) -> clean_batch (units, dates, sentinel dedup, renames, casts)."""
-    pages = batch_offer_html(listings(spark, sf))
-    par = spark.sparkContext.defaultParallelism * 2
-    raw = X.parse_batch_pages(pages, parallelism=par, with_captcha=False).select(*X.BATCH_COLUMNS)
-    typed, _, _, _ = J.clean_batch(raw, with_equipment=False)
-    return typed.select(*BATCH_OUT)
+    pages = batch_offer_html(listings(spark, sf).repartition("advert_id"))
+    raw = X.parse_batch_pages(pages, with_captcha=False).select(*X.BATCH_COLUMNS)
+    typed, _ = J.clean_batch(raw)
+    items = F.array_join(F.array_sort(EQ.equipment_items("equipment")), "|")
+    return typed.select(*BATCH_OUT, items.alias("equipment_items"))

@@ -116,12 +116,6 @@ RENAME_MAP = {
     "Odzyskiwanie energii hamowania": "brake_energy_recovery", "Liczba baterii": "number_of_batteries",
 }
 
-# Tak/Nie columns of the batch CSV (after renaming).
-BOOL_COLUMNS = (
-    "accident_free", "registered_in_poland", "first_owner",
-    "serviced_at_authorized_station", "has_registration_number", "brake_energy_recovery",
-)
-
 # Typed-cast spec of the batch CSV (after renaming).
 CAST_SPEC = {
     "number_of_doors": "tinyint", "number_of_seats": "tinyint", "production_year": "smallint",
@@ -131,7 +125,15 @@ CAST_SPEC = {
     "power_hp": "float", "co2_emissions_gpkm": "float", "urban_fuel_consumption_l_per_100km": "float",
     "extraurban_fuel_consumption_l_per_100km": "float", "average_energy_consumption_kwh_per_100km": "float",
     "battery_health_percent": "float", "max_electric_power_hp": "float", "engine_capacity_cm3": "float",
+    "accident_free": "boolean", "registered_in_poland": "boolean", "first_owner": "boolean",
+    "serviced_at_authorized_station": "boolean", "has_registration_number": "boolean",
+    "brake_energy_recovery": "boolean",
+    "make": "string", "model": "string", "version": "string", "color": "string", "generation": "string",
+    "fuel_type": "string", "body_type": "string", "color_type": "string", "transmission": "string",
+    "drive_type": "string", "country_of_origin": "string", "condition": "string",
+    "charging_connector_type": "string", "currency": "string", "price_level": "string",
 }
+DATE_SPEC = {"first_registration_date": "date", "advert_date": "timestamp"}
 
 # ---------------------------------------------------------------------------
 # Table schemas

@@ -2,38 +2,39 @@
 batch cleaner handles duplicates, '' vs NULL, bad units, NULL equipment."""
 from pyspark.sql import functions as F
 
+from carlot.operators import catalogue as CT
 from carlot.plans import jobs as J
 from tests.test_extract import CAPTCHA, OFFER_LAYOUT1, OFFER_LAYOUT2, RESULT_PAGE
 
-SEARCH = "https://site.example/osobowe/search"
-CFG = J.IngestConfig(max_pages=1, max_listings=1, base_url="https://site.example", run_ts="2026-05-13 00:00:00")
+SEARCH = "https://shop.example/osobowe/search"
+CFG = J.IngestConfig(max_pages=1, max_listings=1, base_url="https://shop.example", run_ts="2026-05-13 00:00:00")
+VAN, PICKUP = "https://shop.example/osobowe/oferta/van-70315", "https://shop.example/osobowe/oferta/pickup-70299?x=1&y=2"
 
 
-def _pages(spark, result_html=RESULT_PAGE):
+def _pages(spark, result_html=RESULT_PAGE, captures=1):
     rp = spark.createDataFrame([(1, 1, SEARCH + "?page=1", result_html, 200, None)],
                                "run long, page int, url string, html string, status_code int, retry_after string")
-    dp = spark.createDataFrame(
-        [("https://site.example/osobowe/oferta/car-a-ID1001.html", OFFER_LAYOUT1, 200, None),
-         ("https://site.example/osobowe/oferta/car-b-ID1002.html", OFFER_LAYOUT2, 200, None)],
-        "url string, html string, status_code int, retry_after string")
+    dp = spark.createDataFrame([(VAN, OFFER_LAYOUT1, 200, None), (PICKUP, OFFER_LAYOUT2.replace("70299", "70300"), 200, None)]
+                               * captures, "url string, html string, status_code int, retry_after string")
     return rp, dp
 
 
 def test_ingest_two_runs(spark):
-    rp, dp = _pages(spark)
-    t1, s1, _ = J.ingest(rp, dp, None, CFG)
-    s1 = s1.collect()[0]
-    assert (s1["saved_records"], s1["stopped_reason"], s1["pages_visited"], s1["listings_found"]) == \
-        (1, "max_listings", 1, 2)
-    t1 = spark.createDataFrame(t1.collect(), t1.schema)
-    assert [r["advert_id"] for r in t1.collect()] == ["1001"]
-    t2, s2, rej = J.ingest(rp, dp, t1, CFG)
-    s2 = s2.collect()[0]
-    assert (s2["saved_records"], s2["skipped_duplicates"], s2["stopped_reason"]) == (1, 1, None)
-    rows = {r["advert_id"]: r for r in t2.collect()}
-    assert set(rows) == {"1001", "1002"}                     # keyed on the reference id
-    assert rows["1002"]["make"] == "Toyota" and rows["1002"]["mileage_km"] is None
-    assert [r["reason"] for r in rej.collect()] == ["page id 1003"]
+    for captures in (1, 2):                                  # a page captured twice counts once
+        rp, dp = _pages(spark, captures=captures)
+        t1, s1, _ = J.ingest(rp, dp, None, CFG)
+        s1 = s1.collect()[0]
+        assert (s1["saved_records"], s1["stopped_reason"], s1["pages_visited"], s1["listings_found"]) == \
+            (1, "max_listings", 1, 2)
+        t1 = spark.createDataFrame(t1.collect(), t1.schema)
+        assert [r["advert_id"] for r in t1.collect()] == ["70315"]
+        t2, s2, rej = J.ingest(rp, dp, t1, CFG)
+        s2 = s2.collect()[0]
+        assert (s2["saved_records"], s2["skipped_duplicates"], s2["stopped_reason"]) == (1, 1, None)
+        rows = {r["advert_id"]: r for r in t2.collect()}
+        assert set(rows) == {"70315", "70299"}               # keyed on the reference id
+        assert rows["70299"]["make"] == "Mazda" and rows["70299"]["mileage_km"] == 311004
+        assert [r["reason"] for r in rej.collect()] == ["page id 70300"]
 
 
 def test_ingest_blocked_result_page(spark):
@@ -50,30 +51,41 @@ RAW_COLS = ["Marka pojazdu", "Model pojazdu", "Rok produkcji", "Przebieg", "Moc"
 
 
 def test_clean_batch(spark):
-    full = ["Toyota", "Corolla", "2020", "45 000 km", "90 kW", "1 798 cm3", "75 kWh", "Tak",
-            "ABS|Bezpieczeństwo| klimatyzacja ", "89 900", "PLN", "12 maja 2026 14:20", "1001", None]
-    blank_desc = full[:-1] + [""]
-    bad_unit = ["Ford", "Focus", "2015", "150 000 km", "125 KM", "999 cm3", "75 kW", "Nie", "ESP", "41 000",
-                "PLN", "3 października 2025 09:05", "1002", "opis\nw dwóch liniach"]
-    no_equipment = ["Ford", "Ka", "2010", "200 000 km", "69 KM", "1 242 cm3", None, None, None, "9 500", "PLN",
-                    "1 stycznia 2024 00:00", "1003", None]
-    raw = spark.createDataFrame([full, list(full), blank_desc, bad_unit, no_equipment],
+    twin = ["Mazda", "6", "2012", "187 650 km", "110 kW", "2 191 cm3", "60 kWh", "Nie",
+            "Hak|Komfort i dodatki| ESP ", "31 500", "EUR", "7 sierpnia 2023 08:15", "501", None]
+    blank_desc = twin[:-1] + [""]
+    bad_unit = ["Kia", "Ceed", "2016", "98 000 km", "100 KM", "1 396 cm3", "55 kW", "Tak", "Alarm", "44 900",
+                "PLN", "28 lutego 2022 23:59", "502", "opis\nw dwóch liniach"]
+    no_equipment = ["Kia", "Rio", "2009", "240 000 km", "97 KM", "1 399 cm3", None, None, None, "8 200", "PLN",
+                    "2 stycznia 2021 00:00", "503", None]
+    raw = spark.createDataFrame([twin, list(twin), blank_desc, bad_unit, no_equipment],
                                 ", ".join(f"`{c}` string" for c in RAW_COLS))
-    listings, options, bridge, missing = J.clean_batch(raw, parity=True)
+    typed, missing = J.clean_batch(raw, parity=True)
+    listings, options, bridge = J.star_tables(J.number_listings(typed))
     rows = {r["advert_id"]: r for r in listings.collect()}
-    assert set(rows) == {1001, 1002, 1003}
-    a = rows[1001]
-    assert a["make"] == "Toyota" and a["mileage_km"] == 45000 and a["engine_capacity_cm3"] == 1798.0
-    assert abs(a["power_hp"] - 122.3658) < 1e-3 and a["battery_capacity_kwh"] == 75.0
-    assert a["accident_free"] is True and a["price"] == 89900.0 and a["production_year"] == 2020
-    assert str(a["advert_date"]) == "2026-05-12 14:20:00"
-    assert rows[1002]["battery_capacity_kwh"] is None and rows[1002]["accident_free"] is False
+    assert set(rows) == {501, 502, 503}
+    a = rows[501]
+    assert a["make"] == "Mazda" and a["mileage_km"] == 187650 and a["engine_capacity_cm3"] == 2191.0
+    assert abs(a["power_hp"] - 149.5582) < 1e-3 and a["battery_capacity_kwh"] == 60.0
+    assert a["accident_free"] is False and a["price"] == 31500.0 and a["production_year"] == 2012
+    assert str(a["advert_date"]) == "2023-08-07 08:15:00"
+    assert rows[502]["battery_capacity_kwh"] is None and rows[502]["accident_free"] is True
     assert sorted(r["local_id"] for r in rows.values()) == [1, 2, 3]
-    assert [r["name"] for r in options.orderBy("id").collect()] == ["abs", "esp", "klimatyzacja"]
+    assert [r["name"] for r in options.orderBy("id").collect()] == ["alarm", "esp", "hak"]
     ids = {r["local_id"]: r["advert_id"] for r in listings.collect()}
     got = sorted((ids[r["listing_id"]], r["equipment_id"]) for r in bridge.collect())
-    assert got == [(1001, 0), (1001, 2), (1002, 1)]
-    assert "number_of_doors" in [r["column_name"] for r in missing.collect()]
+    assert got == [(501, 1), (501, 2), (502, 0)]
+    gone = {r["column_name"] for r in missing.collect()}
+    assert {"number_of_doors", "version", "first_owner", "first_registration_date", "price_level"} <= gone
+    assert not gone & {"make", "accident_free", "advert_date", "currency"} and len(gone) == 41 - 12
+
+
+def test_first_registration_formats(spark):
+    from carlot.functions.clean import any_date
+    texts = ["2020-05-12", "2020-05-12 10:00", "12.05.2020", "1/2/2019", "12 maja 2020", "31.02.2020", "", None, "soon"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [str(r[0]) for r in df.select(any_date("t")).collect()] == [
+        "2020-05-12", "2020-05-12", "2020-05-12", "2019-02-01", "2020-05-12", "None", "None", "None", "None"]
 
 
 def test_reports_run(spark):
@@ -102,6 +114,7 @@ def test_clean_titles(spark):
                               "`Seller Type` string, Price string")
     cat = spark.createDataFrame([("Skoda", "Octavia"), ("Skoda", "Octavia Combi"), ("Skoda", "RS"),
                                  ("Ford", "Focus"), ("Ford", "Ka"), ("Ford", "Ka+")], "brand string, model string")
+    cat = CT.with_order(cat.withColumn("at", F.monotonically_increasing_id()), ["at"])
     df, report = J.clean_titles([a, b], cat, run_date="2026-02-01")
     rows = {r["ID"]: r for r in df.collect()}
     assert set(rows) == {1.0, 3.0}                              # row 2 dropped: no Gearbox

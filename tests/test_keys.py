@@ -85,7 +85,7 @@ def test_prefix_sum_and_dense_index_brute_force(spark):
     data = [(rnd.choice([0, 0, 0, 1, 2]), i, rnd.randint(0, 5)) for i in range(3000)]  # group 0 is hot
     df = spark.createDataFrame(data, "g int, o int, v int")
     got = {(r["g"], r["o"]): r["run"] for r in
-           S.prefix_sum(df, "v", "run", group_cols=["g"], order_cols=["o"], num_partitions=7).collect()}
+           S.prefix_sum(df, "v", "run", group_cols=["g"], order_cols=["o"]).collect()}
     pdf = pd.DataFrame(data, columns=["g", "o", "v"]).sort_values(["g", "o"])
     pdf["run"] = pdf.groupby("g")["v"].cumsum()
     assert got == {(g, o): r for g, o, r in zip(pdf.g, pdf.o, pdf.run)}
@@ -98,12 +98,10 @@ def test_grouped_median_brute_force(spark):
     data = [(rnd.choice(["hot", "hot", "hot", "a", "b"]), float(rnd.randint(0, 1000))) for _ in range(2001)]
     data.append(("nulls", None))
     df = spark.createDataFrame(data, "k string, x double")
-    for strategy, limit in (("rank", None), ("builtin", None), ("auto", None), ("auto", 500)):
-        got = {r["k"]: r["median_x"] for r in
-               S.grouped_median(df, ["k"], ["x"], strategy=strategy, max_group_rows=limit).collect()}
-        for k in ("hot", "a", "b"):
-            assert got[k] == statistics.median([x for kk, x in data if kk == k]), (strategy, limit, k)
-        assert "nulls" not in got
+    got = {r["k"]: r["median_x"] for r in S.grouped_median(df, ["k"], ["x"]).collect()}
+    for k in ("hot", "a", "b"):
+        assert got[k] == statistics.median([x for kk, x in data if kk == k]), k
+    assert "nulls" not in got
     q = S.grouped_percentiles(df.where("k = 'a'"), ["k"], ["x"], (0.25, 0.75)).collect()[0]
     import numpy as np
     xs = [x for kk, x in data if kk == "a"]
@@ -119,7 +117,7 @@ def test_dedup_idempotent_and_null_safe(spark):
     assert dup == 2
 
 
-def test_aggregate_with_medians_hot_route(spark):
+def test_aggregate_with_medians_hot_group(spark):
     rnd = random.Random(11)
     data = [(rnd.choice(["hot"] * 6 + ["a", "b", None]), float(rnd.randint(0, 500))) for _ in range(1500)]
     df = spark.createDataFrame(data, "k string, x double")
@@ -128,7 +126,6 @@ def test_aggregate_with_medians_hot_route(spark):
     for k in {kk for kk, _ in data}:
         xs = [x for kk, x in data if kk == k]
         want[k] = (len(xs), max(xs), statistics.median(xs))
-    for strategy, limit in (("auto", None), ("auto", 300), ("rank", None), ("builtin", None)):
-        got = {r["k"]: (r["n"], r["mx"], r["median_x"]) for r in
-               S.aggregate_with_medians(df, ["k"], aggs, ["x"], strategy=strategy, max_group_rows=limit).collect()}
-        assert got == want, (strategy, limit)
+    got = {r["k"]: (r["n"], r["mx"], r["median_x"]) for r in
+           S.aggregate_with_medians(df, ["k"], aggs, ["x"]).collect()}
+    assert got == want

@@ -21,6 +21,7 @@ def test_segments_cover_every_row(spark):
     tagged = SG.assign_segments(df, plan)
     assert tagged.count() == df.count()
     assert SG.segment_plan(df, limit=1000).collect()[0]["level"] == "all"
+    assert {r["listings"]: r["over_limit"] for r in SG.segment_plan(df, limit=5).collect()} == {5: False, 10: True}
     out = os.path.join(tempfile.mkdtemp(prefix="carlot-seg-"), "segments")
     SK.write_segments(tagged, out)
     assert sorted(d for d in os.listdir(out) if d.startswith("segment="))[0].startswith("segment=y_null")
@@ -49,7 +50,7 @@ def test_priced_projection_pushes_to_scan(spark):
     assert "extra" not in plan.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_scan_guard_keeps_pruning_and_pushdown(spark):
+def test_pruning_and_pushdown_reach_the_scan(spark):
     import __spark_entry__ as E
     from tests.conftest import SF0001
     df = E.queries()["known_key_anti_join"](spark, SF0001)

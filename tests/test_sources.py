@@ -1,5 +1,5 @@
 """Scans and sinks: landed HTML, all-string CSV with newlines, key lists,
-versioned tables, fixed-header CSV."""
+header binding, writers, fixed-header CSV."""
 import os
 import tempfile
 
@@ -26,8 +26,61 @@ def test_landed_html_and_csv(spark):
     df = FL.read_raw_csv(spark, csv_dir, ["advert_id", "description", "price"], glob="all_offers_*.csv")
     rows = sorted(df.collect())
     assert rows[0]["description"] == "two\nlines" and rows[1]["description"] is None
-    empty = FL.read_raw_csv(spark, os.path.join(d, "missing"), ["a"])
+    empty = FL.read_raw_csv(spark, os.path.join(d, "missing"), ["a"], allow_empty=True)
     assert empty.count() == 0 and empty.columns == ["a"]
+    with pytest.raises(Exception, match="(?i)not.exist|not.found"):
+        FL.read_raw_csv(spark, os.path.join(d, "missing"), ["a"])
+
+
+def test_csv_columns_bind_by_header(spark):
+    d = tempfile.mkdtemp(prefix="carlot-hdr-")
+    for name, text in (("all_1.csv", "a,b,c\n1,2,3\n"), ("all_2.csv", "c,a\n30,10\n31,11\n"), ("all_3.csv", "a,b,c\n7,,9\n"),
+                       ("other.csv", "a\n99\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    got = sorted((r["a"], r["b"], r["c"]) for r in FL.read_raw_csv(spark, d, ["a", "b", "c"], glob="all_*.csv").collect())
+    assert got == [("1", "2", "3"), ("10", None, "30"), ("11", None, "31"), ("7", None, "9")]
+    assert FL.read_raw_csv(spark, d, glob="all_*.csv").columns == ["a", "b", "c"]
+    assert FL.read_raw_csv(spark, d, ["x"], glob="all_2.csv").collect()[0]["x"] is None
+
+
+def test_catalogue_keeps_the_order_of_its_file(spark):
+    p = os.path.join(tempfile.mkdtemp(prefix="carlot-cat-"), "cat.csv")
+    rows = [("Bentley", "Azure"), ("BMW", "X1"), ("abarth", "500"), ("BMW", "M3")]
+    with open(p, "w") as f:
+        f.write("Brand,Model\n" + "".join(f"{b},{m}\n" for b, m in rows))
+    cat = FL.read_catalogue(spark, p)
+    assert [(r["brand"], r["model"]) for r in cat.orderBy("ord").collect()] == rows
+    from carlot.operators import catalogue as CT
+    t = spark.createDataFrame([(1, "Bentley swap for BMW X1"), (2, "Abarth 500")], "row_id long, title string")
+    assert {r["row_id"]: r["make"] for r in CT.tag_make(t, cat).collect()} == {1: "BMW", 2: "abarth"}
+    with pytest.raises(ValueError):
+        CT.tag_make(t, cat.drop("ord"))
+    out = os.path.join(os.path.dirname(p), "out")
+    SK.write_catalogue(cat, out)
+    assert [(r["brand"], r["model"]) for r in FL.read_catalogue(spark, out).orderBy("ord").collect()] == rows
+
+
+def test_writers(spark):
+    d = tempfile.mkdtemp(prefix="carlot-wr-")
+    df = spark.createDataFrame([(1, "x", None), (2, "y", 2.5)], "k int, s string, v double")
+    back = SK.write_checked(df, f"{d}/t")
+    assert back.dtypes == df.dtypes and back.count() == 2
+    with pytest.raises(ValueError):
+        SK.write_checked(df.withColumn("d", F.lit("1")), f"{d}/p", ["d"])      # the partition reads back as a number
+    SK.write_merged([df.select("k"), df.select("s", "k")], f"{d}/m", ["k", "s"])
+    assert FL.read_raw_csv(spark, f"{d}/m", glob="*.csv").count() == 4
+    pages = spark.createDataFrame([("u1", "<p>", "2026-01-01"), ("u2", "<p>", "2026-01-02")], "url string, html string, run_date string")
+    SK.write_pages(pages, f"{d}/pages")
+    SK.write_pages(pages.where("run_date = '2026-01-02'").withColumn("url", F.lit("u3")), f"{d}/pages")
+    assert sorted(r["url"] for r in spark.read.parquet(f"{d}/pages").collect()) == ["u1", "u3"]
+    SK.append_keys(df.select("k"), f"{d}/keys")
+    SK.append_keys(df.select("k"), f"{d}/keys")
+    assert spark.read.parquet(f"{d}/keys").count() == 4
+    SK.write_star(df, df, df, f"{d}/star")
+    assert sorted(os.listdir(f"{d}/star")) == ["equipment_options", "listing_equipment", "listings"]
+    SK.write_json(df, f"{d}/json")
+    assert spark.read.json(f"{d}/json").where("v is null").count() == 1
 
 
 def test_seen_ids(spark):
@@ -39,21 +92,6 @@ def test_seen_ids(spark):
     assert FL.read_seen_ids(spark, os.path.join(d, "nope.csv")).count() == 0
 
 
-def test_versioned_table_and_reset(spark):
-    base = tempfile.mkdtemp(prefix="carlot-tbl-")
-    schema = "k string, v int"
-    t = SK.create_if_missing(spark, base, schema)
-    assert t.count() == 0
-    v1 = SK.write_version(spark.createDataFrame([("a", 1)], schema), base)
-    cur = SK.read_table(spark, base)
-    v2 = SK.write_version(cur.union(spark.createDataFrame([("b", 2)], schema)), base)
-    assert v1 != v2 and SK.current_version(spark, base) == v2
-    assert sorted(tuple(r) for r in SK.read_table(spark, base).collect()) == [("a", 1), ("b", 2)]
-    with pytest.raises(PermissionError):
-        SK.reset_table(spark, base, schema)
-    assert SK.reset_table(spark, base, schema, confirm=True).count() == 0
-
-
 def test_fixed_header_csv(spark):
     d = os.path.join(tempfile.mkdtemp(prefix="carlot-out-"), "out")
     df = spark.createDataFrame([(1, None)], "a int, b string")
@@ -84,12 +122,3 @@ def test_table_info(spark):
     assert got == {"a": ("int", 2, 2), "b": ("string", 2, 1)}
 
 
-def test_pointer_fallback_after_interrupted_swap(spark):
-    base = tempfile.mkdtemp(prefix="carlot-ptr-")
-    schema = "k string"
-    SK.write_version(spark.createDataFrame([("a",)], schema), base)
-    v2 = SK.write_version(spark.createDataFrame([("b",)], schema), base)
-    # simulate a writer that died after deleting _current but before the rename
-    os.rename(os.path.join(base, "_current"), os.path.join(base, f"_current.{v2}"))
-    assert SK.current_version(spark, base) == v2
-    assert [r["k"] for r in SK.read_table(spark, base).collect()] == ["b"]
