@@ -244,6 +244,11 @@ def long_config(capacity_cm3, fuel, gearbox) -> Column:
                     F.coalesce(_c(gearbox), F.lit("unknown")))
 
 
+def model_label(make, model, sep: str = " ") -> Column:
+    """``make<sep>model`` display label; NULL when either is NULL."""
+    return F.concat(_c(make), F.lit(sep), _c(model))
+
+
 def usage_per_year(median_mileage, year, reference_year: int = REFERENCE_YEAR) -> Column:
     """Median mileage / age, rounded half-even; age 0 -> NULL (no division error)."""
     return F.rint(F.try_divide(_c(median_mileage), F.lit(reference_year) - _c(year)))

@@ -560,3 +560,75 @@ SELECT DISTINCT make, model, p_name AS version, split_part(p_name, ' ', 1) AS co
          AS equipment_items
 FROM listings
 """
+
+# --- remaining operators ----------------------------------------------------------------------
+
+SQL["unit_measures_rest"] = w(LISTINGS) + f"""
+SELECT {_K}, CASE WHEN l_linenumber <> 7 THEN CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) END AS range_km,
+       CAST(p_size AS DOUBLE) AS co2_emissions_gpkm, p_size + 0.5::DOUBLE AS urban_fuel_consumption_l_per_100km,
+       CAST(p_size AS DOUBLE) AS extraurban_fuel_consumption_l_per_100km,
+       p_size + 0.25::DOUBLE AS average_energy_consumption_kwh_per_100km,
+       CASE WHEN l_linenumber > 1 THEN CAST(l_linenumber + 90 AS DOUBLE) END AS battery_health_percent,
+       CASE WHEN l_linenumber <> 6 THEN CAST(p_size AS DOUBLE) END AS max_electric_power_hp
+FROM listings
+"""
+
+SQL["unit_rejects"] = w(LISTINGS) + f"""
+SELECT {_K}, 'range_km' AS measure, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' mil' AS raw, 'mil' AS unit
+FROM listings WHERE l_linenumber = 7
+UNION ALL
+SELECT {_K}, 'max_electric_power_hp', CAST(p_size AS VARCHAR) || ' KM', 'KM' FROM listings WHERE l_linenumber = 6
+"""
+
+SQL["median_hot_group"] = """
+SELECT CASE WHEN l_linenumber < 7 THEN 'hot' ELSE l_returnflag END AS grp, COUNT(*) AS n,
+       quantile_cont(l_quantity::DOUBLE, 0.25) AS p25_l_quantity, quantile_cont(l_quantity::DOUBLE, 0.5) AS p50_l_quantity,
+       quantile_cont(l_quantity::DOUBLE, 0.75) AS p75_l_quantity
+FROM lineitem GROUP BY 1
+"""
+
+SQL["config_labels"] = w(LISTINGS) + """
+SELECT CAST(engine_capacity_cm3 AS VARCHAR) || 'L | ' || COALESCE(fuel_type, 'unknown') || ' | '
+         || COALESCE(transmission, 'unknown') AS config_long,
+       make || ' ' || model AS model_label, COUNT(*) AS listings
+FROM listings GROUP BY 1, 2
+"""
+
+SQL["scrape_dates"] = """
+SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) - INTERVAL 32 DAY, '%Y-%m-%d') AS scrape_date FROM orders
+"""
+
+SQL["coercion_report"] = """
+WITH t AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority WHEN o_orderkey % 11 = 0 THEN ''
+                       ELSE CAST(o_totalprice AS VARCHAR) END AS p, CAST(o_custkey AS VARCHAR) AS c FROM orders)
+SELECT 'price_text' AS column_name, COUNT(*) FILTER (p <> '' AND try_cast(p AS DOUBLE) IS NULL) AS invalid,
+       COUNT(*) FILTER (p IS NULL OR p = '') AS missing FROM t
+UNION ALL SELECT 'customer_text', COUNT(*) FILTER (try_cast(c AS BIGINT) IS NULL AND c IS NOT NULL),
+       COUNT(*) FILTER (c IS NULL OR c = '') FROM t
+"""
+
+SQL["numeric_profile"] = w(LISTINGS) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT({c}) AS non_null, COUNT(*) - COUNT({c}) AS nulls FROM listings"
+    for c in ("advert_id", "production_year", "price", "mileage_km", "engine_capacity_cm3"))
+
+SQL["segment_files"] = w(LISTINGS) + """,
+y AS (SELECT production_year AS py, COUNT(*) > 2300 AS split FROM listings GROUP BY 1),
+t AS (SELECT COUNT(*) AS n FROM listings)
+SELECT CASE WHEN t.n <= 2300 THEN 'all'
+            WHEN y.split THEN 'yg_' || COALESCE(CAST(production_year AS VARCHAR), 'null') || '_' || transmission
+            ELSE 'y_' || COALESCE(CAST(production_year AS VARCHAR), 'null') END AS segment, COUNT(*) AS listings
+FROM listings JOIN y ON production_year IS NOT DISTINCT FROM y.py CROSS JOIN t GROUP BY 1
+"""
+
+SQL["text_normalize"] = """
+SELECT doc_id, sha256(trim(regexp_replace(replace(text, chr(160), ' '), '\\s+', ' ', 'g'))) AS text_sha256 FROM documents
+"""
+
+SQL["clean_titles"] = w(LISTINGS) + """
+SELECT CAST((l_orderkey * 8 + l_linenumber) * 100000000 + l_partkey * 1000 + l_suppkey % 1000 AS DOUBLE) AS ID,
+       make AS Make, model AS Model, CAST(mileage_km AS DOUBLE) AS mileage_km, floor(price) AS Price,
+       CAST(production_year AS DOUBLE) AS Year, CAST(engine_capacity_cm3 AS DOUBLE) AS engine_capacity,
+       CAST(p_size AS DOUBLE) AS Power, CASE WHEN l_linenumber % 2 = 0 THEN 'Dealer' END AS seller_type,
+       'Kraków' AS City, 'Małopolskie' AS Province, '2025-12-31' AS scraping_date
+FROM listings WHERE price IS NOT NULL
+"""

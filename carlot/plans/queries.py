@@ -207,6 +207,7 @@ def q_description_extract(spark, sf):
 from carlot.operators import keys as K  # noqa: E402
 from carlot.operators import quality as Q  # noqa: E402
 from carlot.operators import replay as R  # noqa: E402
+from carlot.operators import scans as SC  # noqa: E402
 
 LISTING_COLUMNS = ["advert_id", "source", "make", "model", "production_year", "price", "currency",
                    "mileage_km", "fuel_type", "transmission", "engine_capacity_cm3", "advert_date"]
@@ -542,3 +543,106 @@ def q_batch_export_chain(spark, sf):
     typed, _ = J.clean_batch(raw)
     items = F.array_join(F.array_sort(EQ.equipment_items("equipment")), "|")
     return typed.select(*BATCH_OUT, items.alias("equipment_items"))
+
+
+# --- operators the queries above don't reach -------------------------------------------------
+
+def spec_text(spark, sf):
+    """Raw text of the remaining unit measures, with wrong units on lines 6 and 7."""
+    lst = listings(spark, sf)
+    size, qty = F.col("p_size").cast("string"), F.col("l_quantity").cast("int").cast("string")
+    ln = F.col("l_linenumber")
+    return lst.select(
+        *_KEYS, F.concat(qty, F.when(ln == 7, " mil").otherwise(" km")).alias("Autonomia"),
+        F.concat(size, F.lit(" g/km")).alias("Emisja CO2"), F.concat(size, F.lit(".5 l/100km")).alias("Spalanie W Mieście"),
+        F.concat(size, F.lit(" l/100 km")).alias("Spalanie Poza Miastem"),
+        F.concat(size, F.lit(".25 kWh/100km")).alias("Średnie zużycie"),
+        F.when(ln > 1, F.concat((ln + 90).cast("string"), F.lit(" %"))).alias("Kondycja baterii"),
+        F.concat(size, F.when(ln == 6, " KM").otherwise(" HP")).alias("Elektryczna moc maksymalna HP"))
+
+
+@query("unit_measures_rest")
+def q_unit_measures_rest(spark, sf):
+    """The other measures, bad units to NULL."""
+    return MS.clean_measures(spec_text(spark, sf), parity=True)
+
+
+@query("unit_rejects")
+def q_unit_rejects(spark, sf):
+    """K5: the rows whose unit is not allowed."""
+    return MS.unit_violations(spec_text(spark, sf), _KEYS, parity=True)
+
+
+@query("median_hot_group")
+def q_median_hot_group(spark, sf):
+    """Exact quartiles where one group holds most rows and few distinct values."""
+    li = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") < 7, "hot").otherwise(F.col("l_returnflag")).alias("grp"), "l_quantity")
+    return SC.aggregate_with_percentiles(li, ["grp"], [F.count(F.lit(1)).alias("n")], ["l_quantity"], (0.25, 0.5, 0.75))
+
+
+@query("config_labels")
+def q_config_labels(spark, sf):
+    """Long configuration and make-model labels, counted."""
+    lst = listings(spark, sf)
+    return lst.groupBy(C.long_config("engine_capacity_cm3", "fuel_type", "transmission").alias("config_long"),
+                       C.model_label("make", "model").alias("model_label")).agg(F.count(F.lit(1)).alias("listings"))
+
+
+@query("scrape_dates")
+def q_scrape_dates(spark, sf):
+    """The scrape-date stamp of every order date."""
+    return table(spark, sf, "orders").select("o_orderkey", C.scrape_date_stamp("o_orderdate").alias("scrape_date"))
+
+
+@query("coercion_report")
+def q_coercion_report(spark, sf):
+    """Values that don't convert, per column."""
+    orders = table(spark, sf, "orders")
+    text = (F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderpriority")).when(F.col("o_orderkey") % 11 == 0, F.lit(""))
+            .otherwise(F.col("o_totalprice").cast("string")))
+    df = orders.select(text.alias("price_text"), F.col("o_custkey").cast("string").alias("customer_text"))
+    return Q.coerce_failures(df, {"price_text": "double", "customer_text": "bigint"})
+
+
+@query("numeric_profile")
+def q_numeric_profile(spark, sf):
+    """The numeric columns, found by type, profiled."""
+    lst = listings(spark, sf).select(*LISTING_COLUMNS)
+    return Q.column_profile(lst, Q.columns_by_kind(lst, "numeric"), distinct=False)
+
+
+@query("segment_files")
+def q_segment_files(spark, sf):
+    """L2: listings written by segment, one folder each, and counted from there."""
+    lst = listings(spark, sf)
+    tagged = SG.assign_segments(lst, SG.segment_plan(lst, SEGMENT_LIMIT))
+    path = scratch_path(spark, "segments")
+    SK.write_segments(tagged.select("segment", "advert_id"), path)
+    return spark.read.parquet(path).groupBy("segment").agg(F.count(F.lit(1)).alias("listings"))
+
+
+@query("text_normalize")
+def q_text_normalize(spark, sf):
+    """C1 over every document."""
+    docs = table(spark, sf, "documents")
+    return docs.select("doc_id", F.sha2(F.encode(C.normalize_text("text"), "UTF-8"), 256).alias("text_sha256"))
+
+
+@query("clean_titles")
+def q_clean_titles(spark, sf):
+    """Two exports with differing columns -> typed listings tagged from the catalogue."""
+    lst = listings(spark, sf)
+    key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey") % 1000
+    rows = lst.select(
+        "l_linenumber", key.cast("string").alias("ID"), C.model_label("make", F.initcap("model")).alias("Title"),
+        F.concat(F.lit("Silnik "), thousands("engine_capacity_cm3"), F.lit("cm3, "), F.col("p_size"), F.lit(" KM")).alias("Description"),
+        F.concat(thousands("mileage_km"), F.lit(" km")).alias("Mileage"), F.col("transmission").alias("Gearbox"),
+        F.col("production_year").cast("string").alias("Year"), F.lit("Kraków (Małopolskie)").alias("Location"),
+        F.concat(thousands(F.floor("price")), F.lit(" PLN")).alias("Price"))
+    a = rows.where("l_linenumber % 2 = 0").drop("l_linenumber").withColumn("Seller Type", F.lit("Dealer"))
+    b = rows.where("l_linenumber % 2 = 1").drop("l_linenumber")
+    df, _ = J.clean_titles([a, b], catalogue_from_parts(spark, sf), run_date="2026-02-01")
+    return df.select("ID", "Make", "Model", F.col("Mileage in km").alias("mileage_km"), "Price", "Year",
+                     F.col("Engine capacity").alias("engine_capacity"), "Power", F.col("Seller Type").alias("seller_type"),
+                     "City", "Province", F.col("Scraping Date").alias("scraping_date"))
