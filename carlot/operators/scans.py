@@ -9,9 +9,9 @@ The shape of every scan is the same:
    across many partitions by the range bounds. The number of partitions is
    left to AQE, which sizes them by the data;
 2. in the same stage each partition adds up its running sums, streaming, and
-   notes its own number; the result is cut with a reliable ``checkpoint()``;
+   notes its own number; the result is stored in the shared folder;
 3. per-group offsets come from a table with one row per ``(partition, group)``,
-   and join back. The rows themselves are shuffled once.
+   and join back; it is broadcast when its files are small.
 
 Percentiles run the scan over one row per distinct value, so neither a hot
 group nor a hot value lands in one task.
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carlot.session import ensure_checkpoint_dir, ship_package
+from carlot.session import ship_package, stored
 
 _PID, _GROUP, _LOCAL = "__pid", "__group", "__local"
 
@@ -76,19 +76,20 @@ def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=
     ``inclusive=False`` gives the sum of strictly earlier rows. Ties in
     ``order_cols`` are broken by the sort position, so pass a total order.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    ship_package(spark)
+    ship_package(df.sparkSession)
     g = _cols(group_cols)
     keys = g + _cols(order_cols)
     d = df.withColumn(value, F.col(value).cast("bigint")).withColumn(
         _GROUP, F.xxhash64(*g) if g else F.lit(0).cast("bigint"))
     d = d.repartitionByRange(*keys).sortWithinPartitions(*keys)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
-    s = d.mapInArrow(lambda it: running_sums(it, value), f"{kinds}, {_LOCAL} bigint, {_PID} bigint").checkpoint()
+    s = stored(d.mapInArrow(lambda it: running_sums(it, value), f"{kinds}, {_LOCAL} bigint, {_PID} bigint"), "running-sums")
     before = Window.partitionBy(_GROUP).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     totals = s.groupBy(_PID, _GROUP).agg(F.sum(value).alias("__total"))
-    offsets = totals.select(_PID, _GROUP, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"))
+    # At most a row per partition and one per group. Stored, so that the planner
+    # knows its size: usually it is broadcast and the rows stay where they are.
+    offsets = stored(totals.select(_PID, _GROUP, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before")),
+                     "scan-offsets")
     run = F.col(_LOCAL) + F.col("__before")
     if not inclusive:
         run = run - F.coalesce(F.col(value), F.lit(0))
@@ -129,7 +130,7 @@ def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), name=_label)
     gk = [*keys, "__metric"]
     hist = _stack(df, keys, columns).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__n"))
     ranked = prefix_sum(hist, "__n", "__upto", group_cols=gk, order_cols=["__v"])
-    sizes = ranked.groupBy(*gk).agg(F.max("__upto").alias("__size"))
+    sizes = stored(ranked.groupBy(*gk).agg(F.max("__upto").alias("__size")), "group-sizes")
     j = join_null_safe(ranked, sizes, gk)
     out = []
     for c in columns:

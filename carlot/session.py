@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; all of them are plain Spark options.
 SCALE_CONF = {
@@ -82,6 +82,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table under the shared folder and read it back: cuts
+    the lineage, survives lost executors, and gives the planner real sizes."""
+    path = scratch_path(df.sparkSession, name)
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
