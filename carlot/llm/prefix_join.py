@@ -14,7 +14,8 @@ common (all of them, for smaller sets). The steps:
 3. The postings of a shingle meet in one sorted stream. Up to ``SMALL``
    documents give their pairs of fitting size, and a pair goes on if it met in
    SHARED shingles. More documents than that are not paired: they go on as a
-   cluster around the least one, for each band of fitting sizes.
+   cluster around the least one, for each band of fitting sizes. A task keeps
+   HOLD rows of a bucket at most; larger ones get their centre by a join.
 4. Documents of equal sets are replaced by one of them. The texts of those that
    are left go to the blocks of their clusters, of bounded size, as sets. A
    block is verified against its cluster's centre; only members that don't link
@@ -51,6 +52,8 @@ PERCENT = 75
 SHARED = 6
 #: Largest number of documents of a shingle that are paired directly.
 SMALL = 32
+#: Rows of one larger bucket that a task keeps; beyond that Spark joins them.
+HOLD = 100_000
 #: Frequent shingles that are put last, and occurrences in a batch that make
 #: one a candidate.
 HOT, HOT_LEAST = 1 << 17, 4
@@ -158,50 +161,78 @@ def post_prefixes(batches: Iterator[pa.RecordBatch], k: int, hot: np.ndarray, ti
 _MEETINGS = "kind int, a bigint, b bigint, n int"
 
 
-def meet(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.RecordBatch]:
-    """Buckets of a stream sorted by token: kind 0 rows (a, b, SHARED or less
-    if their sets are smaller) for the pairs of small buckets, kind 1 rows
-    (token, id, n) for large ones. Holds ``small`` rows across batches."""
+def small_pairs(token: np.ndarray, n: np.ndarray, key: np.ndarray, at: np.ndarray, size: np.ndarray, small: int):
+    """(kind 0, a, b, shingles they must share) for the pairs of fitting size."""
+    out = []
+    for s in np.unique(size[(size > 1) & (size <= small)]).tolist():
+        i, j = np.triu_indices(s, 1)
+        start = at[size == s][:, None]
+        x, y = (start + i).ravel(), (start + j).ravel()
+        lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        fit = (lo * 100 >= hi * PERCENT) & (key[x] != key[y])
+        x, y, hi = x[fit], y[fit], hi[fit]
+        out.append([np.zeros(len(x), np.int32), np.minimum(key[x], key[y]), np.maximum(key[x], key[y]),
+                    np.minimum(SHARED, least_overlap(hi)).astype(np.int32)])
+    return out
+
+
+def stars(bucket: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+    """(kind 2, centre, member, band), distinct, for whole large buckets."""
+    band = np.floor(np.log(n.astype(np.float64)) / np.log(100.0 / PERCENT) + 1e-9).astype(np.int64)
+    g, k = np.concatenate([bucket, bucket]), np.concatenate([key, key])
+    band = np.concatenate([band, band - 1])
+    order = np.lexsort((k, band, g))
+    g, band, k = g[order], band[order], k[order]
+    first = np.concatenate([[True], (g[1:] != g[:-1]) | (band[1:] != band[:-1])])
+    p = np.repeat(k[first], np.diff(np.append(np.flatnonzero(first), len(k))))
+    rows = np.unique(np.stack([p, k, band + 2], axis=1)[p != k], axis=0)
+    return [np.full(len(rows), 2, np.int32), rows[:, 0], rows[:, 1], rows[:, 2].astype(np.int32)]
+
+
+def meet(batches: Iterator[pa.RecordBatch], small: int, hold: int) -> Iterator[pa.RecordBatch]:
+    """Buckets of a stream sorted by token: kind 0 rows for the pairs of small
+    buckets, kind 2 rows (centre, member, band) for larger ones, and, since at
+    most ``hold`` rows of one bucket are kept, kind 1 rows (token, id, n) for
+    those beyond, whose centre Spark finds."""
     names = ["kind", "a", "b", "n"]
     held: list[np.ndarray] = [np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)]
     open_token = None
 
-    def pairs(token: np.ndarray, n: np.ndarray, key: np.ndarray) -> Iterator[list[np.ndarray]]:
-        at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
+    def whole(token: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[list[np.ndarray]]:
+        if not len(token):
+            return []
+        at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(at, len(token)))
-        for s in np.unique(size[(size > 1) & (size <= small)]).tolist():
-            i, j = np.triu_indices(s, 1)
-            start = at[size == s][:, None]
-            x, y = (start + i).ravel(), (start + j).ravel()
-            lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-            fit = (lo * 100 >= hi * PERCENT) & (key[x] != key[y])
-            x, y, hi = x[fit], y[fit], hi[fit]
-            yield [np.zeros(len(x), np.int32), np.minimum(key[x], key[y]), np.maximum(key[x], key[y]),
-                   np.minimum(SHARED, least_overlap(hi)).astype(np.int32)]
-        big = np.flatnonzero(np.repeat(size > small, size)) if len(token) else at
-        yield [np.ones(len(big), np.int32), token[big], key[big], n[big]]
-
-    def batch(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
+        parts = small_pairs(token, n, key, at, size, small)
+        big = np.repeat(size > small, size)
+        if big.any():
+            parts.append(stars(token[big], n[big], key[big]))
+        return parts
+
+    def batch(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
 
     for b in batches:
         got = [b.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "id")]
         token, n, key = (np.concatenate([h, g]) for h, g in zip(held, got, strict=True))
         parts = []
         if open_token is not None and len(token):
-            # more of a large bucket whose first rows went on already
+            # more of a bucket whose first rows went on already
             more = int(np.searchsorted(token, open_token, "right"))
             parts.append([np.ones(more, np.int32), token[:more], key[:more], n[:more]])
             token, n, key = token[more:], n[more:], key[more:]
             if len(token):
                 open_token = None
         last = int(np.searchsorted(token, token[-1])) if len(token) else 0
-        if len(token) - last > small:
-            open_token, last = int(token[-1]), len(token)
-        parts += pairs(token[:last], n[:last], key[:last])
+        parts += whole(token[:last], n[:last], key[:last])
         held = [token[last:], n[last:], key[last:]]
-        yield batch(parts)
-    yield batch(list(pairs(*held)))
+        if len(held[0]) > hold:
+            open_token = int(held[0][0])
+            parts.append([np.ones(len(held[0]), np.int32), held[0], held[2], held[1]])
+            held = [x[:0] for x in held]
+        yield from batch(parts)
+    yield from batch(whole(*held))
 
 
 def size_band(n):
@@ -217,8 +248,9 @@ def clusters(meetings: DataFrame) -> DataFrame:
         F.col("a").alias("token"), F.col("b").alias("y"),
         F.explode(F.array(size_band(F.col("n")), size_band(F.col("n")) - 1)).alias("band"))
     centre = written(large.groupBy("token", "band").agg(F.min("y").alias("p")), "bucket-centres")
-    star = large.join(centre, ["token", "band"]).where("p <> y").select("p", F.col("band") + 2, "y")
-    return pairs.unionAll(star).distinct()
+    star = large.join(centre, ["token", "band"]).where("p <> y").select("p", (F.col("band") + 2).alias("band"), "y")
+    near = meetings.where("kind = 2").select(F.col("a").alias("p"), F.col("n").alias("band"), F.col("b").alias("y"))
+    return pairs.unionByName(near).unionByName(star).distinct()
 
 
 _PLACE = ["p", "band", "block", "part", "role", "id"]
@@ -371,7 +403,7 @@ def edges_of(members: DataFrame, texts: DataFrame, k: int = SHINGLE, block_size:
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-                    small: int = SMALL, block_size: int = BLOCK_SIZE, hot: int = HOT,
+                    small: int = SMALL, hold: int = HOLD, block_size: int = BLOCK_SIZE, hot: int = HOT,
                     hot_least: int = HOT_LEAST) -> tuple[DataFrame, DataFrame]:
     """(rows, components): (id, n, d1, d2) for every row, and (node, component)
     for the ids that link to others."""
@@ -387,7 +419,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     real = d.where("id is not null")
     posted = real.mapInArrow(lambda it: post_prefixes(it, k, token, times), "token bigint, n int, id bigint")
     sorted_posts = posted.repartition("token").sortWithinPartitions("token")
-    meetings = written(sorted_posts.mapInArrow(lambda it: meet(it, small), _MEETINGS), "meetings")
+    meetings = written(sorted_posts.mapInArrow(lambda it: meet(it, small, hold), _MEETINGS), "meetings")
     # documents with equal sets are one from here on
     same = written(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "set-classes")
     reps = rows.where("n > 0 and id is not null").join(same, ["n", "d1", "d2"]).select("id", "rep", "n").distinct()
