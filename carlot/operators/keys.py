@@ -65,6 +65,16 @@ def key_history(log: DataFrame, keys, ts: str) -> DataFrame:
     return log.groupBy(*_cols(keys)).agg(F.min(ts).alias("first_seen_at"), F.max(ts).alias("last_seen_at"))
 
 
+def latest_with_history(log: DataFrame, keys, order_cols, ts: str) -> DataFrame:
+    """F12/K3 in one aggregate: the latest row of each key and its first and
+    last sighting."""
+    keys = _cols(keys)
+    rest = [c for c in log.columns if c not in keys]
+    agg = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), _order_struct(order_cols)).alias("__r"),
+                                 F.min(ts).alias("first_seen_at"), F.max(ts).alias("last_seen_at"))
+    return agg.select(*keys, "__r.*", "first_seen_at", "last_seen_at")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys, columns, run_ts,
            order_cols=None, coalesce_missing: bool = False) -> DataFrame:
     """Keyed upsert as a set operation.

@@ -47,6 +47,9 @@ def ingest(result_pages: DataFrame, detail_pages: DataFrame, target: DataFrame |
            cfg: IngestConfig = IngestConfig()):
     """Replay captured crawls into the keyed listing table.
 
+    The runs of one call are crawls of one moment: none sees what another
+    saved. A later run belongs in a later call, with the new table as target.
+
     ``result_pages``: (run, page, url, html, status_code, retry_after);
     ``detail_pages``: (url, html, status_code, retry_after);
     ``target``: the current table (columns of ``schemas.LISTING_SCHEMA`` plus

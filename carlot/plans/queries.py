@@ -281,8 +281,7 @@ def q_upsert_latest(spark, sf):
     cut = F.lit(CUTOFF).cast("timestamp_ntz")
     cols = ["price", "make", "model", "production_year", "mileage_km", "advert_date"]
     old = lst.where(F.col("advert_date") < cut)
-    hist = K.key_history(old, ["source", "advert_id"], "advert_date")
-    target = K.last_per_key(old, ["source", "advert_id"], _ORDER).join(hist, ["source", "advert_id"])
+    target = K.latest_with_history(old, ["source", "advert_id"], _ORDER, "advert_date")
     batch = lst.where(F.col("advert_date") >= cut)
     return K.upsert(target, batch, ["source", "advert_id"], cols,
                     F.lit(RUN_TS).cast("timestamp_ntz"), order_cols=_ORDER)
