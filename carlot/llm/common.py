@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carlot.session import ensure_checkpoint_dir, ship_package
+from carlot.session import scratch_path, ship_package
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -27,19 +28,36 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: list[list] = []
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table under the shared checkpoint folder and read it
     back: cuts the lineage, survives lost executors, and gives the planner real
-    sizes. The files go when the driver's JVM ends."""
+    sizes. The files go when the driver's JVM ends, or with the enclosing
+    ``scratch()`` block unless ``keep``."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append((spark, path))
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables written inside go when the block ends; what is to outlive it must
+    be written with ``keep``."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _SCRATCH.pop():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table of constants, planned as literals (no Python worker)."""
     fields = [f.strip().split(" ", 1) for f in schema.split(",")]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carlot.llm.common import ascii_lower, written
+from carlot.llm.common import ascii_lower, scratch, written
 from carlot.llm.textarrays import BLOCK, LOWER_TABLE, slices, text_buffer
 
 PRIME = (1 << 31) - 1
@@ -148,8 +148,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             chunk: int = CHUNK, fold: int = PRIME) -> DataFrame:
     """(id, tid, keep_id, group_size, kept, sha), one row per input row."""
     prints = written(fingerprints(df, id_col, text_col, chunk, fold), "fingerprints")
-    odd = mismatches(df, prints, id_col, text_col, chunk).select(
-        F.col("id").alias("_id"), F.col("tid").alias("_tid"), F.lit(True).alias("odd"))
+    with scratch():
+        odd = written(mismatches(df, prints, id_col, text_col, chunk).select(
+            F.col("id").alias("_id"), F.col("tid").alias("_tid"), F.lit(True).alias("odd")), "fp-mismatches", keep=True)
     marked = prints.join(odd, (F.col("tid") == F.col("_tid")) & F.col("id").eqNullSafe(F.col("_id")), "left")
     marked = marked.withColumn("rest", F.when(F.col("odd"), F.col("sha")).otherwise(F.lit(b""))).drop("_id", "_tid", "odd")
     key = [*GROUP, "rest"]

@@ -29,7 +29,6 @@ table writes no segment and reads as an empty result.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 from carlot.llm.common import written
 from carlot.llm.textarrays import slices, text_buffer
 from carlot.llm.tokens import encoder, public_path, with_end
-from carlot.session import ensure_checkpoint_dir
+from carlot.session import scratch_path
 
 MAGIC = b"PFORSEG1"
 BLOCK = 128
@@ -252,7 +251,7 @@ def ids_report(docs: DataFrame) -> DataFrame:
     """Digest: write all documents, read the files back, and place each
     document among all ids."""
     spark = docs.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/token-ids-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "token-ids")
     write_ids(docs, path, public_path(TOKENIZER))
     d = written(read_documents(spark, path, with_ids=False), "token-digests")
     files = d.groupBy("part", "segment").agg(F.sum("n_tokens").alias("ids"))

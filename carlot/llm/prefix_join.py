@@ -11,11 +11,12 @@ common (all of them, for smaller sets). The steps:
 2. A second pass posts the prefixes. Documents with equal sets (hence equal
    prefixes and size) are one group from here on: inside a partition at once,
    across partitions by their digest.
-3. The postings of a shingle meet in one sorted stream. Up to ``SMALL``
-   documents give their pairs of fitting size, and a pair goes on if it met in
-   SHARED shingles. More documents than that are not paired: they go on as a
-   cluster around the least one, for each band of fitting sizes. A task keeps
-   HOLD rows of a bucket at most; larger ones get their centre by a join.
+3. The postings of a shingle meet in one sorted stream. Where a document has at
+   most ``SMALL`` partners of fitting size on average, they are paired, and a
+   pair goes on if it met in SHARED shingles. In denser buckets documents are not
+   paired: they go on as a cluster around the least one, for each band of fitting
+   sizes. A task keeps HOLD rows of a bucket at most; larger ones get their
+   centre by a join.
 4. Documents of equal sets are replaced by one of them. The texts of those that
    are left go to the blocks of their clusters, of bounded size, as sets. A
    block is verified against its cluster's centre; only members that don't link
@@ -24,8 +25,8 @@ common (all of them, for smaller sets). The steps:
    group of m copies gives about m edges.
 5. Components of the edges give every document its class.
 
-Nothing is capped: a pair that links shares SHARED shingles in small buckets,
-or one in a large bucket, where its cluster decides it.
+Nothing is capped: a pair that links shares SHARED shingles in thin buckets,
+or one in a dense bucket, where its cluster decides it.
 
 Defined cases: null, empty or blank texts have no shingle and link to nothing;
 a null id links to nothing and has a null component; rows that repeat an id
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carlot.llm.common import written
+from carlot.llm.common import scratch, written
 from carlot.llm.components import components
 from carlot.llm.textarrays import U64, mix, shingles, slices, text_buffer, words
 
@@ -50,8 +51,9 @@ SHINGLE = 5
 PERCENT = 75
 #: Shingles that the prefixes of a linked pair must share.
 SHARED = 6
-#: Largest number of documents of a shingle that are paired directly.
-SMALL = 32
+#: Pairs of fitting size per document, on average, up to which the documents of
+#: a shingle are paired directly.
+SMALL = 16
 #: Rows of one larger bucket that a task keeps; beyond that Spark joins them.
 HOLD = 100_000
 #: Frequent shingles that are put last, and occurrences in a batch that make
@@ -161,19 +163,15 @@ def post_prefixes(batches: Iterator[pa.RecordBatch], k: int, hot: np.ndarray, ti
 _MEETINGS = "kind int, a bigint, b bigint, n int"
 
 
-def small_pairs(token: np.ndarray, n: np.ndarray, key: np.ndarray, at: np.ndarray, size: np.ndarray, small: int):
-    """(kind 0, a, b, shingles they must share) for the pairs of fitting size."""
-    out = []
-    for s in np.unique(size[(size > 1) & (size <= small)]).tolist():
-        i, j = np.triu_indices(s, 1)
-        start = at[size == s][:, None]
-        x, y = (start + i).ravel(), (start + j).ravel()
-        lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-        fit = (lo * 100 >= hi * PERCENT) & (key[x] != key[y])
-        x, y, hi = x[fit], y[fit], hi[fit]
-        out.append([np.zeros(len(x), np.int32), np.minimum(key[x], key[y]), np.maximum(key[x], key[y]),
-                    np.minimum(SHARED, least_overlap(hi)).astype(np.int32)])
-    return out
+def fitting_pairs(n: np.ndarray, key: np.ndarray, row: np.ndarray, partners: np.ndarray) -> list[np.ndarray]:
+    """(kind 0, a, b, shingles they must share) for each of ``row`` with its
+    ``partners`` next rows, which are no smaller and still fit."""
+    x = np.repeat(row, partners)
+    y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(partners) - partners, partners)
+    other = key[x] != key[y]
+    x, y = x[other], y[other]
+    return [np.zeros(len(x), np.int32), np.minimum(key[x], key[y]), np.maximum(key[x], key[y]),
+            np.minimum(SHARED, least_overlap(n[y].astype(np.int64))).astype(np.int32)]
 
 
 def stars(bucket: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
@@ -190,10 +188,10 @@ def stars(bucket: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[np.ndarray
 
 
 def meet(batches: Iterator[pa.RecordBatch], small: int, hold: int) -> Iterator[pa.RecordBatch]:
-    """Buckets of a stream sorted by token: kind 0 rows for the pairs of small
-    buckets, kind 2 rows (centre, member, band) for larger ones, and, since at
-    most ``hold`` rows of one bucket are kept, kind 1 rows (token, id, n) for
-    those beyond, whose centre Spark finds."""
+    """Buckets of a stream sorted by token: kind 0 rows for the pairs of fitting
+    size where they are few, kind 2 rows (centre, member, band) for dense
+    buckets, and, since at most ``hold`` rows of one bucket are kept, kind 1 rows
+    (token, id, n) for those beyond, whose centre Spark finds."""
     names = ["kind", "a", "b", "n"]
     held: list[np.ndarray] = [np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)]
     open_token = None
@@ -201,12 +199,19 @@ def meet(batches: Iterator[pa.RecordBatch], small: int, hold: int) -> Iterator[p
     def whole(token: np.ndarray, n: np.ndarray, key: np.ndarray) -> list[list[np.ndarray]]:
         if not len(token):
             return []
-        at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        order = np.lexsort((key, n, token))
+        token, n, key = token[order], n[order], key[order]
+        first = np.concatenate([[True], token[1:] != token[:-1]])
+        at, bucket = np.flatnonzero(first), np.cumsum(first) - 1
         size = np.diff(np.append(at, len(token)))
-        parts = small_pairs(token, n, key, at, size, small)
-        big = np.repeat(size > small, size)
-        if big.any():
-            parts.append(stars(token[big], n[big], key[big]))
+        place = (bucket.astype(np.int64) << 32) + n
+        most = (bucket.astype(np.int64) << 32) + n.astype(np.int64) * 100 // PERCENT
+        partners = np.searchsorted(place, most, "right") - np.arange(len(n)) - 1
+        dense = (np.add.reduceat(partners, at) > small * size)[bucket]
+        row = np.flatnonzero(~dense & (partners > 0))
+        parts = [fitting_pairs(n, key, row, partners[row])]
+        if dense.any():
+            parts.append(stars(token[dense], n[dense], key[dense]))
         return parts
 
     def batch(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -410,13 +415,20 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     d = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     facts = written(d.mapInArrow(lambda it: make_facts(it, k, hot_least), _FACTS), "shingle-facts")
     rows = facts.where("n is not null").select("id", "n", "d1", "d2")
+    with scratch():
+        found = _linked_components(d.where("id is not null"), facts, rows, k, small, hold, block_size, hot)
+        return rows, written(found, "components", keep=True)
+
+
+def _linked_components(real: DataFrame, facts: DataFrame, rows: DataFrame, k: int, small: int, hold: int,
+                       block_size: int, hot: int) -> DataFrame:
+    """(node, component) of the ids that link; its tables are scratch."""
     # at most ``hot`` rows of two numbers
     top = (facts.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
            .orderBy(F.desc("times"), "token").limit(hot).toArrow())
     token, times = top.column("token").to_numpy().view(np.uint64), top.column("times").to_numpy()
     order = np.argsort(token)
     token, times = token[order], times[order]
-    real = d.where("id is not null")
     posted = real.mapInArrow(lambda it: post_prefixes(it, k, token, times), "token bigint, n int, id bigint")
     sorted_posts = posted.repartition("token").sortWithinPartitions("token")
     meetings = written(sorted_posts.mapInArrow(lambda it: meet(it, small, hold), _MEETINGS), "meetings")
@@ -430,13 +442,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     c = written(c.where("rp <> ry").select(F.col("rp").alias("p"), "band", F.col("ry").alias("y"), "n").distinct(), "clusters")
     links = edges_of(c, real, k, block_size)
     copies = reps.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    return rows, components(links.unionByName(copies))
+    return components(links.unionByName(copies))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, n_shingles, component_id), a row per input row."""
     rows, comps = link_components(docs, id_col, text_col, **options)
-    comps = written(comps, "components")
     j = rows.join(comps, rows["id"] == comps["node"], "left")
     return j.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 

@@ -221,8 +221,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col
     if not len(y) or y.min() == y.max():
         return None
     buf, offsets = text_buffer(t.column("text").combine_chunks())
-    rows, at = word_features(buf, offsets)
-    return TextCnn().fit(rows, at, y)
+    # a slice at a time: the driver holds the features of the sample, not the work arrays
+    parts = [word_features(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets, 1 << 20)]
+    at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in parts]))])
+    return TextCnn().fit(np.concatenate([r for r, _ in parts]), at, y)
 
 
 def score_texts(docs: DataFrame, model: TextCnn | None, text_col: str = "text") -> DataFrame:

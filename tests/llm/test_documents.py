@@ -146,7 +146,7 @@ def test_shards(docs, none, spark):
 
 @pytest.mark.parametrize("options", [{}, {"small": 2, "block_size": 100}, {"small": 2, "hot_least": 1, "block_size": 300},
                                      {"small": 3, "hot": 0},
-                                     {"small": 2, "hold": 3, "hot": 0}])
+                                     {"small": 0, "hold": 3, "hot": 0}, {"small": 0, "block_size": 200}])
 def test_near_components(docs, unique, options):
     got = {r.id: (r.n_shingles, r.component_id) for r in PJ.classes(small(docs).repartition(3), **options).collect()}
     assert got == R.near_components(unique)
@@ -163,7 +163,7 @@ def test_near_components_of_many_copies(spark):
         text[i] = " ".join(w)
     df = spark.createDataFrame(list(text.items()), "doc_id bigint, text string").repartition(4)
     want = {d: c for d, (_, c) in R.near_components(text).items()}
-    for options in ({"small": 3, "block_size": 2000}, {"small": 3, "hold": 20, "block_size": 2000}, {}):
+    for options in ({"small": 1, "block_size": 2000}, {"small": 1, "hold": 20, "block_size": 2000}, {}):
         assert {x.id: x.component_id for x in PJ.classes(df, **options).collect()} == want
 
 
