@@ -347,6 +347,58 @@ def test_surrogates(spark):
     assert again[1] != one
 
 
+def surrogates_of(spark, texts):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id: (r.text, r.n_entities) for r in SU.replace_entities(d).collect()}
+
+
+def test_surrogates_take_whole_names(spark):
+    import re
+    names = ["Mrs. Anna Maria Smith", "Mr. J. Smith", "Mr Smith", "Dr. Anna Smith", "Herr Prof. Dr. Karl von der Heide", "Mr. J.R.R. Tolkien",
+             "Mr. Don Smith", "MRS. ANNA SMITH", "Mx Kim O'Brien-Lee", "Señora Ana de la Cruz Ruiz", "г-н Иван Иванович Петров", "Mr J Smith"]
+    got = surrogates_of(spark, [f"Then {n} came; {n}'s hat was new." for n in names] + ["Mrs. " + "Ab " * 5000])
+    for i, n in enumerate(names):
+        text, k = got[i]
+        kept = {"Mrs", "Mr", "Dr", "Herr", "Prof", "von", "der", "MRS", "Mx", "Señora", "de", "la", "г", "н"}
+        parts = [w for w in re.findall(r"[^\W\d_]+", n) if w not in kept and len(w) > 1]
+        assert k == 2 and parts and not any(w in text for w in parts), (n, text)
+        m = re.fullmatch(r"Then (.*) came; (.*)'s hat was new\.", text)
+        assert m.group(1) == m.group(2) and len(m.group(1).split()) == len(n.split()), (n, text)
+    assert re.match(r"Then Mr\. [A-Z]\. [A-Z][a-z]+ came", got[1][0]) and re.match(r"Then Mr\. [A-Z]\.[A-Z]\.[A-Z]\. [A-Z][a-z]+ came", got[5][0])
+    assert got[len(names)][1] == 1 and "Ab " not in got[len(names)][0]
+
+
+def test_surrogates_follow_mentions_without_a_title(spark):
+    import re
+    texts = ["Mrs. Anna Smith came. Anna Smith left.", "Smith was late. Mr. J. Smith, ANNA\nSMITH and Smith's dog; Mrs. Anna Smith; Dr. Anna Smith.",
+             "Mr. Don Smith came. Don Smith left, smiths stay, Smithers too.", "Mr. Smith. smith@mail.example.com. Mrs. Smith", "Anna Smith left."]
+    got = surrogates_of(spark, texts)
+    a, b = re.fullmatch(r"Mrs\. (.*) came\. (.*) left\.", got[0][0]).groups()
+    assert a == b and a != "Anna Smith" and got[0][1] == 2
+    x = re.fullmatch(r"(\w+) was late\. Mr\. (\w)\. (\w+), (\w+)\n(\w+) and (\w+)'s dog; Mrs\. (\w+ \w+); Dr\. (\w+ \w+)\.", got[1][0]).groups()
+    assert x[6] == x[7] == a and f"{x[3]} {x[4]}" == a.upper() and x[0] == x[2] == x[5] and got[1][1] == 6
+    c, d = re.fullmatch(r"Mr\. (.*) came\. (.*) left, smiths stay, Smithers too\.", got[2][0]).groups()
+    assert c == d and "Smith" not in c and "Don" not in c
+    assert got[3][1] == 3 and "mith" not in got[3][0] and got[4] == (texts[4], 0)
+
+
+def test_surrogates_take_national_phones(spark):
+    import re
+    phones = ["743-555-3824", "030 12345678", "(030) 1234 5678", "1-743-555-3824", "0171/1234567", "01 23 45 67 89", "020 7946 0958",
+              "8 (495) 123-45-67", "(11) 92345-6789", "(743) 555-3824", "+1 743 555 3824"]
+    plain = ["01-02-2024", "01.02.2024 10:30", "0.5", "2024-01-15", "12 345 678", "0 12", "1.000.000"]
+    got = surrogates_of(spark, [f"Call {p}, now." for p in phones] + [f"On {p}, now." for p in plain] + ["+1 (989) 555-9374 167.249.165.250"])
+    digits = lambda s: re.sub(r"\D", "", s)
+    for i, p in enumerate(phones):
+        text, n = got[i]
+        assert n == 1 and p not in text and re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"Call {p}, now."), (p, text)
+    same = [digits(got[i][0])[-10:] for i, p in enumerate(phones) if digits(p).endswith("7435553824")]
+    assert len(same) == 4 and len(set(same)) == 1                                    # one phone in every spelling
+    for i, p in enumerate(plain):
+        assert got[len(phones) + i] == (f"On {p}, now.", 0)
+    assert got[len(phones) + len(plain)][1] == 2
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def toxic_rows(n=900):
