@@ -14,10 +14,12 @@ narrow Arrow step that takes a text in blocks, so memory doesn't grow with it,
 and the thresholds come from a histogram of all calibration rows.
 
 Folds by crc32(id as text) mod 5: 0 is held out, 1 calibrates the thresholds,
-2 to 4 train. Each language's threshold is the one of the best F1 over its
-calibration rows (ties: the nearest to 0.5), kept within ``CUT_RANGE``; a
-language with under ``MIN_POSITIVE`` toxic calibration rows, or no clean one,
-uses 0.5.
+2 to 4 train. The cut of the best F1 (ties: the nearest to 0.5) is taken over
+each language's calibration rows and over those of all languages. A language's
+threshold is the mean of the two, its own weighted by its toxic calibration rows
+and the common one by ``PRIOR`` rows, kept within ``CUT_RANGE``: the same rule at
+every size. A language without toxic or without clean calibration rows has the
+common one; without any in the whole table it is 0.5.
 
 Defined cases: null or empty text has no word and scores the bias alone;
 null labels are left out; without labels of both classes the score is 0 for
@@ -48,9 +50,9 @@ EPOCHS, MIN_STEPS, BATCH, RATE = 6, 600, 32, 0.1
 #: Positions convolved at a time while scoring.
 WORK = 1 << 15
 BINS = 1000
-#: Toxic calibration rows that a language needs for a threshold of its own, and
-#: the range of the thresholds.
-MIN_POSITIVE = 30
+#: Toxic calibration rows that the common cut of all languages weighs, and the
+#: range of the thresholds.
+PRIOR = 30
 CUT_RANGE = (0.25, 0.75)
 
 
@@ -250,12 +252,15 @@ def score_texts(docs: DataFrame, model: TextCnn | None, text_col: str = "text")
 
 def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
     """(lang, threshold) from (doc_id, lang, score): best F1 on the calibration
-    fold, over a histogram of ``BINS`` bins."""
+    fold, over a histogram of ``BINS`` bins, drawn to the cut of all languages.
+    The row of a null lang holds that one; a null language counts as ''."""
     y = labels.where(fold(F.col("doc_id")) == 1).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("y")).where("y is not null")
     rows = scored.join(y.dropDuplicates(["_id"]), F.col("doc_id") == F.col("_id"))
     hist = rows.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"))
-    # a row per language and bin: at most BINS + 1 for each language
+    hist = written(hist, "toxicity-histogram")
+    # a row per language and bin, and per bin for all: at most BINS + 1 for each language
+    hist = hist.unionByName(hist.groupBy(F.lit(None).cast("string").alias("lang"), "bin").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")))
     above = Window.partitionBy("lang").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     every = Window.partitionBy("lang")
     # every cut above the next lower bin gives the same decisions: take the one nearest to 0.5
@@ -265,10 +270,14 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
                     F.least(F.col("bin"), F.greatest(lower, F.lit(BINS // 2))).alias("cut"))
     cut = F.col("cut") / F.lit(float(BINS))
     f1 = 2 * F.col("tp") / (F.col("flagged") + F.col("all"))
-    best = c.where((F.col("all") >= MIN_POSITIVE) & (F.col("all") < F.col("rows"))).groupBy("lang").agg(
-        F.max(F.struct(f1.alias("f1"), (-F.abs(cut - 0.5)).alias("near"), cut.alias("cut"))).alias("b"))
+    best = c.where((F.col("all") > 0) & (F.col("all") < F.col("rows"))).groupBy("lang").agg(
+        F.max(F.struct(f1.alias("f1"), (-F.abs(cut - 0.5)).alias("near"), cut.alias("cut"))).alias("b"), F.max("all").alias("toxic"))
+    best = written(best.select("lang", "b.cut", "toxic"), "toxicity-best")
+    common = F.broadcast(best.where("lang is null").agg(F.max("cut").alias("common")))   # one row
+    mean = F.when(F.col("lang").isNull(), F.col("cut")).otherwise(
+        (F.col("toxic") * F.col("cut") + PRIOR * F.col("common")) / (F.col("toxic") + PRIOR))
     low, high = CUT_RANGE
-    return best.select("lang", F.least(F.greatest(F.col("b.cut"), F.lit(low)), F.lit(high)).alias("threshold"))
+    return best.crossJoin(common).select("lang", F.least(F.greatest(mean, F.lit(low)), F.lit(high)).alias("threshold"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
@@ -279,8 +288,9 @@ def judged(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__t"), "lang", "score"), "toxicity-scores")
     cuts = written(thresholds(scores, labels), "toxicity-cuts")
     joined = scores.withColumn("__l", F.coalesce("lang", F.lit(""))).join(
-        cuts.withColumnRenamed("lang", "__l"), "__l", "left")
-    cut = F.coalesce("threshold", F.lit(0.5))
+        cuts.withColumnRenamed("lang", "__l"), "__l", "left").crossJoin(
+        F.broadcast(cuts.where("lang is null").agg(F.max("threshold").alias("__common"))))   # one row
+    cut = F.coalesce("threshold", "__common", F.lit(0.5))
     return joined.select("doc_id", "__t", "lang", "score", cut.alias("threshold"), (F.col("score") >= cut).alias("flagged"))
 
 

@@ -440,6 +440,22 @@ def test_toxicity(spark, docs, none):
     assert {r.score for r in TX.toxicity_report(docs, y.where("false")).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("times", [1, 20])
+def test_thresholds_have_one_rule_at_every_size(spark, times):
+    ids = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    # best cuts, the nearest to 0.5 with their decisions: 0.405 in aa and for all, 0.506 in bb; cc has only clean rows
+    spec = [("aa", 0.405, 1, 10), ("aa", 0.305, 0, 10), ("bb", 0.605, 1, 5), ("bb", 0.505, 0, 5), ("cc", 0.105, 0, 5)]
+    rows = [(lang, score, y) for lang, score, y, n in spec for _ in range(n * times)]
+    scored = spark.createDataFrame([(i, lang, score) for i, (lang, score, _) in zip(ids, rows, strict=False)], "doc_id bigint, lang string, score double")
+    y = spark.createDataFrame([(i, y) for i, (_, _, y) in zip(ids, rows, strict=False)], "doc_id bigint, toxic int")
+    got = {r.lang: r.threshold for r in TX.thresholds(scored, y).collect()}
+    common, own = 0.405, {"aa": (0.405, 10 * times), "bb": (0.506, 5 * times)}
+    assert set(got) == {None, "aa", "bb"} and abs(got[None] - common) < 1e-9
+    for lang, (cut, n) in own.items():
+        assert abs(got[lang] - (n * cut + TX.PRIOR * common) / (n + TX.PRIOR)) < 1e-9
+    assert TX.thresholds(scored, y.where("toxic = 0")).count() == 0
+
+
 def test_cnn_takes_long_texts_in_parts(monkeypatch):
     import pyarrow as pa
     model = TX.TextCnn()
