@@ -4,7 +4,9 @@ Rules (action, host, path) decide the urls they fit; the longest wins. All
 other urls are judged by their host: trust starts at hosts whose pages the
 allow rules take, distrust at hosts whose pages the block rules take, each in
 proportion to those pages. Trust runs along links as a personalised PageRank;
-distrust runs against them (linking to a blocked host is a bad sign). A host
+distrust runs against them (linking to a blocked host is a bad sign). Both run
+until no score grows by more than ``TOLERANCE`` of it (of 1, if it is less)
+between two lineage cuts, or exactly ``iterations`` steps if these are given. A host
 whose distrust exceeds its trust by ``threshold`` is blocked. Scores are in
 units of the restart share, so a host without links scores exactly the share
 of its own pages, and 0.5 means "as bad as a host half of which is blocked".
@@ -21,6 +23,8 @@ or links every verdict is allow.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +33,10 @@ from carlot.llm.common import ascii_lower, literal_rows, written
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 DAMPING = 0.85
+#: Steps of the SQL twin, and of ``judge_urls`` unless told to converge.
 ITERATIONS = 10
+#: Growth of a score over ``CUT_EVERY`` steps at which it counts as converged.
+TOLERANCE = 1e-6
 #: Iterations between two lineage cuts.
 CUT_EVERY = 5
 THRESHOLD = 0.5
@@ -69,11 +76,20 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
 
 
+def _settled(rank: DataFrame, last: DataFrame) -> bool:
+    """Whether no score has moved by more than ``TOLERANCE`` since ``last``."""
+    old = last.withColumnRenamed("score", "old")
+    moved = rank.join(old, ["host", "kind"], "left").where(
+        F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))) > TOLERANCE * F.greatest(F.col("score"), F.lit(1.0)))
+    return moved.isEmpty()
+
+
 def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
-              iterations: int = ITERATIONS) -> DataFrame:
+              iterations: int | None = ITERATIONS) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) and links
     (src, dst, w). Both scores move in one job per step: a link is a trust
-    edge forwards and a distrust edge backwards."""
+    edge forwards and a distrust edge backwards. With None, steps are made until
+    the scores have converged; a step shrinks what is left to move by ``damping``."""
     out_w = links.groupBy(F.col("src").alias("__s")).agg(F.sum("w").alias("__o"))
     in_w = links.groupBy(F.col("dst").alias("__d")).agg(F.sum("w").alias("__i"))
     fwd = links.join(out_w, F.col("src") == F.col("__s")).select(
@@ -86,19 +102,22 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING,
     start = written(seeds.select("host", F.inline(F.array(
         F.struct(F.lit("t").alias("kind"), F.col("trust").alias("score")),
         F.struct(F.lit("d").alias("kind"), F.col("distrust").alias("score"))))).where("score > 0"), "host-seeds")
-    rank = start
-    for step in range(1, iterations + 1):
+    rank = last = start
+    for step in count(1) if iterations is None else range(1, iterations + 1):
         sent = (edges.join(rank.withColumnRenamed("host", "a"), ["kind", "a"])
                 .select(F.col("b").alias("host"), "kind", (F.col("p") * F.col("score")).alias("score")))
         rank = start.unionByName(sent).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        if step % CUT_EVERY == 0 and step < iterations:
+        if step % CUT_EVERY == 0 and step != iterations:
             rank = written(rank, "host-rank")
+            if iterations is None and _settled(rank, last):
+                break
+            last = rank
     pick = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0))
     return rank.groupBy("host").agg(pick("t").alias("trust"), pick("d").alias("distrust"))
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None,
-               damping: float = DAMPING, iterations: int = ITERATIONS,
+               damping: float = DAMPING, iterations: int | None = ITERATIONS,
                threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), a row per page."""
     spark = pages.sparkSession
@@ -124,5 +143,5 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None
 
 
 def url_report(pages: DataFrame) -> DataFrame:
-    """Digest of ``judge_urls`` without the scores."""
-    return judge_urls(pages.select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+    """Digest of ``judge_urls`` at convergence, without the scores."""
+    return judge_urls(pages.select("page_id", "url", "html"), iterations=None).select("page_id", "host", "path", "rule", "verdict")

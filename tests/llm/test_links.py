@@ -63,6 +63,30 @@ def test_propagation_matches_a_dense_computation(spark):
             assert x.verdict == ("block" if b[i] - t[i] >= LT.THRESHOLD else "allow")
 
 
+def test_converged_scores_match_the_closed_form(spark, monkeypatch):
+    # a host with 15 % blocked pages that exchanges links with one other host: 0.15 / (1 - 0.85^2) = 0.5405
+    hosts = ["a.info", "b.info", "c.net", "d.info"]
+    links = {"a.info": ["b.info"], "b.info": ["a.info"], "c.net": ["d.info"], "d.info": ["c.net", "a.info"]}
+    rows = [(f"http://{h}/{p}", A.format(f"http://{x}/") if p < 3 else "") for h in hosts[:1] + hosts[2:] for x in links[h] for p in range(17)]
+    rows += [(f"http://a.info/bad/{p}", "") for p in range(3)] + [("http://b.info/", A.format("http://a.info/"))]
+    rules = [("block", "a.info", "/bad/"), ("block", "net", "/")]
+    p = pages(spark, rows)
+    got = LT.judge_urls(p, rules, iterations=None).collect()
+    share = np.array([3 / 20, 0, 1, 0])
+    w = np.zeros((4, 4))
+    for h, xs in links.items():
+        for x in xs:
+            w[hosts.index(h), hosts.index(x)] = 3 if h != "b.info" else 1
+    into = w / np.maximum(w.sum(0, keepdims=True), 1)
+    want = np.linalg.solve(np.eye(4) - LT.DAMPING * into, share)
+    for x in got:
+        i = hosts.index(x.host)
+        assert abs(x.distrust - want[i]) < 1e-5 and x.trust == 0
+    pair = pages(spark, [r for r in rows if "a.info/" in r[0] or "b.info" in r[0]])
+    monkeypatch.setattr(LT, "RULES", rules)
+    assert {r.verdict for r in LT.url_report(pair).where("host = 'a.info'").collect()} == {"block"}
+
+
 def test_empty_tables(spark):
     none = pages(spark, [("http://a.net/", "")]).where("false")
     assert LT.judge_urls(none).count() == 0
