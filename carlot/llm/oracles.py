@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from carlot.llm import line_dedup, link_trust, prefix_join, rendezvous, spaced_seeds
+from carlot.llm import (bond_negatives, collocations, line_dedup, link_trust, pivot_join, prefix_join, rendezvous,
+                        spaced_seeds)
 from carlot.llm.common import LOWER, UPPER
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -133,4 +134,61 @@ FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN c ON d.doc_id = c.x
 """
 
 
-SQL = {"op7_prefix_join": OP7, "op8_spaced_seeds": _op8(), "op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}
+OP11 = f"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS x, vec_id, embedding FROM embeddings),
+v AS MATERIALIZED (SELECT x, vec_id, embedding::DOUBLE[] AS v FROM e
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.x, b.x AS y FROM v a JOIN v b ON len(a.v) = len(b.v) AND a.x <> b.x
+  WHERE list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= {pivot_join.SIMILARITY}),
+r AS (SELECT x, x AS y FROM e UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT r.x, min(e.vec_id) AS component_id FROM r JOIN e ON r.y = e.x GROUP BY r.x),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, coalesce(e.vec_id = c.component_id, false) AS kept
+FROM e JOIN c ON e.x = c.x LEFT JOIN n ON e.x = n.x
+"""
+
+
+def _op12() -> str:
+    c = collocations
+    grams = " UNION ALL ".join(f"""SELECT lang, {n} AS words, unnest(list_transform(range(1, len(w) - {n - 2}),
+      lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS phrase FROM p""" for n in range(1, c.WORDS + 1))
+    cuts = " UNION ALL ".join(f"""SELECT lang, words, phrase, a, {k} AS k, array_to_string(w[1:{k}], ' ') AS head,
+      array_to_string(w[{k + 1}:], ' ') AS tail FROM b WHERE words > {k}""" for k in range(1, c.WORDS))
+    return f"""
+WITH s AS (SELECT coalesce(lang, '{c.UNKNOWN}') AS lang,
+                  unnest(regexp_split_to_array({_low("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM s),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, words, phrase, count(*) AS f FROM ({grams}) GROUP BY ALL HAVING count(*) >= {c.LEAST}),
+b AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1),
+q AS (SELECT x.lang, x.words, x.phrase, x.a, x.k, h.f AS l, g.f AS r, 1000000::HUGEINT * x.a * x.a // (h.f::HUGEINT * g.f) AS score
+      FROM ({cuts}) x JOIN f h ON h.lang = x.lang AND h.phrase = x.head JOIN f g ON g.lang = x.lang AND g.phrase = x.tail),
+z AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, phrase, max(a) AS longer FROM (
+  SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM b WHERE words = 3) GROUP BY ALL),
+o AS (SELECT z.* FROM z LEFT JOIN i ON i.lang = z.lang AND i.phrase = z.phrase
+      WHERE i.longer IS NULL OR 100 * i.longer < {c.INSIDE} * z.a),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score::BIGINT AS score FROM k JOIN t ON t.lang = k.lang WHERE k.rank <= {c.TOP}
+"""
+
+
+def _op13() -> str:
+    b = bond_negatives
+    return f"""
+WITH r AS MATERIALIZED (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({b.SCALE} * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS MATERIALIZED (SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+      FROM r a JOIN r ON a.id <> r.id AND len(a.v) = len(r.v) WHERE a.id % {b.EVERY} = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {b.POSITIVES}),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::INT AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND {b.LEAST} * p.score <= 100 * s.score AND 100 * s.score <= {b.MOST} * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {b.NEGATIVES}
+"""
+
+
+SQL = {"op11_pivot_join": OP11, "op12_collocations": _op12(), "op13_bond_negatives": _op13(), "op7_prefix_join": OP7, "op8_spaced_seeds": _op8(), "op1_fingerprint_dedup": OP1, "op3_link_trust": _op3(), "op9_rendezvous": _op9(), "op10_line_dedup": OP10}

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from carlot.llm import (fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor, prefix_join, rendezvous,
-                        spaced_seeds, surrogates, toxicity_cnn)
+from carlot.llm import (bond_negatives, collocations, fingerprint_dedup, kk_packing, line_dedup, link_trust, pfor,
+                        pivot_join, prefix_join, rendezvous, spaced_seeds, surrogates, toxicity_cnn)
 from carlot.llm.common import read_table
 
 
@@ -47,6 +47,18 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_pivot_join(spark, sf_dir):
+    return pivot_join.near_report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.collocation_report(read_table(spark, sf_dir, "documents"))
+
+
+def op13_bond_negatives(spark, sf_dir):
+    return bond_negatives.negatives_report(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -55,4 +67,5 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprint_dedup, op2_surrogates, op3_link_trust, op4_toxicity_cnn, op5_kk_packing, op6_pfor_ids,
-    op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup, pipeline)}
+    op7_prefix_join, op8_spaced_seeds, op9_rendezvous, op10_line_dedup, op11_pivot_join, op12_collocations,
+    op13_bond_negatives, pipeline)}

@@ -21,7 +21,7 @@ def duck():
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert set(QUERIES) - set(SQL) == {"op2_surrogates", "op4_toxicity_cnn", "op5_kk_packing", "op6_pfor_ids", "pipeline"}
     assert CP.ORACLE_SQL is None and len(CP.STAGES) == 5
 
