@@ -7,14 +7,15 @@ those into words; everything is counted per language. The steps:
    word hashes give the 64-bit fingerprint of every run of one, two or three
    words of a piece as a difference of two prefixes, shifted back to the origin.
 2. Which fingerprints can be frequent is found first, words, then pairs whose
-   words both can: packed (fingerprint, times) rows are summed by Spark, and the
-   frequent ones become a bitmap of fixed size (``BITS``), which each task gets.
-   A phrase is no more frequent than its parts and a bitmap has no false
-   negatives, so nothing frequent is lost.
+   words both can: the shuffle deals packed (fingerprint, times) numbers by ranges
+   of fingerprints, a task sums those of a range, and the frequent ones become a
+   bitmap of fixed size (``BITS``), which each task gets. A phrase is no more
+   frequent than its parts and a bitmap has no false negatives, so nothing
+   frequent is lost.
 3. What the bitmaps let through, triples of two such pairs included, is shuffled
-   as (fingerprint, times, occurrence pointer), a row for each block. Within a
+   as (fingerprint, times, occurrence pointer), an entry for each block. Within a
    block the occurrences of a fingerprint were compared word by word and differing
-   ones have a row of their own. Fingerprints that reach the least count keep
+   ones have an entry of their own. Fingerprints that reach the least count keep
    their pointers.
 4. The pointers go to their documents, a pointer becomes the phrase that stands
    there, and counts are summed by language and text. Phrases that share a
@@ -51,8 +52,9 @@ TOP = 2000
 UNKNOWN = "und"
 #: Bits of a bitmap of frequent fingerprints: 16 MB.
 BITS = 27
-#: Text bytes of a block.
-BLOCK = 16 << 20
+#: Text bytes of a block, and of which a range of fingerprints gets the runs: the
+#: number of ranges follows the input, so that one fits a task at every size.
+BLOCK, PART = 6 << 20, 32 << 20
 #: Base of the prefix polynomials and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -82,6 +84,17 @@ def fingerprints(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix((prefix[n:n + m] - prefix[:m]) * powers(INVERSE, m) + U64(n))
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first): an order that sorts ``keys`` and where its groups begin. The
+    lowest bits make room for the row's number, so that one plain sort does; keys
+    that differ there only share a group, as those do that collide."""
+    n = U64((1 << len(keys).bit_length()) - 1)
+    s = np.sort((keys & ~n) | np.arange(len(keys), dtype=np.uint64))
+    order = (s & n).astype(np.int64)
+    s &= ~n
+    return order, np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else order
+
+
 class Block:
     """The words of a block of texts: ``start`` and ``end`` bytes, ``doc`` and
     ``place`` in it, ``piece``, the keys (language and fingerprint) of its runs."""
@@ -92,48 +105,61 @@ class Block:
         n = len(self.start)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
         self.place = np.arange(n) - np.repeat(at[:-1], np.diff(at))
-        ends = np.concatenate([[0], np.cumsum(ENDS[self.low])])
-        self.piece = ends[self.start] if n else np.empty(0, np.int64)
+        self.piece = np.searchsorted(np.flatnonzero(ENDS[self.low]), self.start)
         names = sorted(set(lang))
-        self.lang = np.array([names.index(x) for x in lang], np.int64)
-        joined, sizes = "".join(names).encode(), [len(x.encode()) for x in names]
-        cut = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.lang_hash = np.zeros(len(names), np.uint64)
-        for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-            if b > a:
-                self.lang_hash[i] = word_hashes(np.frombuffer(joined, np.uint8), np.array([a]), np.array([b]))[0]
+        number = {x: i for i, x in enumerate(names)}
+        self.lang = np.array([number[x] for x in lang], np.int64)
+        self.lang_hash = np.array([_name_hash(x) for x in names], np.uint64)
         self.hash = word_hashes(self.low, self.start, self.end)
         self.fold = U64(fold)
+        self._keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(key, valid) of the runs of ``n`` words; a run must lie in one piece."""
-        runs = fingerprints(self.hash, n)
-        m = len(runs)
-        valid = (self.doc[:m] == self.doc[n - 1:n - 1 + m]) & (self.piece[:m] == self.piece[n - 1:n - 1 + m])
-        own = self.lang_hash[self.lang[self.doc[:m]]] if m else np.empty(0, np.uint64)
-        return mix(runs ^ mix(own + U64(n))) & self.fold, valid
+        if n not in self._keys:
+            runs = fingerprints(self.hash, n)
+            m = len(runs)
+            valid = (self.doc[:m] == self.doc[n - 1:n - 1 + m]) & (self.piece[:m] == self.piece[n - 1:n - 1 + m])
+            own = mix(self.lang_hash + U64(n))[self.lang]
+            self._keys[n] = (mix(runs ^ own[self.doc[:m]]) if m else runs) & self.fold, valid
+        return self._keys[n]
 
     def same_word(self) -> np.ndarray:
-        """For every word the first word of the block with the same bytes."""
+        """For every word one word of the block with the same bytes, the same for
+        all of these."""
         out = np.arange(len(self.start))
-        todo = out
         lens = self.end - self.start
+        padded = np.concatenate([self.low, np.zeros(8, np.uint8)])
+        head = np.lib.stride_tricks.sliding_window_view(padded, 8)[self.start].reshape(-1).view(np.uint64)
+        head = head & _HEADS[np.minimum(lens, 8)]
+        todo = out.copy()
         while len(todo):
-            _, first, back = np.unique(self.hash[todo], return_index=True, return_inverse=True)
-            rep = todo[first][back]
-            equal = lens[todo] == lens[rep]
-            ok = np.flatnonzero(equal & (todo != rep))
-            for i in range(0, len(ok), 1 << 18):
-                x, y = todo[ok[i:i + (1 << 18)]], rep[ok[i:i + (1 << 18)]]
-                total = np.cumsum(lens[x])
-                inner = np.arange(total[-1]) - np.repeat(total - lens[x], lens[x])
-                wrong = self.low[inner + np.repeat(self.start[x], lens[x])] != self.low[inner + np.repeat(self.start[y], lens[x])]
-                equal[ok[i:i + (1 << 18)]] = np.add.reduceat(wrong, total - lens[x]) == 0
+            order, first = grouped(self.hash[todo])
+            todo = todo[order]
+            rep = np.repeat(todo[first], np.diff(np.append(first, len(todo))))
+            equal = (lens[todo] == lens[rep]) & (head[todo] == head[rep])
+            ok = np.flatnonzero(equal & (todo != rep) & (lens[todo] > 8))
+            for i in range(0, len(ok), 1 << 16):
+                x, y = todo[ok[i:i + (1 << 16)]], rep[ok[i:i + (1 << 16)]]
+                size = lens[x] - 8
+                total = np.cumsum(size)
+                inner = np.arange(total[-1]) - np.repeat(total - size, size) + 8
+                wrong = self.low[inner + np.repeat(self.start[x], size)] != self.low[inner + np.repeat(self.start[y], size)]
+                equal[ok[i:i + (1 << 16)]] = np.add.reduceat(wrong, total - size) == 0
             out[todo[equal]] = rep[equal]
             todo = todo[~equal]
         return out
 
 
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_HEADS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
+def _name_hash(x: str) -> int:
+    raw = np.frombuffer(x.encode(), np.uint8)
+    return int(word_hashes(raw, np.array([0]), np.array([len(raw)]))[0]) if len(raw) else 0
+
+
 def blocks(batches: Iterator[pa.RecordBatch], size: int, fold: int) -> Iterator[tuple[pa.RecordBatch, Block]]:
     """Batches joined or cut to blocks of about ``size`` bytes of text."""
     held: list[pa.RecordBatch] = []
@@ -165,7 +191,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int, fold: int) -> Iterator[
 def passes(bitmap: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     if bitmap is None:
         return np.ones(len(keys), bool)
-    bit = (keys >> U64(4)) & U64((1 << BITS) - 1)
+    bit = keys >> U64(64 - BITS)
     return (bitmap[bit >> U64(3)] >> (bit & U64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -174,86 +200,97 @@ def allowed(block: Block, n: int, words, pairs) -> tuple[np.ndarray, np.ndarray]
     keys, valid = block.keys(n)
     if n == 2 and words is not None and len(keys):
         one = passes(words, block.keys(1)[0])
-        valid &= one[:-1] & one[1:]
+        valid = valid & one[:-1] & one[1:]
     if n == 3 and pairs is not None and len(keys):
         two = passes(pairs, block.keys(2)[0])
-        valid &= two[:-1] & two[1:]
+        valid = valid & two[:-1] & two[1:]
     at = np.flatnonzero(valid)
     return keys[at], at
 
 
-def pack(batches: Iterator[pa.RecordBatch], n: int, words, fold: int, size: int) -> Iterator[pa.RecordBatch]:
+def _sliced(keys: np.ndarray, parts: int, *cols: np.ndarray) -> pa.RecordBatch:
+    """Sorted ``keys`` and their columns cut into ``parts`` ranges of fingerprints:
+    a row (part, bytes of each column) for each range that isn't empty."""
+    edges = np.searchsorted(keys >> U64(64 - BITS), np.arange(parts + 1, dtype=np.uint64) * U64((1 << BITS) // parts))
+    full = np.flatnonzero(np.diff(edges))
+    data = [pa.array([c[edges[i]:edges[i + 1]].tobytes() for i in full], pa.binary()) for c in cols]
+    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *data], ["part", *[f"c{i}" for i in range(len(cols))]])
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def pack(batches: Iterator[pa.RecordBatch], n: int, words, fold: int, size: int, parts: int) -> Iterator[pa.RecordBatch]:
     """A number for each fingerprint of a block: its upper 60 bits and its times,
     15 at most (whether the sum reaches LEAST isn't changed by that)."""
     for _, block in blocks(batches, size, fold):
         keys, _ = allowed(block, n, words.value if words else None, None)
         u, times = np.unique(keys, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(((u & ~U64(15)) | np.minimum(times, 15).astype(np.uint64)).view(np.int64))], ["packed"])
+        yield _sliced(u, parts, (u & ~U64(15)) | np.minimum(times, 15).astype(np.uint64))
 
 
-_POINTERS = "key bigint, times bigint, doc bigint, at bigint"
+def frequent_bits(part: int, t: pa.Table, least: int, parts: int) -> pa.Table:
+    """The share of the bitmap of one range of fingerprints."""
+    packed = np.sort(_joined(t["c0"], np.uint64))
+    keys = packed >> U64(4)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    many = keys[first[np.add.reduceat((packed & U64(15)).astype(np.int64), first) >= least]]
+    bits = np.zeros((1 << BITS) // parts, bool)
+    bits[(many >> U64(60 - BITS)) - U64(part * len(bits))] = True
+    return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
 
-def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int) -> Iterator[pa.RecordBatch]:
-    """(key, times, doc, at) rows: of each run of words of a block, by content, one
-    row that points to its first place; ``at`` is four times the word's place plus
-    the number of words. Runs of no word stand for all words of a language."""
+def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Fingerprint, times, document and place (``at``: four times the word's place
+    plus the number of words) of each run of words of a block, one entry for each
+    content, that points to one of its occurrences. Runs of no word stand for all
+    words of a language."""
     for b, block in blocks(batches, size, fold):
         doc_key = b.column("doc").to_numpy()
         word = block.same_word()
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        count = np.bincount(block.lang[block.doc], minlength=len(block.lang_hash))
         first = np.unique(block.lang, return_index=True)[1]
-        for x, y in zip(out, (mix(block.lang_hash) & block.fold, count, doc_key[first], np.zeros(len(first), np.int64)), strict=True):
-            x.append(y)
+        out = [[mix(block.lang_hash) & block.fold], [np.bincount(block.lang[block.doc], minlength=len(first))], [first], [first * 0]]
         for n in range(1, WORDS + 1):
             keys, at = allowed(block, n, words.value, pairs.value)
-            can = passes(words.value if n == 1 else pairs.value, keys) if n < 3 else np.ones(len(keys), bool)
-            keys, at = keys[can], at[can]
+            if n < 3:
+                can = passes(words.value if n == 1 else pairs.value, keys)
+                keys, at = keys[can], at[can]
             while len(keys):
-                u, lead, back = np.unique(keys, return_index=True, return_inverse=True)
-                rep = at[lead][back]
+                order, lead = grouped(keys)
+                keys, at = keys[order], at[order]
+                rep = np.repeat(at[lead], np.diff(np.append(lead, len(at))))
                 same = block.lang[block.doc[at]] == block.lang[block.doc[rep]]
                 for k in range(n):
                     same &= word[at + k] == word[rep + k]
-                times = np.bincount(back[same], minlength=len(u))
-                place = at[lead]
-                for x, y in zip(out, (u, times, doc_key[block.doc[place]], block.place[place] * 4 + n), strict=True):
+                for x, y in zip(out, (keys[lead], np.add.reduceat(same.astype(np.int64), lead), block.doc[at[lead]],
+                                      block.place[at[lead]] * 4 + n), strict=True):
                     x.append(y)
                 keys, at = keys[~same], at[~same]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([y.astype(np.int64) if y.dtype != np.uint64 else y.view(np.int64) for y in x])) for x in out],
-            ["key", "times", "doc", "at"])
+        keys = np.concatenate(out[0])
+        order = grouped(keys)[0]
+        times, doc, at = (np.concatenate(x)[order] for x in out[1:])
+        # a text has at most 2**30 words, a block fewer than 2**31
+        yield _sliced(keys[order], parts, keys[order], times.astype(np.int32), doc_key[doc], at.astype(np.uint32))
 
 
-def frequent_pointers(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Of a stream sorted by key, the rows of keys whose times reach ``least``.
-    Since every row counts once at least, fewer than ``least`` rows wait."""
-    held = None                    # rows of the last key while its sum is short
-    open_key, total = None, 0
-    for b in batches:
-        if not b.num_rows:
-            continue
-        if held is not None:
-            b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-        key, times = b.column("key").to_numpy(), b.column("times").to_numpy()
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        sums = np.add.reduceat(times, first)
-        if held is None and key[0] == open_key:
-            sums[0] += total
-        enough = sums >= least
-        open_key, total = key[-1], int(sums[-1])
-        last = first[-1]
-        wait = not enough[-1]
-        stay = np.repeat(enough, np.diff(np.append(first, len(key))))
-        held = b.slice(last) if wait else None
-        yield b.filter(pa.array(stay))
+_POINTERS = "doc bigint, at bigint, times bigint"
+
+
+def frequent_pointers(t: pa.Table, least: int) -> pa.Table:
+    """Of a range of fingerprints, the pointers of those whose times reach ``least``."""
+    cols = [_joined(t[f"c{i}"], k) for i, k in enumerate((np.uint64, np.int32, np.int64, np.uint32))]
+    order, first = grouped(cols[0])
+    times = cols[1][order].astype(np.int64)
+    stay = np.repeat(np.add.reduceat(times, first) >= least, np.diff(np.append(first, len(order))))
+    at = order[stay]
+    return pa.table([pa.array(cols[2][at]), pa.array(cols[3][at].astype(np.int64)), pa.array(times[stay])], ["doc", "at", "times"])
 
 
 _PHRASES = "lang string, words int, phrase string, times bigint"
 
 
-def read_phrases(batches: Iterator[pa.RecordBatch], fold: int) -> Iterator[pa.RecordBatch]:
+def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The phrases behind pointers, in a stream sorted by (doc, at) where each
     document stands before its pointers (at -1)."""
     doc = text = lang = None
@@ -287,24 +324,19 @@ def read_phrases(batches: Iterator[pa.RecordBatch], fold: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["lang", "words", "phrase", "times"])
 
 
-def bitmap_of(packed: DataFrame, least: int) -> np.ndarray:
+def bitmap_of(packed: DataFrame, least: int, parts: int) -> np.ndarray:
     """Bits of the fingerprints whose times reach ``least``. The driver gets the
     bitmap, 16 MB, never the fingerprints."""
-    many = packed.groupBy(F.shiftright("packed", 4).alias("key")).agg(
-        F.sum(F.col("packed").bitwiseAND(15)).alias("times")).where(F.col("times") >= least)
-    bit = F.col("key").bitwiseAND((1 << BITS) - 1) + 1
-    parts = many.groupBy(F.bitmap_bucket_number(bit).alias("no")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     out = np.zeros(1 << (BITS - 3), np.uint8)
-    for r in parts.toLocalIterator(prefetchPartitions=True):
-        chunk = np.frombuffer(bytes(r["bits"]), np.uint8)
-        at = (r["no"] - 1) * len(chunk)
-        out[at:at + len(chunk)] = chunk
+    size = len(out) // parts
+    for r in packed.groupBy("part").applyInArrow(lambda key, t: frequent_bits(key[0].as_py(), t, least, parts),
+                                                 "part int, bits binary").collect():
+        out[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
 
 def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  least: int = LEAST, fold: int = (1 << 64) - 1, block: int = BLOCK) -> DataFrame:
+                  least: int = LEAST, fold: int = (1 << 64) - 1, block: int = BLOCK, part: int = PART) -> DataFrame:
     """(lang, words, phrase, f): exact counts of the phrases of one to three words
     found ``least`` times or more; words 0 and an empty phrase for the language's
     number of words. ``fold`` masks fingerprints, so that tests make them collide."""
@@ -314,22 +346,25 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text, lang = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN))
     rows = docs.select(F.xxhash64(F.col(f"`{id_col}`"), lang, text).alias("doc"), text.alias("text"), lang.alias("lang"))
     seen = rows.select("text", "lang")
-    words = sc.broadcast(bitmap_of(seen.mapInArrow(lambda it: pack(it, 1, None, fold, block), "packed bigint"), least))
-    pairs = sc.broadcast(bitmap_of(seen.mapInArrow(lambda it: pack(it, 2, words, fold, block), "packed bigint"), least))
-    pointers = rows.mapInArrow(lambda it: point(it, words, pairs, fold, block), _POINTERS)
-    pointers = pointers.repartition("key").sortWithinPartitions("key").mapInArrow(
-        lambda it: frequent_pointers(it, least), _POINTERS)
-    asked = pointers.select("doc", "at", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), "times")
+    volume = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
+    parts = min(1 << (BITS - 3), 1 << (-(-volume // part)).bit_length())
+    packs = lambda n, words: bitmap_of(seen.mapInArrow(
+        lambda it: pack(it, n, words, fold, block, parts), "part int, c0 binary"), least, parts)
+    words = sc.broadcast(packs(1, None))
+    pairs = sc.broadcast(packs(2, words))
+    pointers = rows.mapInArrow(lambda it: point(it, words, pairs, fold, block, parts),
+                               "part int, c0 binary, c1 binary, c2 binary, c3 binary")
+    pointers = pointers.groupBy("part").applyInArrow(lambda t: frequent_pointers(t, least), _POINTERS)
+    none = F.lit(None).cast("string")
+    asked = pointers.select("doc", "at", none.alias("text"), none.alias("lang"), "times")
     told = rows.select("doc", F.lit(-1).cast("bigint").alias("at"), "text", "lang", F.lit(None).cast("bigint").alias("times"))
-    found = told.unionByName(asked).repartition("doc").sortWithinPartitions("doc", "at").mapInArrow(
-        lambda it: read_phrases(it, fold), _PHRASES)
+    found = told.unionByName(asked).repartition("doc").sortWithinPartitions("doc", "at").mapInArrow(read_phrases, _PHRASES)
     return found.groupBy("lang", "words", "phrase").agg(F.sum("times").alias("f")).where(F.col("f") >= least)
 
 
 def scored(counts: DataFrame) -> DataFrame:
     """(lang, words, phrase, a, l, r, score): the candidates with their lowest cut."""
     cand = counts.where("words > 1").withColumnRenamed("f", "a").withColumn("w", F.split("phrase", " "))
-    part = lambda i, n: F.array_join(F.slice("w", i, n), " ")
     cuts = cand.select("lang", "words", "phrase", "a", F.explode(F.transform(
         F.sequence(F.lit(1), F.col("words") - 1),
         lambda k: F.struct(k.alias("k"), F.array_join(F.slice("w", F.lit(1), k), " ").alias("head"),
@@ -337,7 +372,6 @@ def scored(counts: DataFrame) -> DataFrame:
     cuts = cuts.select("lang", "words", "phrase", "a", "c.k", "c.head", "c.tail")
     of = lambda name, col: counts.select("lang", F.col("phrase").alias(name), F.col("f").alias(col))
     j = cuts.join(of("head", "l"), ["lang", "head"]).join(of("tail", "r"), ["lang", "tail"])
-    dec = lambda c: F.col(c).cast("decimal(19,0)")
     # products of up to 38 digits; the quotient is at most a million
     score = F.expr("(1000000 * (cast(a as decimal(19,0)) * cast(a as decimal(19,0)))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
     j = j.withColumn("score", score.cast("bigint"))

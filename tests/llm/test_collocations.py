@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -60,12 +61,12 @@ def got(df):
     return sorted(tuple(r[c] for c in COLUMNS) for r in df.collect())
 
 
-@pytest.mark.parametrize("fold,block", [((1 << 64) - 1, 16 << 20), (0x3F0, 1 << 20), (0xF0, 500), (0, 2000)])
-def test_any_collisions_and_blocks(spark, fold, block):
+@pytest.mark.parametrize("fold,block,part", [((1 << 64) - 1, 16 << 20, 32 << 20), ((1 << 64) - 1, 3000, 5000), (0x3F0, 1 << 20, 32 << 20), (0xF << 60, 500, 1000), (0, 2000, 32 << 20)])
+def test_any_collisions_and_blocks(spark, fold, block, part):
     rows = made(3)
     df = spark.createDataFrame(rows, KINDS).withColumns({c: F.lit("x") for c in ("n", "doc", "key", "times", "w", "f")}).repartition(3)
     want = plain(rows, top=40)
-    assert len(want) > 50 and got(CO.collocations(df, top=40, fold=fold, block=block)) == want
+    assert len(want) > 50 and got(CO.collocations(df, top=40, fold=fold, block=block, part=part)) == want
 
 
 def test_many_salts(spark):
@@ -87,16 +88,16 @@ def test_empty(spark):
     assert dict(df.dtypes)["rank"] == "bigint"
 
 
-def test_pointers_wait_for_few_rows():
-    keys = [1] * 4 + [2] * 12 + [3] * 9 + [4, 5, 5]
-    rows = pa.RecordBatch.from_pydict({"key": keys, "times": [1] * 27 + [10], "doc": list(range(28)), "at": [0] * 28})
-    for size in (1, 2, 5, 28):
-        out = pa.Table.from_batches(CO.frequent_pointers((rows.slice(i, size) for i in range(0, 28, size)), 10))
-        assert out["key"].to_pylist() == [2] * 12 + [5, 5], size
+def test_pointers_of_frequent_fingerprints():
+    keys = np.array([1] * 4 + [2] * 12 + [3] * 9 + [4, 5, 5], np.uint64) << np.uint64(40)
+    r = np.random.default_rng(1).permutation(28)
+    cols = [keys, np.array([1] * 27 + [10], np.int32), np.arange(28), np.arange(28, dtype=np.uint32) * 4]
+    t = pa.table({f"c{i}": [c[r[:10]].tobytes(), c[r[10:]].tobytes()] for i, c in enumerate(cols)})
+    out = CO.frequent_pointers(t, 10)
+    assert sorted(out["doc"].to_pylist()) == [*range(4, 16), 26, 27] and sorted(out["at"].to_pylist()) == [4 * x for x in [*range(4, 16), 26, 27]]
 
 
 def test_prefix_polynomials_depend_on_words_only():
-    import numpy as np
     h = np.array([5, 6, 7, 5, 6, 7, 8], np.uint64)
     two = CO.fingerprints(h, 2)
     assert two[0] == two[3] and two[1] == two[4] and len(set(two.tolist())) == 4
