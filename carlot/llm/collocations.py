@@ -13,18 +13,20 @@ those into words; everything is counted per language. The steps:
    frequent than its parts and a bitmap has no false negatives, so nothing
    frequent is lost.
 3. What the bitmaps let through, triples of two such pairs included, is shuffled
-   as (fingerprint, times, occurrence pointer), an entry for each block. Within a
-   block the occurrences of a fingerprint were compared word by word and differing
-   ones have an entry of their own. Fingerprints that reach the least count keep
-   their pointers.
-4. The pointers go to their documents, a pointer becomes the phrase that stands
-   there, and counts are summed by language and text. Phrases that share a
-   fingerprint part here, so counts are exact whatever collides, and only frequent
-   phrases ever exist as text.
+   as (fingerprint, times, occurrence pointer), an entry for each block, and with 32
+   bits of a second fingerprint of other word hashes. Within a block the occurrences
+   of a fingerprint were compared word by word and differing ones have an entry of
+   their own. Summed by both fingerprints, so that phrases which share only the
+   first part, those that reach the least count keep two pointers: to the
+   documents of least and of greatest key that hold one.
+4. The pointers go to their documents and become the phrases that stand there. The
+   two of a fingerprint must be one phrase, else the query ends in an error; only
+   frequent phrases ever exist as text.
 5. Scores, containment and the best of each language by joins on the phrases.
 
 A pointer is a 64-bit key of (id, language, text), the word's place and the number
-of words; two different documents with one key are an error, not a wrong count.
+of words; two different documents with one key, or two phrases that agree in both
+fingerprints (96 bits) and are met at the pointers, are an error.
 
 Defined cases: null texts are empty, a null language is ``und``; rows that repeat
 an id or a text count again; words longer than a piece don't exist; an empty table
@@ -54,7 +56,7 @@ UNKNOWN = "und"
 BITS = 27
 #: Text bytes of a block, and of which a range of fingerprints gets the runs: the
 #: number of ranges follows the input, so that one fits a task at every size.
-BLOCK, PART = 6 << 20, 32 << 20
+BLOCK, PART = 12 << 20, 32 << 20
 #: Base of the prefix polynomials and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -67,6 +69,10 @@ ENDS = np.zeros(256, dtype=bool)
 ENDS[[*range(10, 14), *map(ord, ".,;:!?")]] = True
 
 
+#: Bytes under other names, for the second word hash.
+OTHER = np.arange(256, dtype=np.uint8) ^ np.uint8(0x5A)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """The first ``n`` powers of ``base`` modulo 2**64."""
     if base not in _POWERS or len(_POWERS[base]) < n:
@@ -97,21 +103,24 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class Block:
     """The words of a block of texts: ``start`` and ``end`` bytes, ``doc`` and
-    ``place`` in it, ``piece``, the keys (language and fingerprint) of its runs."""
+    ``place`` in it, ``piece``, the keys (language and fingerprint) of
+    its runs and their checks."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, lang: list, fold: int):
         self.low = LOWER_TABLE[buf]
-        self.start, self.end, at = word_spans(self.low, offsets, IN_WORD)
-        n = len(self.start)
-        self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
-        self.place = np.arange(n) - np.repeat(at[:-1], np.diff(at))
-        self.piece = np.searchsorted(np.flatnonzero(ENDS[self.low]), self.start)
+        start, end, at = word_spans(self.low, offsets, IN_WORD)
+        self.hash = word_hashes(self.low, start, end)
+        small = np.int32 if len(buf) < 1 << 31 else np.int64
+        self.start, self.end = start.astype(small), end.astype(small)
+        self.doc = np.repeat(np.arange(len(offsets) - 1, dtype=small), np.diff(at))
+        self.place = np.arange(len(start), dtype=small) - np.repeat(at[:-1].astype(small), np.diff(at))
+        self.piece = np.searchsorted(np.flatnonzero(ENDS[self.low]).astype(small), self.start).astype(small)
         names = sorted(set(lang))
         number = {x: i for i, x in enumerate(names)}
         self.lang = np.array([number[x] for x in lang], np.int64)
         self.lang_hash = np.array([_name_hash(x) for x in names], np.uint64)
-        self.hash = word_hashes(self.low, self.start, self.end)
         self.fold = U64(fold)
+        self.other = None
         self._keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,11 +133,19 @@ class Block:
             self._keys[n] = (mix(runs ^ own[self.doc[:m]]) if m else runs) & self.fold, valid
         return self._keys[n]
 
+    def checks(self, n: int) -> np.ndarray:
+        """32 bits of a second, independent fingerprint of the runs of ``n`` words."""
+        if self.other is None:
+            self.other = word_hashes(OTHER[self.low], self.start.astype(np.int64), self.end.astype(np.int64))
+        runs = fingerprints(self.other, n)
+        own = mix(self.lang_hash ^ U64(n))[self.lang]
+        return (mix(runs ^ own[self.doc[:len(runs)]]) if len(runs) else runs).astype(np.uint32)
+
     def same_word(self) -> np.ndarray:
         """For every word one word of the block with the same bytes, the same for
         all of these."""
         out = np.arange(len(self.start))
-        lens = self.end - self.start
+        lens = (self.end - self.start).astype(np.int64)
         padded = np.concatenate([self.low, np.zeros(8, np.uint8)])
         head = np.lib.stride_tricks.sliding_window_view(padded, 8)[self.start].reshape(-1).view(np.uint64)
         head = head & _HEADS[np.minimum(lens, 8)]
@@ -242,20 +259,22 @@ def frequent_bits(part: int, t: pa.Table, least: int, parts: int) -> pa.Table:
 
 
 def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Fingerprint, times, document and place (``at``: four times the word's place
-    plus the number of words) of each run of words of a block, one entry for each
-    content, that points to one of its occurrences. Runs of no word stand for all
-    words of a language."""
+    """Fingerprint, check, times, document and place (``at``: four times the word's
+    place plus the number of words) of each run of words of a block, one entry for
+    each content, that points to one of its occurrences. Runs of no word stand for
+    all words of a language."""
     for b, block in blocks(batches, size, fold):
         doc_key = b.column("doc").to_numpy()
         word = block.same_word()
         first = np.unique(block.lang, return_index=True)[1]
-        out = [[mix(block.lang_hash) & block.fold], [np.bincount(block.lang[block.doc], minlength=len(first))], [first], [first * 0]]
+        out = [[mix(block.lang_hash) & block.fold], [np.bincount(block.lang[block.doc], minlength=len(first))], [first], [first * 0],
+               [mix(~block.lang_hash).astype(np.uint32)]]
         for n in range(1, WORDS + 1):
             keys, at = allowed(block, n, words.value, pairs.value)
             if n < 3:
                 can = passes(words.value if n == 1 else pairs.value, keys)
                 keys, at = keys[can], at[can]
+            check = block.checks(n)
             while len(keys):
                 order, lead = grouped(keys)
                 keys, at = keys[order], at[order]
@@ -264,30 +283,43 @@ def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int,
                 for k in range(n):
                     same &= word[at + k] == word[rep + k]
                 for x, y in zip(out, (keys[lead], np.add.reduceat(same.astype(np.int64), lead), block.doc[at[lead]],
-                                      block.place[at[lead]] * 4 + n), strict=True):
+                                      block.place[at[lead]].astype(np.int64) * 4 + n, check[at[lead]]), strict=True):
                     x.append(y)
                 keys, at = keys[~same], at[~same]
         keys = np.concatenate(out[0])
         order = grouped(keys)[0]
-        times, doc, at = (np.concatenate(x)[order] for x in out[1:])
+        times, doc, at, check = (np.concatenate(x)[order] for x in out[1:])
         # a text has at most 2**30 words, a block fewer than 2**31
-        yield _sliced(keys[order], parts, keys[order], times.astype(np.int32), doc_key[doc], at.astype(np.uint32))
+        yield _sliced(keys[order], parts, keys[order], times.astype(np.int32), doc_key[doc], at.astype(np.uint32), check)
 
 
-_POINTERS = "doc bigint, at bigint, times bigint"
+_POINTERS = "doc bigint, at bigint, times bigint, key bigint, check int"
 
 
 def frequent_pointers(t: pa.Table, least: int) -> pa.Table:
-    """Of a range of fingerprints, the pointers of those whose times reach ``least``."""
-    cols = [_joined(t[f"c{i}"], k) for i, k in enumerate((np.uint64, np.int32, np.int64, np.uint32))]
-    order, first = grouped(cols[0])
-    times = cols[1][order].astype(np.int64)
-    stay = np.repeat(np.add.reduceat(times, first) >= least, np.diff(np.append(first, len(order))))
-    at = order[stay]
-    return pa.table([pa.array(cols[2][at]), pa.array(cols[3][at].astype(np.int64)), pa.array(times[stay])], ["doc", "at", "times"])
+    """Of a range of fingerprints, those (with their checks) whose times reach
+    ``least``: pointers to two places, in the documents of least and of greatest
+    key, the first of which carries the times."""
+    key, times, doc, at, check = (_joined(t[f"c{i}"], k) for i, k in enumerate((np.uint64, np.int32, np.int64, np.uint32, np.uint32)))
+    order = np.lexsort((check, key))
+    k, c = key[order], check[order]
+    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]))
+    sums = np.add.reduceat(times[order].astype(np.int64), first)
+    size = np.diff(np.append(first, len(order)))
+    stay = np.repeat(sums >= least, size)
+    order, group, sums, size = order[stay], np.repeat(np.arange(np.count_nonzero(sums >= least)), size[sums >= least]), sums[sums >= least], size[sums >= least]
+    order = order[np.lexsort((at[order], doc[order], group))]
+    low = np.cumsum(size) - size
+    high = (low + size - 1)[size > 1]
+    at_ = order[np.concatenate([low, high])]
+    return pa.table([pa.array(doc[at_]), pa.array(at[at_].astype(np.int64)), pa.array(np.concatenate([sums, high * 0])),
+                     pa.array(key[at_].view(np.int64)), pa.array(check[at_].view(np.int32))], ["doc", "at", "times", "key", "check"])
+
+
+_PHRASES = "key bigint, check int, lang string, words int, phrase string, times bigint"
 
 
-_PHRASES = "lang string, words int, phrase string, times bigint"
+_TOLD = ["doc", "at", "text", "lang", "times", "key", "check"]
 
 
 def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +337,7 @@ def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         rows: list[tuple] = []
-        for d, at, t, own, times in zip(*(b.column(c).to_pylist() for c in ("doc", "at", "text", "lang", "times")), strict=True):
+        for d, at, t, own, times, key, check in zip(*(b.column(c).to_pylist() for c in _TOLD), strict=True):
             if at < 0:
                 if d == doc and (t, own) != (text, lang):
                     raise ValueError("two documents have one 64-bit key")
@@ -317,11 +349,12 @@ def read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if at and not words:
                 words = cut(text)
             i, n = divmod(at, 4)
-            rows.append((lang, n, " ".join(words[i:i + n]), times))
+            rows.append((key, check, lang, n, " ".join(words[i:i + n]), times))
         if rows:
             cols = list(zip(*rows, strict=True))
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["lang", "words", "phrase", "times"])
+            kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             ["key", "check", "lang", "words", "phrase", "times"])
 
 
 def bitmap_of(packed: DataFrame, least: int, parts: int) -> np.ndarray:
@@ -353,13 +386,17 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words = sc.broadcast(packs(1, None))
     pairs = sc.broadcast(packs(2, words))
     pointers = rows.mapInArrow(lambda it: point(it, words, pairs, fold, block, parts),
-                               "part int, c0 binary, c1 binary, c2 binary, c3 binary")
+                               "part int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
     pointers = pointers.groupBy("part").applyInArrow(lambda t: frequent_pointers(t, least), _POINTERS)
-    none = F.lit(None).cast("string")
-    asked = pointers.select("doc", "at", none.alias("text"), none.alias("lang"), "times")
-    told = rows.select("doc", F.lit(-1).cast("bigint").alias("at"), "text", "lang", F.lit(None).cast("bigint").alias("times"))
+    none = lambda kind: F.lit(None).cast(kind)
+    asked = pointers.select("doc", "at", none("string").alias("text"), none("string").alias("lang"), "times", "key", "check")
+    told = rows.select("doc", F.lit(-1).cast("bigint").alias("at"), "text", "lang", none("bigint").alias("times"),
+                       none("bigint").alias("key"), none("int").alias("check"))
     found = told.unionByName(asked).repartition("doc").sortWithinPartitions("doc", "at").mapInArrow(read_phrases, _PHRASES)
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("times").alias("f")).where(F.col("f") >= least)
+    here = F.struct("lang", "words", "phrase")
+    one = found.groupBy("key", "check").agg(F.sum("times").alias("f"), F.min(here).alias("p"), F.max(here).alias("q"))
+    same = F.when(F.col("p") == F.col("q"), F.col("p")).otherwise(F.raise_error(F.lit("different phrases with equal fingerprints and checks")))
+    return one.select(same.alias("p"), "f").select("p.lang", "p.words", "p.phrase", "f")
 
 
 def scored(counts: DataFrame) -> DataFrame:
