@@ -54,9 +54,11 @@ TOP = 2000
 UNKNOWN = "und"
 #: Bits of a bitmap of frequent fingerprints: 16 MB.
 BITS = 27
-#: Text bytes of a block, and of which a range of fingerprints gets the runs: the
-#: number of ranges follows the input, so that one fits a task at every size.
-BLOCK, PART = 12 << 20, 32 << 20
+#: Text bytes of a block where fingerprints are counted, and where pointers are taken.
+BLOCK, POINTING = 12 << 20, 7 << 20
+#: Text bytes whose runs a range of fingerprints gets: the number of ranges follows
+#: the input, so that one fits a task at every size.
+PART = 32 << 20
 #: Base of the prefix polynomials and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -133,6 +135,9 @@ class Block:
             self._keys[n] = (mix(runs ^ own[self.doc[:m]]) if m else runs) & self.fold, valid
         return self._keys[n]
 
+    def forget(self, n: int) -> None:
+        self._keys.pop(n, None)
+
     def checks(self, n: int) -> np.ndarray:
         """32 bits of a second, independent fingerprint of the runs of ``n`` words."""
         if self.other is None:
@@ -286,6 +291,8 @@ def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int,
                                       block.place[at[lead]].astype(np.int64) * 4 + n, check[at[lead]]), strict=True):
                     x.append(y)
                 keys, at = keys[~same], at[~same]
+            block.forget(n - 1)
+        block.forget(WORDS)
         keys = np.concatenate(out[0])
         order = grouped(keys)[0]
         times, doc, at, check = (np.concatenate(x)[order] for x in out[1:])
@@ -385,7 +392,7 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         lambda it: pack(it, n, words, fold, block, parts), "part int, c0 binary"), least, parts)
     words = sc.broadcast(packs(1, None))
     pairs = sc.broadcast(packs(2, words))
-    pointers = rows.mapInArrow(lambda it: point(it, words, pairs, fold, block, parts),
+    pointers = rows.mapInArrow(lambda it: point(it, words, pairs, fold, min(block, POINTING), parts),
                                "part int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
     pointers = pointers.groupBy("part").applyInArrow(lambda t: frequent_pointers(t, least), _POINTERS)
     none = lambda kind: F.lit(None).cast(kind)
