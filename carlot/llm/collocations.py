@@ -230,17 +230,24 @@ def allowed(block: Block, n: int, words, pairs) -> tuple[np.ndarray, np.ndarray]
     return keys[at], at
 
 
-def _sliced(keys: np.ndarray, parts: int, *cols: np.ndarray) -> pa.RecordBatch:
-    """Sorted ``keys`` and their columns cut into ``parts`` ranges of fingerprints:
-    a row (part, bytes of each column) for each range that isn't empty."""
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes each as the largest needs."""
+    top = int(x.max(initial=0))
+    return x.astype(next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)).tobytes()
+
+
+def _ranges(keys: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
+    """The ranges of fingerprints that sorted ``keys`` have, with their rows."""
     edges = np.searchsorted(keys >> U64(64 - BITS), np.arange(parts + 1, dtype=np.uint64) * U64((1 << BITS) // parts))
-    full = np.flatnonzero(np.diff(edges))
-    data = [pa.array([c[edges[i]:edges[i + 1]].tobytes() for i in full], pa.binary()) for c in cols]
-    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *data], ["part", *[f"c{i}" for i in range(len(cols))]])
+    for i in np.flatnonzero(np.diff(edges)).tolist():
+        yield i, slice(int(edges[i]), int(edges[i + 1]))
 
 
-def _joined(column, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+    """(part, bytes, ...) rows as a batch."""
+    cols = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
+                                      ["part", *[f"c{i}" for i in range(len(cols) - 1)]])
 
 
 def pack(batches: Iterator[pa.RecordBatch], n: int, words, fold: int, size: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -249,12 +256,14 @@ def pack(batches: Iterator[pa.RecordBatch], n: int, words, fold: int, size: int,
     for _, block in blocks(batches, size, fold):
         keys, _ = allowed(block, n, words.value if words else None, None)
         u, times = np.unique(keys, return_counts=True)
-        yield _sliced(u, parts, (u & ~U64(15)) | np.minimum(times, 15).astype(np.uint64))
+        packed = (u & ~U64(15)) | np.minimum(times, 15).astype(np.uint64)
+        if len(u):
+            yield _blobs([(i, packed[at].tobytes()) for i, at in _ranges(u, parts)])
 
 
 def frequent_bits(part: int, t: pa.Table, least: int, parts: int) -> pa.Table:
     """The share of the bitmap of one range of fingerprints."""
-    packed = np.sort(_joined(t["c0"], np.uint64))
+    packed = np.sort(np.frombuffer(b"".join(t["c0"].to_pylist()), np.uint64))
     keys = packed >> U64(4)
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     many = keys[first[np.add.reduceat((packed & U64(15)).astype(np.int64), first) >= least]]
@@ -296,8 +305,11 @@ def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int,
         keys = np.concatenate(out[0])
         order = grouped(keys)[0]
         times, doc, at, check = (np.concatenate(x)[order] for x in out[1:])
-        # a text has at most 2**30 words, a block fewer than 2**31
-        yield _sliced(keys[order], parts, keys[order], times.astype(np.int32), doc_key[doc], at.astype(np.uint32), check)
+        keys, rows = keys[order], []
+        for i, r in _ranges(keys, parts):
+            held, number = np.unique(doc[r], return_inverse=True)
+            rows.append((i, keys[r].tobytes(), check[r].tobytes(), _narrow(times[r]), _narrow(at[r]), _narrow(number), doc_key[held].tobytes()))
+        yield _blobs(rows)
 
 
 _POINTERS = "doc bigint, at bigint, times bigint, key bigint, check int"
@@ -307,11 +319,17 @@ def frequent_pointers(t: pa.Table, least: int) -> pa.Table:
     """Of a range of fingerprints, those (with their checks) whose times reach
     ``least``: pointers to two places, in the documents of least and of greatest
     key, the first of which carries the times."""
-    key, times, doc, at, check = (_joined(t[f"c{i}"], k) for i, k in enumerate((np.uint64, np.int32, np.int64, np.uint32, np.uint32)))
+    cols: list[list[np.ndarray]] = [[], [], [], [], []]
+    for blobs in zip(*(t[f"c{i}"].to_pylist() for i in range(6)), strict=True):
+        n = len(blobs[0]) // 8
+        key, check, times, at, number = (np.frombuffer(x, f"u{len(x) // n}") for x in blobs[:5])
+        for c, x in zip(cols, (key, check, times.astype(np.int64), at.astype(np.int64), np.frombuffer(blobs[5], np.int64)[number]), strict=True):
+            c.append(x)
+    key, check, times, at, doc = (np.concatenate(c) for c in cols)
     order = np.lexsort((check, key))
     k, c = key[order], check[order]
     first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]))
-    sums = np.add.reduceat(times[order].astype(np.int64), first)
+    sums = np.add.reduceat(times[order], first)
     size = np.diff(np.append(first, len(order)))
     stay = np.repeat(sums >= least, size)
     order, group, sums, size = order[stay], np.repeat(np.arange(np.count_nonzero(sums >= least)), size[sums >= least]), sums[sums >= least], size[sums >= least]
@@ -319,7 +337,7 @@ def frequent_pointers(t: pa.Table, least: int) -> pa.Table:
     low = np.cumsum(size) - size
     high = (low + size - 1)[size > 1]
     at_ = order[np.concatenate([low, high])]
-    return pa.table([pa.array(doc[at_]), pa.array(at[at_].astype(np.int64)), pa.array(np.concatenate([sums, high * 0])),
+    return pa.table([pa.array(doc[at_]), pa.array(at[at_]), pa.array(np.concatenate([sums, high * 0])),
                      pa.array(key[at_].view(np.int64)), pa.array(check[at_].view(np.int32))], ["doc", "at", "times", "key", "check"])
 
 
@@ -393,7 +411,7 @@ def phrase_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words = sc.broadcast(packs(1, None))
     pairs = sc.broadcast(packs(2, words))
     pointers = rows.mapInArrow(lambda it: point(it, words, pairs, fold, min(block, POINTING), parts),
-                               "part int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary")
+                               "part int, " + ", ".join(f"c{i} binary" for i in range(6)))
     pointers = pointers.groupBy("part").applyInArrow(lambda t: frequent_pointers(t, least), _POINTERS)
     none = lambda kind: F.lit(None).cast(kind)
     asked = pointers.select("doc", "at", none("string").alias("text"), none("string").alias("lang"), "times", "key", "check")

@@ -92,8 +92,8 @@ def test_pointers_of_frequent_fingerprints():
     keys = np.array([1] * 4 + [2] * 12 + [3] * 9 + [4, 5, 5], np.uint64) << np.uint64(40)
     check = np.array([7] * 26 + [8, 9], np.uint32)                     # the last two share a fingerprint only
     r = np.random.default_rng(1).permutation(28)
-    cols = [keys, np.array([1] * 27 + [10], np.int32), np.arange(28), np.arange(28, dtype=np.uint32) * 4, check]
-    t = pa.table({f"c{i}": [c[r[:10]].tobytes(), c[r[10:]].tobytes()] for i, c in enumerate(cols)})
+    cols = [keys, check, np.array([1] * 27 + [10], np.uint8), np.arange(28, dtype=np.uint16) * 4, np.arange(28, dtype=np.uint8)]
+    t = pa.table({f"c{i}": [c[r[:10]].tobytes(), c[r[10:]].tobytes()] for i, c in enumerate(cols)} | {"c5": [np.arange(28).tobytes()] * 2})
     out = CO.frequent_pointers(t, 10).to_pylist()
     assert sorted((x["doc"], x["at"], x["times"], x["key"] >> 40, x["check"]) for x in out) == [(4, 16, 12, 2, 7), (15, 60, 0, 2, 7), (27, 108, 10, 5, 9)]
 
