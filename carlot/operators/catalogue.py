@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carlot.operators.scans import dense_index
+from carlot.session import stored
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: URL slugs that do not follow the generic rule
@@ -74,8 +75,13 @@ def _anchored(names: DataFrame, name: str, scope: list[str]) -> DataFrame:
     return names.join(best, [*scope, name])
 
 
-def tag_make(titles: DataFrame, catalogue: DataFrame, title: str = "title", id_cols=("row_id",),
-             out: str = "make") -> DataFrame:
+def _numbered(titles: DataFrame) -> DataFrame:
+    """The titles written once, each row with a number of its own: tokens and
+    tags meet by it, whatever ids the rows have or lack."""
+    return stored(titles.withColumn("__row", F.monotonically_increasing_id()), "titles")
+
+
+def tag_make(titles: DataFrame, catalogue: DataFrame, title: str = "title", out: str = "make") -> DataFrame:
     """the catalogue make found as a whole word in the title; when several
     match, the one latest in catalogue order wins (as the source loop did).
 
@@ -83,18 +89,18 @@ def tag_make(titles: DataFrame, catalogue: DataFrame, title: str = "title", id_c
     title tokens meet the makes' anchor tokens in an equi-join that carries ids
     only; the few candidates of a title join it once and are confirmed there.
     """
-    ids = list(id_cols)
+    titles = _numbered(titles)
     brands = _ordered(catalogue).groupBy("brand").agg(F.max("ord").alias("ord"))
     brands = _anchored(brands, "brand", [])
-    tokens = titles.select(*ids, F.explode(F.array_distinct(_tokens(title))).alias("__key"))
-    cand = tokens.join(brands, "__key").groupBy(*ids).agg(
+    tokens = titles.select("__row", F.explode(F.array_distinct(_tokens(title))).alias("__key"))
+    cand = tokens.join(brands, "__key").groupBy("__row").agg(
         F.sort_array(F.collect_set(F.struct("ord", "brand")), asc=False).alias("__c"))
     hit = F.filter("__c", lambda c: F.regexp_like(F.col(title), word_pattern(c["brand"])))
-    return titles.join(cand, ids, "left").withColumn(out, F.get(hit, F.lit(0))["brand"]).drop("__c")
+    return titles.join(cand, "__row", "left").withColumn(out, F.get(hit, F.lit(0))["brand"]).drop("__c", "__row")
 
 
 def tag_model(titles: DataFrame, catalogue: DataFrame, title: str = "title", make: str = "make",
-              out: str = "model", policy: str = "parity", id_cols=("row_id",)) -> DataFrame:
+              out: str = "model", policy: str = "parity") -> DataFrame:
     """model within the tagged make.
 
     Models of the make are tried longest first (ties in catalogue order);
@@ -104,13 +110,13 @@ def tag_model(titles: DataFrame, catalogue: DataFrame, title: str = "title", mak
     first. Only models whose anchor token is in the title are tried: an
     equi-join on (make, token) carrying ids.
     """
-    ids = list(id_cols)
+    titles = _numbered(titles)
     models = _ordered(catalogue).groupBy(F.col("brand").alias(make), "model").agg(F.max("ord").alias("ord"))
     models = _anchored(models, "model", [make])
-    tokens = titles.select(*ids, make, F.explode(F.array_distinct(_tokens(title))).alias("__key"))
-    cand = tokens.join(models, [make, "__key"]).groupBy(*ids).agg(
+    tokens = titles.select("__row", make, F.explode(F.array_distinct(_tokens(title))).alias("__key"))
+    cand = tokens.join(models, [make, "__key"]).groupBy("__row").agg(
         F.array_sort(F.collect_set(F.struct((-F.length("model")).alias("neg_len"), "ord", "model"))).alias("__models"))
-    j = titles.join(cand, ids, "left")
+    j = titles.join(cand, "__row", "left")
     init = F.struct(F.col(title).alias("t"), F.lit(None).cast("string").alias("m"))
 
     def step(acc, m):
@@ -123,7 +129,7 @@ def tag_model(titles: DataFrame, catalogue: DataFrame, title: str = "title", mak
 
     folded = F.aggregate(F.coalesce("__models", F.array().cast(
         "array<struct<neg_len:int,ord:bigint,model:string>>")), init, step)
-    return j.withColumn(out, folded["m"]).drop("__models")
+    return j.withColumn(out, folded["m"]).drop("__models", "__row")
 
 
 def slugify(c) -> Column:

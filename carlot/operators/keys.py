@@ -113,13 +113,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys, columns, run_ts,
     return j.select(*out)
 
 
-def assign_new_ids(table: DataFrame, keys, id_col: str = "id") -> DataFrame:
+def assign_new_ids(table: DataFrame, keys, id_col: str = "id", start: int = 1) -> DataFrame:
     """Give rows without an ``id`` consecutive ids after the current maximum
-    (serial-key behaviour), ordered by key."""
+    (serial-key behaviour), ordered by key; from ``start`` when there is none."""
     keys = _cols(keys)
     have = table.where(F.col(id_col).isNotNull())
     new = table.where(F.col(id_col).isNull()).drop(id_col)
-    base = have.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__base"))  # one row
+    base = have.agg(F.coalesce(F.max(id_col), F.lit(start - 1)).alias("__base"))  # one row
     new = dense_index(new, keys, out="__k", start=1)
     # ``base`` is a one-row global aggregate: a proven size bound.
     new = new.withColumn("__one", F.lit(1)).join(F.broadcast(base.withColumn("__one", F.lit(1))), "__one")

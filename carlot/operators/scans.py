@@ -79,8 +79,9 @@ def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=
     ship_package(df.sparkSession)
     g = _cols(group_cols)
     keys = g + _cols(order_cols)
+    # a hash skips NULLs, so each key goes with its NULL flag: (NULL, 'x') is not ('x', NULL)
     d = df.withColumn(value, F.col(value).cast("bigint")).withColumn(
-        _GROUP, F.xxhash64(*g) if g else F.lit(0).cast("bigint"))
+        _GROUP, F.xxhash64(*[x for c in g for x in (F.col(c), F.col(c).isNull())]) if g else F.lit(0).cast("bigint"))
     d = d.repartitionByRange(*keys).sortWithinPartitions(*keys)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
     s = stored(d.mapInArrow(lambda it: running_sums(it, value), f"{kinds}, {_LOCAL} bigint, {_PID} bigint"), "running-sums")

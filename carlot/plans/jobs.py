@@ -176,8 +176,8 @@ def clean_titles(frames: list[DataFrame], catalogue: DataFrame, row_id: str = "I
     df = df.withColumn("Mileage in km", C.first_number("Mileage in km", drop=" km")) \
         .withColumn("Price", C.first_number("Price")) \
         .withColumn("Scraping Date", C.scrape_date_stamp(F.lit(run_date)))
-    df = CT.tag_make(df, catalogue, title="Title", id_cols=[row_id], out="Make")
-    df = CT.tag_model(df, catalogue, title="Title", make="Make", out="Model", id_cols=[row_id])
+    df = CT.tag_make(df, catalogue, title="Title", out="Make")
+    df = CT.tag_model(df, catalogue, title="Title", make="Make", out="Model")
     df = df.withColumn("Engine capacity", C.engine_from_description("Description")) \
         .withColumn("Power", C.power_from_description("Description"))
     numeric = {c: "double" for c in (row_id, "Mileage in km", "Year", "Price", "Engine capacity", "Power")

@@ -481,17 +481,21 @@ FROM (SELECT DISTINCT p_brand AS brand, p_type AS model FROM part)
 
 # --- segments -------------------------------------------------------------------------
 
-SQL["segment_plan"] = w(LISTINGS) + """,
-r AS (SELECT production_year, transmission, COUNT(*) AS listings,
-             grouping(production_year) * 2 + grouping(transmission) AS gid
-      FROM listings GROUP BY ROLLUP (production_year, transmission)),
-tot AS (SELECT listings AS total FROM r WHERE gid = 3),
-yr AS (SELECT production_year, listings AS year_n FROM r WHERE gid = 1)
-SELECT CASE r.gid WHEN 3 THEN 'all' WHEN 1 THEN 'year' ELSE 'year_gearbox' END AS level,
-       r.production_year, r.transmission, r.listings, r.listings > 2300 AS over_limit
-FROM r CROSS JOIN tot LEFT JOIN yr ON r.gid = 0 AND yr.production_year IS NOT DISTINCT FROM r.production_year
-WHERE CASE WHEN tot.total <= 2300 THEN r.gid = 3
-           ELSE (r.gid = 1 AND r.listings <= 2300) OR (r.gid = 0 AND yr.year_n > 2300) END
+_SEGMENTS = """,
+c AS (SELECT production_year AS y, transmission AS g, COUNT(*) AS n FROM listings GROUP BY ALL),
+lv AS (SELECT y, g, n, SUM(n) OVER (PARTITION BY y) AS year_n, SUM(n) OVER () AS total FROM c),
+s AS (SELECT l.*, lv.n, CASE WHEN total <= 1000 THEN 'all' WHEN year_n <= 1000 THEN 'year' WHEN n <= 1000 THEN 'year_gearbox'
+                             ELSE 'range' END AS level,
+             CASE WHEN level = 'range' THEN ((row_number() OVER (PARTITION BY production_year, transmission
+               ORDER BY advert_id, l_partkey, l_suppkey) - 1) * ((lv.n + 999) // 1000)) // lv.n END AS part
+      FROM listings l JOIN lv ON l.production_year IS NOT DISTINCT FROM lv.y AND l.transmission = lv.g)
+"""
+
+SQL["segment_plan"] = w(LISTINGS) + _SEGMENTS + """
+SELECT level, CASE WHEN level <> 'all' THEN production_year END AS production_year,
+       CASE WHEN level IN ('year_gearbox', 'range') THEN transmission END AS transmission, part::INT AS part, COUNT(*) AS listings,
+       CASE WHEN level = 'range' THEN MIN(advert_id) END AS first_key, CASE WHEN level = 'range' THEN MAX(advert_id) END AS last_key
+FROM s GROUP BY level, 2, 3, part
 """
 
 # --- extraction round trip ----------------------------------------------------------------
@@ -611,15 +615,12 @@ SQL["numeric_profile"] = w(LISTINGS) + "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT({c}) AS non_null, COUNT(*) - COUNT({c}) AS nulls FROM listings"
     for c in ("advert_id", "production_year", "price", "mileage_km", "engine_capacity_cm3"))
 
-SQL["segment_files"] = w(LISTINGS) + """,
-y AS (SELECT production_year AS py, COUNT(*) > 2300 AS split FROM listings GROUP BY 1),
-t AS (SELECT COUNT(*) AS n FROM listings)
-SELECT CASE WHEN t.n <= 2300 THEN 'all'
-            WHEN y.split THEN 'yg_' || COALESCE(CAST(production_year AS VARCHAR), 'null') || '_' || transmission
-            ELSE 'y_' || COALESCE(CAST(production_year AS VARCHAR), 'null') END AS segment, COUNT(*) AS listings
-FROM listings JOIN y ON production_year IS NOT DISTINCT FROM y.py CROSS JOIN t GROUP BY 1
+SQL["segment_files"] = w(LISTINGS) + _SEGMENTS + """
+SELECT CASE level WHEN 'all' THEN 'all' WHEN 'year' THEN 'y_' || COALESCE(CAST(production_year AS VARCHAR), 'null')
+            ELSE 'yg_' || COALESCE(CAST(production_year AS VARCHAR), 'null') || '_' || transmission || COALESCE('_' || part, '') END AS segment,
+       COUNT(*) AS listings
+FROM s GROUP BY 1
 """
-
 SQL["text_normalize"] = """
 SELECT doc_id, sha256(trim(regexp_replace(replace(text, chr(160), ' '), '\\s+', ' ', 'g'))) AS text_sha256 FROM documents
 """
@@ -632,3 +633,6 @@ SELECT CAST((l_orderkey * 8 + l_linenumber) * 100000000 + l_partkey * 1000 + l_s
        'Kraków' AS City, 'Małopolskie' AS Province, '2025-12-31' AS scraping_date
 FROM listings WHERE price IS NOT NULL
 """
+
+
+from carlot.plans import table_oracles  # noqa: E402, F401

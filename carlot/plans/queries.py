@@ -393,14 +393,14 @@ def titles(spark, sf):
 
 @query("make_tagging")
 def q_make_tagging(spark, sf):
-    return CT.tag_make(titles(spark, sf), catalogue_from_parts(spark, sf), id_cols=_KEYS)
+    return CT.tag_make(titles(spark, sf), catalogue_from_parts(spark, sf))
 
 
 @query("model_tagging")
 def q_model_tagging(spark, sf):
     cat = catalogue_from_parts(spark, sf)
-    tagged = CT.tag_make(titles(spark, sf), cat, id_cols=_KEYS)
-    return CT.tag_model(tagged, cat, id_cols=_KEYS).select(*_KEYS, "make", "model")
+    tagged = CT.tag_make(titles(spark, sf), cat)
+    return CT.tag_model(tagged, cat).select(*_KEYS, "make", "model")
 
 
 @query("catalogue_labels")
@@ -422,12 +422,13 @@ def q_search_urls(spark, sf):
 
 # --- segment plan (L1) ---------------------------------------------------------------------
 
-SEGMENT_LIMIT = 2300
+#: Listings of a segment at most; at sf0.01 some years fit whole, most cells need ranges.
+SEGMENT_LIMIT = 1000
 
 
 @query("segment_plan")
 def q_segment_plan(spark, sf):
-    return SG.segment_plan(listings(spark, sf), SEGMENT_LIMIT)
+    return SG.segment_plan(listings(spark, sf), SEGMENT_LIMIT, ["advert_id", "l_partkey", "l_suppkey"])
 
 
 # --- landed-page extraction (C1–C17, E1) ---------------------------------------------------
@@ -475,10 +476,10 @@ def q_multi_file_merge(spark, sf):
     base = scratch_path(spark, "csv-export")
     orders = table(spark, sf, "orders")
     layouts = [ORDER_COLS[:-1], ORDER_COLS, ORDER_COLS[::-1]]
-    statuses = sorted((r[0] for r in orders.select("o_orderstatus").distinct().collect()), key=lambda x: (x is not None, x))
-    for i, status in enumerate(statuses):      # a vocabulary of the data
-        part = orders.where(F.col("o_orderstatus").eqNullSafe(status))
-        SK.write_fixed_csv(part, f"{base}/all_offers_{i}", layouts[i % 3])
+    ranks = SC.dense_index(orders.select("o_orderstatus").distinct(), ["o_orderstatus"], out="layout", start=0)
+    ranked = SC.join_null_safe(orders, ranks, ["o_orderstatus"]).withColumn("layout", F.col("layout") % len(layouts))
+    for i, layout in enumerate(layouts):
+        SK.write_fixed_csv(ranked.where(F.col("layout") == i).drop("layout"), f"{base}/all_offers_{i}", layout)
     merged = FL.read_raw_csv(spark, f"{base}/all_offers_*", glob="*.csv")
     return merged.select(
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
@@ -487,14 +488,23 @@ def q_multi_file_merge(spark, sf):
         F.when(F.col("o_orderpriority") == "", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
 
 
+#: Files of a micro-batch: a day's events are a file for each task that wrote some.
+DAYS_PER_BATCH = 8
+
+
+def arrivals(events):
+    """Events with the day that they arrive on."""
+    return events.withColumn("day", F.to_date("ts"))
+
+
 @query("stream_upsert")
 def q_stream_upsert(spark, sf):
-    """Events as a file stream of key sightings, a file per micro-batch, landed
+    """Events as a file stream of key sightings, some days a micro-batch, landed
     by epoch and merged by key; returns the merged table."""
     events = table(spark, sf, "events")
     source, base = scratch_path(spark, "stream-files"), scratch_path(spark, "stream-table")
-    events.repartition(4).write.parquet(source)
-    stream = ST.file_stream(spark, source, events.schema, max_files_per_trigger=1)
+    arrivals(events).write.partitionBy("day").parquet(source)
+    stream = ST.file_stream(spark, source, arrivals(events).schema, max_files_per_trigger=DAYS_PER_BATCH).drop("day")
     keys, values, order = ["user_id", "event_type"], ["value", "event_id"], ["ts", "event_id"]
     q = ST.run_keyed_ingest(stream, base, keys, values, "ts", order, checkpoint=scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
@@ -615,7 +625,7 @@ def q_numeric_profile(spark, sf):
 def q_segment_files(spark, sf):
     """L2: listings written by segment, one folder each, and counted from there."""
     lst = listings(spark, sf)
-    tagged = SG.assign_segments(lst, SG.segment_plan(lst, SEGMENT_LIMIT))
+    tagged = SG.assign_segments(lst, SEGMENT_LIMIT, ["advert_id", "l_partkey", "l_suppkey"])
     path = scratch_path(spark, "segments")
     SK.write_segments(tagged.select("segment", "advert_id"), path)
     return spark.read.parquet(path).groupBy("segment").agg(F.count(F.lit(1)).alias("listings"))
@@ -645,3 +655,6 @@ def q_clean_titles(spark, sf):
     return df.select("ID", "Make", "Model", F.col("Mileage in km").alias("mileage_km"), "Price", "Year",
                      F.col("Engine capacity").alias("engine_capacity"), "Power", F.col("Seller Type").alias("seller_type"),
                      "City", "Province", F.col("Scraping Date").alias("scraping_date"))
+
+
+from carlot.plans import table_queries  # noqa: E402, F401

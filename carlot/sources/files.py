@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carlot.operators.scans import dense_index
+from carlot.session import ship_package
 
 
 def string_schema(columns: list[str]) -> T.StructType:
@@ -27,20 +28,35 @@ def read_landed_html(spark: SparkSession, path: str, glob: str = "*.html") -> Da
     return df.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
+def _first_lines(batches):
+    """The first row of the stream, then no more: what follows isn't read."""
+    for b in batches:
+        if b.num_rows:
+            yield b.slice(0, 1)
+            return
+
+
 def csv_headers(spark: SparkSession, path, glob: str | None = None) -> dict[str, list[str]]:
-    """Header line -> files that have it. One text pass keeps the first line of
-    every file (a partial aggregate); only file names and the distinct headers
-    come to the driver."""
+    """Header line -> files that have it, without a second pass over the data:
+    every split of a file is a task of its own that stops after its first row, and
+    the splits at a file's start have the header. The driver gets a row for each
+    file (its listing, which Spark holds there anyway)."""
+    ship_package(spark)
     r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
-    lines = r.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
-                                F.col("_metadata.file_block_start").alias("at"),
-                                F.monotonically_increasing_id().alias("n"))
-    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    conf, packing = spark.conf, "spark.sql.files.openCostInBytes"
+    before = conf.get(packing)
+    conf.set(packing, conf.get("spark.sql.files.maxPartitionBytes"))     # never two files in one task
+    try:
+        lines = r.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
+                                    F.col("_metadata.file_block_start").alias("at"))
+        first = lines.mapInArrow(_first_lines, lines.schema).where("at = 0").collect()
+    finally:
+        conf.set(packing, before)
     out: dict[str, list[str]] = {}
-    for h in first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).collect():
-        out[h["header"].lstrip("\ufeff").rstrip("\r")] = h["files"]
+    for x in sorted(first, key=lambda x: x["file"]):
+        out.setdefault(x["value"].lstrip("\ufeff").rstrip("\r"), []).append(x["file"])
     return out
 
 
@@ -135,6 +151,28 @@ def union_frames(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def read_params(spark: SparkSession, path: str, schema: str, param_col: str) -> DataFrame:
+    """JSON lines whose ``param_col`` holds a raw parameter map: the
+    columns of ``schema``, and the map as a VARIANT (NULL where it is no JSON)."""
+    raw = spark.read.schema(f"{schema}, {param_col} string").json(path)
+    return raw.withColumn(param_col, F.try_parse_json(param_col))
+
+
+def param(col: str, key: str, kind: str):
+    """One parameter of a VARIANT map as ``kind``, NULL if absent or of another
+    kind. A path can't name a key that holds both kinds of quotes."""
+    mark = '"' if "'" in key else "'"
+    if mark in key:
+        raise ValueError(f"no path for the key {key}")
+    return F.try_variant_get(col, f"$[{mark}{key}{mark}]", kind)
+
+
+def read_run_pages(spark: SparkSession, path: str, runs: DataFrame, run_date: str = "run_date") -> DataFrame:
+    """The landed pages of the runs in ``runs`` (whose other columns select
+    them): its dates prune the folders that are scanned, while the query runs."""
+    return spark.read.parquet(path).join(runs.select(run_date).distinct(), run_date, "left_semi")
+
+
 def priced_projection(listings: DataFrame) -> DataFrame:
     """The report's scan - 7 columns and ``price IS NOT NULL``; on
     parquet/JDBC both reach the source (ReadSchema / PushedFilters)."""

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carlot.sources.files import union_frames
+from carlot.operators.keys import new_keys_only
+from carlot.operators.quality import table_diff, table_fingerprint
+from carlot.session import stored
+from carlot.sources.files import existing_paths, union_frames
 
 
 def write_fixed_csv(df: DataFrame, path: str, header: list[str], mode: str = "overwrite") -> None:
@@ -16,8 +19,11 @@ def write_fixed_csv(df: DataFrame, path: str, header: list[str], mode: str = "ov
 
 
 def append_keys(keys: DataFrame, path: str) -> None:
-    """B2: append new ids to the key table."""
-    keys.write.mode("append").parquet(path)
+    """B2: append the ids that the key table at ``path`` hasn't yet, each once."""
+    new = keys.distinct()
+    if existing_paths(keys.sparkSession, [path]):
+        new = new_keys_only(new, keys.sparkSession.read.parquet(path), keys.columns)
+    stored(new, "new-keys").write.mode("append").parquet(path)
 
 
 def write_star(listings: DataFrame, options: DataFrame, bridge: DataFrame, base: str) -> None:
@@ -62,14 +68,26 @@ def write_pages(pages: DataFrame, path: str, run_date: str = "run_date") -> None
 
 
 def write_checked(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write, read back, and compare column types and per-column counts of
-    non-NULL values; a difference is an error. Returns the table read back."""
+    """Write, read back, and compare types and an order-independent fingerprint
+    of all rows; a difference is an error that shows some of the differing rows.
+    Returns the table read back."""
+    df = stored(df, "checked")                           # the rows written are those compared
     w = df.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    back = df.sparkSession.read.parquet(path)
+    return check_read_back(df, df.sparkSession.read.parquet(path))
+
+
+def check_read_back(df: DataFrame, back: DataFrame) -> DataFrame:
     if dict(back.dtypes) != dict(df.dtypes):
         raise ValueError(f"types changed: {sorted(set(back.dtypes) ^ set(df.dtypes))}")
-    counts = [F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]]
-    if df.agg(*counts).first() != back.agg(*counts).first():
-        raise ValueError("counts changed")
+    if table_fingerprint(df).first() != table_fingerprint(back, df.columns).first():
+        raise ValueError(f"rows changed: {table_diff(df, back).limit(5).collect()}")
     return back
+
+
+def write_params(df: DataFrame, path: str, param_col: str) -> None:
+    """JSON lines, the raw parameter map as it came (a JSON text) in
+    ``param_col``; all other values as JSON."""
+    rest = [c for c in df.columns if c != param_col]
+    df.select(F.to_json(F.struct(*rest, F.to_json(F.parse_json(param_col)).alias(param_col)), {"ignoreNullFields": "false"}).alias("value")) \
+        .write.mode("overwrite").text(path)

@@ -14,14 +14,18 @@ from carlot.sources import sinks as SK
 def test_segments_cover_every_row(spark):
     rows = [(2010 + i % 3, "Manualna" if i % 2 else "Automatyczna") for i in range(60)] + [(None, "Manualna")] * 5
     df = spark.createDataFrame(rows, "production_year int, transmission string")
-    plan = SG.segment_plan(df, limit=15)
-    levels = {(r["production_year"], r["transmission"], r["level"]) for r in plan.collect()}
-    assert (None, None, "year") in levels                    # NULL year is its own segment (5 rows)
-    assert all(lv == "year_gearbox" for y, _, lv in levels if y is not None)   # 20 rows per year > 15
-    tagged = SG.assign_segments(df, plan)
-    assert tagged.count() == df.count()
-    assert SG.segment_plan(df, limit=1000).collect()[0]["level"] == "all"
-    assert {r["listings"]: r["over_limit"] for r in SG.segment_plan(df, limit=5).collect()} == {5: False, 10: True}
+    df = df.withColumn("advert_id", F.monotonically_increasing_id() % 17)
+    n = df.count()
+    for limit in (1000, 15, 7, 3, 1):
+        plan = [r.asDict() for r in SG.segment_plan(df, limit).collect()]
+        tagged = SG.assign_segments(df, limit)
+        assert sum(r["listings"] for r in plan) == n == tagged.count()
+        assert max(r["listings"] for r in plan) <= limit
+        sizes = sorted(r["count"] for r in tagged.groupBy("segment").count().collect())
+        assert sizes == sorted(r["listings"] for r in plan)
+    assert [r["level"] for r in SG.segment_plan(df, 1000).collect()] == ["all"]
+    assert {r["level"] for r in SG.segment_plan(df, 7).collect()} == {"year", "range"}
+    tagged = SG.assign_segments(df, 15)
     out = os.path.join(tempfile.mkdtemp(prefix="carlot-seg-"), "segments")
     SK.write_segments(tagged, out)
     assert sorted(d for d in os.listdir(out) if d.startswith("segment="))[0].startswith("segment=y_null")
