@@ -368,6 +368,15 @@ def test_surrogates_take_whole_names(spark):
     assert got[len(names)][1] == 1 and "Ab " not in got[len(names)][0]
 
 
+def test_surrogates_take_long_runs_without_stack(spark):
+    n = 100000
+    texts = ["x@b" + ".aa" * n, "Mrs. " + "Anna " * n, "Mr. " + "J. " * n, "1 " * n, "12-" * n, "+1" + " 23" * n, "DE12" + " ABCD" * n,
+             "a." * n + "@" + "b.c." * n + "com", "mail x@b.org.1 now"]
+    got = surrogates_of(spark, texts)
+    assert len(got) == len(texts) and got[0][1] == 1 and not got[0][0].startswith("x@b.aa")
+    assert "x@b.org" not in got[8][0] and got[8][0].endswith(".1 now")
+
+
 def test_surrogates_follow_mentions_without_a_title(spark):
     import re
     texts = ["Mrs. Anna Smith came. Anna Smith left.", "Smith was late. Mr. J. Smith, ANNA\nSMITH and Smith's dog; Mrs. Anna Smith; Dr. Anna Smith.",
