@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carlot.functions import clean as C
-from carlot.operators.scans import aggregate_with_medians, grouped_median
+from carlot.operators.scans import aggregate_with_medians, dense_index, grouped_median
 from carlot.operators.stats import money_mean
 from carlot.schemas import AGE_BANDS, REFERENCE_YEAR
+from carlot.session import stored
 
 
 def _round(c, n=4):
@@ -111,11 +112,13 @@ def fuel_counts(listings: DataFrame) -> DataFrame:
     occur, 0 where a fuel is absent in a year."""
     base = listings.where(F.col("production_year").isNotNull() & F.col("fuel_type").isNotNull())
     n = base.groupBy("production_year", "fuel_type").agg(F.count(F.lit(1)).alias("listings"))
-    # every fuel of the data for each year: the years carry the list of fuels
-    # (a vocabulary), which a grouped set of one row holds
-    fuels = n.groupBy(F.lit(1).alias("__all")).agg(F.collect_set("fuel_type").alias("__fuels"))
-    grid = (n.select("production_year", F.lit(1).alias("__all")).distinct().join(fuels, "__all")
-            .select("production_year", F.explode("__fuels").alias("fuel_type")))
+    n = stored(n, "fuel-counts")
+    years = stored(dense_index(n.select("production_year").distinct(), ["production_year"], out="__y", start=0), "years")
+    fuels = stored(dense_index(n.select("fuel_type").distinct(), ["fuel_type"], out="__f", start=0), "fuels")
+    # the cells of the result by number, each with its year and its fuel
+    wide = fuels.count()
+    cells = listings.sparkSession.range(years.count() * wide).select(F.expr(f"id div {max(wide, 1)}").alias("__y"), (F.col("id") % max(wide, 1)).alias("__f"))
+    grid = cells.join(years, "__y").join(fuels, "__f").drop("__y", "__f")
     return grid.join(n, ["production_year", "fuel_type"], "left").select(
         "production_year", "fuel_type", F.coalesce("listings", F.lit(0)).cast("bigint").alias("listings"))
 

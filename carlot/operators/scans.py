@@ -69,12 +69,13 @@ def running_sums(batches: Iterator[pa.RecordBatch], value: str) -> Iterator[pa.R
 
 
 def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=None,
-               inclusive: bool = True) -> DataFrame:
+               inclusive: bool = True, total: str | None = None) -> DataFrame:
     """Running sum of the integer column ``value`` within each group in
     ``order_cols`` order.
 
     ``inclusive=False`` gives the sum of strictly earlier rows. Ties in
     ``order_cols`` are broken by the sort position, so pass a total order.
+    ``total`` names a further column with the whole group's sum.
     """
     ship_package(df.sparkSession)
     g = _cols(group_cols)
@@ -87,14 +88,16 @@ def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=
     s = stored(d.mapInArrow(lambda it: running_sums(it, value), f"{kinds}, {_LOCAL} bigint, {_PID} bigint"), "running-sums")
     before = Window.partitionBy(_GROUP).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     totals = s.groupBy(_PID, _GROUP).agg(F.sum(value).alias("__total"))
+    whole = F.coalesce(F.sum("__total").over(Window.partitionBy(_GROUP)), F.lit(0)).alias("__whole")
     # At most a row per partition and one per group. Stored, so that the planner
     # knows its size: usually it is broadcast and the rows stay where they are.
-    offsets = stored(totals.select(_PID, _GROUP, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before")),
+    offsets = stored(totals.select(_PID, _GROUP, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"), whole),
                      "scan-offsets")
     run = F.col(_LOCAL) + F.col("__before")
     if not inclusive:
         run = run - F.coalesce(F.col(value), F.lit(0))
-    return s.join(offsets, [_PID, _GROUP]).withColumn(out, run).select(*df.columns, out)
+    more = [F.col("__whole").alias(total)] if total else []
+    return s.join(offsets, [_PID, _GROUP]).withColumn(out, run).select(*df.columns, out, *more)
 
 
 def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1,
@@ -130,9 +133,7 @@ def grouped_percentiles(df: DataFrame, keys, columns, probs=(0.5,), name=_label)
     keys, columns = _cols(keys), _cols(columns)
     gk = [*keys, "__metric"]
     hist = _stack(df, keys, columns).groupBy(*gk, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    ranked = prefix_sum(hist, "__n", "__upto", group_cols=gk, order_cols=["__v"])
-    sizes = stored(ranked.groupBy(*gk).agg(F.max("__upto").alias("__size")), "group-sizes")
-    j = join_null_safe(ranked, sizes, gk)
+    j = prefix_sum(hist, "__n", "__upto", group_cols=gk, order_cols=["__v"], total="__size")
     out = []
     for c in columns:
         for p in probs:
