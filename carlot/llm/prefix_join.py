@@ -8,25 +8,27 @@ common (all of them, for smaller sets). The steps:
 1. One pass over the texts: per document its size and set digest, and the
    shingles that are frequent inside a batch. The most frequent ones, a table
    of at most ``HOT`` rows, go last in the order; the rest go by hash.
-2. A second pass posts the prefixes. Documents with equal sets (hence equal
-   prefixes and size) are one group from here on: inside a partition at once,
-   across partitions by their digest.
-3. The postings of a shingle meet in one sorted stream. Where a document has at
+2. A second pass posts the prefixes. Documents with identical prefixes and size
+   are one group, whatever the rest of their sets: inside a partition the first
+   one posts for all, across partitions the prefix digest says who belongs.
+3. The postings of a shingle meet in one sorted stream. Where a group has at
    most ``SMALL`` partners of fitting size on average, they are paired, and a
-   pair goes on if it met in SHARED shingles. In denser buckets documents are not
-   paired: they go on as a cluster around the least one, for each band of fitting
-   sizes. A task keeps HOLD rows of a bucket at most; larger ones get their
-   centre by a join.
-4. Documents of equal sets are replaced by one of them. The texts of those that
-   are left go to the blocks of their clusters, of bounded size, as sets. A
-   block is verified against its cluster's centre; only members that don't link
-   to it are held against the other members, by an inverted index in memory. Of
-   the links found, those that join two parts not yet joined are kept, so a
-   group of m copies gives about m edges.
-5. Components of the edges give every document its class.
-
-Nothing is capped: a pair that links shares SHARED shingles in thin buckets,
-or one in a dense bucket, where its cluster decides it.
+   pair of groups goes on if it met in SHARED shingles. In denser buckets groups
+   are not paired: they go on as a cluster around the least one, for each band of
+   fitting sizes. A task keeps HOLD rows of a bucket at most; larger ones get
+   their centre by a join.
+4. Groups are expanded to their members, one for each distinct set: a pair of
+   groups of one set each is a pair, any other pair goes to the cluster of its
+   lesser group, and the members of a group are a cluster of their own.
+5. The texts of the members go to the blocks of their clusters, of bounded size,
+   as sets. A block is verified against its cluster's centre; only members that
+   don't link to it are held against the other members, by an inverted index in
+   memory. Of the links found, those that join two parts not yet joined are kept,
+   so a group of m copies gives about m edges.
+6. Components of the edges give every document its class.
+
+Nothing is capped: the groups of a pair that links are the same, or share SHARED
+shingles in thin buckets, or one in a dense bucket, and their cluster decides it.
 
 Defined cases: null, empty or blank texts have no shingle and link to nothing;
 a null id links to nothing and has a null component; rows that repeat an id
@@ -140,8 +142,10 @@ def prefix(s: np.ndarray, hot: np.ndarray, times: np.ndarray) -> np.ndarray:
 
 
 def post_prefixes(batches: Iterator[pa.RecordBatch], k: int, hot: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(token, n, id) rows; of equal sets in a partition the first posts."""
+    """(token, n, id) rows for the prefix of the first document of each group in
+    a partition, and (prefix digest, -n, id) for the first one of each set."""
     seen: set = set()
+    groups: set = set()
     for b in batches:
         for ids, sets in _sets(b, k):
             keys, sizes, parts = [], [], []
@@ -150,9 +154,16 @@ def post_prefixes(batches: Iterator[pa.RecordBatch], k: int, hot: np.ndarray, ti
                 if not len(s) or d in seen:
                     continue
                 seen.add(d)
+                first = prefix(s, hot, times)
+                group = (len(s), *digest(first))
                 keys.append(key)
-                sizes.append(len(s))
-                parts.append(prefix(s, hot, times))
+                sizes.append(-len(s))
+                parts.append(np.array(group[1:2], np.int64).view(np.uint64))
+                if group not in groups:
+                    groups.add(group)
+                    keys.append(key)
+                    sizes.append(len(s))
+                    parts.append(first)
             if parts:
                 n = [len(x) for x in parts]
                 yield pa.RecordBatch.from_arrays(
@@ -191,7 +202,8 @@ def meet(batches: Iterator[pa.RecordBatch], small: int, hold: int) -> Iterator[p
     """Buckets of a stream sorted by token: kind 0 rows for the pairs of fitting
     size where they are few, kind 2 rows (centre, member, band) for dense
     buckets, and, since at most ``hold`` rows of one bucket are kept, kind 1 rows
-    (token, id, n) for those beyond, whose centre Spark finds."""
+    (token, id, n) for those beyond, whose centre Spark finds. The rows that tell
+    a document's group pass as kind 3 (prefix digest, id, n)."""
     names = ["kind", "a", "b", "n"]
     held: list[np.ndarray] = [np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)]
     open_token = None
@@ -220,8 +232,12 @@ def meet(batches: Iterator[pa.RecordBatch], small: int, hold: int) -> Iterator[p
 
     for b in batches:
         got = [b.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "id")]
-        token, n, key = (np.concatenate([h, g]) for h, g in zip(held, got, strict=True))
         parts = []
+        tells = got[1] < 0
+        if tells.any():
+            parts.append([np.full(int(tells.sum()), 3, np.int32), got[0][tells], got[2][tells], -got[1][tells]])
+            got = [g[~tells] for g in got]
+        token, n, key = (np.concatenate([h, g]) for h, g in zip(held, got, strict=True))
         if open_token is not None and len(token):
             # more of a bucket whose first rows went on already
             more = int(np.searchsorted(token, open_token, "right"))
@@ -258,6 +274,38 @@ def clusters(meetings: DataFrame) -> DataFrame:
     return pairs.unionByName(near).unionByName(star).distinct()
 
 
+def prefix_groups(meetings: DataFrame, reps: DataFrame) -> DataFrame:
+    """(grp, sets, rep, n): the distinct sets of every group of identical prefix
+    and size, each by the least id that has it; ``grp`` is the least of them.
+    Groups whose digests collide are one, which only adds sets to verify."""
+    own = (meetings.where("kind = 3").select(F.col("a").alias("prefix"), F.col("b").alias("id"), "n")
+           .join(reps, ["id", "n"]).select("prefix", "n", "rep").distinct())
+    groups = own.groupBy("prefix", "n").agg(F.min("rep").alias("grp"), F.count(F.lit(1)).alias("sets"))
+    return own.join(groups, ["prefix", "n"]).select("grp", "sets", "rep", "n")
+
+
+def expanded(met: DataFrame, reps: DataFrame, members: DataFrame) -> DataFrame:
+    """(p, band, y, n): clusters of documents for the clusters ``met`` of those
+    that posted. Band -1 holds pairs of groups of one set each, band 0 the pairs
+    of larger groups, and the members of one group."""
+    at = reps.select("id", "rep").join(members, "rep").select("id", F.struct("grp", "sets").alias("g")).distinct()
+    c = met.join(at.select(F.col("id").alias("p"), F.col("g").alias("gp")), "p").join(
+        at.select(F.col("id").alias("y"), F.col("g").alias("gy")), "y").where("gp.grp <> gy.grp")
+    star = F.col("band") >= 0
+    lone = (F.col("gp.sets") == 1) & (F.col("gy.sets") == 1)
+    c = c.select(F.when(star, F.col("gp")).otherwise(F.least("gp", "gy")).alias("gp"),
+                 F.when(star, F.col("gy")).otherwise(F.greatest("gp", "gy")).alias("gy"),
+                 F.when(star, F.col("band")).when(lone, -1).otherwise(0).alias("band"))
+    pairs = written(c.select(F.col("gp.grp").alias("p"), F.col("gp.sets").alias("sets"), "band",
+                             F.col("gy.grp").alias("grp")).distinct(), "group-pairs")
+    y = members.select("grp", F.col("rep").alias("y"), "n")
+    out = pairs.join(y, "grp").select("p", "band", "y", "n")
+    centre = pairs.where("sets > 1").select(F.col("p").alias("grp"), "band").distinct()
+    out = out.unionByName(centre.join(y, "grp").select(F.col("grp").alias("p"), "band", "y", "n"))
+    inner = members.where("sets > 1").select(F.col("grp").alias("p"), F.lit(0).alias("band"), F.col("rep").alias("y"), "n")
+    return out.unionByName(inner).where("p <> y").distinct()
+
+
 _PLACE = ["p", "band", "block", "part", "role", "id"]
 
 
@@ -315,12 +363,13 @@ def verify_block(role: np.ndarray, ids: np.ndarray, sets: list[np.ndarray], full
     root = np.arange(len(own))
     left = np.arange(len(own))
     if len(centre) and len(own):
-        c = sets[centre[0]]
         at = np.concatenate([[0], np.cumsum([len(s) for s in members])])
         flat = np.concatenate(members)
-        same = c[np.minimum(np.searchsorted(c, flat), len(c) - 1)] == flat
-        inter = np.add.reduceat(same.astype(np.int64), at[:-1])
-        ok = _linked(inter, np.diff(at), len(c))
+        ok = np.zeros(len(own), dtype=bool)
+        for c in (sets[i] for i in centre):       # an id that is repeated has several texts
+            same = c[np.minimum(np.searchsorted(c, flat), len(c) - 1)] == flat
+            inter = np.add.reduceat(same.astype(np.int64), at[:-1])
+            ok |= _linked(inter, np.diff(at), len(c))
         edges += [(int(ids[centre[0]]), int(ids[own[i]])) for i in np.flatnonzero(ok)]
         root[ok] = len(own)
         left = np.flatnonzero(~ok)
@@ -436,10 +485,8 @@ def _linked_components(real: DataFrame, facts: DataFrame, rows: DataFrame, k: in
     same = written(rows.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "set-classes")
     reps = rows.where("n > 0 and id is not null").join(same, ["n", "d1", "d2"]).select("id", "rep", "n").distinct()
     reps = written(reps, "set-reps")
-    c = clusters(meetings)
-    c = c.join(reps.select(F.col("id").alias("p"), F.col("rep").alias("rp")), "p").join(
-        reps.select(F.col("id").alias("y"), F.col("rep").alias("ry"), "n"), "y")
-    c = written(c.where("rp <> ry").select(F.col("rp").alias("p"), "band", F.col("ry").alias("y"), "n").distinct(), "clusters")
+    members = written(prefix_groups(meetings, reps), "prefix-groups")
+    c = written(expanded(clusters(meetings), reps, members), "clusters")
     links = edges_of(c, real, k, block_size)
     copies = reps.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     return components(links.unionByName(copies))

@@ -2,7 +2,10 @@
 ties, repeated rows, empty tables and clashing column names."""
 import random
 import zlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from carlot.llm import rendezvous as RV
 from carlot.llm import spaced_seeds as SS
 from carlot.llm import surrogates as SU
 from carlot.llm import toxicity_cnn as TX
+from carlot.llm.textarrays import text_buffer
 from carlot.llm.tokens import public_path
 from tests.llm import reference as R
 
@@ -167,6 +171,53 @@ def test_near_components_of_many_copies(spark):
         assert {x.id: x.component_id for x in PJ.classes(df, **options).collect()} == want
 
 
+def test_groups_of_one_prefix(spark):
+    """Texts that drift word by word while prefix and size stay: one group, whose
+    far members link only through others; some other texts link to a member."""
+    r = random.Random(11)
+    none = np.empty(0, np.uint64)
+
+    def facts(w):
+        s = PJ.shingle_sets(*text_buffer(pa.array([" ".join(w)])))[0]
+        return len(s), PJ.prefix(s, none, none).tobytes()
+
+    walks = []
+    for k in range(3):
+        w = [f"{k}{r.choice(VOCAB)}" for _ in range(100)]
+        walk = [w]
+        while len(walk) < 12:
+            v = list(walk[-1])
+            for _ in range(2):
+                v[r.randrange(len(v))] = f"{k}{r.choice(VOCAB)}"
+            if facts(v) == facts(w) and v != walk[-1]:
+                walk.append(v)
+        walks.append(walk)
+    texts = [w for walk in walks for w in walk]
+    for walk in walks:
+        for w in (walk[-1], walk[5]):
+            v = list(w)
+            for _ in range(3):
+                v[r.randrange(len(v))] = r.choice(VOCAB)
+            texts.append([*v, "longer"])
+    r.shuffle(texts)
+    text = {i: " ".join(w) for i, w in enumerate(texts + texts[:5])}
+    want = {d: c for d, (_, c) in R.near_components(text).items()}
+    assert any(n >= 12 for n in Counter(want.values()).values())
+    df = spark.createDataFrame(list(text.items()), "doc_id bigint, text string").repartition(3)
+    for options in ({}, {"block_size": 300}, {"small": 0, "block_size": 500}):
+        assert {x.id: x.component_id for x in PJ.classes(df, hot=0, **options).collect()} == want
+    # the groups: one for each walk, however many partitions posted it
+    token = np.empty(0, np.uint64)
+    d = df.select(F.col("doc_id").alias("id"), "text")
+    facts_df = d.mapInArrow(lambda it: PJ.make_facts(it, 5, 4), PJ._FACTS).where("n is not null")
+    same = facts_df.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    reps = facts_df.join(same, ["n", "d1", "d2"]).select("id", "rep", "n")
+    posts = d.mapInArrow(lambda it: PJ.post_prefixes(it, 5, token, token), "token bigint, n int, id bigint")
+    met = posts.repartition("token").sortWithinPartitions("token").mapInArrow(lambda it: PJ.meet(it, 16, 100), PJ._MEETINGS)
+    groups = PJ.prefix_groups(met, reps).groupBy("grp", "sets").count().collect()
+    assert sorted(x.sets for x in groups if x.sets >= 12) == [12, 12, 12] and all(x.sets == x["count"] for x in groups)
+
+
 def test_near_odd_rows(docs, none):
     got = PJ.classes(docs).collect()
     assert len(got) == len(ROWS) and all(r.component_id is None for r in got if r.id is None)
