@@ -109,12 +109,13 @@ def _op8() -> str:
     return f"""
 WITH d AS ({_words("documents", "doc_id")}), b AS ({_words("benchmark", "item_id")}),
 m AS (SELECT doc_id, item_id, d.pos - b.pos AS start, b.pos AS q, b.n FROM d JOIN b ON d.w = b.w WHERE b.n >= {s.LEAST_WORDS}),
-c AS (SELECT doc_id, item_id, start, n, list(q) AS qs FROM m GROUP BY ALL HAVING count(*) >= {need}),
+c AS (SELECT doc_id, item_id, start, n, list(q) AS qs FROM m GROUP BY ALL HAVING count(*) >= least({need}, {s.RUN})),
 v AS (SELECT doc_id, item_id, start, n, qs, unnest(qs) AS q FROM c),
 f AS (SELECT doc_id, item_id, start, n,
-             len(list_filter(qs, lambda x: x >= least(q, n - least(n, {s.WINDOW})) AND x < least(q, n - least(n, {s.WINDOW})) + {s.WINDOW})) AS same
+             len(list_filter(qs, lambda x: x >= least(q, n - least(n, {s.WINDOW})) AND x < least(q, n - least(n, {s.WINDOW})) + {s.WINDOW})) AS same,
+             len(list_filter(qs, lambda x: x >= q AND x < q + {s.RUN})) AS run
       FROM v),
-g AS (SELECT doc_id, item_id, start, max(same) AS best FROM f GROUP BY doc_id, item_id, start, n HAVING max(same) >= {need})
+g AS (SELECT doc_id, item_id, start, max(same) AS best FROM f GROUP BY doc_id, item_id, start, n HAVING max(same) >= {need} OR max(run) >= {s.RUN})
 SELECT doc_id, item_id, count(*) AS n_places, min(start) AS first_word, max(best) AS best FROM g GROUP BY doc_id, item_id
 """
 

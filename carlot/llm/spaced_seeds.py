@@ -5,12 +5,14 @@ words under the mask's gaps may differ. Seeds of all benchmark items are held
 against the seeds at every position of every document, and around each hit the
 item is laid over the document and compared word by word. A pair counts when a
 stretch of ``WINDOW`` words of the item (the whole item, if shorter) agrees
-with the document in at least ``SHARE`` percent of its places. Items under
+with the document in at least ``SHARE`` percent of its places, or when ``RUN``
+words of the item in a row stand in the document unchanged. Items under
 ``LEAST_TOLERANT`` words must agree in every place; items under
 ``LEAST_WORDS`` words are ignored, since they occur by chance.
 
 The masks together hit every pattern of substitutions that this rule allows
-(a test tries them all), so the seeds lose no pair.
+(a test tries them all), and the mask without gaps hits every run, so the seeds
+lose no pair.
 
 The benchmark is the query set. It is taken in blocks of at most
 ``BLOCK_WORDS`` words, each a fixed-bound table that travels in the task
@@ -37,6 +39,7 @@ from carlot.llm.textarrays import SHINGLE_KEYS, mix, slices, text_buffer, words
 MASKS: tuple[tuple[int, ...], ...] = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 4, 6, 7))
 WINDOW = 20
 SHARE = 80
+RUN = 13
 LEAST_TOLERANT = 10
 LEAST_WORDS = 5
 BLOCK_WORDS = 500_000
@@ -59,6 +62,12 @@ def least_agreeing(n: int) -> int:
     return n if n < LEAST_TOLERANT else -(-n * SHARE // 100)
 
 
+def longest_run(same: np.ndarray) -> int:
+    """The most agreeing places in a row."""
+    turns = np.flatnonzero(np.diff(np.concatenate([[0], same, [0]])))
+    return int((turns[1::2] - turns[::2]).max(initial=0))
+
+
 class SeedTable:
     """Seeds of one block of items: sorted hashes with item and place, and a
     bit filter over the hashes' top bits."""
@@ -110,7 +119,7 @@ class SeedTable:
             n = min(WINDOW, len(w))
             total = np.concatenate([[0], np.cumsum(same)])
             best = int((total[n:] - total[:-n]).max())
-            if best >= least_agreeing(n):
+            if best >= least_agreeing(n) or (best >= RUN and longest_run(same) >= RUN):
                 out.append((d, i, start, best))
         return out
 

@@ -66,7 +66,7 @@ def near_components(docs, percent=75):
     return {d: (len(sets[d]), find(d)) for d in docs}
 
 
-def overlaps(docs, items, window=20, share=80, tolerant=10, least=5):
+def overlaps(docs, items, window=20, share=80, tolerant=10, least=5, run=13):
     """{(doc_id, item_id): (places, first, best)} by trying every alignment."""
     out = {}
     for d, t in docs.items():
@@ -80,7 +80,7 @@ def overlaps(docs, items, window=20, share=80, tolerant=10, least=5):
             for at in range(-len(v) + 1, len(w)):
                 same = [0 <= at + k < len(w) and w[at + k] == v[k] for k in range(len(v))]
                 best = max(sum(same[k:k + n]) for k in range(len(v) - n + 1))
-                if best >= need:
+                if best >= need or any(all(same[k:k + run]) for k in range(len(v) - run + 1)):
                     places, first, top = out.get((d, i), (0, at, 0))
                     out[d, i] = (places + 1, min(first, at), max(top, best))
     return out

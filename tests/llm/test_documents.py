@@ -253,6 +253,10 @@ def test_overlaps(spark):
                     v[r.randrange(len(v))] = "other"
             cut = v[:len(v) * (3 if k == 5 else 4) // 4] if k > 3 else v
             docs[len(docs)] = " ".join([r.choice(VOCAB) for _ in range(r.randrange(9))] + cut + [r.choice(VOCAB) for _ in range(5)])
+    for i in (7, 8):                              # 13 words of a longer item, and 12
+        w = items[i].split()
+        for k in (13, 12):
+            docs[len(docs)] = " ".join(["before", *w[3:3 + k], "behind"])
     d = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").withColumn("item_id", F.lit(-1))
     b = spark.createDataFrame(list(items.items()), "item_id bigint, text string").withColumn("doc_id", F.lit(-1))
     want = R.overlaps({k: v for k, v in docs.items() if k != 2}, items)
@@ -260,6 +264,8 @@ def test_overlaps(spark):
         got = {(x.doc_id, x.item_id): (x.n_places, x.first_word, x.best)
                for x in SS.overlaps(d.where("doc_id <> 2"), b, block).collect()}
         assert got == want and len(want) > 20
+        runs = [k for k in docs if (docs[k] or "").startswith("before")]
+        assert [{b for x, b in got if x == k} for k in runs] == [{7}, set(), {8}, set()]
     clean = SS.drop_contaminated(d, b)
     assert clean.columns == d.columns
     assert {x.doc_id for x in clean.collect()} == set(docs) - {k for k, _ in want} - {k for k, _ in R.overlaps({2: LONG[:20000]}, items)}
