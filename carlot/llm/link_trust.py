@@ -53,12 +53,11 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
-def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+def host_rules(hosts: DataFrame, rules: DataFrame, labels: int) -> DataFrame:
     """(host, __rules): for each distinct host the rules of its suffixes,
-    longest first."""
-    parts = F.split(F.col("host"), r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)),
-                           lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    longest first. No rule's host has more than ``labels`` labels, so only as
+    many of a host's last ones are looked up."""
+    suffixes = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in range(1, labels + 1)]))
     ex = hosts.where(F.col("host") != "").select("host", F.explode(suffixes).alias("rule_host"))
     hit = ex.join(rules, "rule_host").select("host", F.struct(
         (-F.char_length(F.col("rule"))).alias("order"), "rule", "rule_path", "action").alias("r"))
@@ -124,10 +123,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None
     rules = RULES if rules is None else rules
     table = literal_rows(spark, [(a, h, p, h + p) for a, h, p in rules],
                          "action string, rule_host string, rule_path string, rule string")
+    labels = max((h.count(".") + 1 for _, h, _ in rules), default=1)
     urls = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     # Written, so that the planner knows the size of the host tables: small ones
     # are broadcast, and beyond that a join of plain exchanges splits hot hosts.
-    by_host = written(host_rules(urls.select("host").distinct(), table), "host-rules")
+    by_host = written(host_rules(urls.select("host").distinct(), table, labels), "host-rules")
     fit = F.get(F.filter(F.col("__rules"), lambda r: F.col("path").startswith(r["rule_path"])), F.lit(0))
     ruled = urls.join(by_host, "host", "left").select("page_id", "host", "path", fit.alias("__r"))
     ruled = written(ruled.select("page_id", "host", "path", F.col("__r.rule").alias("rule"),

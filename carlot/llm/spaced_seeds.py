@@ -7,8 +7,9 @@ item is laid over the document and compared word by word. A pair counts when a
 stretch of ``WINDOW`` words of the item (the whole item, if shorter) agrees
 with the document in at least ``SHARE`` percent of its places, or when ``RUN``
 words of the item in a row stand in the document unchanged. Items under
-``LEAST_TOLERANT`` words must agree in every place; items under
-``LEAST_WORDS`` words are ignored, since they occur by chance.
+``LEAST_TOLERANT`` words must agree in every place. Items shorter than the
+masks are looked up whole. Very short items occur by chance; ``least_words``
+leaves out items with fewer words, which by default are only those without any.
 
 The masks together hit every pattern of substitutions that this rule allows
 (a test tries them all), and the mask without gaps hits every run, so the seeds
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carlot.llm.textarrays import SHINGLE_KEYS, mix, slices, text_buffer, words
+from carlot.session import ship_package
 
 #: Kept places of each mask (fixed values).
 MASKS: tuple[tuple[int, ...], ...] = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 4, 6, 7))
@@ -41,7 +43,9 @@ WINDOW = 20
 SHARE = 80
 RUN = 13
 LEAST_TOLERANT = 10
-LEAST_WORDS = 5
+#: Items with fewer words are shorter than the masks' weight.
+WEIGHT = 5
+LEAST_WORDS = 1
 BLOCK_WORDS = 500_000
 _FILTER_BITS = 22
 
@@ -72,16 +76,19 @@ class SeedTable:
     """Seeds of one block of items: sorted hashes with item and place, and a
     bit filter over the hashes' top bits."""
 
-    def __init__(self, item_ids: list[int], texts: pa.Array):
+    def __init__(self, item_ids: list[int], texts: pa.Array, least_words: int = LEAST_WORDS):
         buf, offsets = text_buffer(texts)
         hashes, at = words(buf, offsets)
         self.item_ids = item_ids
         self.words = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         found = []
+        short = sorted({len(w) for w in self.words if max(1, least_words) <= len(w) < WEIGHT})
+        self.masks = list(enumerate((*MASKS, *[tuple(range(n)) for n in short])))
+        whole = dict(zip(short, self.masks[len(MASKS):], strict=True))
         for i, w in enumerate(self.words):
-            if len(w) < LEAST_WORDS:
+            if len(w) < max(1, least_words):
                 continue
-            for salt, mask in enumerate(MASKS):
+            for salt, mask in [whole[len(w)]] if len(w) < WEIGHT else self.masks[:len(MASKS)]:
                 s = seed_hashes(w, mask, salt)
                 found.append((s, np.full(len(s), i), np.arange(len(s))))
         cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.uint64)] + [np.empty(0, np.int64)] * 2
@@ -93,7 +100,7 @@ class SeedTable:
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, item, place) of all equal seeds."""
         out = []
-        for salt, mask in enumerate(MASKS):
+        for salt, mask in self.masks:
             s = seed_hashes(hashes, mask, salt)
             pos = np.flatnonzero(self.filter[s >> np.uint64(64 - _FILTER_BITS)])
             lo, hi = np.searchsorted(self.seeds, s[pos], "left"), np.searchsorted(self.seeds, s[pos], "right")
@@ -111,6 +118,8 @@ class SeedTable:
         out = []
         for d, i, start in lay.tolist():
             w, text = self.words[i], hashes[at[d]:at[d + 1]]
+            if len(w) < WEIGHT and not 0 <= start <= len(text) - len(w):
+                continue
             same = np.zeros(len(w), dtype=np.int64)
             lo, hi = max(0, -start), min(len(w), len(text) - start)
             if lo >= hi:                          # a seed across two texts
@@ -124,14 +133,15 @@ class SeedTable:
         return out
 
 
-def tables(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[SeedTable]:
+def tables(benchmark: DataFrame, block_words: int = BLOCK_WORDS, least_words: int = LEAST_WORDS) -> Iterator[SeedTable]:
     """The benchmark's seed tables, a block of bounded size at a time."""
+    ship_package(benchmark.sparkSession)
     b = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = b.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (4 * block_words)))    # a word and its blank take about four bytes or more
     for k in range(blocks):
         t = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toArrow()
-        yield SeedTable(t.column("item_id").to_pylist(), t.column("text").combine_chunks())
+        yield SeedTable(t.column("item_id").to_pylist(), t.column("text").combine_chunks(), least_words)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], table: SeedTable, text_col: str):
@@ -142,13 +152,14 @@ def _scan(batches: Iterator[pa.RecordBatch], table: SeedTable, text_col: str):
             yield b, i, j, table.overlaps(hashes, at)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS,
+             least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, item_id, n_places, first_word, best): a row per document and
     item that overlap: alignments that count, the first one's first word in
     the document, and the most agreeing words in a stretch."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     out = None
-    for table in tables(benchmark, block_words):
+    for table in tables(benchmark, block_words, least_words):
         shared = docs.sparkSession.sparkContext.broadcast(table)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -169,9 +180,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
-                      block_words: int = BLOCK_WORDS) -> DataFrame:
+                      block_words: int = BLOCK_WORDS, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents that overlap no benchmark item, with all their columns."""
-    for table in tables(benchmark, block_words):
+    for table in tables(benchmark, block_words, least_words):
         shared = docs.sparkSession.sparkContext.broadcast(table)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

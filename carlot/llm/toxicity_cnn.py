@@ -8,13 +8,15 @@ a logistic layer turns the maxima into a score. The score sees nothing but the
 text.
 
 The classifier is fitted on the driver on at most ``PER_CLASS`` labelled rows
-of each class, picked by the hash of their id. The model has a fixed size and
-travels in the task closure. Everything else runs over all rows: scoring is a
+of each class, picked by the hash of their id; those whose text has more than
+``FIT_BYTES`` bytes take no part, which bounds the driver's memory. The model has
+a fixed size and travels in the task closure. Everything else runs over all rows: scoring is a
 narrow Arrow step that takes a text in blocks, so memory doesn't grow with it,
 and the thresholds come from a histogram of all calibration rows.
 
-Folds by crc32(id as text) mod 5: 0 is held out, 1 calibrates the thresholds,
-2 to 4 train. The cut of the best F1 (ties: the nearest to 0.5) is taken over
+Folds by crc32(id as text) mod 5: 0 is held out, 1 to 4 train. The thresholds are
+calibrated on fold 1 with the scores of a second model, fitted on the sample's
+other folds alone. The cut of the best F1 (ties: the nearest to 0.5) is taken over
 each language's calibration rows and over those of all languages. A language's
 threshold is the mean of the two, its own weighted by its toxic calibration rows
 and the common one by ``PRIOR`` rows, kept within ``CUT_RANGE``: the same rule at
@@ -22,7 +24,8 @@ every size. A language without toxic or without clean calibration rows has the
 common one; without any in the whole table it is 0.5.
 
 Defined cases: null or empty text has no word and scores the bias alone;
-null labels are left out; without labels of both classes the score is 0 for
+null labels are left out; an id with several labels has the largest;
+without labels of both classes the score is 0 for
 all; repeated rows score alike; null languages share a threshold; other
 columns pass through ``drop_toxic``.
 """
@@ -38,9 +41,12 @@ from pyspark.sql import functions as F
 
 from carlot.llm.common import written
 from carlot.llm.textarrays import IN_NAME, LOWER_TABLE, slices, text_buffer, word_hashes, word_spans
+from carlot.session import ship_package
 
 #: Labelled rows of each class that the fit may use.
 PER_CLASS = 2500
+#: Bytes of the longest text that the fit takes (scoring takes all, whole).
+FIT_BYTES = 1 << 15
 WORD_ROWS, PREFIX_ROWS, DIM = 1 << 16, 1 << 16, 16
 PREFIXES = (4, 6)
 WIDTHS = (1, 2, 3)
@@ -203,30 +209,46 @@ def fold(id_col: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")) % 5
 
 
+def one_label(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(_id, y): one label for each id, the largest of those that are not null."""
+    y = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col("toxic").cast("int").alias("y"))
+    return y.where(F.col("_id").isNotNull() & F.col("y").isNotNull()).groupBy("_id").agg(F.max("y").alias("y"))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """(text, y): at most ``per_class`` rows of each class of the training folds."""
-    y = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col("toxic").cast("int").alias("y")).where(
-        (fold(F.col("_id")) >= 2) & F.col("_id").isNotNull())
-    pick = [y.where(F.col("y") == c).dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for c in (0, 1)]
+    """(_d, text, y, calibrates): at most ``per_class`` labels of each class of the
+    training folds, and the texts of up to ``FIT_BYTES`` bytes that they mark."""
+    y = one_label(labels, id_col).where(fold(F.col("_id")) >= 1)
+    pick = [y.where(F.col("y") == c).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for c in (0, 1)]
     # at most 2 * per_class ids, so the broadcast is bounded by that parameter
     ids = F.broadcast(pick[0].unionByName(pick[1]))
     return docs.select(F.col(f"`{id_col}`").alias("_d"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).join(
-        ids, F.col("_d") == F.col("_id")).select("_d", "text", "y")
+        ids, F.col("_d") == F.col("_id")).where(F.octet_length("text") <= FIT_BYTES).select(
+        "_d", "text", "y", (fold(F.col("_id")) == 1).alias("calibrates"))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id",
-          text_col: str = "text") -> TextCnn | None:
-    """Fit on the bounded sample; None without rows of both classes."""
+          text_col: str = "text") -> tuple[TextCnn | None, TextCnn | None]:
+    """(model of the bounded sample, model of its rows outside the calibration
+    fold); None where there are no rows of both classes."""
     t = training_rows(docs, labels, per_class, id_col, text_col).toArrow().sort_by([("_d", "ascending"), ("text", "ascending")])
+    if not t.num_rows:
+        return None, None
     y = t.column("y").to_numpy()
-    if not len(y) or y.min() == y.max():
-        return None
     buf, offsets = text_buffer(t.column("text").combine_chunks())
     # a slice at a time: the driver holds the features of the sample, not the work arrays
     parts = [word_features(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets, 1 << 20)]
     at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in parts]))])
-    return TextCnn().fit(np.concatenate([r for r, _ in parts]), at, y)
+    rows = np.concatenate([r for r, _ in parts])
+
+    def fitted(use: np.ndarray) -> TextCnn | None:
+        if not use.any() or y[use].min() == y[use].max():
+            return None
+        lens = np.diff(at)
+        return TextCnn().fit(rows[np.repeat(use, lens)], np.concatenate([[0], np.cumsum(lens[use])]), y[use])
+
+    return fitted(np.ones(len(y), bool)), fitted(~t.column("calibrates").to_numpy())
 
 
 def score_texts(docs: DataFrame, model: TextCnn | None, text_col: str = "text") -> DataFrame:
@@ -254,8 +276,7 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
     """(lang, threshold) from (doc_id, lang, score): best F1 on the calibration
     fold, over a histogram of ``BINS`` bins, drawn to the cut of all languages.
     The row of a null lang holds that one; a null language counts as ''."""
-    y = labels.where(fold(F.col("doc_id")) == 1).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("y")).where("y is not null")
-    rows = scored.join(y.dropDuplicates(["_id"]), F.col("doc_id") == F.col("_id"))
+    rows = scored.join(one_label(labels.where(fold(F.col("doc_id")) == 1)), F.col("doc_id") == F.col("_id"))
     hist = rows.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"))
     hist = written(hist, "toxicity-histogram")
@@ -282,11 +303,15 @@ def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """(doc_id, __t, lang, score, threshold, flagged), a row per document; ``__t``
-    is the hash of its text. The texts are read twice (fit, score), never moved."""
-    model = train(docs, labels, per_class)
+    is the hash of its text. The texts are read where they lie, never moved: for the
+    fit, for the calibration fold and for the scores."""
+    ship_package(docs.sparkSession)
+    model, other = train(docs, labels, per_class)
     scores = written(score_texts(docs.select("doc_id", "lang", "text"), model).select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__t"), "lang", "score"), "toxicity-scores")
-    cuts = written(thresholds(scores, labels), "toxicity-cuts")
+    unseen = docs.select("doc_id", "lang", "text").where(fold(F.col("doc_id")) == 1)
+    unseen = written(score_texts(unseen if other else unseen.limit(0), other).select("doc_id", "lang", "score"), "toxicity-calibration")
+    cuts = written(thresholds(unseen, labels), "toxicity-cuts")
     joined = scores.withColumn("__l", F.coalesce("lang", F.lit(""))).join(
         cuts.withColumnRenamed("lang", "__l"), "__l", "left").crossJoin(
         F.broadcast(cuts.where("lang is null").agg(F.max("threshold").alias("__common"))))   # one row

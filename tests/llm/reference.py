@@ -66,7 +66,7 @@ def near_components(docs, percent=75):
     return {d: (len(sets[d]), find(d)) for d in docs}
 
 
-def overlaps(docs, items, window=20, share=80, tolerant=10, least=5, run=13):
+def overlaps(docs, items, window=20, share=80, tolerant=10, least=1, run=13):
     """{(doc_id, item_id): (places, first, best)} by trying every alignment."""
     out = {}
     for d, t in docs.items():

@@ -242,7 +242,7 @@ def test_masks_hit_every_allowed_pattern():
 def test_overlaps(spark):
     r = random.Random(9)
     items = {i: " ".join(r.choice(VOCAB) for _ in range(n)) for i, n in enumerate([3, 5, 8, 10, 14, 19, 20, 25, 59])}
-    items[9], items[10] = None, ""
+    items[9], items[10], items[11], items[12] = None, "", "Solo", "a Pair"
     docs = {0: None, 1: "", 2: LONG}
     for i, s in items.items():
         w = (s or "").split()
@@ -266,6 +266,9 @@ def test_overlaps(spark):
         assert got == want and len(want) > 20
         runs = [k for k in docs if (docs[k] or "").startswith("before")]
         assert [{b for x, b in got if x == k} for k in runs] == [{7}, set(), {8}, set()]
+    assert {i for _, i in want} >= {0, 11, 12}
+    long = SS.overlaps(d.where("doc_id <> 2"), b, least_words=5).select("doc_id", "item_id").collect()
+    assert {(x.doc_id, x.item_id) for x in long} == {k for k in want if k[1] not in (0, 11, 12)}
     clean = SS.drop_contaminated(d, b)
     assert clean.columns == d.columns
     assert {x.doc_id for x in clean.collect()} == set(docs) - {k for k, _ in want} - {k for k, _ in R.overlaps({2: LONG[:20000]}, items)}
@@ -496,7 +499,7 @@ def test_toxicity(spark, docs, none):
     assert kept.columns == [*d.columns, "score"]
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if not r.flagged}
     # labels, language and id are no inputs of the score
-    model = TX.train(d, y)
+    model, _ = TX.train(d, y)
     a = TX.score_texts(d.select("text"), model).orderBy("text").collect()
     b = TX.score_texts(d.select("text", F.lit("xx").alias("lang")), model).orderBy("text").collect()
     assert [x.score for x in a] == [x.score for x in b]
@@ -532,3 +535,42 @@ def test_cnn_takes_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(TX, "WORK", 100)
     parts = model.score(rows, at)
     assert abs(whole - parts).max() < 1e-5
+
+
+def test_cnn_scores_as_a_plain_forward_pass(spark):
+    """Fitted on made-up rows, then word by word and window by window in plain Python."""
+    import math
+    import re
+
+    import pyarrow as pa
+    rows, labels = toxic_rows()
+    model, other = TX.train(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    texts = [t for _, t, _ in rows[:40]] + ["", "One", "two Words, three"]
+    for m in (model, other):
+        got = m.score(*TX.word_features(*TX.text_buffer(pa.array(texts))))
+        for text, score in zip(texts, got, strict=True):
+            x = []
+            for w in re.findall(r"[^\W_]+", text.lower()):
+                own, *heads = (TX.word_features(*TX.text_buffer(pa.array([w])))[0][0]).tolist()
+                x.append([float(m.tables[0][own][d]) + sum(float(t[h][d]) for t, h in zip(m.tables[1:], heads, strict=True))
+                          for d in range(TX.DIM)])
+            z = float(m.shift)
+            for i, k in enumerate(TX.WIDTHS):
+                padded = x + [[0.0] * TX.DIM] * TX.REACH
+                for f in range(TX.FILTERS):
+                    top = max([0.0, *[sum(padded[s + j][d] * float(m.filters[k][j][d][f]) for j in range(k) for d in range(TX.DIM))
+                                      + float(m.bias[k][f]) for s in range(len(x))]])
+                    z += top * float(m.out[i * TX.FILTERS + f])
+            assert abs(score - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))) < 1e-4
+
+
+def test_cnn_fit_rows(spark):
+    """The largest of an id's labels counts; held-out rows and over-long texts aren't fitted on."""
+    rows, labels = toxic_rows()
+    rows[1] = (rows[1][0], "x" * (TX.FIT_BYTES + 1), "en")
+    y = spark.createDataFrame([*labels, *[(i, 1) for i in range(10)], (3, None)], "doc_id bigint, toxic int")
+    truth = {i: int(v or i < 10) for i, v in labels}
+    assert {(r._id, r.y) for r in TX.one_label(y).collect()} == set(truth.items())
+    got = TX.training_rows(spark.createDataFrame(rows, SCHEMA), y, 2500).collect()
+    rest = {i: zlib.crc32(str(i).encode()) % 5 for i in truth if i != rows[1][0]}
+    assert {(r._d, r.y, r.calibrates) for r in got} == {(i, truth[i], k == 1) for i, k in rest.items() if k}
