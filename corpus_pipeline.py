@@ -10,6 +10,14 @@ last return the columns of ``documents``; each decision takes effect:
 3. near duplicates: of each group of linked documents the least id stays;
 4. decontamination: documents that overlap a benchmark item go;
 5. packing: what is left becomes pieces placed in sequences.
+
+Defined cases: a null or empty text stays as it is in stages 1 to 4 (it has no word,
+no long line, no shingle and no overlap; only where the score's bias alone reaches
+the threshold, as can be with few labels, does stage 1 drop it) and is packed as the end id. Rows with a null id count as no other's
+documents in stages 2 and 3 and stay. Rows that repeat an id are judged by their own
+texts in stages 1, 2 and 4, are one document with the links of each in stage 3, and
+are packed each by itself. An empty table passes all stages. Columns beyond those of
+``documents`` pass stages 1 to 4 unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,9 +35,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    d = line_dedup.dedup_lines(docs)
+    # the operator's own counts must not take the place of columns of their name
+    aside = {c: f"__kept_{c}" for c in docs.columns if c.lower() in ("n_lines", "n_dropped")}
+    d = line_dedup.dedup_lines(docs.withColumnsRenamed(aside))
     chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return d.withColumn("n_chars", chars).select(*docs.columns)
+    d = d.withColumn("n_chars", chars).drop("n_lines", "n_dropped")
+    return d.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
