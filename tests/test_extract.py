@@ -131,3 +131,26 @@ def test_legacy_captcha_markers(spark):
     pages = spark.createDataFrame([(1, "<p>Too Many Requests</p>")], "k long, html string")
     assert X.parse_pages(pages).first()["captcha"] is False
     assert X.parse_pages(pages, captcha_markers=CAPTCHA_MARKERS_LEGACY).first()["captcha"] is True
+
+
+def _built(page):
+    b = X._Builder()
+    b.feed(page)
+    return b.finish()
+
+
+def _lists(doc):
+    return [(doc.tags[e][:3], doc.parents[e], doc.ends[e], doc.strings(e)) for e in range(len(doc.tags))], dict(doc.marks)
+
+
+def test_ordinary_pages_read_each_distinct_tag_once():
+    """Pages of ordinary tags are cut at them; the tree is that of html.parser, which reads each distinct tag once."""
+    row = '<p data-sentry-element="Label">Moc</p> <p>9 &amp; 0&nbsp;KM</p></i><br><li a="1"><x/>q</li>'
+    page = "<!doctype html><html><title>t</title><body><div><P class='z'>".replace("'", '"') + row * 50 + "</div> > <b>open"
+    X._tags.clear()
+    assert _lists(X.parse_html(page)) == _lists(_built(page))
+    assert len(X._tags) == 17                              # the ends and the doctype among them
+    for odd in ('<p>a<b</p>', '<!-- <p>x</p> --><p>y</p>', '<script>"<p>"</script>', '<a title="x>y">z</a>', "<p class=q>r</p>",
+                "<title>a<b>c</b></title>", "<TITLE>x</TITLE>", "a < b", "<p a='<'>x</p>"):
+        assert X._plain_doc(odd) is None, odd
+        assert _lists(X.parse_html(odd)) == _lists(_built(odd))
