@@ -94,3 +94,25 @@ def test_usage_rate_zero_age(spark):
     df = spark.createDataFrame([(100000.0, 2025), (100000.0, 2015)], "m double, y int")
     got = [r[0] for r in df.select(C.usage_per_year("m", "y")).collect()]
     assert got == [None, 10000.0]
+
+
+def test_cleaners_of_a_row_stay_compiled(spark, tmp_path):
+    """Java never compiles a method of over 8000 bytes: the columns of clean_numeric_fields fit one."""
+    from carlot.plans.queries import QUERIES
+    spark.createDataFrame([(1, "large ring", "Brand#1", "LARGE", 7)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int") \
+        .write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(5, 1, 2, 3, 4.0, 1234.56, 0.1, "N", "O")], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                          "l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string") \
+        .selectExpr("*", "timestamp_ntz'1996-09-13 00:00:00' l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = QUERIES["clean_numeric_fields"](spark, str(tmp_path))
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000, sizes
+    r = df.first()
+    assert (r["price_whole"], r["price_digits"], str(r["price_decimal"]), r["price_legacy"]) == (1234, 123456, "1234.56", 1234.56)
+    assert (r["mileage_km"], r["power_hp"], r["engine_capacity_cm3"], r["mileage_first_number"]) == (20000, 7, 1250, 20000.0)
