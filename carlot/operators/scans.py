@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carlot.session import ship_package, stored
@@ -68,6 +68,11 @@ def running_sums(batches: Iterator[pa.RecordBatch], value: str) -> Iterator[pa.R
             [*b.columns, pa.array(local), pa.array(np.full(len(g), pid))], [*b.schema.names, _LOCAL, _PID])
 
 
+def _group_key(cols: list[str]) -> Column:
+    # a hash skips NULLs, so each key goes with its NULL flag: (NULL, 'x') is not ('x', NULL)
+    return F.xxhash64(*[x for c in cols for x in (F.col(c), F.col(c).isNull())]) if cols else F.lit(0).cast("bigint")
+
+
 def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=None,
                inclusive: bool = True, total: str | None = None) -> DataFrame:
     """Running sum of the integer column ``value`` within each group in
@@ -80,9 +85,7 @@ def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=
     ship_package(df.sparkSession)
     g = _cols(group_cols)
     keys = g + _cols(order_cols)
-    # a hash skips NULLs, so each key goes with its NULL flag: (NULL, 'x') is not ('x', NULL)
-    d = df.withColumn(value, F.col(value).cast("bigint")).withColumn(
-        _GROUP, F.xxhash64(*[x for c in g for x in (F.col(c), F.col(c).isNull())]) if g else F.lit(0).cast("bigint"))
+    d = df.withColumn(value, F.col(value).cast("bigint")).withColumn(_GROUP, _group_key(g))
     d = d.repartitionByRange(*keys).sortWithinPartitions(*keys)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
     s = stored(d.mapInArrow(lambda it: running_sums(it, value), f"{kinds}, {_LOCAL} bigint, {_PID} bigint"), "running-sums")
@@ -103,11 +106,22 @@ def prefix_sum(df: DataFrame, value: str, out: str, group_cols=None, order_cols=
 def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1,
                 group_cols=None) -> DataFrame:
     """Consecutive ids in ``order_cols`` order (``row_number`` without a
-    single-partition window). ``order_cols`` should be a total order."""
-    one = "__one"
-    r = prefix_sum(df.withColumn(one, F.lit(1).cast("bigint")), one, out,
-                   group_cols=group_cols, order_cols=order_cols)
-    return r.withColumn(out, (F.col(out) - 1 + start).cast("bigint")).drop(one)
+    single-partition window). ``order_cols`` should be a total order.
+
+    The scan without sums: a row's place in its sorted partition is Spark's own
+    row number there, so the rows don't pass through Python.
+    """
+    g = _cols(group_cols)
+    keys = g + _cols(order_cols)
+    d = df.withColumn(_GROUP, _group_key(g)).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    s = stored(d.withColumn(_LOCAL, F.monotonically_increasing_id()), "dense-index") \
+        .withColumn(_PID, F.shiftright(_LOCAL, 33))                    # the id's upper bits are the partition
+    before = Window.partitionBy(_GROUP).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    runs = s.groupBy(_PID, _GROUP).agg(F.count(F.lit(1)).alias("__n"), F.min(_LOCAL).alias("__first"))
+    offsets = stored(runs.select(_PID, _GROUP, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__before")),
+                     "scan-offsets")
+    return s.join(offsets, [_PID, _GROUP]).withColumn(out, (F.col(_LOCAL) + F.col("__before") + start).cast("bigint")) \
+        .select(*[c for c in df.columns if c != out], out)
 
 
 def _label(p: float, c: str) -> str:

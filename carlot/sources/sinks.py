@@ -34,8 +34,11 @@ def write_star(listings: DataFrame, options: DataFrame, bridge: DataFrame, base:
 
 
 def write_segments(df: DataFrame, path: str, segment: str = "segment") -> None:
-    """One folder per segment (or run date) via ``partitionBy``."""
-    df.write.mode("overwrite").partitionBy(segment).parquet(path)
+    """One folder per segment (or run date) via ``partitionBy``. Each task moves
+    its own files into the folders; by default the driver moves those of all segments,
+    one after the other, at the end. ``_SUCCESS`` tells that all are there."""
+    (df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy(segment).parquet(path))
 
 
 def write_name_list(names: DataFrame, path: str, col: str = "name") -> None:
