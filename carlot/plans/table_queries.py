@@ -34,7 +34,7 @@ def q_keyed_upsert(spark, sf):
     lst = listings(spark, sf).select("source", "advert_id", "price", "make", "model", "mileage_km", *_ORDER)
     cut = F.lit(CUTOFF).cast("timestamp_ntz")
     keys = ["source", "advert_id"]
-    old = K.latest_with_history(lst.where(F.col("advert_date") < cut), keys, _ORDER, "advert_date")
+    old = K.latest_with_history(lst.where(F.col("advert_date") < cut), keys, _ORDER, "advert_date", keep=UPSERT_VALUES)
     path = scratch_path(spark, "keyed-listings")
     KT.write_keyed(old.select(*keys, *UPSERT_VALUES, "first_seen_at", "last_seen_at"), path, keys, BUCKETS, ["source"])
     for source, run in BATCHES:

@@ -52,7 +52,7 @@ def upsert_keyed(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     order = list(order_cols) if order_cols else []
     slim = batch.select(*dict.fromkeys([*keys, *[c for c in columns if c in batch.columns], *order]))
     if order:
-        slim = last_per_key(slim, keys, order)
+        slim = last_per_key(slim, keys, order, keep=[c for c in columns if c in batch.columns])
     new = stored(slim.withColumn(BUCKET, bucket_of(keys, buckets)), "keyed-batch")
     touched = new.select(*parts).distinct()
     n = touched.count()
@@ -63,7 +63,7 @@ def upsert_keyed(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     on = [target[c] == touched[c].cast(kinds[c]) for c in parts]
     old = target.join(touched, on, "left_semi").drop(BUCKET)
     merged = upsert(old.select(*[F.col(c).cast(batch.schema[c].dataType).alias(c) if c in within else F.col(c) for c in old.columns]),
-                    new.drop(BUCKET), keys, columns, run_ts, order_cols=order or None)
+                    new.drop(BUCKET), keys, columns, run_ts)                # one row per key already
     staged = stored(merged.withColumn(BUCKET, bucket_of(keys, buckets)), "keyed-buckets")
     write_keyed(staged, path, keys, buckets, within, mode="replace", placed=True)
     return n
