@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carlot.llm.common import written
+from carlot.llm.common import brief_shuffles, written
 from carlot.llm.textarrays import LOWER_TABLE, U64, mix, text_buffer, word_hashes, word_spans
 from carlot.session import ship_package
 
@@ -63,6 +63,9 @@ PART = 32 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
+#: Words whose fingerprints are taken at once, and entries of a range that are summed
+#: at once: work arrays follow these, not the block or the range.
+STRETCH, SHARE = 1 << 16, 1 << 19
 
 IN_WORD = np.ones(256, dtype=bool)
 IN_WORD[[9, 32, *range(10, 14), *map(ord, ".,;:!?")]] = False
@@ -86,10 +89,21 @@ def powers(base: int, n: int) -> np.ndarray:
 
 def fingerprints(hashes: np.ndarray, n: int) -> np.ndarray:
     """Fingerprint of every run of ``n`` words, by prefix polynomials."""
-    prefix = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * powers(BASE, len(hashes)), out=prefix[1:])
-    m = max(0, len(hashes) - n + 1)
-    return mix((prefix[n:n + m] - prefix[:m]) * powers(INVERSE, m) + U64(n))
+    out = np.empty(max(0, len(hashes) - n + 1), dtype=np.uint64)
+    for i in range(0, len(out), STRETCH):
+        some = hashes[i:i + STRETCH + n - 1]
+        prefix = np.zeros(len(some) + 1, dtype=np.uint64)
+        np.cumsum(some * powers(BASE, len(some)), out=prefix[1:])
+        m = len(some) - n + 1
+        out[i:i + m] = mix((prefix[n:n + m] - prefix[:m]) * powers(INVERSE, m) + U64(n))
+    return out
+
+
+def owned(runs: np.ndarray, own: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """``runs`` mixed, in place, with the number ``own`` of each one's document."""
+    for i in range(0, len(runs), STRETCH):
+        runs[i:i + STRETCH] = mix(runs[i:i + STRETCH] ^ own[doc[i:i + STRETCH]])
+    return runs
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,9 +125,9 @@ class Block:
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, lang: list, fold: int):
         self.low = LOWER_TABLE[buf]
         start, end, at = word_spans(self.low, offsets, IN_WORD)
-        self.hash = word_hashes(self.low, start, end)
         small = np.int32 if len(buf) < 1 << 31 else np.int64
-        self.start, self.end = start.astype(small), end.astype(small)
+        self.start, self.end = start, end = start.astype(small), end.astype(small)
+        self.hash = word_hashes(self.low, start, end)
         self.doc = np.repeat(np.arange(len(offsets) - 1, dtype=small), np.diff(at))
         self.place = np.arange(len(start), dtype=small) - np.repeat(at[:-1].astype(small), np.diff(at))
         self.piece = np.searchsorted(np.flatnonzero(ENDS[self.low]).astype(small), self.start).astype(small)
@@ -131,8 +145,9 @@ class Block:
             runs = fingerprints(self.hash, n)
             m = len(runs)
             valid = (self.doc[:m] == self.doc[n - 1:n - 1 + m]) & (self.piece[:m] == self.piece[n - 1:n - 1 + m])
-            own = mix(self.lang_hash + U64(n))[self.lang]
-            self._keys[n] = (mix(runs ^ own[self.doc[:m]]) if m else runs) & self.fold, valid
+            runs = owned(runs, mix(self.lang_hash + U64(n))[self.lang], self.doc[:m])
+            runs &= self.fold
+            self._keys[n] = runs, valid
         return self._keys[n]
 
     def forget(self, n: int) -> None:
@@ -141,10 +156,9 @@ class Block:
     def checks(self, n: int) -> np.ndarray:
         """32 bits of a second, independent fingerprint of the runs of ``n`` words."""
         if self.other is None:
-            self.other = word_hashes(OTHER[self.low], self.start.astype(np.int64), self.end.astype(np.int64))
+            self.other = word_hashes(OTHER[self.low], self.start, self.end)
         runs = fingerprints(self.other, n)
-        own = mix(self.lang_hash ^ U64(n))[self.lang]
-        return (mix(runs ^ own[self.doc[:len(runs)]]) if len(runs) else runs).astype(np.uint32)
+        return owned(runs, mix(self.lang_hash ^ U64(n))[self.lang], self.doc[:len(runs)]).astype(np.uint32)
 
     def same_word(self) -> np.ndarray:
         """For every word one word of the block with the same bytes, the same for
@@ -213,8 +227,11 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int, fold: int) -> Iterator[
 def passes(bitmap: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     if bitmap is None:
         return np.ones(len(keys), bool)
-    bit = keys >> U64(64 - BITS)
-    return (bitmap[bit >> U64(3)] >> (bit & U64(7)).astype(np.uint8)) & 1 == 1
+    out = np.empty(len(keys), bool)
+    for i in range(0, len(keys), STRETCH):
+        bit = keys[i:i + STRETCH] >> U64(64 - BITS)
+        out[i:i + STRETCH] = (bitmap[bit >> U64(3)] >> (bit & U64(7)).astype(np.uint8)) & 1
+    return out
 
 
 def allowed(block: Block, n: int, words, pairs) -> tuple[np.ndarray, np.ndarray]:
@@ -253,22 +270,44 @@ def _blobs(rows: list[tuple]) -> pa.RecordBatch:
 def pack(batches: Iterator[pa.RecordBatch], n: int, words, fold: int, size: int, parts: int) -> Iterator[pa.RecordBatch]:
     """A number for each fingerprint of a block: its upper 60 bits and its times,
     15 at most (whether the sum reaches LEAST isn't changed by that)."""
+    def counted(block: Block) -> list[tuple]:
+        keys = allowed(block, n, words.value if words else None, None)[0]
+        block.forget(1)
+        block.forget(n)
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.arange(0)
+        times = np.minimum(np.diff(first, append=len(keys)), 15).astype(np.uint64)
+        u = keys[first]
+        times |= u & ~U64(15)
+        return [(i, times[at].tobytes()) for i, at in _ranges(u, parts)]
+
     for _, block in blocks(batches, size, fold):
-        keys, _ = allowed(block, n, words.value if words else None, None)
-        u, times = np.unique(keys, return_counts=True)
-        packed = (u & ~U64(15)) | np.minimum(times, 15).astype(np.uint64)
-        if len(u):
-            yield _blobs([(i, packed[at].tobytes()) for i, at in _ranges(u, parts)])
+        rows = counted(block)
+        del block                                 # before the next one is made
+        if rows:
+            yield _blobs(rows)
+
+
+def _shares(keys: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The entries of a range, dealt by the lowest bits of their fingerprints into shares
+    of about ``SHARE`` that are summed one by one: the rows of each of ``keys``."""
+    many = 1 << (sum(map(len, keys)) // SHARE).bit_length()
+    for i in range(many):
+        yield [np.flatnonzero(k & U64(many - 1) == i) for k in keys]
 
 
 def frequent_bits(part: int, t: pa.Table, least: int, parts: int) -> pa.Table:
     """The share of the bitmap of one range of fingerprints."""
-    packed = np.sort(np.frombuffer(b"".join(t["c0"].to_pylist()), np.uint64))
-    keys = packed >> U64(4)
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    many = keys[first[np.add.reduceat((packed & U64(15)).astype(np.int64), first) >= least]]
+    held = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["c0"]]
     bits = np.zeros((1 << BITS) // parts, bool)
-    bits[(many >> U64(60 - BITS)) - U64(part * len(bits))] = True
+    for rows in _shares([x >> U64(4) for x in held]):
+        packed = np.sort(np.concatenate([x[at] for x, at in zip(held, rows, strict=True)]))
+        if not len(packed):
+            continue
+        keys = packed >> U64(4)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        many = keys[first[np.add.reduceat((packed & U64(15)).astype(np.int64), first) >= least]]
+        bits[(many >> U64(60 - BITS)) - U64(part * len(bits))] = True
     return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
 
@@ -277,8 +316,7 @@ def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int,
     place plus the number of words) of each run of words of a block, one entry for
     each content, that points to one of its occurrences. Runs of no word stand for
     all words of a language."""
-    for b, block in blocks(batches, size, fold):
-        doc_key = b.column("doc").to_numpy()
+    def pointed(doc_key: np.ndarray, block: Block) -> list[tuple]:
         word = block.same_word()
         first = np.unique(block.lang, return_index=True)[1]
         out = [[mix(block.lang_hash) & block.fold], [np.bincount(block.lang[block.doc], minlength=len(first))], [first], [first * 0],
@@ -309,6 +347,11 @@ def point(batches: Iterator[pa.RecordBatch], words, pairs, fold: int, size: int,
         for i, r in _ranges(keys, parts):
             held, number = np.unique(doc[r], return_inverse=True)
             rows.append((i, keys[r].tobytes(), check[r].tobytes(), _narrow(times[r]), _narrow(at[r]), _narrow(number), doc_key[held].tobytes()))
+        return rows
+
+    for b, block in blocks(batches, size, fold):
+        rows = pointed(b.column("doc").to_numpy(), block)
+        del b, block                              # before the next one is made
         yield _blobs(rows)
 
 
@@ -319,17 +362,23 @@ def frequent_pointers(t: pa.Table, least: int) -> pa.Table:
     """Of a range of fingerprints, those (with their checks) whose times reach
     ``least``: pointers to two places, in the documents of least and of greatest
     key, the first of which carries the times."""
-    cols: list[list[np.ndarray]] = [[], [], [], [], []]
-    for blobs in zip(*(t[f"c{i}"].to_pylist() for i in range(6)), strict=True):
-        n = len(blobs[0]) // 8
-        key, check, times, at, number = (np.frombuffer(x, f"u{len(x) // n}") for x in blobs[:5])
-        for c, x in zip(cols, (key, check, times.astype(np.int64), at.astype(np.int64), np.frombuffer(blobs[5], np.int64)[number]), strict=True):
-            c.append(x)
-    key, check, times, at, doc = (np.concatenate(c) for c in cols)
+    held = []
+    for blobs in zip(*(t[f"c{i}"] for i in range(6)), strict=True):
+        raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in blobs]
+        n = len(raw[0]) // 8
+        held.append([*(x.view(f"u{len(x) // n}") for x in raw[:5]), raw[5].view(np.int64)])
+    return pa.concat_tables(_best_of([[c[at] for c in x[:5]] + [x[5]] for x, at in zip(held, rows, strict=True)], least)
+                            for rows in _shares([x[0] for x in held]))
+
+
+def _best_of(held: list[list[np.ndarray]], least: int) -> pa.Table:
+    """``frequent_pointers`` of one share."""
+    key, check, times, at, doc = (np.concatenate(c) for c in zip(*(
+        (key, check, times.astype(np.int64), at.astype(np.int64), docs[number]) for key, check, times, at, number, docs in held), strict=True))
     order = np.lexsort((check, key))
     k, c = key[order], check[order]
-    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]))
-    sums = np.add.reduceat(times[order], first)
+    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])])) if len(k) else np.arange(0)
+    sums = np.add.reduceat(times[order], first) if len(k) else times
     size = np.diff(np.append(first, len(order)))
     stay = np.repeat(sums >= least, size)
     order, group, sums, size = order[stay], np.repeat(np.arange(np.count_nonzero(sums >= least)), size[sums >= least]), sums[sums >= least], size[sums >= least]
@@ -387,8 +436,10 @@ def bitmap_of(packed: DataFrame, least: int, parts: int) -> np.ndarray:
     bitmap, 16 MB, never the fingerprints."""
     out = np.zeros(1 << (BITS - 3), np.uint8)
     size = len(out) // parts
-    for r in packed.groupBy("part").applyInArrow(lambda key, t: frequent_bits(key[0].as_py(), t, least, parts),
-                                                 "part int, bits binary").collect():
+    with brief_shuffles(packed.sparkSession):
+        rows = packed.groupBy("part").applyInArrow(lambda key, t: frequent_bits(key[0].as_py(), t, least, parts),
+                                                   "part int, bits binary").collect()
+    for r in rows:
         out[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
@@ -444,8 +495,9 @@ def scored(counts: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                  least: int = LEAST, inside: int = INSIDE, top: int = TOP, **options) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best phrases of each language."""
-    counts = written(phrase_counts(docs, id_col, text_col, lang_col, least, **options), "phrase-counts")
-    cand = written(scored(counts), "phrase-scores")
+    with brief_shuffles(docs.sparkSession):
+        counts = written(phrase_counts(docs, id_col, text_col, lang_col, least, **options), "phrase-counts")
+        cand = written(scored(counts), "phrase-scores")
     three = cand.where("words = 3").withColumn("w", F.split("phrase", " "))
     held = three.select("lang", F.explode(F.array(F.array_join(F.slice("w", 1, 2), " "), F.array_join(F.slice("w", 2, 2), " "))).alias("phrase"),
                         F.col("a").alias("longer")).groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))

@@ -58,6 +58,19 @@ def scratch() -> Iterator[None]:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a query that is made and run inside go when it ends, not when
+    the driver happens to collect garbage: for results that are collected or written once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table of constants, planned as literals (no Python worker)."""
     fields = [f.strip().split(" ", 1) for f in schema.split(",")]

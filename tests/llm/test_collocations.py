@@ -103,3 +103,59 @@ def test_prefix_polynomials_depend_on_words_only():
     two = CO.fingerprints(h, 2)
     assert two[0] == two[3] and two[1] == two[4] and len(set(two.tolist())) == 4
     assert len(CO.fingerprints(h, 8)) == 0
+
+
+def test_tasks_hold_shares_not_blocks_or_ranges(monkeypatch):
+    """A block is counted, and a range of fingerprints summed, in work arrays of bounded size;
+    one block at a time is held."""
+    import gc
+    import tracemalloc
+    texts = [" ".join(f"{i}w{j}" for j in range(60000)) for i in range(8)]
+    live = []
+
+    class Seen(CO.Block):
+        def __init__(self, *args):
+            live.append(sum(isinstance(x, Seen) for x in gc.get_objects()))
+            super().__init__(*args)
+    monkeypatch.setattr(CO, "Block", Seen)
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["en"] * 8})
+    fold, parts = (1 << 64) - 1, 4
+    out = pa.Table.from_batches(list(CO.pack(iter([batch]), 1, None, fold, 1 << 18, parts)))
+    assert len(live) == 8 and max(live) == 1
+    assert sum(len(x) for x in out["c0"].to_pylist()) == 8 * 8 * 60000
+
+    r = np.random.default_rng(2)
+    n = 2_000_000
+    keys = np.sort(r.integers(0, 1 << 62, n, dtype=np.uint64))
+    cols = [keys.tobytes(), np.zeros(n, np.uint32).tobytes(), r.integers(1, 11, n).astype(np.uint8).tobytes(),
+            np.zeros(n, np.uint8).tobytes(), np.zeros(n, np.uint8).tobytes(), np.zeros(1, np.int64).tobytes()]
+    t = pa.table({f"c{i}": pa.array([c], pa.binary()) for i, c in enumerate(cols)})
+    many = int((np.frombuffer(cols[2], np.uint8) == 10).sum())
+    tracemalloc.start()
+    got = CO.frequent_pointers(t, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.num_rows == many and peak < 40 * n                       # all at once took over 100 bytes an entry
+    few = CO.frequent_bits(0, pa.table({"c0": pa.array([((keys & ~np.uint64(15)) | np.uint64(10)).tobytes()], pa.binary())}), 10, 4)
+    bits = np.unpackbits(np.frombuffer(few["bits"][0].as_py(), np.uint8))
+    assert bits.sum() == len(np.unique(keys >> np.uint64(64 - CO.BITS)))
+
+
+def test_shuffles_go_with_their_query(spark):
+    """The shuffles of counting don't lie on the disks while the next steps write theirs."""
+    import time
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {x for i in range(files.size()) if (x := files.apply(i).getName()).startswith("shuffle_")}
+    keys = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 5000, dtype=np.uint64)) << np.uint64(1)
+    packed = spark.createDataFrame([(0, bytearray(((keys & ~np.uint64(15)) | np.uint64(10)).tobytes()))], "part int, c0 binary")
+    before, option = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(option, None)
+    bits = CO.bitmap_of(packed, 10, 1)
+    assert np.unpackbits(bits).sum() == len(np.unique(keys >> np.uint64(64 - CO.BITS)))
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(option, None) == was
