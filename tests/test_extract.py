@@ -154,3 +154,54 @@ def test_ordinary_pages_read_each_distinct_tag_once():
                 "<title>a<b>c</b></title>", "<TITLE>x</TITLE>", "a < b", "<p a='<'>x</p>"):
         assert X._plain_doc(odd) is None, odd
         assert _lists(X.parse_html(odd)) == _lists(_built(odd))
+
+
+def _rows_of(run, pages):
+    import pyarrow as pa
+    batch = pa.record_batch([pa.array(range(len(pages))), pa.array(pages, pa.string())], names=["k", "html"])
+    return [tuple(r.values())[1:] for b in run(iter([batch])) for r in b.to_pylist()]
+
+
+def _odd_pages():
+    """Pages of the rules' elements with texts that split, repeat, miss or run over; every third has odd markup."""
+    label, pair = '<p data-sentry-element="Label">%s</p><p>%s</p>', '<div data-testid="q"><p>%s</p><b>-</b><p>%s</p></div>'
+    bottom = ('<div data-sentry-element="BottomWrapper">%s<div data-sentry-element="Area"><p data-sentry-element="Text">%s</p>'
+              '</div><div data-sentry-element="Area"><p data-sentry-element="Text">%s</p></div></div>')
+    box = '<div data-sentry-element="EquipmentBox"><p data-sentry-element="Text">%s</p></div>'
+    price = '<span class="offer-price__number">%s</span><span class="offer-price__currency">%s</span>'
+    about = '<div data-testid="content-description-section"><h2>%s</h2><div data-testid="textWrapper"><p> %s</p><p>b</p></div></div>'
+    texts = ["Moc", " Moc ", "M<b>oc</b>", "Przebieg", "Opis", "", " ", "&nbsp;", "&#1;", "a &amp; b", "5 KM", "ID: 12345", "ID", ": 98765",
+             "3 lutego 2024", "3 lutego", "2024 10:30", "10:30", "dodano 3 maja 2021 przez", "Are you", "<i>human</i>?", "too many",
+             "requests", "a > b", "ID 1234x", "7", "0"]
+    pages = []
+    for i in range(len(texts)):
+        t = [texts[(i + k * k) % len(texts)] for k in range(16)]
+        page = (label % (t[0], t[1]) + label % ("Moc", t[2]) + (pair % (t[3], t[4]) + pair % ("Moc", t[5])) + price % (t[6], t[7])
+                + '<div data-testid="content-equipments-section">' + "".join(box % x for x in t[8:12]) + "</div>"
+                + bottom % (t[12], t[13], t[14]) + about % (t[15], t[0]) + about % ("Opis", t[1]) + f"<ul><li>{t[2]}</li></ul>")
+        pages += [page, page.replace(' data-sentry-element="Label"', ""), page + ("<!-- x -->", "<p class=q>r", "<script>captcha</script>")[i % 3]]
+    return pages + ["", None, "ID: 4444", "<title>captcha</title>"]
+
+
+def test_pages_read_together_have_the_fields_of_each_by_itself():
+    """Offer pages of a batch are read as columns, one tree for each sequence of tags; the rules over one page say what is in them."""
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+    key, pages = [T.StructField("k", T.LongType())], _odd_pages()
+    for policy in ("supported", "legacy"):
+        run = X._make_parser("html", ["k"], "https://x", policy, False, to_arrow_schema(T.StructType(key + X.PARSED_FIELDS)))
+        docs = [X.parse_html(p) for p in pages]
+        assert _rows_of(run, pages) == [
+            (X.is_captcha(d), X.total_pages(d), X.listing_refs(d, "https://x"), X.page_advert_id(d),
+             list(X.label_fields(d, policy=policy).items()), X.equipment(d), *X.price(d), X.advert_date_text(d)) for d in docs]
+
+
+def test_offer_pages_of_the_same_tags_are_one_tree(monkeypatch):
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+    trees, tree = [], X._plain_tree
+    monkeypatch.setattr(X, "_plain_tree", lambda tags: trees.append(tags) or tree(tags))
+    run = X._make_parser("html", ["k"], "", "supported", False,
+                         to_arrow_schema(T.StructType([T.StructField("k", T.LongType())] + X.PARSED_FIELDS)))
+    rows = _rows_of(run, [f'<p data-sentry-element="Label">Moc</p><p>{i} KM</p>' + "<br>" * (i % 2) for i in range(500)])
+    assert [r[4] for r in rows] == [[("Moc", f"{i} KM")] for i in range(500)] and len(trees) == 2
