@@ -116,3 +116,15 @@ def test_cleaners_of_a_row_stay_compiled(spark, tmp_path):
     r = df.first()
     assert (r["price_whole"], r["price_digits"], str(r["price_decimal"]), r["price_legacy"]) == (1234, 123456, "1234.56", 1234.56)
     assert (r["mileage_km"], r["power_hp"], r["engine_capacity_cm3"], r["mileage_first_number"]) == (20000, 7, 1250, 20000.0)
+
+
+def test_blank_measures_are_not_searched(spark):
+    """Blank and NULL texts are NULL before any pattern; a pattern that finds a measure in '' still reads it."""
+    odd = MS.MeasureSpec("Stan", "state", ("",), r"(\d*)(x*)", integer=True)
+    df = spark.createDataFrame([("75 kWh", "4"), ("", ""), (None, None), ("  ", "x"), ("brak", "5")], "`Pojemność baterii` string, Stan string")
+    got = MS.clean_measures(df, (*MS.SPECS, odd), parity=True)
+    assert [r["battery_capacity_kwh"] for r in got.collect()] == [75.0, None, None, None, None]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN NOT (Pojemność baterii" in plan and "CASE WHEN NOT (Stan" not in plan
+    direct = df.select(MS.measure("Stan", odd, parity=True)["value"].alias("state"))
+    assert [r["state"] for r in got.collect()] == [r["state"] for r in direct.collect()]
